@@ -5,17 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ragset.llm.common import table
+from ragset.llm.media import media_columns
 from ragset.llm.packing import pack_documents
+from ragset.llm.quality import quality_query
 from ragset.llm.records import token_records
+from ragset.llm.toxicity import toxicity_query
+
+
+def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns(table(spark, sf_dir, "documents"))
 
 
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(table(spark, sf_dir, "documents"))
 

@@ -10,9 +10,10 @@ import re
 
 import numpy as np
 
-#: Where a byte-level vocabulary's pieces would depend on more than their own text.
-UNSURE = re.compile(r"\s\s\s|\s\s\Z")
-MAX_PIECES = 400_000
+#: Where a piece's ids could depend on more than its own text: white space in a row, signs before a comma or full stop,
+#: letters whose lower case depends on their neighbours.
+UNSURE, UNSURE_CASE = re.compile(r"\s\s|[^\w\s][,.]\s|\x00"), re.compile(r"[^\x00-\xff]")
+MAX_PIECES, JOINED = 400_000, 200
 _loaded: dict[str, "TextEncoder"] = {}
 
 
@@ -30,32 +31,62 @@ class TextEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         kind = str(self.tokenizer.pre_tokenizer)
-        white_dropped = 'Replace(pattern=Regex("\\s+"), content=" ")' in str(self.tokenizer.normalizer) and "invert=True" in kind
+        white_dropped = 'Replace(pattern=Regex("\\s+"), content=" "), Lowercase()' in str(self.tokenizer.normalizer) and "invert=True" in kind
         plain_bytes = self.tokenizer.normalizer is None and kind.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in kind
         self.split = self._words if white_dropped else self._spaced if plain_bytes else None
+        vocab = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+        self.width = np.zeros(len(self.last), np.int64)  # bytes of an id
+        for token, i in vocab.items():
+            self.last[i], self.width[i] = token.endswith("</w>"), len(token)
         self.known: dict[str, bytes] = {}
 
     @staticmethod
     def _words(text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
+        """Pieces where white space is dropped: words, and the comma or full stop after them."""
+        if UNSURE.search(text):
+            return text.split()
+        if not UNSURE_CASE.search(text):
+            text = text.lower()
+        return text.replace("\n", " ").replace(", ", " , ").replace(". ", " . ").split(" ")
 
     @staticmethod
     def _spaced(text: str) -> list[str]:
+        """Pieces where a space belongs to the word after it."""
         if UNSURE.search(text):
             return [text]
-        return text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else [text]
+        return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").replace(",\x00", "\x00,\x00").replace(".\x00", "\x00.\x00").split("\x00")
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def _encode_new(self, pieces: list[str]) -> dict[str, bytes]:
+        """Plain words go to the tokenizer many at a time; their ids are told apart by word ends, or by their bytes."""
+        bytewise = self.split == self._spaced
+        plain = [p for p in pieces if (p[:1] == " " and p[1:].isalpha() if bytewise else p.isalpha())]
+        out: dict[str, bytes] = {}
+        groups = [plain[a:b] for a, b in slices(len(plain), JOINED)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([("" if bytewise else " ").join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            if bytewise:
+                at = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) for p in group])) + 1
+            else:
+                at = np.flatnonzero(self.last[ids]) + 1
+            if len(at) == len(group) and len(ids) == at[-1]:
+                raw = ids.tobytes()
+                out.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(group, [0, *at.tolist()], at.tolist()))
+        rest = [p for p in pieces if p not in out]
+        out.update(zip(rest, self._encode(rest)))
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if self.split is None:
             return self._encode([t or "" for t in texts])
         known, rows, new = self.known, [self.split(t) if t else [] for t in texts], set()
         for pieces in rows:
             new.update(set(pieces).difference(known))
-        fresh = list(new)
-        known.update(zip(fresh, self._encode(fresh)))
+        fresh = self._encode_new(list(new))
+        known.update(fresh)
         out = [b"".join(map(known.__getitem__, pieces)) for pieces in rows]
         if len(known) > MAX_PIECES:  # the early, frequent pieces stay
             for piece in fresh:
