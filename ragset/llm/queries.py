@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ragset.llm.common import table
 from ragset.llm.media import media_columns
+from ragset.llm.ngram_join import ngram_join
 from ragset.llm.packing import pack_documents
 from ragset.llm.quality import quality_query
 from ragset.llm.records import token_records
@@ -18,6 +19,10 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
