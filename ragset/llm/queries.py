@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ragset.llm.common import table
 from ragset.llm.media import media_columns
+from ragset.llm.nearest import nearest
 from ragset.llm.ngram_join import ngram_join
 from ragset.llm.packing import pack_documents
 from ragset.llm.quality import quality_query
@@ -27,6 +28,10 @@ def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
