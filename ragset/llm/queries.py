@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragset.llm.common import table
+from ragset.llm.common import fold, table
 from ragset.llm.media import media_columns
+from ragset.llm.mixing import score_texts
 from ragset.llm.nearest import nearest
 from ragset.llm.ngram_join import ngram_join
 from ragset.llm.packing import pack_documents
@@ -16,6 +17,11 @@ from ragset.llm.records import token_records
 from ragset.llm.toxicity import toxicity_query
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = fold("doc_id", 7) == 2
+    return score_texts(table(spark, sf_dir, "documents"), ~held).withColumn("held_out", held)
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(table(spark, sf_dir, "documents"))
 
