@@ -1,10 +1,57 @@
-"""The corpus pipeline: named stages from documents to packed sequences."""
+"""The corpus pipeline: documents, good ones, harmless ones, one of each group of near copies, packed sequences.
+
+Each stage takes the documents that its predecessor kept. Near copies are documents that share at least 0.8 of their
+five-word shingles, directly or over others; the one with the smallest doc_id stays. SQL has no classifier, and so
+ORACLE_SQL is None; tests hold each stage against a brute-force version.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ragset.llm.common import staged, table
+from ragset.llm.ngram_join import MAX_SENT, ngram_join
+from ragset.llm.packing import pack_documents
+from ragset.llm.quality import quality_query
+from ragset.llm.toxicity import toxicity_query
+
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is in gone (null counts as an id); gone goes to all executors only if it is small."""
+    gone = staged(gone.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    side = F.broadcast(gone) if gone.count() <= MAX_SENT else gone
+    return docs.join(side, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the quality classifier does not reject; all rows of a rejected doc_id go."""
+    return without(docs, quality_query(docs, table(spark, sf_dir, "labels")).where("predicted = 0"))
+
+
+def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the toxicity classifier does not reject; all rows of a rejected doc_id go."""
+    return without(docs, toxicity_query(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest doc_id of each group of near copies, once; rows without a doc_id stay."""
+    kept = without(docs, ngram_join(docs, words=5, percent=80).where("component_id <> doc_id"))
+    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"])) if again else kept
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs)
+
+
+STAGES = [("quality", good), ("toxicity", harmless), ("near_copies", distinct_documents), ("packing", packed)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ragset.llm.chat import format_chats
 from ragset.llm.common import fold, table
 from ragset.llm.media import media_columns
 from ragset.llm.mixing import score_texts
 from ragset.llm.nearest import nearest
 from ragset.llm.ngram_join import ngram_join
 from ragset.llm.packing import pack_documents
+from ragset.llm.pieces import piece_digests
 from ragset.llm.quality import quality_query
 from ragset.llm.records import token_records
 from ragset.llm.toxicity import toxicity_query
@@ -34,10 +36,18 @@ def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
