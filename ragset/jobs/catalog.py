@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import importlib
+import re
+
+MODULES = ["corpus", "retrieval"]
+NAME = re.compile(r"[a-z]\d+_\w+")
+
+
+def _modules():
+    return [importlib.import_module(f"ragset.jobs.{m}") for m in MODULES]
+
 
 def queries():
-    return {}
+    return {n: f for m in _modules() for n, f in vars(m).items() if NAME.fullmatch(n) and getattr(f, "__module__", "") == m.__name__}
 
 
 def oracle_sql():
-    return {}
+    return {n: q for m in _modules() for n, q in m.SQLS.items()}
+
+
+def flagship(spark, sf_dir):
+    """Windows of all documents, their statistics by source, and the total."""
+    return queries()["p4_datasets_total"](spark, sf_dir)
