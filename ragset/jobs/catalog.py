@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 import re
 
-MODULES = ["corpus", "retrieval"]
+MODULES = ["corpus", "retrieval", "replies", "dedup", "metrics"]
 NAME = re.compile(r"[a-z]\d+_\w+")
 
 
