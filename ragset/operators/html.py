@@ -15,13 +15,13 @@ HIDDEN, BLOCKS = {"script", "style", "head", "noscript"}, {"p", "div", "section"
 class _Page(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks, self.now, self.hidden, self.row = [], "", 0, None
+        self.blocks, self.now, self.hidden, self.item = [], "", 0, ""
 
     def close_block(self, mark: str = "") -> None:
         text = " ".join(self.now.split())
         if text:
-            self.blocks.append(mark + text)
-        self.now = ""
+            self.blocks.append((mark or self.item) + text)
+        self.now = self.item = ""
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
@@ -33,6 +33,7 @@ class _Page(HTMLParser):
             self.now += " | "
         elif tag in BLOCKS or tag == "li":
             self.close_block()
+            self.item = "- " if tag == "li" else ""
 
     def handle_endtag(self, tag):
         if tag in HIDDEN:
@@ -40,7 +41,7 @@ class _Page(HTMLParser):
         elif tag in HEADS:
             self.close_block(HEADS[tag] + " ")
         elif tag == "li":
-            self.close_block("- ")
+            self.close_block()
         elif tag == "tr" and self.now.strip():
             self.now += " |"
             self.close_block()
