@@ -23,8 +23,8 @@ from ragset.llm.common import fold, staged
 from ragset.llm.fitting import calibrated, examples, isotonic
 
 SPAN, DECAY, SYMBOLS, MAX_WORDS = 6, 0.5, 64, 400_000
-#: Log-odds from which a word bears witness against the documents that hold it.
-WITNESS = 1.5
+#: A word bears witness against the documents that hold it where its log-odds, less two standard errors, exceed this.
+WITNESS = 1.6
 _GAPS = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
 #: Digits and signs that stand for letters.
 LOOKALIKE = str.maketrans("013457@$", "oieastas")
@@ -77,11 +77,27 @@ def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, key, val / np.maximum(norm, 1e-9)[row]
 
 
-def dense(words: list[str]) -> np.ndarray:
-    out = np.zeros((len(words), SYMBOLS**3), np.float32)
-    row, key, val = triples(words)
-    np.add.at(out, (row, key), val)
-    return out
+class Landmarks:
+    """The triples of some words as a matrix, a row a triple that occurs."""
+
+    def __init__(self, words: list[str]):
+        row, key, val = triples(words)
+        self.keys, col = np.unique(key, return_inverse=True)
+        self.matrix = np.zeros((len(self.keys) + 1, len(words)), np.float32)
+        np.add.at(self.matrix, (col, row), val)
+
+    def kernel(self, words: list[str]) -> np.ndarray:
+        """The kernel of each word with each landmark."""
+        out = np.zeros((len(words), self.matrix.shape[1]))
+        for at in range(0, len(words), 300):
+            row, key, val = triples(words[at : at + 300])
+            col = np.searchsorted(self.keys, key)
+            col[self.keys[np.minimum(col, len(self.keys) - 1)] != key] = len(self.keys)
+            order = np.argsort(row, kind="stable")
+            row, first = np.unique(row[order], return_index=True)
+            if len(row):
+                out[at + row] = np.add.reduceat(self.matrix[col[order]] * val[order, None].astype(np.float32), first)
+        return out
 
 
 def decision(words: list[str], weight: np.ndarray, bias: float) -> np.ndarray:
@@ -112,27 +128,26 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.mapInArrow(count, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _landmarks(pool: list[str], have: np.ndarray, most: int, near: float) -> np.ndarray:
-    """have with the first words of pool that are not near one that is there already, up to most rows."""
-    for at in range(0, len(pool), 64):
-        if len(have) >= most:
+def _landmarks(pool: list[str], chosen: list[str], most: int, near: float) -> list[str]:
+    """chosen with the first words of pool that are not near one that is there already, up to most in all."""
+    words = [*chosen, *(w for w in pool[: 4 * most] if w not in set(chosen))]
+    gram = Landmarks(words).kernel(words)
+    taken = list(range(len(chosen)))
+    for i in range(len(chosen), len(words)):
+        if len(taken) >= most:
             break
-        for v in dense(pool[at : at + 64]):
-            if len(have) < most and (not len(have) or (have @ v).max() < near * max(1e-9, float(v @ v))):
-                have = np.concatenate([have, v[None]])
-    return have
+        if not taken or gram[i, taken].max() < near * max(1e-9, gram[i, i]):
+            taken.append(i)
+    return [words[i] for i in taken]
 
 
-def _machine(have: np.ndarray, words: list[str], weights: np.ndarray, y: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
+def _machine(chosen: list[str], words: list[str], weights: np.ndarray, y: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
     """The linear machine over Nyström features, as triple weights and bias: Newton steps of the squared hinge."""
-    lam, u = np.linalg.eigh((have @ have.T).astype(float))
+    marks = Landmarks(chosen)
+    lam, u = np.linalg.eigh(marks.kernel(chosen))
     ok = lam > 1e-6 * lam.max()
     root = u[:, ok] / np.sqrt(lam[ok])
-    x = []
-    for at in range(0, len(words), 2000):
-        n = len(words[at : at + 2000])
-        row, key, val = triples(words[at : at + 2000])
-        x.append(np.stack([np.bincount(row, h[key] * val, n) for h in have], axis=1) @ root)
+    x = [marks.kernel(words) @ root]
     x = np.concatenate([np.concatenate(x), np.ones((len(words), 1))], axis=1)
     beta, reg = np.zeros(x.shape[1]), np.eye(x.shape[1]) * weights.sum() / len(words) / cost
     reg[-1, -1] = 1e-9
@@ -143,7 +158,9 @@ def _machine(have: np.ndarray, words: list[str], weights: np.ndarray, y: np.ndar
         if np.abs(new - beta).max() < 1e-8:
             break
         beta = new
-    return have.T.astype(float) @ (root @ beta[:-1]), float(beta[-1])
+    triple = np.zeros(SYMBOLS**3)
+    triple[marks.keys] = marks.matrix[:-1] @ (root @ beta[:-1])
+    return triple, float(beta[-1])
 
 
 def fit(counts: DataFrame, toxic_docs: int, clean_docs: int, landmarks: int, sample: int, rounds: int = 3) -> tuple[np.ndarray, float]:
@@ -153,14 +170,15 @@ def fit(counts: DataFrame, toxic_docs: int, clean_docs: int, landmarks: int, sam
     negative the others, sample of them in an order by hash, then in each round the sample worst mistakes among all.
     """
     odds = F.log((F.col("toxic") + 0.5) / (toxic_docs + 1.0)) - F.log((F.col("clean") + 0.5) / (clean_docs + 1.0))
-    witness = (odds > WITNESS) & (F.col("toxic") >= min(3.0, toxic_docs / 4))
+    unsure = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    witness = odds - 2 * unsure > WITNESS
     rated = staged(counts.withColumn("gain", F.col("toxic") * odds).withColumn("witness", witness), "words")
     telling = [(r["word"], r["toxic"]) for r in rated.where("witness").orderBy(F.desc("gain"), "word").limit(sample).collect()]
     if not telling:
         return np.zeros(SYMBOLS**3), -1.0
     clean = rated.where("clean > 0 and not witness").select("word", "clean")
     others = [tuple(r) for r in clean.orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
-    have = _landmarks([w for w, _ in telling], np.zeros((0, SYMBOLS**3), np.float32), landmarks // 2, 0.85)
+    have = _landmarks([w for w, _ in telling], [], landmarks // 2, 0.85)
     have = _landmarks([w for w, _ in others], have, landmarks * 5 // 8, 0.5)
     negative = dict(others)
     for left in reversed(range(rounds)):
