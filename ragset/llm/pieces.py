@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ragset.llm.tokens import public_path, slices
 
-SPACE, MAX_WORDS, MAX_PATHS, MAX_PAIRS = "▁", 300_000, 500_000, 500_000
+SPACE, MAX_WORDS, MAX_PATHS, MAX_PAIRS = "▁", 150_000, 200_000, 600_000
 _loaded: dict[str, "Transducer"] = {}
 
 
@@ -44,7 +44,13 @@ class Transducer:
             self.byte_values[i] = b
         self.known: dict[str, tuple[bytes, float]] = {}
         self.paths: dict[str, tuple] = {"": (None, b"", 0.0)}  # last arc, ids, weight; a character without a piece ties nothing
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.coded = [i.to_bytes(4, "little") for i in range(n)]
+        ends: dict[str, set[int]] = {}
+        for p in self.id_of:
+            if len(p) > 1:
+                ends.setdefault(p[-2:], set()).add(len(p))
+        self.lengths = {e: sorted(x, reverse=True) for e, x in ends.items()}  # of the pieces that end so
 
     def merged(self, text: str) -> list[str]:
         """The text's characters, joined again and again where the joined piece scores best, the first such on ties."""
@@ -57,11 +63,9 @@ class Transducer:
         return parts
 
     def follows(self, a: str, b: str) -> bool:
-        key = (a, b)
-        if (ok := self.pairs.get(key)) is None:
-            if len(self.pairs) > MAX_PAIRS:
-                self.pairs.clear()
-            ok = self.pairs[key] = self.merged(a + b) == [a, b]
+        if len(self.pairs) > MAX_PAIRS:
+            self.pairs.clear()
+        ok = self.pairs[self.id_of[a] << 20 | self.id_of[b]] = self.merged(a + b) == [a, b]
         return ok
 
     def shortest(self, word: str) -> tuple[bytes, float]:
@@ -69,24 +73,37 @@ class Transducer:
 
         The path to a state depends on the text before it alone, so words share the paths of their common beginnings.
         """
-        paths, id_of, n = self.paths, self.id_of, len(word)
+        paths, id_of, lengths, pairs, n = self.paths, self.id_of, self.lengths, self.pairs, len(word)
         done = n
-        while done and word[:done] not in paths:
+        while word[:done] not in paths:
             done -= 1
         own = {}
         for end in range(done + 1, n + 1):
-            for start in range(max(0, end - self.longest), end):
+            path = None
+            for size in lengths.get(word[max(0, end - 2) : end], ()):
+                start = end - size
+                if start < 0:
+                    continue
                 arc = word[start:end]
-                if arc not in id_of:
-                    if end - start > 1:
-                        continue
-                    before = own[start] if start > done else paths[word[:start]]
-                    path = (None, before[1] + b"".join(self.bytes[b].to_bytes(4, "little") for b in arc.encode()), before[2])
-                    break
+                i = id_of.get(arc)
+                if i is None:
+                    continue
                 before = own[start] if start > done else paths[word[:start]]
-                if before[0] is None or self.follows(before[0], arc):
-                    path = (arc, before[1] + id_of[arc].to_bytes(4, "little"), before[2] - self.score[arc])
-                    break
+                last = before[0]
+                if last is not None:
+                    ok = pairs.get(last << 20 | i)
+                    if ok is None:
+                        ok = self.follows(self.pieces[last], arc)
+                    if not ok:
+                        continue
+                path = (i, before[1] + self.coded[i], before[2] - self.score[arc])
+                break
+            if path is None:  # a character of its own: a piece, or without one its bytes
+                arc = word[end - 1]
+                before = own[end - 1] if end - 1 > done else paths[word[: end - 1]]
+                i = id_of.get(arc)
+                coded = self.coded[i] if i is not None else b"".join(self.coded[self.bytes[b]] for b in arc.encode())
+                path = (i, before[1] + coded, before[2] - self.score.get(arc, 0.0))
             own[end] = path
             if len(paths) < MAX_PATHS:
                 paths[word[:end]] = path
