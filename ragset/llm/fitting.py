@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ragset.llm.common import attempt
 
 SLOTS, BINS = 64, 2048
+#: Labels up to which they are sent to all executors (12 bytes each).
+MAX_SENT = 2_000_000
 
 
 def partition_sum(df: DataFrame, vector: Callable[[pa.RecordBatch], np.ndarray], width: int) -> np.ndarray:
@@ -71,4 +73,6 @@ def calibrated(raw: DataFrame, knots: tuple[list[float], list[float]], default:
 def examples(rows: DataFrame, labels: DataFrame, label: str, learn) -> DataFrame:
     """rows of the learning fold with their label 0 or 1; labels that are null or neither are left out."""
     known = labels.where(learn).select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
-    return rows.where(learn).join(known, "doc_id")
+    # texts stay where they are as long as the labels are few; more labels are joined
+    side = F.broadcast(known) if known.count() <= MAX_SENT else known
+    return rows.where(learn).join(side, "doc_id")
