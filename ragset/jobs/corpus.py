@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ragset.functions.text import token_estimate, word_count
 from ragset.operators import chunking as C
-from ragset.sources.tables import chunks, docs, lineage, qa, read, sql
+from ragset.sources.shared import shared_dir
+from ragset.sources.tables import chunks, docs, lineage, read, sql
+from ragset.streaming.ingest import ingest_windows
 
 W = r"[^ \t\n\r\f\x0b]+"
 TOK = rf"CAST(floor(len(regexp_extract_all(content, '{W}')) * CAST(1.3 AS DOUBLE)) AS BIGINT)"
@@ -36,6 +40,17 @@ def c3_backfill_artifact(s, d):
     return c.select("file_name", "w", C.backfill_artifact(F.col("content"), empty).alias("artifact"))
 
 
+def c5_stitch_windows(s, d):
+    return C.stitch_windows(chunks(s, d)).select("file_name", "w", "n_windows", F.length("content").cast("long").alias("n_chars"))
+
+
+def r7_ingest_stream(s, d):
+    """All documents through the stream, then its windows by source."""
+    base = f"{shared_dir(s)}/ragset-stream-{uuid.uuid4().hex}"
+    w = ingest_windows(s, f"{d}/documents.parquet*", f"{base}/out", f"{base}/checkpoint")
+    return w.groupBy("dataset").agg(F.count("*").alias("windows"), F.countDistinct("doc_id").alias("documents"))
+
+
 def c6_block_type(s, d):
     c = chunks(s, d)
     row = F.when(F.col("chunk_type").contains("table"), F.lit("\n| a | b |\n")).otherwise("")
@@ -198,6 +213,7 @@ SQLS = {
     "c2_parse_chunk_records": sql("SELECT file_name, w, chunk_id, CASE WHEN w % 4 <> 3 THEN chunk_type END AS chunk_type, CASE WHEN w % 4 <> 3 THEN status END AS status, w % 4 <> 3 AS well_formed FROM chunks WHERE content NOT LIKE '%<%'", "chunks"),
     "c3_backfill_artifact": sql("SELECT file_name, w, CASE WHEN w % 3 = 2 AND artifact <> 'None' THEN artifact WHEN artifact <> 'None' THEN artifact || ' ' || artifact ELSE 'None' END AS artifact FROM chunks", "chunks"),
     "c6_block_type": sql("SELECT chunk_type, CASE WHEN chunk_type = 'index' THEN 'text' ELSE chunk_type END AS found_type, count(*) AS n FROM chunks GROUP BY 1, 2", "chunks"),
+    "r7_ingest_stream": sql("SELECT dataset, count(*) AS windows, count(DISTINCT doc_id) AS documents FROM windows GROUP BY 1", "windows"),
     "c7_fixed_chunks": sql(f"SELECT file_name, k, md5(array_to_string(list_slice(w, k * 256 + 1, k * 256 + 256), ' ')) AS content_md5 FROM (SELECT *, unnest(range(CAST((len(w) + 255) // 256 AS BIGINT))) AS k FROM (SELECT file_name, regexp_extract_all(text, '{W}') AS w FROM docs))", "docs"),
     "c8_renumber_chunks": sql("SELECT file_name, w, row_number() OVER (PARTITION BY file_name ORDER BY w) AS number, 'chunk_' || CAST(row_number() OVER (ORDER BY file_name, w) AS VARCHAR) AS global_chunk_id FROM chunks", "chunks"),
     "c9_chunk_summary": sql(f"SELECT chunk_type, status, count(*) AS n, round(avg(len(regexp_extract_all(content, '{W}'))), 6) AS mean_words FROM chunks GROUP BY GROUPING SETS ((chunk_type), (status), ())", "chunks"),

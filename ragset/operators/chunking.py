@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,3 +103,48 @@ def image_refs(artifact: Column, file_name: Column, base: str = "base") -> Colum
 
 def has_image(path: Column, content: Column) -> Column:
     return ~is_missing(path) | content.rlike(IMAGE)
+
+
+def find_overlap(content: str, head: str, most: int = 200) -> int:
+    """Where, in head, the longest tail of content ends (most characters at most, then 50 less, again and again); 0 if none is there.
+
+    Without an exact hit, runs of white space count as one space.
+    """
+    for text, size in ((content, lambda s: s), (content, lambda s: " ".join(s.split()))):
+        flat, there = size(text), size(head)
+        for n in range(min(most, len(flat)), 50, -50):
+            at = there.find(flat[-n:])
+            if at >= 0:
+                end = at + n
+                if there is head or there == head:
+                    return end
+                seen = 0  # the same place with the white space that head has
+                for i, c in enumerate(head.lstrip()):
+                    if seen == end:
+                        return i + len(head) - len(head.lstrip())
+                    seen += not c.isspace() or (i > 0 and not head.lstrip()[i - 1].isspace())
+                return len(head)
+    return 0
+
+
+def stitch_windows(chunks: DataFrame, overlap: int = 100) -> DataFrame:
+    """(file_name, w, n_windows, content): each INCOMPLETE chunk carried into its file's next one, without their overlap.
+
+    A file is cut where a chunk is complete, so that only chained chunks meet in a task.
+    """
+    by = Window.partitionBy("file_name").orderBy("w")
+    first = F.coalesce(F.lag("status").over(by) != "INCOMPLETE", F.lit(True))
+    runs = chunks.withColumn("run", F.sum(first.cast("int")).over(by)).select("file_name", "run", "w", "content", "status")
+    alone = runs.groupBy("file_name", "run").agg(F.count("*").alias("n_windows"), F.min("w").alias("first_w"), F.min("content").alias("only"))
+
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("w")
+        text = ""
+        for i, part in enumerate(group["content"]):
+            end = find_overlap(text, part, 2 * overlap) if i else 0
+            text = part if not i else text + part[end:] if end else text + "\n\n" + part
+        return pd.DataFrame({"file_name": [group["file_name"].iloc[0]], "w": [group["w"].iloc[0]], "n_windows": [len(group)], "content": [text]})
+
+    chained = runs.join(alone.where("n_windows > 1").select("file_name", "run"), ["file_name", "run"])
+    single = alone.where("n_windows = 1").select("file_name", F.col("first_w").alias("w"), "n_windows", F.col("only").alias("content"))
+    return single.unionByName(chained.groupBy("file_name", "run").applyInPandas(join, "file_name string, w long, n_windows long, content string"))

@@ -102,3 +102,15 @@ def test_markdown():
     page = "<head><title>t</title></head><h2>A  b</h2><p>x <b>y</b></p><ul><li>one<li>two</ul><table><tr><td>1</td><td>2</td></tr></table><img src='i.png' alt='a'>"
     assert markdown_of(page) == "## A b\n\nx y\n\n- one\n\n- two\n\n| 1 | 2 |\n\n![a](i.png)"
     assert markdown_of(None) == ""
+
+
+def test_overlaps():
+    from ragset.operators.chunking import find_overlap
+
+    tail = "".join(chr(97 + i % 26) + str(i) for i in range(60))
+    assert find_overlap("start " + tail[:100], tail[:100] + " goes on", 200) == 100
+    assert find_overlap("nothing alike here, nothing at all to be seen anywhere near", "other", 200) == 0
+    a = "one two three four five six seven eight nine ten eleven twelve"
+    b = a.replace(" ", "  ") + " rest"
+    assert b[find_overlap(a, b, 60) :].strip() == "rest"
+    assert find_overlap("", "x") == 0
