@@ -236,7 +236,7 @@ def context_tables(docs: DataFrame, code: Code) -> list[np.ndarray]:
             for a, b in _batches(texts):
                 got = bits_of(sent.value, texts[a:b])
                 for k in range(CONTEXTS):
-                    np.add.at(total[k], got.slots[k] * np.uint32(2) + got.bits, 1)
+                    np.add.at(total[k], (got.slots[k] * np.uint32(2) + got.bits).astype(np.intp), np.int32(1))  # one type throughout, for numpy's fast path
         for k in range(CONTEXTS):
             rows = []
             for at in range(0, 2 * slots, CUT):
@@ -260,7 +260,7 @@ def context_tables(docs: DataFrame, code: Code) -> list[np.ndarray]:
 
     tables = np.zeros((CONTEXTS, slots), np.int16)
     flat = tables.reshape(-1)
-    counted = docs.select("text").mapInArrow(own, "cut int, at binary, n binary, big binary").repartition(CONTEXTS * 2 * slots // CUT, "cut")
+    counted = docs.select("text").mapInArrow(own, "cut int, at binary, n binary, big binary").repartition(64, "cut")
     for r in counted.mapInArrow(add, "cut int, v binary").collect():  # as many rows as the tables have stretches
         flat[r["cut"] * CUT // 2 : (r["cut"] + 1) * CUT // 2] = np.frombuffer(r["v"], np.int16)
     return list(tables)
