@@ -275,7 +275,7 @@ def test_quality(spark, none):
 
 def test_toxicity(spark, none):
     bad = ["blockhead", "nitwit", "blo.ckhead", "nit-wit", "blocckhead", "n i t w i t"]
-    docs, labels, truth = labelled(spark, lambda i: (prose(30) + " " + bad[i % 2] + " " + prose(5), 1) if i % 4 == 0 else (prose(35), 0))
+    docs, labels, truth = labelled(spark, lambda i: (prose(30) + " " + bad[i // 4 % 2] + " " + prose(5), 1) if i % 4 == 0 else (prose(35), 0))
     got = toxicity.toxicity_query(docs, labels).collect()
     assert len(got) == 403 and accuracy(got, truth) > 0.95
     hidden = spark.createDataFrame([(9000 + k, prose(10) + " " + b + " " + prose(3)) for k, b in enumerate(bad)], "doc_id long, text string")
