@@ -42,7 +42,9 @@ def _sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     bounds = np.searchsorted(starts, begin).tolist()
 
     def joined(x: np.ndarray, n: int) -> np.ndarray:
-        s = np.full(max(0, len(x) - n + 1), n, np.uint64)
+        if len(x) < n:
+            return x[:0]
+        s = np.full(len(x) - n + 1, n, np.uint64)
         for k in range(n):
             s = _mix(s * _C + x[k : len(x) - n + 1 + k])
         return s

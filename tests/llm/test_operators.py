@@ -173,6 +173,13 @@ def test_ngram_join(spark, odd, none):
     assert [len(h) for h in shingle_sets([None, "", "a b", "a b c d e", "A B c d E"], 4)] == [0, 0, 1, 2, 2]
 
 
+def test_runs_of_few_words():
+    for words in (4, 5):
+        for n in range(6):
+            for texts in ([prose(n)], [None] * 2 + [" ".join("abcde"[:n])] + [""]):
+                assert [len(s) for s in shingle_sets(texts, words)] == [min(1, len((t or "").split())) + max(0, len((t or "").split()) - words) for t in texts]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(50, 60), (61, 50), (60, 60)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
