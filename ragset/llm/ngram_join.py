@@ -2,8 +2,9 @@
 
 Documents of one shingle set are one representative; representatives of one prefix and size are one group. Groups meet
 where they share a shingle of their prefixes (rarest first, by a sketch of the shingles' frequencies), sizes and
-positions are tested, and the members' sets decide. What has been linked already needs no more tests: first, rounds
-of stars compare every group of a shingle with one hub; the last round compares all pairs that are left in different
+positions are tested, and the members' sets decide. Members of one group meet by the group itself, as other groups
+need not hold its prefix. What has been linked already needs no more tests: first, rounds of stars compare every group
+of a shingle, and every member of a group, with one hub; the last round compares all pairs that are left in different
 components, so that no link between components is missed.
 """
 
@@ -22,6 +23,8 @@ from ragset.llm.graph import components
 from ragset.llm.shingles import shingle_sets
 
 SLOTS, BLOCK, MOST_BITS = 1 << 20, 1 << 14, 30
+#: Rows of one shingle that meet in one task of the last round.
+TILE = 1024
 #: Documents up to which the ids to look up are sent to all executors (8 bytes each); beyond, they are joined.
 MAX_SENT = 2_000_000
 
@@ -155,8 +158,8 @@ def _possible(percent: int, n1: str, n2: str, p1: str, p2: str) -> Column:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """The rows of those shingles that more than one component holds."""
-    mixed = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
+    """The rows of those shingles that more than one component holds, with the number of the shingle's rows."""
+    mixed = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("held")).where("lo < hi").select("token", "held")
     return rows.join(mixed, "token")
 
 
@@ -171,9 +174,11 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     all_sets = staged(prefixes(docs, words, percent, frequency_sketch(docs, words)), "prefixes")
     named = all_sets.where("digest is not null and doc_id is not null")
-    first = staged(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("g").alias("g")), "first")
+    first = staged(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("g").alias("g"), F.max("n").cast("int").alias("n")), "first")
     groups = first.groupBy("g").agg(F.min("rep").alias("gid"))
-    members = staged(first.join(groups, "g").select("g", "gid", "rep"), "members")
+    members = staged(first.join(groups, "g").select("g", "gid", "rep", "n"), "members")
+    # members beside the hub, which is tested first; two sets of one size differ in a shingle each and link only if large enough
+    inner = members.where("gid <> rep").where((100 + percent) * (F.col("n") - 1) >= 2 * percent * F.col("n")).select(F.col("g").alias("token"), "rep", "n", F.lit(0).alias("pos"))
     total = named.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
     own = prefix_tokens(named, met_twice(named, total)).distinct()
     often = own.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("token")
@@ -184,7 +189,8 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
     for turn in range(stars):
         # a hub of each shingle: in turn the smallest group, then others by a hash; rows in the hub's component are done
         named_groups = members.select("g", "gid").distinct().join(label, F.col("gid") == F.col("node"), "left").select("g", "gid", F.coalesce("component", "gid").alias("component"))
-        rows = _mixed(tokens.join(named_groups, "g"))
+        named_inner = inner.join(label, F.col("rep") == F.col("node"), "left").select("token", F.col("rep").alias("gid"), "n", "pos", F.coalesce("component", "rep").alias("component"))
+        rows = _mixed(tokens.join(named_groups, "g").select("token", "gid", "n", "pos", "component").union(named_inner))
         rank = F.struct((F.xxhash64("gid", F.lit(turn)) if turn else F.col("gid")).alias("r"), "gid", "n", "pos", "component")
         hubs = rows.groupBy("token").agg(F.min(rank).alias("h")).select("token", F.col("h.gid").alias("a"), F.col("h.n").alias("na"), F.col("h.pos").alias("pa"), F.col("h.component").alias("ca"))
         pairs = rows.join(hubs, "token").where(F.col("component") != F.col("ca")).where(_possible(percent, "n", "na", "pos", "pa"))
@@ -195,12 +201,15 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
         tested = pairs if tested is None else tested.union(pairs)
         links = links.union(verified(pairs, docs, words, percent))
         label = staged(components(links), "label")
-    # the rest: all members of a shingle's groups that are in different components
+    # the rest: all members of a shingle's groups, and of one group, that are in different components, by pairs of tiles
     named_members = members.select("g", "rep").join(label, F.col("rep") == F.col("node"), "left").select("g", "rep", F.coalesce("component", "rep").alias("component"))
-    full = staged(_mixed(tokens.join(named_members, "g")), "mixed")
-    other = full.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
-    pairs = full.withColumnRenamed("rep", "a").join(other, "token").where(F.col("component") != F.col("cb")).where("a < b").where(_possible(percent, "n", "nb", "pos", "pb"))
-    pairs = pairs.select("a", "b").distinct()
+    all_rows = tokens.join(named_members, "g").select("token", "rep", "n", "pos", "component").union(inner.join(named_members.drop("g"), "rep").select("token", "rep", "n", "pos", "component"))
+    tiles = F.ceil(F.col("held") / TILE)
+    full = staged(_mixed(all_rows).withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles")), "mixed")
+    one = full.select("token", F.col("tile").alias("x"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("y"), F.col("rep").alias("a"), "n", "pos", "component")
+    other = full.select("token", F.explode(F.sequence(F.lit(0).cast("long"), "tile")).alias("x"), F.col("tile").alias("y"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
+    pairs = one.join(other, ["token", "x", "y"]).where(F.col("component") != F.col("cb")).where("x < y or a < b").where(_possible(percent, "n", "nb", "pos", "pb"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
         links = links.union(verified(pairs, docs, words, percent))

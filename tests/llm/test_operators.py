@@ -173,6 +173,27 @@ def test_ngram_join(spark, odd, none):
     assert [len(h) for h in shingle_sets([None, "", "a b", "a b c d e", "A B c d E"], 4)] == [0, 0, 1, 2, 2]
 
 
+def test_ngram_join_within_a_group(spark, monkeypatch):
+    # sets of one prefix that no other group holds: the hub differs from two that link, with and without rounds of stars
+    order = lambda words, t: sorted(shingle_sets([t], words).__next__().tolist())
+    table, k = [], 0
+    while len(table) < 24:
+        k += 1
+        h = [f"u{k}x{j}" for j in range(16)]
+        texts = [" ".join(w) for w in (h, [*h[:14], "p", "q"], [*h[:14], "p", "r"])]
+        firsts = {tuple(order(4, t)[:2]) for t in texts}
+        if len(firsts) == 1:
+            table += [(3 * k + j, t) for j, t in enumerate(texts)]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "frequency_sketch", lambda docs, words: np.zeros(ngram_join.SLOTS, np.uint8))
+    want = brute_components(table, 4, 85)
+    assert len({c for _, c in want.values()}) == 16
+    for stars, tile in ((3, 1024), (0, 1)):
+        monkeypatch.setattr(ngram_join, "TILE", tile, raising=False)
+        got = ngram_join.ngram_join(df, 4, 85, stars).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_runs_of_few_words():
     for words in (4, 5):
         for n in range(6):
