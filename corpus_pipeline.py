@@ -19,28 +19,47 @@ from ragset.llm.toxicity import toxicity_query
 ORACLE_SQL = None
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in gone (null counts as an id); gone goes to all executors only if it is small."""
-    gone = staged(gone.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    side = F.broadcast(gone) if gone.count() <= MAX_SENT else gone
-    return docs.join(side, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+KEY = ("key_a", "key_b")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with KEY, 128 bits of doc_id and text: rows of one key are equal in both. Nulls have keys as well."""
+    return docs.withColumns({k: F.xxhash64(F.lit(i), "doc_id", "text") for i, k in enumerate(KEY)})
+
+
+def without(docs: DataFrame, gone: DataFrame, *by: str) -> DataFrame:
+    """docs without the rows whose columns by are in gone (null is in none); gone goes to all executors only if it is small."""
+    gone = staged(gone.select(*by).distinct(), "gone")
+    return docs.join(F.broadcast(gone) if gone.count() <= MAX_SENT else gone, list(by), "left_anti").select(docs.columns)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality classifier does not reject; all rows of a rejected doc_id go."""
-    return without(docs, quality_query(docs, table(spark, sf_dir, "labels")).where("predicted = 0"))
+    """Rows that the quality classifier does not reject; other rows of a rejected row's doc_id, or without one, stay."""
+    rows = keyed(docs)
+    return without(rows, quality_query(rows, table(spark, sf_dir, "labels"), KEY).where("predicted = 0"), *KEY).drop(*KEY)
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the toxicity classifier does not reject; all rows of a rejected doc_id go."""
-    return without(docs, toxicity_query(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    """Rows that the toxicity classifier does not reject; other rows of a rejected row's doc_id, or without one, stay."""
+    rows = keyed(docs)
+    return without(rows, toxicity_query(rows, table(spark, sf_dir, "labels"), KEY).where("predicted = 1"), *KEY).drop(*KEY)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each group of near copies, once; rows without a doc_id stay."""
-    kept = without(docs, ngram_join(docs, words=5, percent=80).where("component_id <> doc_id"))
-    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"])) if again else kept
+    """The document of the smallest doc_id of each group of near copies, once; rows without a doc_id stay.
+
+    Rows of one doc_id are documents of their own: one goes only as a near copy, or if it is another's equal in text.
+    """
+    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return without(docs, ngram_join(docs, words=5, percent=80).where("component_id <> doc_id"), "doc_id")
+    rows = staged(docs.withColumn("row_id", F.monotonically_increasing_id()), "rows")
+    named = rows.where("doc_id is not null")
+    linked = ngram_join(named.select(F.col("row_id").alias("doc_id"), "text"), words=5, percent=80)
+    ids = keyed(named).select("row_id", F.col("doc_id").cast("long").alias("doc_id"), *KEY)
+    ids = staged(ids.join(linked.select(F.col("doc_id").alias("row_id"), "component_id"), "row_id"), "ids")
+    first = F.min(F.struct("doc_id", "row_id"))["row_id"].alias("first")
+    copies = [ids.join(ids.groupBy(*by).agg(first), list(by)).where("row_id <> first").select("row_id") for by in (["component_id"], KEY)]
+    return without(rows, copies[0].union(copies[1]), "row_id").drop("row_id")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

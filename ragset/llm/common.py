@@ -39,6 +39,12 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def carried(df: DataFrame, keep: tuple[str, ...]) -> str:
+    """The columns keep of df as the end of a schema string."""
+    kinds = dict(df.dtypes)
+    return "".join(f", {c} {kinds[c]}" for c in keep)
+
+
 def fold(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo; a null key counts as the text ''."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ragset.llm.common import fold, staged
+from ragset.llm.common import carried, fold, staged
 from ragset.llm.fitting import calibrated, examples, isotonic, partition_sum
 
 STATS = 24
@@ -52,29 +52,29 @@ def statistics(text: bytes) -> np.ndarray:
     return out
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and stats array<double> of every document; a null text counts as empty."""
+def with_statistics(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns keep and stats array<double> of every document; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stats = [statistics(t or b"") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(stats, pa.list_(pa.float64()))], ["doc_id", "stats"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *keep)), pa.array(stats, pa.list_(pa.float64()))], ["doc_id", *keep, "stats"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, stats array<double>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id long{carried(docs, keep)}, stats array<double>")
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return np.array(batch.column("stats").flatten()).reshape(-1, STATS)
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192, width: float = 4.0, ridge: float = 1e-3, seed: int = 8, default: float = 1.0) -> DataFrame:
-    """doc_id and score in 0..1 of every row of docs, learned from the labelled rows for which the column learn holds.
+def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192, width: float = 4.0, ridge: float = 1e-3, seed: int = 8, default: float = 1.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns keep and score in 0..1 of every row of docs, learned from the labelled rows for which the column learn holds.
 
     All labelled rows of that fold count; repeated rows count each. A row without text is scored as empty. Where the
-    fold has no label the score is default. Columns beside doc_id and text play no part. An empty table gives no rows.
+    fold has no label the score is default. Other columns play no part. An empty table gives no rows.
     """
-    stats = staged(with_statistics(docs), "stats")
-    train = staged(examples(stats, labels, "quality", learn), "train")
+    stats = staged(with_statistics(docs, keep), "stats")
+    train = staged(examples(stats.drop(*keep), labels, "quality", learn), "train")
     moments = partition_sum(train, lambda b: np.concatenate([[b.num_rows], (m := _matrix(b)).sum(0), (m * m).sum(0)]), 1 + 2 * STATS)
     n = max(1.0, moments[0])
     mean = moments[1 : 1 + STATS] / n
@@ -100,14 +100,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [c for c in batch.schema.names if c != "stats"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(phi(batch) @ beta)], [*keep, "raw"])
+            others = [c for c in batch.schema.names if c != "stats"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(phi(batch) @ beta)], [*others, "raw"])
 
     knots = isotonic(train.mapInArrow(raw, "doc_id long, label int, raw double"), -0.5, 1.5) if moments[0] else ([], [])
-    return calibrated(stats.mapInArrow(raw, "doc_id long, raw double"), knots, default).select("doc_id", "score")
+    return calibrated(stats.mapInArrow(raw, f"doc_id long{carried(stats, keep)}, raw double"), knots, default).select("doc_id", *keep, "score")
 
 
-def quality_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality_query(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     learn = fold("doc_id", 4) != 2
-    out = score_quality(docs, labels, learn)
-    return out.select("doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    out = score_quality(docs, labels, learn, keep=keep)
+    return out.select("doc_id", *keep, (~learn).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ragset.llm.common import fold, staged
+from ragset.llm.common import carried, fold, staged
 from ragset.llm.fitting import calibrated, examples, isotonic
 
 SPAN, DECAY, SYMBOLS, MAX_WORDS = 6, 0.5, 64, 400_000
@@ -201,19 +201,19 @@ def fit(counts: DataFrame, toxic_docs: int, clean_docs: int, landmarks: int, sam
         negative |= {r["word"]: r["clean"] for r in worst}
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 192, sample: int = 8000, default: float = 0.0) -> DataFrame:
-    """doc_id and score in 0..1 of every row of docs, learned from the labelled rows for which the column learn holds.
+def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 192, sample: int = 8000, default: float = 0.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns keep and score in 0..1 of every row of docs, learned from the labelled rows for which the column learn holds.
 
     Every labelled row of that fold counts in the words' statistics; sample bounds the words that become the machine's
     examples. An empty or null text has no words and the lowest score. Where the fold has no label 1 the score is
-    default. Columns beside doc_id and text play no part. An empty table gives no rows.
+    default. Other columns play no part. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    train = examples(texts, labels, "toxic", learn)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, "text")
+    train = examples(texts.select("doc_id", "text"), labels, "toxic", learn)
     n = {r["label"]: r["n"] for r in examples(texts.select("doc_id"), labels, "toxic", learn).groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not n.get(1):
-        return texts.select("doc_id", F.lit(float(default)).alias("score"))
+        return texts.select("doc_id", *keep, F.lit(float(default)).alias("score"))
     model = spark.sparkContext.broadcast(fit(word_counts(train), n[1], n.get(0, 0), landmarks, sample))
     low = -4.0
 
@@ -230,14 +230,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 1
             if len(known) > MAX_WORDS:
                 for w in new:
                     del known[w]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(worst, pa.float64())], ["doc_id", "raw"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *keep)), pa.array(worst, pa.float64())], ["doc_id", *keep, "raw"])
 
-    scored = staged(texts.mapInArrow(raw, "doc_id long, raw double"), "toxicity")
+    scored = staged(texts.mapInArrow(raw, f"doc_id long{carried(texts, keep)}, raw double"), "toxicity")
     knots = isotonic(examples(scored, labels, "toxic", learn), low, -low)
-    return calibrated(scored, knots, default).select("doc_id", "score")
+    return calibrated(scored, knots, default).select("doc_id", *keep, "score")
 
 
-def toxicity_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity_query(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     learn = fold("doc_id", 3) != 1
-    out = score_toxicity(docs, labels, learn)
-    return out.select("doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    out = score_toxicity(docs, labels, learn, keep=keep)
+    return out.select("doc_id", *keep, (~learn).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -22,3 +22,21 @@ def test_odd_documents(spark):
     assert sorted((r.doc_id is not None, r.doc_id or 0) for r in out.collect()) == [(False, 0), (True, 1), (True, 2), (True, 3)]
     for _, stage in P.STAGES:
         assert stage(spark, docs.limit(0), DATA).count() == 0
+
+
+def test_a_rejected_row_takes_no_other_with_it(spark, tmp_path):
+    """Rows of a rejected row's doc_id, or without one as it, stay if their own text is not rejected."""
+    bad, clean = "go away you zorkfex", "we sat by the river for a while"
+    rows = [(i, bad if i % 5 == 0 else clean) for i in range(200)]
+    spark.createDataFrame([(i, int(t == clean), int(t == bad)) for i, t in rows], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    odd = [(None, bad), (None, clean), (900_001, bad), (900_001, clean)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string")
+    for _, stage in P.STAGES[:2]:
+        got = stage(spark, docs, str(tmp_path)).where("doc_id is null or doc_id = 900001").collect()
+        assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, clean), (900_001, clean)]
+
+
+def test_texts_of_one_doc_id_stay_unless_they_are_near_copies(spark):
+    rows = [(7, "a b c d e f"), (7, "p q r s t u"), (7, "p q r s t u"), (8, "P q r s t u"), (5, "k l m n o p"), (9, "short"), (9, "other"), (9, "other"), (None, "a b c d e f")]
+    got = P.distinct_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "a b c d e f"), (5, "k l m n o p"), (7, "a b c d e f"), (7, "p q r s t u"), (9, "other"), (9, "short")]
