@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ragset.operators import metrics as E
 from ragset.operators import replies as P
 from ragset.operators import seams
-from ragset.sources.tables import claims, docs, lineage, qa, read, sql, vectors
+from ragset.sources.tables import chunks, claims, docs, lineage, qa, read, sql, vectors
 
 
 def v1_to_eval_rows(s, d):
@@ -169,9 +169,9 @@ def p9_qa_category_stats(s, d):
 
 
 def e1_embed_chunks(s, d):
-    """Vectors of benchmark items by the default encoder."""
-    e = seams.embed(read(s, d, "benchmark"), "text")
-    return e.select("item_id", F.size("v").alias("dim"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm"))
+    """Vectors of all chunks of documents by the default encoder."""
+    e = seams.embed(chunks(s, d).select("file_name", "chunk_id", "content"), "content")
+    return e.select("file_name", "chunk_id", F.size("v").alias("dim"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm"))
 
 
 def u3_scorer(s, d):

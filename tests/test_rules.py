@@ -114,3 +114,13 @@ def test_overlaps():
     b = a.replace(" ", "  ") + " rest"
     assert b[find_overlap(a, b, 60) :].strip() == "rest"
     assert find_overlap("", "x") == 0
+
+
+def test_every_chunk_is_embedded(spark):
+    from ragset.jobs.metrics import e1_embed_chunks
+    from ragset.sources.tables import chunks
+
+    data = "/root/testdata/sf0.001"
+    got = e1_embed_chunks(spark, data).collect()
+    assert sorted((r.file_name, r.chunk_id) for r in got) == sorted(tuple(r) for r in chunks(spark, data).select("file_name", "chunk_id").collect())
+    assert {r.norm for r in got} <= {0.0, 1.0} and len({r.dim for r in got}) == 1
