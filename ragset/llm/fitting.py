@@ -9,11 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ragset.llm.common import attempt
+from ragset.llm.common import attempt, staged
 
 SLOTS, BINS = 64, 2048
-#: Labels up to which they are sent to all executors (12 bytes each).
-MAX_SENT = 2_000_000
 
 
 def partition_sum(df: DataFrame, vector: Callable[[pa.RecordBatch], np.ndarray], width: int) -> np.ndarray:
@@ -38,9 +36,9 @@ def partition_sum(df: DataFrame, vector: Callable[[pa.RecordBatch], np.ndarray],
 
 
 def isotonic(scored: DataFrame, low: float, high: float) -> tuple[list[float], list[float]]:
-    """Pool-adjacent-violators over (raw, label) rows, counted in BINS bins of raw: knots x and rising y for np.interp."""
+    """Pool-adjacent-violators over (raw, label, weight) rows, added up in BINS bins of raw: knots x and rising y for np.interp."""
     at = F.floor((F.least(F.greatest(F.col("raw"), F.lit(low)), F.lit(high)) - low) / (high - low) * (BINS - 1)).cast("int")
-    rows = scored.groupBy(at.alias("bin")).agg(F.sum("label").cast("double").alias("pos"), F.count("*").alias("n")).orderBy("bin").collect()
+    rows = scored.groupBy(at.alias("bin")).agg(F.sum(F.col("label") * F.col("weight")).alias("pos"), F.sum("weight").alias("n")).orderBy("bin").collect()
     blocks: list[list[float]] = []  # positives, rows, first bin, last bin
     for r in rows:
         blocks.append([r["pos"], r["n"], r["bin"], r["bin"]])
@@ -70,9 +68,17 @@ def calibrated(raw: DataFrame, knots: tuple[list[float], list[float]], default:
     return raw.mapInArrow(score, ", ".join(f"{n} {t}" for n, t in raw.dtypes) + ", score double")
 
 
-def examples(rows: DataFrame, labels: DataFrame, label: str, learn) -> DataFrame:
-    """rows of the learning fold with their label 0 or 1; labels that are null or neither are left out."""
-    known = labels.where(learn).select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
-    # texts stay where they are as long as the labels are few; more labels are joined
-    side = F.broadcast(known) if known.count() <= MAX_SENT else known
-    return rows.where(learn).join(side, "doc_id")
+def labelled_sample(labels: DataFrame, label: str, learn, most: dict[int, int]) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, label, weight, order) of labelled rows of the learning fold, and the fold's rows a label.
+
+    Of each label about most[label] rows are taken, all if there are fewer: those whose hash of doc_id is low. weight is
+    the number of rows that one stands for; order numbers a label's rows, roughly, by their hash. The rows are as many
+    at any size of the labels; labels that are null or neither 0 nor 1, and null doc_ids, are left out.
+    """
+    known = labels.where(learn).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and doc_id is not null")
+    n = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
+    pick = lambda f: F.coalesce(*(F.when(F.col("label") == k, F.lit(float(f(k)))) for k in most))
+    rate = pick(lambda k: min(1.0, most[k] / max(1, n.get(k, 0))))
+    taken = known.where(part < rate).select("doc_id", "label", (1 / rate).alias("weight"), (part * pick(lambda k: n.get(k, 0))).alias("order"))
+    return staged(taken, "labels"), n

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ragset.llm.common import carried, fold, staged
-from ragset.llm.fitting import calibrated, examples, isotonic, partition_sum
+from ragset.llm.fitting import calibrated, isotonic, labelled_sample, partition_sum
 
 STATS = 24
 _SETS = [
@@ -67,15 +67,18 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return np.array(batch.column("stats").flatten()).reshape(-1, STATS)
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192, width: float = 4.0, ridge: float = 1e-3, seed: int = 8, default: float = 1.0, keep: tuple[str, ...] = ()) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192, width: float = 4.0, ridge: float = 1e-3, seed: int = 8, default: float = 1.0, sample: int = 50_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns keep and score in 0..1 of every row of docs, learned from the labelled rows for which the column learn holds.
 
-    All labelled rows of that fold count; repeated rows count each. A row without text is scored as empty. Where the
+    The labelled rows to learn from are bounded: about sample a label, picked by a hash of their doc_id and weighted by
+    the rows that they stand for; fewer count all, repeated rows each. A row without text is scored as empty. Where the
     fold has no label the score is default. Other columns play no part. An empty table gives no rows.
     """
     stats = staged(with_statistics(docs, keep), "stats")
-    train = staged(examples(stats.drop(*keep), labels, "quality", learn), "train")
-    moments = partition_sum(train, lambda b: np.concatenate([[b.num_rows], (m := _matrix(b)).sum(0), (m * m).sum(0)]), 1 + 2 * STATS)
+    known, _ = labelled_sample(labels, "quality", learn, {0: sample, 1: sample})
+    train = staged(stats.select("doc_id", "stats").join(F.broadcast(known), "doc_id").select("label", "weight", "stats"), "train")
+    weight = lambda b: np.array(b.column("weight"))
+    moments = partition_sum(train, lambda b: np.concatenate([[weight(b).sum()], weight(b) @ (m := _matrix(b)), weight(b) @ (m * m)]), 1 + 2 * STATS)
     n = max(1.0, moments[0])
     mean = moments[1 : 1 + STATS] / n
     scale = np.sqrt(np.maximum(moments[1 + STATS :] / n - mean**2, 1e-8)) + 1e-3
@@ -90,7 +93,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192
 
     def normal(batch: pa.RecordBatch) -> np.ndarray:
         f, y = phi(batch), np.array(batch.column("label"), float)
-        return np.concatenate([(f.T @ f).ravel(), f.T @ y])
+        return np.concatenate([((f * weight(batch)[:, None]).T @ f).ravel(), f.T @ (weight(batch) * y)])
 
     sums = partition_sum(train, normal, size * size + size)
     gram, rhs = sums[: size * size].reshape(size, size), sums[size * size :]
@@ -103,7 +106,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192
             others = [c for c in batch.schema.names if c != "stats"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(phi(batch) @ beta)], [*others, "raw"])
 
-    knots = isotonic(train.mapInArrow(raw, "doc_id long, label int, raw double"), -0.5, 1.5) if moments[0] else ([], [])
+    knots = isotonic(train.mapInArrow(raw, "label int, weight double, raw double"), -0.5, 1.5) if moments[0] else ([], [])
     return calibrated(stats.mapInArrow(raw, f"doc_id long{carried(stats, keep)}, raw double"), knots, default).select("doc_id", *keep, "score")
 
 

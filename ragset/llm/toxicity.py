@@ -1,18 +1,20 @@
-"""Toxicity: a support vector machine over a gap-weighted subsequence kernel of words, with Nyström landmarks.
-
-The kernel compares two words by their common subsequences of three letters (word ends count as letters), each
-occurrence weighted by DECAY to the number of letters that it skips, SPAN letters at most. So an insult with letters
-left out, doubled or put in between stays close to itself. The kernel has a finite feature map, one entry for each
-letter triple, and so a trained machine over Nyström features is one weight a triple: that is what workers get.
-Training sentences are those of the labelled documents of the learning fold; their words, counted by label, are the
-machine's weighted examples. A document's raw score is its worst word's; calibration turns it into a share.
+"""Toxicity: a support vector machine over a subsequence string kernel of sentences, with Nyström landmarks.
+
+Two words are compared by their common subsequences of three letters (word ends count as letters), each occurrence
+weighted by DECAY to the number of letters that it skips, SPAN letters at most; the scaled kernel is raised to POWER.
+So an insult with letters left out, doubled or put in between stays close to itself, and chance likenesses vanish. Two
+sentences are compared by the sum over their pairs of words. Landmarks are one-word sentences of the training texts;
+a sentence's Nyström features are its kernels with the landmarks. Training sentences carry their document's label:
+of a toxic document, at first all its sentences weigh on the machine together, then those that the machine finds toxic
+(one at least), as in multiple-instance learning. A document scores as its worst sentence; calibration by an isotonic
+fit turns that into a share.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,31 +22,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ragset.llm.common import carried, fold, staged
-from ragset.llm.fitting import calibrated, examples, isotonic
-
-SPAN, DECAY, SYMBOLS, MAX_WORDS = 6, 0.5, 64, 400_000
-#: A word bears witness against the documents that hold it where its log-odds, less two standard errors, exceed this.
-WITNESS = 1.6
+from ragset.llm.fitting import calibrated, isotonic, labelled_sample
+from ragset.llm.tokens import slices
+
+SPAN, DECAY, POWER, SYMBOLS = 6, 0.5, 3, 64
+#: Words of a sentence at most; longer ones are cut. Words whose values a worker remembers. Rows handled together.
+LONGEST_SENTENCE, MAX_WORDS, ROWS = 32, 400_000, 256
+#: Values of the kernel with a landmark below NEGLIGIBLE count as none when scoring, and so do words worth less than LEAST.
+NEGLIGIBLE, LEAST = 0.01, 0.3
+#: Sentences of a clean document that are taken as mistakes at most.
+WORST = 4
 _GAPS = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
-#: Digits and signs that stand for letters.
-LOOKALIKE = str.maketrans("013457@$", "oieastas")
-_DROP = re.compile(r"[\W_]+")
-_SPELLED = re.compile(r"(?<!\S)(?:\w[\W_]*\s+){3,}\w(?!\w)")
-LONGEST = 48
-
-
-def units(text: str) -> set[str]:
-    """The distinct words to compare: lower case, look-alikes read as letters, signs dropped, spelled-out letters joined, and the windows of overlong words."""
-    low = text.lower()
-    out = {_DROP.sub("", w.translate(LOOKALIKE)) for w in set(low.split())}
-    out.update(_DROP.sub("", m.translate(LOOKALIKE)) for m in _SPELLED.findall(low))
-    out.discard("")
-    for w in [w for w in out if len(w) > LONGEST]:
-        out.remove(w)
-        out.update(w[i : i + LONGEST] for i in range(0, len(w), LONGEST // 2))
+#: Digits and signs that stand for letters; other signs are dropped.
+_ALIKE, _SIGNS = bytes.maketrans(b"013457@$", b"oieastas"), bytes(b for b in range(33, 127) if not chr(b).isalnum() and b not in b"@$")
+_DROP, _ENDS = re.compile(r"[\W_]+"), re.compile(r"[.!?]\s|\n")
+LONGEST_WORD = 48
+
+
+def tokens_of(text: str) -> list[str]:
+    """Lower-case words, look-alikes read as letters, ASCII signs dropped."""
+    return text.lower().encode().translate(_ALIKE, _SIGNS).decode().split()
+
+
+def joined_letters(tokens: list[str]) -> list[str]:
+    """Runs of three or more single letters, joined."""
+    out: list[str] = []
+    if list(map(len, tokens)).count(1) > 2:
+        run = ""
+        for t in [*tokens, ""]:
+            if len(t) == 1:
+                run += t
+            else:
+                if len(run) > 2:
+                    out.append(run)
+                run = ""
     return out
 
 
+def units(token: str) -> list[str]:
+    """The letters of a token; overlapping windows of an overlong one."""
+    w = token if token.isalnum() else _DROP.sub("", token)
+    if len(w) <= LONGEST_WORD:
+        return [w] if w else []
+    return sorted({w[i : i + LONGEST_WORD] for i in range(0, len(w), LONGEST_WORD // 2)})
+
+
+def sentences(text: str | None) -> Iterator[set[str]]:
+    """The distinct tokens of each sentence, letters that stand alone in a run joined as well."""
+    for part in _ENDS.split(text or ""):
+        tokens = tokens_of(part)
+        for at in range(0, len(tokens), LONGEST_SENTENCE):
+            own = tokens[at : at + LONGEST_SENTENCE]
+            yield {*own, *joined_letters(own)}
+
+
 def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All words' symbols in a row, each word with its end marks; where each begins."""
     joined = "\x00".join(words)
@@ -58,8 +89,8 @@ def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code[index], start
 
 
-def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number, triple, weight) of every subsequence, weights scaled so that all words weigh alike."""
+def occurrences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word number, triple, weight) of every occurrence of a subsequence."""
     code, start = _letters(words)
     length = np.diff(np.append(start, len(code)))
     word = np.repeat(np.arange(len(words)), length)
@@ -67,42 +98,84 @@ def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for a, b, weight in _GAPS:
         if len(code) <= b:
             continue
-        same = word[:-b] == word[b:]
-        at = np.flatnonzero(same)
+        at = np.flatnonzero(word[:-b] == word[b:])
         rows.append(word[at])
         keys.append((code[at] * SYMBOLS + code[at + a]) * SYMBOLS + code[at + b])
         vals.append(np.full(len(at), weight))
-    row, key, val = (np.concatenate(x) if x else np.zeros(0, int) for x in (rows, keys, vals))
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, keys, vals))
+
+
+def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word number, triple, weight), the occurrences summed a triple; a word's weights have the norm one."""
+    row, key, val = occurrences(words)
+    both, at = np.unique(row * SYMBOLS**3 + key, return_inverse=True)
+    val = np.bincount(at, val, len(both))
+    row, key = both // SYMBOLS**3, both % SYMBOLS**3
     norm = np.sqrt(np.bincount(row, np.square(val), len(words)))
     return row, key, val / np.maximum(norm, 1e-9)[row]
 
 
 class Landmarks:
-    """The triples of some words as a matrix, a row a triple that occurs."""
+    """The triples of some words, by triple: which words hold it and with what weight."""
 
     def __init__(self, words: list[str]):
+        self.words = words
         row, key, val = triples(words)
-        self.keys, col = np.unique(key, return_inverse=True)
-        self.matrix = np.zeros((len(self.keys) + 1, len(words)), np.float32)
-        np.add.at(self.matrix, (col, row), val)
+        order = np.argsort(key, kind="stable")
+        self.row, self.val = row[order], val[order]
+        self.first = np.searchsorted(key[order], np.arange(SYMBOLS**3 + 1)).astype(np.int32)
 
     def kernel(self, words: list[str]) -> np.ndarray:
         """The kernel of each word with each landmark."""
-        out = np.zeros((len(words), self.matrix.shape[1]))
-        for at in range(0, len(words), 300):
-            row, key, val = triples(words[at : at + 300])
-            col = np.searchsorted(self.keys, key)
-            col[self.keys[np.minimum(col, len(self.keys) - 1)] != key] = len(self.keys)
-            order = np.argsort(row, kind="stable")
-            row, first = np.unique(row[order], return_index=True)
-            if len(row):
-                out[at + row] = np.add.reduceat(self.matrix[col[order]] * val[order, None].astype(np.float32), first)
+        out = np.zeros((len(words), len(self.words)), np.float32)
+        for a, b in slices(len(words), 400):
+            row, key, val = triples(words[a:b])
+            count = self.first[key + 1] - self.first[key]
+            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - self.first[key], count)
+            cell = np.repeat(row, count) * len(self.words) + self.row[at]
+            same = np.bincount(cell, np.repeat(val, count) * self.val[at], (b - a) * len(self.words)).reshape(b - a, -1)
+            np.power(same, POWER, out=same)
+            same[same < NEGLIGIBLE] = 0
+            out[a:b] = same
+        return out
+
+    def tokens(self, tokens: list[str]) -> np.ndarray:
+        """The kernel of each token with each landmark, the sum of its units'."""
+        parts = [units(t) for t in tokens]
+        known = sorted(set().union(*parts))
+        of = {w: i for i, w in enumerate(known)}
+        rows = self.kernel(known)
+        out = np.zeros((len(tokens), len(self.words)), np.float32)
+        for i, p in enumerate(parts):
+            for w in p:
+                out[i] += rows[of[w]]
         return out
 
 
-def decision(words: list[str], weight: np.ndarray, bias: float) -> np.ndarray:
-    row, key, val = triples(words)
-    return np.bincount(row, weight[key] * val, len(words)) + bias
+class Machine:
+    """Landmarks with weights and a bias. Words are worth sum(weight * kernel)."""
+
+    def __init__(self, marks: Landmarks, weight: np.ndarray, bias: float):
+        self.marks, self.weight, self.bias = marks, weight.astype(np.float32), float(bias)
+        # no word is worth more than most^2 * slope, summed over its triples: a kernel with a landmark is at most `most`
+        good = self.weight[marks.row] > 0
+        key = np.repeat(np.arange(SYMBOLS**3), np.diff(marks.first))[good]
+        self.most, self.slope = np.zeros(SYMBOLS**3, np.float32), np.zeros(SYMBOLS**3, np.float32)
+        np.maximum.at(self.most, key, marks.val[good])
+        np.add.at(self.slope, key, marks.val[good] * self.weight[marks.row][good])
+
+    def worth(self, words: list[str]) -> dict[str, float]:
+        """The words worth LEAST or more."""
+        out = {}
+        for a, b in slices(len(words), 1000):
+            part = words[a:b]
+            row, key, val = occurrences(part)
+            norm = np.maximum(1e-9, np.sqrt(np.bincount(row, np.square(val), len(part))))
+            bound = (np.bincount(row, val * self.most[key], len(part)) / norm) ** (POWER - 1) * np.bincount(row, val * self.slope[key], len(part)) / norm
+            near = [part[i] for i in np.flatnonzero(bound >= LEAST * 0.999)]
+            if near:
+                out.update((w, v) for w, v in zip(near, (self.marks.kernel(near) @ self.weight).tolist()) if v >= LEAST)
+        return out
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -113,14 +186,15 @@ def word_counts(train: DataFrame) -> DataFrame:
 
         def flush():
             words = list(seen[0].keys() | seen[1].keys())
-            out = pa.RecordBatch.from_pydict({"word": words, "toxic": pa.array([seen[1][w] for w in words], pa.int64()), "clean": pa.array([seen[0][w] for w in words], pa.int64())})
+            out = pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "toxic": pa.array([seen[1][w] for w in words], pa.int64()), "clean": pa.array([seen[0][w] for w in words], pa.int64())})
             seen[0].clear()
             seen[1].clear()
             return out
 
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                seen[label].update(units(text or ""))
+            for text, label in zip(batch.column("text"), batch.column("label").to_pylist()):
+                tokens = tokens_of(text.as_py() or "")
+                seen[label].update({w for t in {*tokens, *joined_letters(tokens)} for w in units(t)})
                 if len(seen[0]) + len(seen[1]) > MAX_WORDS:
                     yield flush()
         yield flush()
@@ -128,113 +202,183 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.mapInArrow(count, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _landmarks(pool: list[str], chosen: list[str], most: int, near: float) -> list[str]:
+def spread(pool: Iterable[str], chosen: list[str], most: int, near: float) -> list[str]:
     """chosen with the first words of pool that are not near one that is there already, up to most in all."""
-    words = [*chosen, *(w for w in pool[: 4 * most] if w not in set(chosen))]
-    gram = Landmarks(words).kernel(words)
+    fresh = [w for w in pool if w not in set(chosen)]
+    words = [*chosen, *fresh]
+    gram = Landmarks(words).kernel(words) if words else np.zeros((0, 0))
     taken = list(range(len(chosen)))
     for i in range(len(chosen), len(words)):
         if len(taken) >= most:
             break
-        if not taken or gram[i, taken].max() < near * max(1e-9, gram[i, i]):
+        if not taken or gram[i, taken].max() < near:
             taken.append(i)
     return [words[i] for i in taken]
 
 
-def _machine(chosen: list[str], words: list[str], weights: np.ndarray, y: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
-    """The linear machine over Nyström features, as triple weights and bias: Newton steps of the squared hinge."""
-    marks = Landmarks(chosen)
-    lam, u = np.linalg.eigh(marks.kernel(chosen))
-    ok = lam > 1e-6 * lam.max()
-    root = u[:, ok] / np.sqrt(lam[ok])
-    x = [marks.kernel(words) @ root]
-    x = np.concatenate([np.concatenate(x), np.ones((len(words), 1))], axis=1)
-    beta, reg = np.zeros(x.shape[1]), np.eye(x.shape[1]) * weights.sum() / len(words) / cost
+def choose_landmarks(counts: DataFrame, toxic_docs: int, clean_docs: int, most: int) -> list[str]:
+    """Words spread over those whose label shares differ most: two thirds leaning to toxic texts, the rest to clean ones."""
+    odds = F.log((F.col("toxic") + 0.5) / (toxic_docs + 1.0)) - F.log((F.col("clean") + 0.5) / (clean_docs + 1.0))
+    rated = staged(counts.where("toxic + clean > 1").withColumn("to_toxic", F.col("toxic") * odds).withColumn("to_clean", -F.col("clean") * odds), "words")
+    top = lambda by: [r["word"] for r in rated.where(F.col(by) > 0).orderBy(F.desc(by), "word").select("word").limit(6 * most).collect()]
+    return spread(top("to_clean"), spread(top("to_toxic"), [], most * 2 // 3, 0.75), most, 0.3)
+
+
+def sentence_features(train: DataFrame, marks: Landmarks, model: Machine | None = None, bar: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document number, label, Nyström features and a one) of training sentences: all, or those that a model takes for more toxic than bar."""
+    sent = train.sparkSession.sparkContext.broadcast((marks, model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, model = sent.value
+        score = Scorer(model) if model else None
+        for batch in batches:
+            for a, b in slices(batch.num_rows, 64):
+                part = batch.slice(a, b - a)
+                texts = part.column("text").to_pylist()
+                docs = [score.toxic_sentences(t, bar) for t in texts] if score else [list(sentences(t)) for t in texts]
+                tokens = sorted({t for d in docs for s in d for t in s})
+                at = {t: i for i, t in enumerate(tokens)}
+                value = marks.tokens(tokens)
+                rows = []
+                for n, label, doc in zip(part.column("n").to_pylist(), part.column("label").to_pylist(), docs):
+                    for s in doc:
+                        z = value[[at[t] for t in s]].sum(axis=0) if s else np.zeros(value.shape[1], np.float32)
+                        full = np.flatnonzero(z)
+                        rows.append((n, label, full.astype("<u2").tobytes(), z[full].astype("<f4").tobytes()))
+                cols = list(zip(*rows)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int32(), pa.binary(), pa.binary()])], ["n", "label", "at", "z"])
+
+    rows = train.mapInArrow(run, "n long, label int, at binary, z binary").toArrow()
+    x = np.zeros((rows.num_rows, len(marks.words) + 1), np.float32)
+    x[:, -1] = 1
+    for i, (at, z) in enumerate(zip(rows.column("at"), rows.column("z"))):
+        x[i, np.frombuffer(at.as_buffer(), "<u2")] = np.frombuffer(z.as_buffer(), "<f4")
+    return rows.column("n").to_numpy(), rows.column("label").to_numpy(), x
+
+
+def machine(x: np.ndarray, y: np.ndarray, weights: np.ndarray, gram: np.ndarray, cost: float, beta: np.ndarray | None = None, most: int = 12) -> np.ndarray:
+    """Weights a landmark and bias of the squared-hinge machine with the landmarks' kernel as its norm, by Newton steps."""
+    reg = np.zeros((x.shape[1], x.shape[1]))
+    reg[:-1, :-1] = (gram + 1e-3 * np.eye(len(gram))) / cost
     reg[-1, -1] = 1e-9
-    for _ in range(30):
-        active = (y * (x @ beta) < 1) & (weights > 0)
-        xa, wa = x[active], weights[active]
-        new = np.linalg.solve((xa * wa[:, None]).T @ xa + reg, (xa * wa[:, None]).T @ y[active])
-        if np.abs(new - beta).max() < 1e-8:
-            break
+    beta = np.zeros(x.shape[1]) if beta is None else beta
+    for _ in range(most):
+        left, right = reg.copy(), np.zeros(len(reg))
+        for a, b in slices(len(x), 4096):
+            part, own = x[a:b], y[a:b]
+            w = weights[a:b] * (own * (part @ beta) < 1)
+            left += (part * w[:, None].astype(np.float32)).T @ part
+            right += part.T @ (w * own)
+        new = np.linalg.solve(left, right)
+        if np.abs(new - beta).max() < 1e-4:
+            return new
         beta = new
-    triple = np.zeros(SYMBOLS**3)
-    triple[marks.keys] = marks.matrix[:-1] @ (root @ beta[:-1])
-    return triple, float(beta[-1])
+    return beta
 
 
-def fit(counts: DataFrame, toxic_docs: int, clean_docs: int, landmarks: int, sample: int, rounds: int = 3) -> tuple[np.ndarray, float]:
-    """Triple weights and bias.
+def fit(train: DataFrame, n_toxic: int, n_clean: int, few: int, landmarks: int, rounds: int = 3) -> Machine | None:
+    """The machine learned from rows (n, label, text, order); clean ones up to the order few teach in full, all where they err."""
+    chosen = choose_landmarks(word_counts(train), n_toxic, n_clean, landmarks)
+    if not chosen:
+        return None
+    marks = Landmarks(chosen)
+    gram = marks.kernel(chosen).astype(float)
+    doc, label, x = sentence_features(train.where((F.col("label") == 1) | (F.col("order") < few)), marks)
+    toxic = label == 1
+    at, first = np.flatnonzero(toxic), {}
+    at = at[np.argsort(doc[at], kind="stable")]
+    first = np.flatnonzero(np.append(True, doc[at][1:] != doc[at][:-1])) if len(at) else at
+    y = np.where(toxic, 1.0, -1.0)
+    size = np.diff(np.append(first, len(at)))
+    weights = np.ones(len(y))
+    weights[at] = np.repeat(1.0 / np.maximum(size, 1), size)
+    beta = None
+    for turn in range(rounds):
+        share = max(1.0, weights[~toxic & (y < 0)].sum()) / max(1e-9, weights[y > 0].sum())
+        beta = machine(x, y, np.where(y > 0, weights * share, weights), gram, 3.0, beta)
+        if turn == rounds - 1:
+            break
+        # of each toxic document the sentences found toxic, or the worst one
+        g = x[at] @ beta
+        best = np.maximum.reduceat(g, first) if len(at) else g
+        taken = g >= np.minimum(np.repeat(best, size), 0.5)
+        weights[at] = np.where(taken, 1.0, 0.0)
+        if turn == rounds - 2:
+            # sentences of all clean documents that the machine takes for toxic or nearly so
+            _, _, more = sentence_features(train.where((F.col("label") == 0) & (F.col("order") >= few)), marks, Machine(marks, beta[:-1], beta[-1]), -0.4)
+            x, y, weights, toxic = np.concatenate([x, more]), np.append(y, -np.ones(len(more))), np.append(weights, np.ones(len(more))), np.append(toxic, np.zeros(len(more), bool))
+    return Machine(marks, beta[:-1], beta[-1])
+
+
+class Scorer:
+    """The worst decision over a text's sentences, one without words among them; each token's worth is found once in a worker."""
+
+    def __init__(self, model: Machine):
+        self.model, self.known = model, set()
+        self.value: dict[str, float] = {}  # of the tokens worth something
+
+    def _learn(self, new: set[str]) -> None:
+        self.known |= new
+        parts = {t: units(t) for t in new}
+        worth = self.model.worth(sorted(set().union(*parts.values())))
+        if worth:
+            self.value.update((t, v) for t, p in parts.items() if (v := sum(worth.get(w, 0.0) for w in p)))
+
+    def toxic_sentences(self, text: str | None, bar: float) -> list[set[str]]:
+        found = list(sentences(text))
+        self._learn(set().union(*found) - self.known)
+        rated = [(sum(self.value.get(t, 0.0) for t in s) + self.model.bias, i) for i, s in enumerate(found)]
+        return [found[i] for g, i in sorted(rated, reverse=True)[:WORST] if g > bar]
+
+    def __call__(self, texts: list[str | None]) -> list[float]:
+        rows = []
+        for t in texts:
+            tokens = tokens_of(t or "")
+            rows.append({*tokens, *joined_letters(tokens)})
+        new = set().union(*rows) - self.known
+        self._learn(new)
+        value, out = self.value, []
+        for text, row in zip(texts, rows):
+            most = 0.0
+            if not value.keys().isdisjoint(row):
+                most = max((sum(value.get(t, 0.0) for t in s) for s in sentences(text)), default=0.0)
+            out.append(max(0.0, most) + self.model.bias)
+        if len(self.known) > MAX_WORDS:  # the early, frequent tokens stay
+            self.known -= new
+            for t in new:
+                value.pop(t, None)
+        return out
 
-    Examples are words: positive those that toxic documents hold far oftener than clean ones, the sample most telling;
-    negative the others, sample of them in an order by hash, then in each round the sample worst mistakes among all.
-    """
-    odds = F.log((F.col("toxic") + 0.5) / (toxic_docs + 1.0)) - F.log((F.col("clean") + 0.5) / (clean_docs + 1.0))
-    unsure = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    witness = odds - 2 * unsure > WITNESS
-    rated = staged(counts.withColumn("gain", F.col("toxic") * odds).withColumn("witness", witness), "words")
-    telling = [(r["word"], r["toxic"]) for r in rated.where("witness").orderBy(F.desc("gain"), "word").limit(sample).collect()]
-    if not telling:
-        return np.zeros(SYMBOLS**3), -1.0
-    clean = rated.where("clean > 0 and not witness").select("word", "clean")
-    others = [tuple(r) for r in clean.orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
-    have = _landmarks([w for w, _ in telling], [], landmarks // 2, 0.85)
-    have = _landmarks([w for w, _ in others], have, landmarks * 5 // 8, 0.5)
-    negative = dict(others)
-    for left in reversed(range(rounds)):
-        words = [w for w, _ in telling] + sorted(negative)
-        pos = np.array([t for _, t in telling], float)
-        neg = np.sqrt([negative[w] for w in sorted(negative)])
-        pos *= max(neg.sum(), 1.0) / pos.sum()
-        model = _machine(have, words, np.concatenate([pos, neg]), np.append(np.ones(len(pos)), -np.ones(len(neg))), 1e5)
-        if not left:
-            return model
-        sent = rated.sparkSession.sparkContext.broadcast(model)
-
-        def score(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decision(batch.column("word").to_pylist(), *sent.value))], ["word", "clean", "f"])
-
-        worst = clean.mapInArrow(score, "word string, clean long, f double").orderBy(F.desc(F.col("f") * F.sqrt("clean")), "word").limit(sample).collect()
-        have = _landmarks([r["word"] for r in worst], have, len(have) + landmarks // 3, 0.8)
-        negative |= {r["word"]: r["clean"] for r in worst}
-
-
-def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 192, sample: int = 8000, default: float = 0.0, keep: tuple[str, ...] = ()) -> DataFrame:
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 256, sample: int = 1500, default: float = 0.0, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns keep and score in 0..1 of every row of docs, learned from the labelled rows for which the column learn holds.
 
-    Every labelled row of that fold counts in the words' statistics; sample bounds the words that become the machine's
-    examples. An empty or null text has no words and the lowest score. Where the fold has no label 1 the score is
-    default. Other columns play no part. An empty table gives no rows.
+    The labelled rows to learn from are bounded: about sample of label 1 and 8 * sample of label 0, picked by a hash of
+    their doc_id. An empty or null text has no words and scores as its sentence without words. Where the fold has no
+    label 1 the score is default. Other columns play no part. An empty table gives no rows.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, "text")
-    train = examples(texts.select("doc_id", "text"), labels, "toxic", learn)
-    n = {r["label"]: r["n"] for r in examples(texts.select("doc_id"), labels, "toxic", learn).groupBy("label").agg(F.count("*").alias("n")).collect()}
+    known, n = labelled_sample(labels, "toxic", learn, {1: sample, 0: 8 * sample})
+    none = texts.select("doc_id", *keep, F.lit(float(default)).alias("score"))
     if not n.get(1):
-        return texts.select("doc_id", *keep, F.lit(float(default)).alias("score"))
-    model = spark.sparkContext.broadcast(fit(word_counts(train), n[1], n.get(0, 0), landmarks, sample))
-    low = -4.0
+        return none
+    train = staged(texts.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.monotonically_increasing_id().alias("n"), "label", "weight", "order", "text"), "toxic-train")
+    got = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    model = fit(train, got.get(1, 0), got.get(0, 0), sample, landmarks) if got.get(1) else None
+    if model is None:
+        return none
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, bias = model.value
-        known: dict[str, float] = {}
+        score = Scorer(sent.value)
         for batch in batches:
-            rows = [units(t or "") for t in batch.column("text").to_pylist()]
-            new = sorted(set().union(*rows).difference(known))
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                known.update(zip(part, decision(part, weight, bias).tolist()))
-            worst = [max(map(known.__getitem__, r), default=low) for r in rows]
-            if len(known) > MAX_WORDS:
-                for w in new:
-                    del known[w]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *keep)), pa.array(worst, pa.float64())], ["doc_id", *keep, "raw"])
-
-    scored = staged(texts.mapInArrow(raw, f"doc_id long{carried(texts, keep)}, raw double"), "toxicity")
-    knots = isotonic(examples(scored, labels, "toxic", learn), low, -low)
-    return calibrated(scored, knots, default).select("doc_id", *keep, "score")
+            for a, b in slices(batch.num_rows, ROWS):
+                part = batch.slice(a, b - a)
+                others = [c for c in part.schema.names if c != "text"]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(score(part.column("text").to_pylist()), pa.float64())], [*others, "raw"])
+
+    knots = isotonic(train.select("label", "weight", "text").mapInArrow(raw, "label int, weight double, raw double"), -3.0, 3.0)
+    return calibrated(texts.mapInArrow(raw, f"doc_id long{carried(texts, keep)}, raw double"), knots, default).select("doc_id", *keep, "score")
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
