@@ -180,4 +180,4 @@ def token_records(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1
     written = write_records(docs, out_dir, tokenizer, end_id)
     first = written.select("part", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("first"))  # one row a file
     back = read_records(written, out_dir).select("part", "before", "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
-    return back.join(first, "part").select("doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    return back.join(F.broadcast(first), "part").select("doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")

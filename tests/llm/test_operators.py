@@ -45,9 +45,16 @@ def key(i):
     return -1 if i is None else i
 
 
+def library(name):
+    """The library by itself, apart from the code under test."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokens.public_path(name))
+
+
 def test_packing(spark, odd, none):
-    enc = tokens.TextEncoder(tokens.public_path("byte_bpe_50k.json"))
-    ids = {key(i): [*enc.tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in ODD}
+    enc = library("byte_bpe_50k.json")
+    ids = {key(i): [*enc.encode(t or "", add_special_tokens=False).ids, 1] for i, t in ODD}
     rows = packing.pack_documents(odd, keep_ids=True).collect()
     for i, n in Counter(key(i) for i, _ in ODD).items():
         got = sorted((r.start, r.length) for r in rows if key(r.doc_id) == i)
@@ -84,10 +91,10 @@ def test_cutting_and_filling():
 
 def test_records(spark, odd, none):
     assert records.crc32c_many([b"123456789", b"", b"\x00" * 32, b"a" * 5000])[:3] == [0xE3069283, 0, 0x8A9136AA]
-    enc = tokens.TextEncoder(tokens.public_path("word_bpe_49k.json"))
+    enc = library("word_bpe_49k.json")
     at, want = 0, []
     for i, t in sorted(ODD, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")):
-        ids = [*enc.tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+        ids = [*enc.encode(t or "", add_special_tokens=False).ids, 1]
         want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
     got = records.token_records(odd).collect()
@@ -100,12 +107,15 @@ def test_records(spark, odd, none):
 
 
 def test_encoder_equals_the_library():
+    signs = ["a", "B", "é", "Ж", "İ", "ǅ", "Σ", "²", "_", ",", ".", "'", "'s", "7", "!", "(", "\u0307", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", "😀", "日", " ", " ", " ", "\n", "\t", "\r", "\x00", "<|", "|>"]
+    mixed = ["".join(RNG.choice(signs) for _ in range(RNG.randrange(1, 14))) for _ in range(3000)]
+    cases = ["foo_, bar", " _, ", "x _. y", "a__, b", "a\x1c, b", "İ, x", "I²_. ok", "x <|endoftext|> y", "X <|ENDOFTEXT|>", "<|startoftext|>", "a, b. c,, d.. e ,f\n.g", " lead", "tail ", "ÀÉ ÎÕ"]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
-        enc = tokens.TextEncoder(tokens.public_path(name))
-        texts = [t for _, t in ODD] + [prose(300), "a, b. c,, d.. e ,f\n.g", " lead", "tail ", "ÀÉ ÎÕ"]
-        want = [np.array(enc.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-        assert enc.encode(texts) == want
-        assert enc.encode(texts) == want
+        plain, enc = library(name), tokens.TextEncoder(tokens.public_path(name))
+        texts = [t for _, t in ODD] + [prose(300), *cases, *mixed]
+        want = [np.array(plain.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        for _ in range(2):
+            assert [(t, w) for t, w, g in zip(texts, want, enc.encode(texts)) if w != g] == []
 
 
 def test_media(spark, odd, none):
