@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-The normaliser (identity, a space in front, spaces written as U+2581), the pieces and the byte fallback are compiled
-into one transducer: a trie of pieces whose leaves emit ids, with an arc for each character that no piece holds, which
-emits its bytes. Composed with an input it gives a lattice; its arcs weigh the negated piece scores. For a
-byte-pair vocabulary an arc may follow another only if merging their joined text in score order gives those two
-pieces again; paths that break this weigh infinity. One path is left, which is then the shortest: the encoding.
+Four transducers are compiled from the model. The normaliser (read from the model: a space in front, spaces written as
+U+2581; others are refused). The pieces: an arc a piece, which emits its id and weighs the negated score. The byte
+fallback: an arc for each character without a piece, which emits its bytes' ids. The order of merging, for byte-pair
+vocabularies: an acceptor of pairs of ids, in which an arc may follow another only if merging their joined text by score
+gives those two pieces again. Composed with an input they make a lattice, whose states are a place and the piece before
+it; the encoding is the lattice's shortest path, weights added along a path and the least taken at each place.
 Spaces begin pieces and never stand inside one, so an input is composed word by word and each word once in a worker.
 """
 
@@ -19,22 +20,54 @@ from pyspark.sql import functions as F
 
 from ragset.llm.tokens import public_path, slices
 
-SPACE, MAX_WORDS, MAX_PATHS, MAX_PAIRS = "▁", 150_000, 200_000, 600_000
+SPACE, MAX_WORDS, MAX_PATHS, MAX_PAIRS = "▁", 400_000, 150_000, 600_000
+#: Words up to this length share the paths of their beginnings and are remembered.
+SHARED = 32
 _loaded: dict[str, "Transducer"] = {}
 
 
+def proto_fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
+    """(number, value) of the fields of a message in the protocol-buffer format."""
+
+    def varint(at: int) -> tuple[int, int]:
+        value = shift = 0
+        while True:
+            b = data[at]
+            value |= (b & 127) << shift
+            at, shift = at + 1, shift + 7
+            if b < 128:
+                return value, at
+
+    at = 0
+    while at < len(data):
+        tag, at = varint(at)
+        if tag & 7 == 0:
+            value, at = varint(at)
+        else:
+            size, at = varint(at) if tag & 7 == 2 else ({1: 8, 5: 4}[tag & 7], at)
+            value, at = data[at : at + size], at + size
+        yield tag >> 3, value
+
+
+def check_normaliser(model: bytes) -> None:
+    """Raises unless the model's normaliser (field 3) only puts a space in front and writes spaces as U+2581."""
+    spec = dict(proto_fields(next((v for k, v in proto_fields(model) if k == 3), b"")))
+    if spec.get(2, b"") or not spec.get(3, 1) or spec.get(4, 1) or not spec.get(5, 1):  # character map, space in front, spaces dropped, spaces written
+        raise ValueError("the model's normaliser is not one that this transducer compiles")
+
+
 class Transducer:
     def __init__(self, path: str):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        check_normaliser(model.serialized_model_proto())
         n = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(n)]
         self.bytes = {int(self.pieces[i][1:-1], 16): i for i in range(n) if model.is_byte(i)}
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.id_of = {self.pieces[i]: i for i in plain}
-        self.score = {self.pieces[i]: model.get_score(i) for i in plain}
-        self.longest = max(map(len, self.id_of))
+        self.weight = [-model.get_score(i) for i in range(n)]
         if any(SPACE in p.lstrip(SPACE) for p in self.id_of):
             raise ValueError("a piece holds a space inside")
         # a comma or full stop that no piece joins to a letter ends a word's path
@@ -42,104 +75,148 @@ class Transducer:
         self.byte_values = np.full(n, -1)
         for b, i in self.bytes.items():
             self.byte_values[i] = b
-        self.known: dict[str, tuple[bytes, float]] = {}
-        self.paths: dict[str, tuple] = {"": (None, b"", 0.0)}  # last arc, ids, weight; a character without a piece ties nothing
-        self.pairs: dict[int, bool] = {}
         self.coded = [i.to_bytes(4, "little") for i in range(n)]
         ends: dict[str, set[int]] = {}
         for p in self.id_of:
             if len(p) > 1:
                 ends.setdefault(p[-2:], set()).add(len(p))
-        self.lengths = {e: sorted(x, reverse=True) for e, x in ends.items()}  # of the pieces that end so
+        self.lengths = {e: (1, *sorted(x)) for e, x in ends.items()}  # of the pieces that end so
+        self.known: dict[str, tuple[bytes, float]] = {"": (b"", 0.0)}
+        self.paths: dict[str, tuple] = {"": (None, None, 0.0, b"")}  # last id, path before it, weight, what the last arc emits
+        self.pairs: dict[int, bool] = {}
+        self.spines: dict[tuple[int, bool], list | None] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """The text's characters, joined again and again where the joined piece scores best, the first such on ties."""
-        parts = list(text)
+    def merged(self, text: str) -> list[tuple[str, str, str]]:
+        """The merges (left, right, joined) of a text's characters: again and again where the joined piece weighs least, the first such on ties."""
+        parts, out = list(text), []
         while len(parts) > 1:
-            best, at = max(((self.score.get(a + b, -np.inf), -i) for i, (a, b) in enumerate(zip(parts, parts[1:]))), key=lambda x: x)
-            if best == -np.inf:
+            best, at = min((self.weight[self.id_of[a + b]] if a + b in self.id_of else np.inf, i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if best == np.inf:
                 break
-            parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
-        return parts
+            out.append((parts[at], parts[at + 1], parts[at] + parts[at + 1]))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return out
+
+    def spine(self, i: int, right: bool) -> list[tuple[str, float, float]] | None:
+        """The parts at a piece's right (or left) end, with the weights at which each is formed and used up; None where merging does not give the piece by growing weights."""
+        if (i, right) not in self.spines:
+            text = self.pieces[i]
+            steps = {s[2]: s for s in self.merged(text)}
+            out, own, until = [], text, np.inf
+            while True:
+                formed = self.weight[self.id_of[own]] if len(own) > 1 else -np.inf
+                if (len(own) > 1 and own not in steps) or not formed < until:
+                    out = None
+                    break
+                out.append((own, formed, until))
+                if len(own) == 1:
+                    break
+                own, until = steps[own][1 if right else 0], formed
+            self.spines[i, right] = out
+        return self.spines[i, right]
 
-    def follows(self, a: str, b: str) -> bool:
-        if len(self.pairs) > MAX_PAIRS:
-            self.pairs.clear()
-        ok = self.pairs[self.id_of[a] << 20 | self.id_of[b]] = self.merged(a + b) == [a, b]
-        return ok
+    def follows(self, i: int, k: int) -> bool:
+        """Whether merging the joined text of pieces i and k gives those two again: nothing merges over their border."""
+        left, right = self.spine(i, True), self.spine(k, False)
+        if left is None or right is None:
+            a, b = self.pieces[i], self.pieces[k]
+            parts = list(a + b)
+            for x, y, z in self.merged(a + b):
+                at = next(p for p in range(len(parts) - 1) if parts[p] == x and parts[p + 1] == y)
+                parts[at : at + 2] = [z]
+            return parts == [a, b]
+        for x, x_formed, x_used in left:
+            for y, y_formed, y_used in right:
+                # both there at one time, and joined before either is used up; of equal merges the left one goes first
+                both = self.id_of.get(x + y)
+                if both is not None and x_formed <= y_used and y_formed < x_used and self.weight[both] < x_used and self.weight[both] <= y_used:
+                    return False
+        return True
 
     def shortest(self, word: str) -> tuple[bytes, float]:
-        """Ids (little-endian uint32) and weight of the path through the word's lattice.
+        """Ids (little-endian uint32) and weight of the shortest path through the word's lattice, in time and memory linear in its length.
 
-        The path to a state depends on the text before it alone, so words share the paths of their common beginnings.
+        Of the paths to a place, those that the pair acceptor admits, the lightest stays.
         """
-        paths, id_of, lengths, pairs, n = self.paths, self.id_of, self.lengths, self.pairs, len(word)
-        done = n
-        while word[:done] not in paths:
-            done -= 1
-        own = {}
+        paths, id_of, lengths, pairs, weight, n = self.paths, self.id_of, self.lengths, self.pairs, self.weight, len(word)
+        done, share = 0, n <= SHARED
+        if share:
+            done = n
+            while word[:done] not in paths:
+                done -= 1
+        own = [paths[word[:k]] for k in range(done + 1)] if share else [paths[""]]
         for end in range(done + 1, n + 1):
-            path = None
-            for size in lengths.get(word[max(0, end - 2) : end], ()):
-                start = end - size
-                if start < 0:
-                    continue
-                arc = word[start:end]
+            best = None
+            for size in lengths.get(word[max(0, end - 2) : end], (1,)):
+                if size > end:
+                    break
+                arc = word[end - size : end]
                 i = id_of.get(arc)
+                before = own[end - size]
                 if i is None:
-                    continue
-                before = own[start] if start > done else paths[word[:start]]
-                last = before[0]
-                if last is not None:
-                    ok = pairs.get(last << 20 | i)
-                    if ok is None:
-                        ok = self.follows(self.pieces[last], arc)
-                    if not ok:
+                    if size > 1:
                         continue
-                path = (i, before[1] + self.coded[i], before[2] - self.score[arc])
-                break
-            if path is None:  # a character of its own: a piece, or without one its bytes
-                arc = word[end - 1]
-                before = own[end - 1] if end - 1 > done else paths[word[: end - 1]]
-                i = id_of.get(arc)
-                coded = self.coded[i] if i is not None else b"".join(self.coded[self.bytes[b]] for b in arc.encode())
-                path = (i, before[1] + coded, before[2] - self.score.get(arc, 0.0))
-            own[end] = path
-            if len(paths) < MAX_PATHS:
-                paths[word[:end]] = path
-        return (own[n] if done < n else paths[word])[1:]
+                    path = (None, before, before[2], b"".join([self.coded[self.bytes[b]] for b in arc.encode()]))
+                else:
+                    total = before[2] + weight[i]
+                    if best is not None and best[2] <= total:
+                        continue
+                    last = before[0]
+                    if last is not None:
+                        ok = pairs.get(last << 20 | i)
+                        if ok is None:
+                            if len(pairs) > MAX_PAIRS:
+                                pairs.clear()
+                            ok = pairs[last << 20 | i] = self.follows(last, i)
+                        if not ok:
+                            continue
+                    path = (i, before, total, self.coded[i])
+                if best is None or path[2] < best[2]:
+                    best = path
+            own.append(best)
+            if share and len(paths) < MAX_PATHS:
+                paths[word[:end]] = best
+        at, ids = own[n], []
+        while at[1] is not None:
+            ids.append(at[3])
+            at = at[1]
+        return b"".join(reversed(ids)), own[n][2]
 
     def words(self, text: str) -> list[str]:
+        """The normalised text, cut before the spaces that follow another character."""
         if not text:
             return []
-        parts = (SPACE + text.replace(" ", SPACE)).split(SPACE)
+        full = SPACE + text.replace(" ", SPACE)
+        if SPACE * 2 not in full and full[-1] != SPACE:
+            return [SPACE + p for p in full[1:].split(SPACE)]
         out, run = [], 0
-        for p in parts[1:]:
+        for p in full.split(SPACE)[1:]:
             run += 1
-            if not p:
-                continue
-            out.append(SPACE * run + p)
-            run = 0
+            if p:
+                out.append(SPACE * run + p)
+                run = 0
         return out + [SPACE * run] if run else out
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, float]]:
-        rows = []
-        for t in texts:
-            row = []
-            for w in self.words(t or ""):
-                if w[-1] in self.tails and w[-2:-1].isalpha():
-                    row += (w[:-1], w[-1])
-                else:
-                    row.append(w)
-            rows.append(row)
-        fresh = set().union(*rows).difference(self.known)
-        self.known.update((w, self.shortest(w)) for w in fresh)
+        rows = [self.words(t or "") for t in texts]
+        fresh = set()
+        for row in rows:
+            fresh |= set(row).difference(self.known)
+        new = {}
+        for w in fresh:
+            if w[-1] in self.tails and w[-2:-1].isalpha():
+                a, b = (self.known.get(x) or new.get(x) or new.setdefault(x, self.shortest(x)) for x in (w[:-1], w[-1]))
+                new[w] = (a[0] + b[0], a[1] + b[1])
+            elif w not in new:
+                new[w] = self.shortest(w)
+        self.known.update(new)
         out = []
         for row in rows:
-            got = [self.known[w] for w in row]
-            out.append((b"".join([g[0] for g in got]), float(sum(g[1] for g in got))))
-        if len(self.known) > MAX_WORDS:
-            for w in fresh:
+            got = list(map(self.known.__getitem__, row))
+            out.append((b"".join([g[0] for g in got]), float(sum([g[1] for g in got]))))
+        full = len(self.known) > MAX_WORDS
+        for w in new:
+            if full or len(w) > SHARED:  # the early, frequent words stay
                 del self.known[w]
         return out
 

@@ -255,10 +255,18 @@ def test_pieces(spark, odd, none):
 
     sp = sentencepiece.SentencePieceProcessor(model_file=tokens.public_path("piece_bpe_32k.model"))
     t = pieces.Transducer(tokens.public_path("piece_bpe_32k.model"))
-    texts = [x for _, x in ODD if x != "x" * 70000] + [prose(200), "x" * 300, "Hello  world\n x ﬁ ½ ①\tq ", "   ", "1,000. a,b 'tis"]
+    texts = [x for _, x in ODD] + [prose(200), "x" * 300, "ab" * 5000, "日本" * 20000, "aaaa" * 9, "Hello  world\n x ﬁ ½ ①\tq ", "   ", "1,000. a,b 'tis"]
     for text, (ids, _) in zip(texts, t.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == sp.encode(text or "")
         assert t.decode(np.frombuffer(ids, "<u4")) == (text or "")
+    huge = t.encode(["x" * 1_000_000])[0][0]
+    assert t.decode(np.frombuffer(huge, "<u4")) == "x" * 1_000_000 and max(map(len, t.known)) <= pieces.SHARED
+    ids = sorted(t.id_of.values())
+    for i, k in [(RNG.choice(ids), RNG.choice(ids)) for _ in range(300)] + [(t.id_of[p[:-1]], t.id_of[p[-1]]) for p in list(t.id_of)[:900] if p[:-1] in t.id_of and p[-1] in t.id_of]:
+        parts = list(t.pieces[i] + t.pieces[k])
+        while (best := min(((t.weight[t.id_of[a + b]], n) for n, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in t.id_of), default=None)) is not None:
+            parts[best[1] : best[1] + 2] = ["".join(parts[best[1] : best[1] + 2])]
+        assert t.follows(i, k) == (parts == [t.pieces[i], t.pieces[k]])
     got = pieces.piece_digests(odd).collect()
     assert sorted((key(r.doc_id), r.decoded_crc32) for r in got) == sorted((key(i), zlib.crc32((x or "").encode())) for i, x in ODD)
     assert pieces.piece_digests(none).count() == 0
