@@ -4,7 +4,8 @@ A text is its words, A-Z in lower case, then an end. A word of the coding vocabu
 Huffman tree; any other word is an escape and its bytes' paths in a second tree. Each bit is predicted from four
 contexts, each hashed with the tree node to a slot of its own table; a slot's counts over all training texts give its
 prediction. Predictions are added in the logistic domain with weights; a gate, the confidence of the two longest
-contexts, picks the weight set; weights start the same for each text and follow its bits, block after block.
+contexts, picks the weight set; weights start the same for each text and follow its bits online: after every block of a few words
+(8 at first, 128 later), the bits' errors move the weights that the next block is scored with.
 Every text of the training part is counted; tables and coding vocabulary have fixed sizes, which are parameters, and
 the word counts of the base score have none.
 """
@@ -23,13 +24,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ragset.llm.common import attempt, staged
+from ragset.llm.tokens import slices
 
 CONTEXTS, COMMON, GATES, CUT = 4, 16, 32, 1 << 14
 #: Words seen less often are spelled, so that the spelling is learned from such words too.
 SPELL_BELOW = 3
 #: Weights that a text starts with, a row for each context, by the gate's confidence of the longest context.
 START = np.array([[0.10, 0.60, 0.30, 0.10], [0.10, 0.60, 0.30, 0.20], [0.10, 0.50, 0.30, 0.35], [0.10, 0.40, 0.25, 0.50]], np.float32)
-MAX_WORDS = 400_000
+MAX_WORDS, ROWS = 400_000, 512
+
+
+class Numbers(dict):
+    """Numbers of words; of any other word the escape's."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__((w, i) for i, w in enumerate(words))
+        self.escape = len(words)
+
+    def __missing__(self, word: bytes) -> int:
+        return self.escape
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -75,13 +88,19 @@ class Code:
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.nodes = np.concatenate([w[1], b[1] + np.uint32(len(self.words) + 1)])
         self.bits = np.concatenate([w[2], b[2]])
-        self.of = {w: i for i, w in enumerate(self.words)}
+        self.of = Numbers(self.words)
 
 
 @dataclass
 class Bits:
-    """The bits of a batch of texts, ordered by block: text, gate family, slot of each context, bit."""
+    """The bits of a batch of texts, ordered by block and text: text, gate family, slot of each context, bit.
 
+    words are the numbers of all words, text by text with each text's end, sizes how many each text has; rare are the words without a number.
+    """
+
+    words: np.ndarray
+    sizes: np.ndarray
+    rare: list[bytes]
     text: np.ndarray
     spelled: np.ndarray
     slots: list[np.ndarray]
@@ -99,8 +118,7 @@ def bits_of(code: Code, texts: list[list[bytes]]) -> Bits:
     escape = len(code.words)
     counts = np.array([len(t) + 1 for t in texts])
     flat = [w for t in texts for w in (*t, b"")]
-    get, rare = code.of.get, []
-    w = np.fromiter((get(x, escape) for x in flat), np.int64, len(flat))
+    w = np.fromiter(map(code.of.__getitem__, flat), np.int64, len(flat))
     rare = [flat[i] for i in np.flatnonzero(w == escape).tolist()]
     begin = np.concatenate([[0], np.cumsum(counts)[:-1]])
     text = np.repeat(np.arange(len(texts)), counts)
@@ -111,7 +129,7 @@ def bits_of(code: Code, texts: list[list[bytes]]) -> Bits:
     seen = np.maximum.accumulate(np.where(w < COMMON, np.arange(len(w)), -1))
     last = np.concatenate([[-1], seen[:-1]])
     common = np.where(last >= begin[text], w[np.maximum(last, 0)] + 1, 0)
-    block = np.where(nth < 480, np.log2(nth / 32 + 1), 4 + (nth - 480) // 512).astype(np.int64)
+    block = np.where(nth < 120, np.log2(nth / 8 + 1), 4 + (nth - 120) // 128).astype(np.int64)
     # symbols: each word, and after an escape its bytes
     spell = np.frombuffer(b"\0".join(rare) + b"\0" if rare else b"", np.uint8).astype(np.int64)
     sizes = np.ones(len(w), np.int64)
@@ -148,7 +166,7 @@ def bits_of(code: Code, texts: list[list[bytes]]) -> Bits:
         slots.append(((mixed ^ np.repeat(c[order], length)) * np.uint32(0x9E3779B1)) >> shift)
     cuts = np.flatnonzero(np.diff(own)) + 1
     bounds = [0, *(ends[cuts - 1].tolist() if len(cuts) else []), len(bits)]
-    return Bits(np.repeat(who, length), np.repeat(~plain, length), slots, bits, list(zip(bounds, bounds[1:])))
+    return Bits(w, counts, rare, np.repeat(who, length), np.repeat(~plain, length), slots, bits, list(zip(bounds, bounds[1:])))
 
 
 def quantised(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -167,20 +185,20 @@ def score_bits(b: Bits, tables: list[np.ndarray], n_texts: int) -> np.ndarray:
     for lo, hi in b.blocks:
         if lo == hi:
             continue
-        raw = [t[s[lo:hi]] for t, s in zip(tables, b.slots)]
-        gate = ((b.text[lo:hi] * 2 + b.spelled[lo:hi]) * 4 + (raw[3] & 3)) * 4 + (raw[2] & 3)
+        raw = [t.take(s[lo:hi].astype(np.intp)) for t, s in zip(tables, b.slots)]  # numpy is slow with other index types
+        who = b.text[lo:hi]
+        gate = ((who * 2 + b.spelled[lo:hi]) * 4 + (raw[3] & 3)) * 4 + (raw[2] & 3)
         st = [r * np.float32(1 / 1024) for r in raw]
-        dot = weights[:, 0][gate] * st[0]
+        dot = weights[:, 0].take(gate) * st[0]
         for i in range(1, CONTEXTS):
-            dot += weights[:, i][gate] * st[i]
+            dot += weights[:, i].take(gate) * st[i]
         np.clip(dot, -9, 9, out=dot)
-        bit = b.bits[lo:hi].astype(np.float32)
-        p = 1 / (1 + np.exp(-dot))
-        err = bit - p
-        out += np.bincount(b.text[lo:hi], np.log1p(-np.abs(err)), n_texts)
+        err = b.bits[lo:hi] - 1 / (1 + np.exp(-dot))
+        first = np.flatnonzero(np.append(True, who[1:] != who[:-1]))  # a block's bits lie text by text
+        out[who[first]] += np.add.reduceat(np.log1p(-np.abs(err)), first, dtype=np.float64)
         used, at = np.unique(gate, return_inverse=True) if hi - lo < 2000 else (None, gate)
         n = len(used) if used is not None else len(weights)
-        seen = np.bincount(at, err * 0 + 1, n)
+        seen = np.bincount(at, minlength=n)
         for i in range(CONTEXTS):
             step = np.bincount(at, err * st[i], n) / (60.0 + 0.5 * seen)
             if used is None:
@@ -202,8 +220,8 @@ def vocabulary(docs: DataFrame) -> DataFrame:
             return out
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                seen.update(words_of(text))
+            for text in batch.column("text"):
+                seen.update(words_of(text.as_py()))
                 seen[b""] += 1
                 if len(seen) > MAX_WORDS:
                     yield flush()
@@ -232,11 +250,13 @@ def context_tables(docs: DataFrame, code: Code) -> list[np.ndarray]:
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((CONTEXTS, 2 * slots), np.int32)
         for batch in batches:
-            texts = [words_of(t) for t in batch.column("text").to_pylist()]
-            for a, b in _batches(texts):
-                got = bits_of(sent.value, texts[a:b])
-                for k in range(CONTEXTS):
-                    np.add.at(total[k], (got.slots[k] * np.uint32(2) + got.bits).astype(np.intp), np.int32(1))  # one type throughout, for numpy's fast path
+            for lo, hi in slices(batch.num_rows, ROWS):
+                texts = [words_of(t) for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
+                for a, b in _batches(texts, 60_000):
+                    got = bits_of(sent.value, texts[a:b])
+                    for k in range(CONTEXTS):
+                        at = got.slots[k].astype(np.intp) * 2 + got.bits
+                        total[k] += np.bincount(at, minlength=2 * slots)
         for k in range(CONTEXTS):
             rows = []
             for at in range(0, 2 * slots, CUT):
@@ -270,6 +290,22 @@ def _hash64(token: bytes) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(token)).astype(np.int64))
 
 
+def frequent(vocab: DataFrame, most: int) -> dict[bytes, int]:
+    """The counts of the words seen most often, most of them at most: those from a count on, all words of a like count or none."""
+    step = F.floor(F.log2("c") * 64)
+    bins = vocab.where(F.col("c") >= SPELL_BELOW).groupBy(step.alias("b")).count().orderBy(F.desc("b")).collect()  # 64 a doubling
+    total, least = 0, None
+    for r in bins:
+        total += r["count"]
+        if total > most:
+            break
+        least = r["b"]
+    if least is None:
+        return {}
+    found = {bytes(r["token"]): r["c"] for r in vocab.where((F.col("c") >= SPELL_BELOW) & (step >= least)).collect()}
+    return dict(sorted(found.items(), key=lambda x: (-x[1], x[0])))
+
+
 def score_texts(docs: DataFrame, train: Column, coded: int = 1 << 17, table_bits: int = 20) -> DataFrame:
     """For every row of docs: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
@@ -281,7 +317,7 @@ def score_texts(docs: DataFrame, train: Column, coded: int = 1 << 17, table_bits
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     vocab = staged(vocabulary(texts.where(train)), "vocabulary")
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = {bytes(r["token"]): r["c"] for r in vocab.where(F.col("c") >= SPELL_BELOW).orderBy(F.desc("c"), "token").limit(coded).collect()}
+    top = frequent(vocab, coded)
     top.setdefault(b"", 0)
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,21 +342,28 @@ def score_texts(docs: DataFrame, train: Column, coded: int = 1 << 17, table_bits
         known = np.array([counts[w] for w in code.words], float)
         base = np.log10((known + 1) / (total + distinct + 1))
         for batch in batches:
-            words = [words_of(t) for t in batch.column("text").to_pylist()]
-            rows: list[tuple] = []
-            for a, b in _batches(words):
-                part = words[a:b]
-                score = score_bits(bits_of(code, part), sent.value, len(part)) / np.log(10)
-                for t, s in zip(part, score):
-                    ids = np.fromiter((code.of.get(w, n_coded) for w in t), np.int64, len(t))
-                    ids = np.append(ids, code.of[b""])
-                    mine = ids[ids < n_coded]
-                    rare = Counter(t[i] for i in np.flatnonzero(ids == n_coded).tolist())
-                    rows.append((worker << 40 | nth, len(t) + 1, int((known[mine] > 0).sum()), float(base[mine].sum()), float(s), len(b" ".join(t)), [_hash64(w) for w in rare], list(rare.values())))
-                    nth += 1
-            cols = list(zip(*rows)) or [()] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))], ["doc_id", "row", "n_tokens", "n_known", "base", "score", "n_bytes", "rare", "tf"])
+            for lo, hi in slices(batch.num_rows, ROWS):
+                own = batch.slice(lo, hi - lo)
+                words = [words_of(t) for t in own.column("text").to_pylist()]
+                rows: list[tuple] = []
+                for a, b in _batches(words):
+                    part = words[a:b]
+                    bits = bits_of(code, part)
+                    score = score_bits(bits, sent.value, len(part)) / np.log(10)
+                    first = np.cumsum(bits.sizes) - bits.sizes
+                    coded = bits.words < n_coded
+                    at = np.where(coded, bits.words, 0)
+                    sums = np.add.reduceat(np.where(coded, base[at], 0.0), first)
+                    also = np.add.reduceat((coded & (known[at] > 0)).astype(np.int64), first)
+                    n_rare, taken = np.add.reduceat((~coded).astype(np.int64), first).tolist(), 0
+                    for t, s, x, k, r in zip(part, score.tolist(), sums.tolist(), also.tolist(), n_rare):
+                        rare = Counter(bits.rare[taken : taken + r])
+                        taken += r
+                        rows.append((worker << 40 | nth, len(t) + 1, k, x, s, sum(map(len, t)) + max(0, len(t) - 1), [_hash64(w) for w in rare], list(rare.values())))
+                        nth += 1
+                cols = list(zip(*rows)) or [()] * 8
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))], ["doc_id", "row", "n_tokens", "n_known", "base", "score", "n_bytes", "rare", "tf"])
 
     schema = "doc_id long, row long, n_tokens long, n_known long, base double, score double, n_bytes long, rare array<long>, tf array<int>"
     scored = staged(texts.mapInArrow(run, schema), "scored")

@@ -298,6 +298,27 @@ def test_bits_make_a_distribution():
     assert np.exp(got).sum() < 1
 
 
+def test_mixing_bit_by_bit():
+    words = [b"", b"the", b"of", b"river"]
+    code = mixing.Code(words, [9, 7, 5, 3], 4, [1 + i % 3 for i in range(256)], 8)
+    tables = [mixing.quantised(np.random.default_rng(k).integers(0, 30, 256), np.random.default_rng(k + 9).integers(0, 30, 256)) for k in range(4)]
+    texts = [[RNG.choice([b"the", b"of", b"river", b"x", b"zz"]) for _ in range(n)] for n in (0, 3, 40, 300)]
+    got = mixing.score_bits(b := mixing.bits_of(code, texts), tables, len(texts))
+    weights, want = {}, [0.0] * len(texts)
+    for lo, hi in b.blocks:
+        moves = {}
+        for i in range(lo, hi):
+            raw = [int(tables[k][b.slots[k][i]]) for k in range(4)]
+            gate = (int(b.text[i]), bool(b.spelled[i]), raw[3] & 3, raw[2] & 3)
+            w = weights.setdefault(gate, [float(x) for x in mixing.START[gate[2]]])
+            p = 1 / (1 + math.exp(-max(-9, min(9, sum(x * r / 1024 for x, r in zip(w, raw))))))
+            want[gate[0]] += math.log(p if b.bits[i] else 1 - p)
+            moves.setdefault(gate, []).append([(int(b.bits[i]) - p) * r / 1024 for r in raw])
+        for gate, m in moves.items():
+            weights[gate] = [x + sum(s) / (60 + 0.5 * len(m)) for x, s in zip(weights[gate], zip(*m))]
+    assert len(b.blocks) > 5 and np.allclose(got, want, rtol=1e-4)
+
+
 def labelled(spark, make):
     rows = [(i, *make(i)) for i in range(400)]
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(None, "x"), (5000, None), (5001, "")], "doc_id long, text string")
