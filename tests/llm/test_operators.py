@@ -352,6 +352,24 @@ def test_toxicity(spark, none):
     assert {r.score for r in toxicity.toxicity_query(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_viterbi_against_every_path():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 4, 5):
+        start, trans, emit = (np.log(rng.dirichlet(np.ones(k), r)) for k, r in ((6, 1), (6, 6), (60, 6)))
+        obs = rng.integers(0, 60, n)
+        best = max(itertools.product(range(6), repeat=n), key=lambda p: start[0][p[0]] + emit[p[0], obs[0]] + sum(trans[a, b] + emit[b, o] for a, b, o in zip(p, p[1:], obs[1:])))
+        assert chat.viterbi(obs, start[0], trans, emit).tolist() == list(best)
+
+
+def test_lines_are_numbered(spark):
+    rows = [(1, t // 2, "user", "\n".join([f"x{t}"] * (t % 3 + 1))) for t in range(300)] + [(2, -1, "user", "same")] * 200 + [(3, 0, None, None)]
+    got = chat.transcript_lines(chat.numbered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()
+    for c in (1, 2, 3):
+        own = sorted((r.at, r.line) for r in got if r.conv_id == c)
+        assert [a for a, _ in own] == list(range(sum(len((t or "").split("\n")) + 1 for k, _, _, t in rows if k == c)))
+        assert [line for _, line in own].count("") == sum(k == c for k, *_ in rows) + (c == 3)
+
+
 def test_chat(spark):
     turns = []
     for c in range(60):
@@ -359,15 +377,23 @@ def test_chat(spark):
             turns.append((c, -1, "system", prose(12)))
         for t in range(6):
             turns.append((c, t, "assistant" if t % 2 else "user", prose(90) + "\n" + prose(40) if t % 2 else prose(6) + "?"))
+    long = [(90, t, "assistant" if t % 2 else "user", "\n".join(prose(5) for _ in range(300)) if t == 3 else prose(9)) for t in range(400)]
     odd = [(None, 0, "user", "x"), (7000, None, "user", "hello there"), (7001, 0, "user", None), (7002, 0, "narrator", "says")]
-    df = spark.createDataFrame(turns + odd, "conv_id long, turn long, role string, text string")
+    same = [(7003, 1, "user", "alpha one\nalpha two\nalpha three"), (7003, 1, "user", "beta one\nbeta two\nbeta three")]
+    df = spark.createDataFrame(turns + odd + same + long, "conv_id long, turn long, role string, text string")
+    lines = chat.with_observations(chat.transcript_lines(chat.numbered(df.where("conv_id is not null").withColumn("turn", F.coalesce("turn", F.lit(-1))))))
+    assert lines.groupBy("conv_id", "stretch").count().agg(F.max("count")).first()[0] <= chat.STRETCH + 2 * chat.MARGIN
+    found = chat.decode(lines, chat.learn(lines)).collect()
+    whole = lambda c: "\n".join(r.text.rstrip("\n") for r in sorted((r for r in found if r.conv_id == c), key=lambda r: (r.turn_no, r.part)))
+    assert whole(7003) in ("\n".join(t for *_, t in same), "\n".join(t for *_, t in reversed(same)))
+    assert [line for line in whole(90).split("\n") if line][3:303] == long[3][3].split("\n")
     got = chat.format_chats(df).collect()
     right = held = 0
     for c in range(60):
         if zlib.crc32(str(c).encode()) % 5 == 0:
             want = [r for cc, _, r, _ in turns if cc == c]
-            own = [r.role for r in sorted((r for r in got if r.conv_id == c), key=lambda r: (r.block, r.turn_no))]
+            own = [r.role for r in sorted((r for r in got if r.conv_id == c), key=lambda r: (r.turn_no, r.part))]
             held, right = held + 1, right + (own == want)
     assert held and right / held >= 0.7
-    assert {7000, 7001, 7002} <= {r.conv_id for r in got}
+    assert {7000, 7001, 7002} <= {r.conv_id for r in got} and len({(r.conv_id, r.turn_no, r.part) for r in got}) == len(got)
     assert chat.format_chats(df.limit(0)).count() == 0
