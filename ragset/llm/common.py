@@ -17,12 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset a new one on the one machine of a local session."""
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ragset-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
@@ -39,12 +41,6 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def carried(df: DataFrame, keep: tuple[str, ...]) -> str:
-    """The columns keep of df as the end of a schema string."""
-    kinds = dict(df.dtypes)
-    return "".join(f", {c} {kinds[c]}" for c in keep)
-
-
 def fold(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo; a null key counts as the text ''."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -55,17 +55,9 @@ def isotonic(scored: DataFrame, low: float, high: float) -> tuple[list[float], l
     return [x[i] for i in order], [y[i] for i in order]
 
 
-def calibrated(raw: DataFrame, knots: tuple[list[float], list[float]], default: float) -> DataFrame:
-    """raw with score: the interpolated share of label 1; default where nothing was learned."""
-    x, y = np.array(knots[0]), np.array(knots[1])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            r = batch.column("raw").to_numpy(zero_copy_only=False)
-            s = np.interp(r, x, y) if len(x) else np.full(len(r), default)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], [*batch.schema.names, "score"])
-
-    return raw.mapInArrow(score, ", ".join(f"{n} {t}" for n, t in raw.dtypes) + ", score double")
+def calibrated(raw: np.ndarray, knots: tuple[list[float], list[float]], default: float) -> np.ndarray:
+    """The interpolated share of label 1 at raw; default where nothing was learned."""
+    return np.interp(raw, *knots) if knots[0] else np.full(len(raw), default)
 
 
 def labelled_sample(labels: DataFrame, label: str, learn, most: dict[int, int]) -> tuple[DataFrame, dict[int, int]]:

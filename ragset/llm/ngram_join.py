@@ -14,6 +14,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +26,6 @@ from ragset.llm.shingles import shingle_sets
 SLOTS, BLOCK, MOST_BITS = 1 << 20, 1 << 14, 30
 #: Rows of one shingle that meet in one task of the last round.
 TILE = 1024
-#: Documents up to which the ids to look up are sent to all executors (8 bytes each); beyond, they are joined.
-MAX_SENT = 2_000_000
 
 
 def frequency_sketch(docs: DataFrame, words: int) -> np.ndarray:
@@ -78,14 +77,14 @@ def prefixes(docs: DataFrame, words: int, percent: int, sketch: np.ndarray) -> D
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, g long, prefix array<long>")
 
 
-def met_twice(sets: DataFrame, total: int) -> np.ndarray:
-    """A bit a slot of the hashed prefix shingles: whether two documents or more hold one there; 2^MOST_BITS bits at most."""
-    bits = min(MOST_BITS, max(20, int(total).bit_length() + 2))
+def met(lists: DataFrame, total: int, least: int, spare: int = 2) -> np.ndarray:
+    """A bit a slot of the hashes in the array column v: whether least of them (1 or 2) or more fall there; 2^MOST_BITS bits at most."""
+    bits = min(MOST_BITS, max(20, int(total).bit_length() + spare))
     part = 1 << 18
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = np.sort((np.array(batch.column("prefix").flatten()).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64))
+            slot = np.sort((np.array(batch.column("v").flatten()).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64))
             ranges = np.unique(slot // part)
             cuts = np.searchsorted(slot, [*(ranges * part), 1 << bits])
             rows = [(slot[a:b] % part).astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])]
@@ -97,15 +96,29 @@ def met_twice(sets: DataFrame, total: int) -> np.ndarray:
             for k, v in zip(batch.column("range").to_pylist(), batch.column("v").to_pylist()):
                 got = np.minimum(np.bincount(np.frombuffer(v, "<u4"), minlength=part), 2).astype(np.uint8)
                 seen[k] = np.minimum(seen[k] + got, 2) if k in seen else got
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array([np.packbits(c == 2).tobytes() for c in seen.values()], pa.binary())], ["range", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array([np.packbits(c >= least).tobytes() for c in seen.values()], pa.binary())], ["range", "v"])
 
     out = np.zeros((1 << bits) // 8, np.uint8)
-    counted = sets.select("prefix").mapInArrow(own, "range int, v binary").repartition(max(64, (1 << bits) // part // 16), "range")
+    counted = lists.select("v").mapInArrow(own, "range int, v binary").repartition(max(64, (1 << bits) // part // 16), "range")
     for r in counted.mapInArrow(add, "range int, v binary").collect():
         out[r["range"] * part // 8 : (r["range"] + 1) * part // 8] = np.frombuffer(r["v"], np.uint8)
     return out
 
 
+def possible(keys: DataFrame, by: list[str]) -> Column:
+    """A condition on the columns by: holds for all rows that are in keys, and for few others. What it sends has a fixed bound at any size."""
+    bitmap = met(keys.select(F.array(F.xxhash64(*by)).alias("v")), keys.count(), 1, 4)
+    sent = keys.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def hit(h: pd.Series) -> pd.Series:
+        bits = (len(sent.value) * 8).bit_length() - 1
+        slot = (h.to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+        return pd.Series((sent.value[slot >> 3] >> (7 - (slot & 7)) & 1).astype(bool))
+
+    return hit(F.xxhash64(*by))
+
+
 def prefix_tokens(sets: DataFrame, twice: np.ndarray) -> DataFrame:
     """(token, g, n, pos) of the prefixes' shingles that another document may hold."""
     sent = sets.sparkSession.sparkContext.broadcast(twice)
@@ -129,7 +142,6 @@ def prefix_tokens(sets: DataFrame, twice: np.ndarray) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of documents whose sets are similar enough."""
     ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
-    wanted = F.broadcast(ids) if ids.count() <= MAX_SENT else ids
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +157,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    known = staged(docs.join(wanted, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, s binary"), "sets")
+    known = staged(docs.where(possible(ids, ["doc_id"])).mapInArrow(sets, "doc_id long, s binary"), "sets")
     of = lambda c: known.select(F.col("doc_id").alias(c), F.col("s").alias(f"s{c}"))
     return staged(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(test, "a long, b long"), "links")
 
@@ -180,7 +192,7 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
     # members beside the hub, which is tested first; two sets of one size differ in a shingle each and link only if large enough
     inner = members.where("gid <> rep").where((100 + percent) * (F.col("n") - 1) >= 2 * percent * F.col("n")).select(F.col("g").alias("token"), "rep", "n", F.lit(0).alias("pos"))
     total = named.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
-    own = prefix_tokens(named, met_twice(named, total)).distinct()
+    own = prefix_tokens(named, met(named.select(F.col("prefix").alias("v")), total, 2)).distinct()
     often = own.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("token")
     tokens = staged(own.join(often, "token"), "tokens")
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ragset.llm.common import carried, fold, staged
+from ragset.llm.common import fold, staged
 from ragset.llm.fitting import calibrated, isotonic, labelled_sample, partition_sum
 
 STATS = 24
@@ -52,15 +52,16 @@ def statistics(text: bytes) -> np.ndarray:
     return out
 
 
-def with_statistics(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns keep and stats array<double> of every document; a null text counts as empty."""
+def with_statistics(docs: DataFrame) -> DataFrame:
+    """docs, which has a text, with its statistics, stats array<double>, in place of the text; a null text counts as empty."""
+    others = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stats = [statistics(t or b"") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *keep)), pa.array(stats, pa.list_(pa.float64()))], ["doc_id", *keep, "stats"])
+            stats = [statistics(t.as_py() or b"") for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(stats, pa.list_(pa.float64()))], [*others, "stats"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id long{carried(docs, keep)}, stats array<double>")
+    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, ", ".join(f"{n} {t}" for n, t in docs.dtypes if n != "text") + ", stats array<double>")
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -74,9 +75,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192
     the rows that they stand for; fewer count all, repeated rows each. A row without text is scored as empty. Where the
     fold has no label the score is default. Other columns play no part. An empty table gives no rows.
     """
-    stats = staged(with_statistics(docs, keep), "stats")
     known, _ = labelled_sample(labels, "quality", learn, {0: sample, 1: sample})
-    train = staged(stats.select("doc_id", "stats").join(F.broadcast(known), "doc_id").select("label", "weight", "stats"), "train")
+    sampled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("label", "weight", "text")
+    train = staged(with_statistics(sampled), "train")
     weight = lambda b: np.array(b.column("weight"))
     moments = partition_sum(train, lambda b: np.concatenate([[weight(b).sum()], weight(b) @ (m := _matrix(b)), weight(b) @ (m * m)]), 1 + 2 * STATS)
     n = max(1.0, moments[0])
@@ -101,13 +102,19 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192
     penalty[-1, -1] = 1e-6
     beta = np.linalg.solve(gram + penalty, rhs)
 
-    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            others = [c for c in batch.schema.names if c != "stats"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(phi(batch) @ beta)], [*others, "raw"])
+    def scorer(name: str, knots=None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                others = [c for c in batch.schema.names if c != "stats"]
+                raw = phi(batch) @ beta if batch.num_rows else np.zeros(0)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(raw if knots is None else calibrated(raw, knots, default))], [*others, name])
+
+        return run
 
-    knots = isotonic(train.mapInArrow(raw, "label int, weight double, raw double"), -0.5, 1.5) if moments[0] else ([], [])
-    return calibrated(stats.mapInArrow(raw, f"doc_id long{carried(stats, keep)}, raw double"), knots, default).select("doc_id", *keep, "score")
+    knots = isotonic(train.mapInArrow(scorer("raw"), "label int, weight double, raw double"), -0.5, 1.5) if moments[0] else ([], [])
+    rows = with_statistics(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).alias(f"kept_{c}") for c in keep), "text"))
+    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "stats") + ", score double"
+    return rows.mapInArrow(scorer("score", knots), schema).select("doc_id", *(F.col(f"kept_{c}").alias(c) for c in keep), "score")
 
 
 def quality_query(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

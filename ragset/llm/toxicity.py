@@ -21,14 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ragset.llm.common import carried, fold, staged
+from ragset.llm.common import fold, staged
 from ragset.llm.fitting import calibrated, isotonic, labelled_sample
 from ragset.llm.tokens import slices
 
 SPAN, DECAY, POWER, SYMBOLS = 6, 0.5, 3, 64
 #: Words of a sentence at most; longer ones are cut. Words whose values a worker remembers. Rows handled together.
 LONGEST_SENTENCE, MAX_WORDS, ROWS = 32, 400_000, 256
-#: Values of the kernel with a landmark below NEGLIGIBLE count as none when scoring, and so do words worth less than LEAST.
+#: Values of the kernel with a landmark below NEGLIGIBLE count as none, and when scoring so do words worth less than LEAST
+#: or, where no word is worth much, a tenth of the most that a landmark is worth.
 NEGLIGIBLE, LEAST = 0.01, 0.3
 #: Sentences of a clean document that are taken as mistakes at most.
 WORST = 4
@@ -157,6 +158,7 @@ class Machine:
 
     def __init__(self, marks: Landmarks, weight: np.ndarray, bias: float):
         self.marks, self.weight, self.bias = marks, weight.astype(np.float32), float(bias)
+        self.least = min(LEAST, 0.1 * max(1e-6, float((marks.kernel(marks.words) @ self.weight).max(initial=0.0))))
         # no word is worth more than most^2 * slope, summed over its triples: a kernel with a landmark is at most `most`
         good = self.weight[marks.row] > 0
         key = np.repeat(np.arange(SYMBOLS**3), np.diff(marks.first))[good]
@@ -165,16 +167,16 @@ class Machine:
         np.add.at(self.slope, key, marks.val[good] * self.weight[marks.row][good])
 
     def worth(self, words: list[str]) -> dict[str, float]:
-        """The words worth LEAST or more."""
+        """The words worth self.least or more."""
         out = {}
         for a, b in slices(len(words), 1000):
             part = words[a:b]
             row, key, val = occurrences(part)
             norm = np.maximum(1e-9, np.sqrt(np.bincount(row, np.square(val), len(part))))
             bound = (np.bincount(row, val * self.most[key], len(part)) / norm) ** (POWER - 1) * np.bincount(row, val * self.slope[key], len(part)) / norm
-            near = [part[i] for i in np.flatnonzero(bound >= LEAST * 0.999)]
+            near = [part[i] for i in np.flatnonzero(bound >= self.least * 0.999)]
             if near:
-                out.update((w, v) for w, v in zip(near, (self.marks.kernel(near) @ self.weight).tolist()) if v >= LEAST)
+                out.update((w, v) for w, v in zip(near, (self.marks.kernel(near) @ self.weight).tolist()) if v >= self.least)
         return out
 
 
@@ -357,9 +359,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 2
     their doc_id. An empty or null text has no words and scores as its sentence without words. Where the fold has no
     label 1 the score is default. Other columns play no part. An empty table gives no rows.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, "text")
+    kept = [F.col(c).alias(f"kept_{c}") for c in keep]
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *kept, "text")
     known, n = labelled_sample(labels, "toxic", learn, {1: sample, 0: 8 * sample})
-    none = texts.select("doc_id", *keep, F.lit(float(default)).alias("score"))
+    back = ["doc_id", *(F.col(f"kept_{c}").alias(c) for c in keep)]
+    none = texts.select(*back, F.lit(float(default)).alias("score"))
     if not n.get(1):
         return none
     train = staged(texts.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.monotonically_increasing_id().alias("n"), "label", "weight", "order", "text"), "toxic-train")
@@ -369,16 +373,21 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 2
         return none
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Scorer(sent.value)
-        for batch in batches:
-            for a, b in slices(batch.num_rows, ROWS):
-                part = batch.slice(a, b - a)
-                others = [c for c in part.schema.names if c != "text"]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(score(part.column("text").to_pylist()), pa.float64())], [*others, "raw"])
-
-    knots = isotonic(train.select("label", "weight", "text").mapInArrow(raw, "label int, weight double, raw double"), -3.0, 3.0)
-    return calibrated(texts.mapInArrow(raw, f"doc_id long{carried(texts, keep)}, raw double"), knots, default).select("doc_id", *keep, "score")
+    def scorer(name: str, knots=None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            score = Scorer(sent.value)
+            for batch in batches:
+                for a, b in slices(batch.num_rows, ROWS):
+                    part = batch.slice(a, b - a)
+                    others = [c for c in part.schema.names if c != "text"]
+                    raw = np.array(score(part.column("text").to_pylist()), float)
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(raw if knots is None else calibrated(raw, knots, default))], [*others, name])
+
+        return run
+
+    knots = isotonic(train.select("label", "weight", "text").mapInArrow(scorer("raw"), "label int, weight double, raw double"), -3.0, 3.0)
+    schema = ", ".join(f"{n} {t}" for n, t in texts.dtypes if n != "text") + ", score double"
+    return texts.mapInArrow(scorer("score", knots), schema).select(*back, "score")
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ragset.llm import chat, media, mixing, nearest, ngram_join, packing, pieces, quality, records, tokens, toxicity
+from ragset.llm import chat, fitting, media, mixing, nearest, ngram_join, packing, pieces, quality, records, tokens, toxicity
 from ragset.llm.common import fold, new_dir
 from ragset.llm.graph import components
 from ragset.llm.shingles import shingle_sets
@@ -332,6 +332,64 @@ def accuracy(got, truth):
     return sum(r.predicted == truth[r.doc_id] for r in held) / len(held)
 
 
+def test_isotonic_against_every_step(spark):
+    rows = [(RNG.random() * 2 - 0.5, RNG.randrange(2), RNG.choice([1.0, 3.0])) for _ in range(60)]
+    x, y = fitting.isotonic(spark.createDataFrame(rows, "raw double, label int, weight double"), -0.5, 1.5)
+    rows.sort()
+    step = 2.0 / (fitting.BINS - 1)
+    sums = {}
+    for r, label, w in rows:
+        b = math.floor((r + 0.5) / 2.0 * (fitting.BINS - 1))
+        p, n = sums.get(b, (0.0, 0.0))
+        sums[b] = (p + w * label, n + w)
+    bins = sorted(sums)
+    for i, b in enumerate(bins):  # the fit at a bin: the largest over starts of the least mean over ends
+        mean = lambda a, c: sum(sums[k][0] for k in bins[a : c + 1]) / sum(sums[k][1] for k in bins[a : c + 1])
+        want = max(min(mean(a, c) for c in range(i, len(bins))) for a in range(i + 1))
+        assert math.isclose(np.interp(-0.5 + b * step, x, y), want, abs_tol=1e-9)
+
+
+def test_quality_against_one_matrix(spark):
+    rows = [(i, prose(RNG.randrange(3, 40)) + ("!!!" if i % 3 == 0 else ""), i % 3 > 0) for i in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, _, y in rows], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality.score_quality(docs, labels, F.lit(True), features=16).collect()}
+    m = np.array([quality.statistics(t.encode()) for _, t, _ in rows])
+    y = np.array([float(v) for *_, v in rows])
+    scale = np.sqrt(np.maximum((m * m).mean(0) - m.mean(0) ** 2, 1e-8)) + 1e-3
+    rng = np.random.default_rng(8)
+    w, shift = rng.normal(size=(quality.STATS, 16)) / 4.0, rng.uniform(0, 2 * np.pi, 16)
+    f = np.c_[np.sqrt(2 / 16) * np.cos(np.clip((m - m.mean(0)) / scale, -6, 6) @ w + shift), np.ones(len(m))]
+    penalty = np.eye(17) * (1e-3 * len(m) + 1e-6)
+    penalty[-1, -1] = 1e-6
+    raw = f @ np.linalg.solve(f.T @ f + penalty, f.T @ y)
+    order = np.argsort(raw)
+    scores = np.array([got[i] for i in range(120)])[order]
+    assert (np.diff(scores) >= -1e-9).all()  # the same order as the plain solution's
+    assert abs(scores.mean() - y.mean()) < 0.05
+
+
+def test_subsequences_against_an_enumeration():
+    for word in ("idiot", "a", "aa", "abcab", "été", "x" * 9):
+        s, want = [1, *(ord(c) - 95 if "a" <= c <= "z" else 28 + ord(c) % 36 for c in word), 1], Counter()
+        for i, j, k in itertools.combinations(range(len(s)), 3):
+            if k - i < toxicity.SPAN:
+                want[(s[i] * 64 + s[j]) * 64 + s[k]] += toxicity.DECAY ** (k - i - 2)
+        row, key, val = toxicity.triples([word, "other"])
+        norm = math.sqrt(sum(v * v for v in want.values()))
+        assert {k: round(v, 9) for r, k, v in zip(row, key, val) if r == 0} == {k: round(v / norm, 9) for k, v in want.items()}
+
+
+def test_worth_of_words_leaves_none_out():
+    words = sorted({"".join(RNG.choice("abcdeio") for _ in range(RNG.randrange(1, 12))) for _ in range(800)})
+    marks = toxicity.Landmarks(words[:40])
+    weight = np.random.default_rng(3).normal(size=40) * 2
+    got = toxicity.Machine(marks, weight, -1.0).worth(words)
+    plain = marks.kernel(words) @ weight
+    assert set(got) == {w for w, v in zip(words, plain) if v >= toxicity.Machine(marks, weight, -1.0).least} and len(got) > 5
+    assert all(abs(plain[words.index(w)] - v) < 1e-4 for w, v in got.items())
+
+
 def test_quality(spark, none):
     docs, labels, truth = labelled(spark, lambda i: (prose(50), 1) if i % 3 else (" ".join(w.upper() + "!!" for w in prose(50).split()), 0))
     got = quality.quality_query(docs, labels).collect()

@@ -1,18 +1,52 @@
+import itertools
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
+from ragset.llm import packing, tokens
 from ragset.llm.common import staged, table
+from ragset.llm.quality import quality_query
+from ragset.llm.toxicity import toxicity_query
 
 DATA = "/root/testdata/sf0.001"
 
 
+def first_of_copies(rows):
+    """By brute force: of each group of documents linked by four fifths of their five-word shingles the smallest doc_id."""
+    sets = {r.doc_id: (lambda w: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())((r.text or "").encode().lower().split()) for r in rows}
+    group = {i: i for i in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 5 * both >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
+            low, high = sorted((group[a], group[b]))
+            group = {k: low if v == high else v for k, v in group.items()}
+    return {i for i, g in group.items() if i == g}
+
+
 def test_stages_keep_the_columns_and_agree_with_run(spark):
     docs = table(spark, DATA, "documents")
     names, kept = docs.columns, [docs.count()]
     for name, stage in P.STAGES[:-1]:
-        docs = staged(stage(spark, docs, DATA), name)
+        before, docs = docs, staged(stage(spark, docs, DATA), name)
         assert docs.columns == names
         kept.append(docs.count())
+        if name != "near_copies":
+            query, bad = (quality_query, 0) if name == "quality" else (toxicity_query, 1)
+            gone = {r.doc_id for r in query(before, table(spark, DATA, "labels")).where(F.col("predicted") == bad).collect()}
+            assert {r.doc_id for r in docs.collect()} == {r.doc_id for r in before.collect()} - gone
+        else:
+            assert {r.doc_id for r in docs.collect()} == first_of_copies(before.collect())
     assert kept == sorted(kept, reverse=True) and kept[-1] > 0
     rows = P.STAGES[-1][1](spark, docs, DATA).collect()
+    from tokenizers import Tokenizer
+
+    library, sizes = Tokenizer.from_file(tokens.public_path("byte_bpe_50k.json")), packing.class_sizes(2048)
+    for d in docs.collect():
+        ids = np.array([*library.encode(d.text or "", add_special_tokens=False).ids, 1], "<u4")
+        want = sorted((s, n, zlib.crc32(ids[s : s + n].tobytes())) for s, n in packing.cut(len(ids), 2048, sizes))
+        assert sorted((r.start, r.length, r.ids_crc32) for r in rows if r.doc_id == d.doc_id) == want
     assert {r.doc_id for r in rows} == {r.doc_id for r in docs.select("doc_id").collect()}
 
 
