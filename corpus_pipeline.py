@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ragset.llm.common import staged, table
-from ragset.llm.ngram_join import MAX_SENT, ngram_join
+from ragset.llm.ngram_join import ngram_join, possible
 from ragset.llm.packing import pack_documents
 from ragset.llm.quality import quality_query
 from ragset.llm.toxicity import toxicity_query
@@ -28,21 +28,26 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def without(docs: DataFrame, gone: DataFrame, *by: str) -> DataFrame:
-    """docs without the rows whose columns by are in gone (null is in none); gone goes to all executors only if it is small."""
+    """docs without the rows whose columns by are in gone (null is in none). Only rows that may be in gone are joined, whatever their number."""
     gone = staged(gone.select(*by).distinct(), "gone")
-    return docs.join(F.broadcast(gone) if gone.count() <= MAX_SENT else gone, list(by), "left_anti").select(docs.columns)
+    hit = possible(gone, list(by))
+    return docs.where(~hit).union(docs.where(hit).join(gone, list(by), "left_anti").select(docs.columns))
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality classifier does not reject; other rows of a rejected row's doc_id, or without one, stay."""
-    rows = keyed(docs)
-    return without(rows, quality_query(rows, table(spark, sf_dir, "labels"), KEY).where("predicted = 0"), *KEY).drop(*KEY)
+    """Rows that the quality classifier does not reject; each row is judged by itself and carries its columns along."""
+    return _judged(docs, quality_query, table(spark, sf_dir, "labels"), 0)
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the toxicity classifier does not reject; other rows of a rejected row's doc_id, or without one, stay."""
-    rows = keyed(docs)
-    return without(rows, toxicity_query(rows, table(spark, sf_dir, "labels"), KEY).where("predicted = 1"), *KEY).drop(*KEY)
+    """Rows that the toxicity classifier does not reject; each row is judged by itself and carries its columns along."""
+    return _judged(docs, toxicity_query, table(spark, sf_dir, "labels"), 1)
+
+
+def _judged(docs: DataFrame, classify, labels: DataFrame, bad: int) -> DataFrame:
+    """docs without the rows that classify predicts as bad; columns keep their names, types and order."""
+    named = docs.select("doc_id", "text", F.struct(*docs.columns).alias("whole"))
+    return classify(named, labels, keep=("whole",)).where(F.col("predicted") != bad).select("whole.*")
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
