@@ -25,12 +25,14 @@ from ragset.llm.common import fold, staged
 from ragset.llm.fitting import calibrated, isotonic, labelled_sample
 from ragset.llm.tokens import slices
 
-SPAN, DECAY, POWER, SYMBOLS = 6, 0.5, 3, 64
+SPAN, DECAY, POWER, SYMBOLS = 5, 0.5, 3, 64
 #: Words of a sentence at most; longer ones are cut. Words whose values a worker remembers. Rows handled together.
 LONGEST_SENTENCE, MAX_WORDS, ROWS = 32, 400_000, 256
 #: Values of the kernel with a landmark below NEGLIGIBLE count as none, and when scoring so do words worth less than LEAST
 #: or, where no word is worth much, a tenth of the most that a landmark is worth.
 NEGLIGIBLE, LEAST = 0.01, 0.3
+#: Texts whose words would stay below this decision even all in one sentence count by their worst word.
+FLOOR = -1.0
 #: Sentences of a clean document that are taken as mistakes at most.
 WORST = 4
 _GAPS = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
@@ -48,7 +50,7 @@ def tokens_of(text: str) -> list[str]:
 def joined_letters(tokens: list[str]) -> list[str]:
     """Runs of three or more single letters, joined."""
     out: list[str] = []
-    if list(map(len, tokens)).count(1) > 2:
+    if b"\1\1\1" in bytes(map((255).__and__, map(len, tokens))):
         run = ""
         for t in [*tokens, ""]:
             if len(t) == 1:
@@ -129,7 +131,7 @@ class Landmarks:
     def kernel(self, words: list[str]) -> np.ndarray:
         """The kernel of each word with each landmark."""
         out = np.zeros((len(words), len(self.words)), np.float32)
-        for a, b in slices(len(words), 400):
+        for a, b in slices(len(words), 1000):
             row, key, val = triples(words[a:b])
             count = self.first[key + 1] - self.first[key]
             at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - self.first[key], count)
@@ -173,7 +175,7 @@ class Machine:
             part = words[a:b]
             row, key, val = occurrences(part)
             norm = np.maximum(1e-9, np.sqrt(np.bincount(row, np.square(val), len(part))))
-            bound = (np.bincount(row, val * self.most[key], len(part)) / norm) ** (POWER - 1) * np.bincount(row, val * self.slope[key], len(part)) / norm
+            bound = np.minimum(1, np.bincount(row, val * self.most[key], len(part)) / norm) ** (POWER - 1) * np.bincount(row, val * self.slope[key], len(part)) / norm
             near = [part[i] for i in np.flatnonzero(bound >= self.least * 0.999)]
             if near:
                 out.update((w, v) for w, v in zip(near, (self.marks.kernel(near) @ self.weight).tolist()) if v >= self.least)
@@ -258,7 +260,7 @@ def sentence_features(train: DataFrame, marks: Landmarks, model: Machine | None
     return rows.column("n").to_numpy(), rows.column("label").to_numpy(), x
 
 
-def machine(x: np.ndarray, y: np.ndarray, weights: np.ndarray, gram: np.ndarray, cost: float, beta: np.ndarray | None = None, most: int = 12) -> np.ndarray:
+def machine(x: np.ndarray, y: np.ndarray, weights: np.ndarray, gram: np.ndarray, cost: float, beta: np.ndarray | None = None, most: int = 8) -> np.ndarray:
     """Weights a landmark and bias of the squared-hinge machine with the landmarks' kernel as its norm, by Newton steps."""
     reg = np.zeros((x.shape[1], x.shape[1]))
     reg[:-1, :-1] = (gram + 1e-3 * np.eye(len(gram))) / cost
@@ -272,7 +274,7 @@ def machine(x: np.ndarray, y: np.ndarray, weights: np.ndarray, gram: np.ndarray,
             left += (part * w[:, None].astype(np.float32)).T @ part
             right += part.T @ (w * own)
         new = np.linalg.solve(left, right)
-        if np.abs(new - beta).max() < 1e-4:
+        if np.abs(new - beta).max() < 1e-3:
             return new
         beta = new
     return beta
@@ -309,7 +311,9 @@ def fit(train: DataFrame, n_toxic: int, n_clean: int, few: int, landmarks: int,
             # sentences of all clean documents that the machine takes for toxic or nearly so
             _, _, more = sentence_features(train.where((F.col("label") == 0) & (F.col("order") >= few)), marks, Machine(marks, beta[:-1], beta[-1]), -0.4)
             x, y, weights, toxic = np.concatenate([x, more]), np.append(y, -np.ones(len(more))), np.append(weights, np.ones(len(more))), np.append(toxic, np.zeros(len(more), bool))
-    return Machine(marks, beta[:-1], beta[-1])
+    # landmarks of next to no weight change no decision
+    heavy = np.flatnonzero(np.abs(beta[:-1]) >= 0.05 * np.abs(beta[:-1]).max())
+    return Machine(Landmarks([chosen[i] for i in heavy]), beta[:-1][heavy], beta[-1])
 
 
 class Scorer:
@@ -341,10 +345,11 @@ class Scorer:
         self._learn(new)
         value, out = self.value, []
         for text, row in zip(texts, rows):
-            most = 0.0
-            if not value.keys().isdisjoint(row):
-                most = max((sum(value.get(t, 0.0) for t in s) for s in sentences(text)), default=0.0)
-            out.append(max(0.0, most) + self.model.bias)
+            own = [value[t] for t in value.keys() & row]
+            most = max(own, default=0.0)
+            if len(own) > 1 and sum(own) + self.model.bias > FLOOR:
+                most = max(sum(value.get(t, 0.0) for t in s) for s in sentences(text))
+            out.append(most + self.model.bias)
         if len(self.known) > MAX_WORDS:  # the early, frequent tokens stay
             self.known -= new
             for t in new:
@@ -352,16 +357,16 @@ class Scorer:
         return out
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 256, sample: int = 1500, default: float = 0.0, keep: tuple[str, ...] = ()) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 256, sample: int = 1200, default: float = 0.0, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns keep and score in 0..1 of every row of docs, learned from the labelled rows for which the column learn holds.
 
-    The labelled rows to learn from are bounded: about sample of label 1 and 8 * sample of label 0, picked by a hash of
+    The labelled rows to learn from are bounded: about sample of label 1 and 4 * sample of label 0, picked by a hash of
     their doc_id. An empty or null text has no words and scores as its sentence without words. Where the fold has no
     label 1 the score is default. Other columns play no part. An empty table gives no rows.
     """
     kept = [F.col(c).alias(f"kept_{c}") for c in keep]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *kept, "text")
-    known, n = labelled_sample(labels, "toxic", learn, {1: sample, 0: 8 * sample})
+    known, n = labelled_sample(labels, "toxic", learn, {1: sample, 0: 4 * sample})
     back = ["doc_id", *(F.col(f"kept_{c}").alias(c) for c in keep)]
     none = texts.select(*back, F.lit(float(default)).alias("score"))
     if not n.get(1):
