@@ -29,7 +29,7 @@ def c2_parse_chunk_records(s, d):
     f = ["chunk_id", "chunk_type", "content", "artifact", "status"]
     full = F.concat(*[x for n in f for x in (F.lit(f"<{n}>"), F.col(n), F.lit("<|#|>"))], F.lit("<chunk_end>"))
     short = F.concat(F.lit("<chunk_id>"), F.col("chunk_id"), F.lit("<|#|>broken<chunk_end>"))
-    r = chunks(s, d).where("content not like '%<%'").select("file_name", F.col("w"), F.when(F.col("w") % 4 == 3, short).otherwise(full).alias("reply"))
+    r = chunks(s, d).select("file_name", F.col("w"), F.when(F.col("w") % 4 == 3, short).otherwise(full).alias("reply"))
     p = C.parse_chunk_records(r)
     return p.select("file_name", "w", "chunk_id", F.when(F.col("well_formed"), F.col("chunk_type")).alias("chunk_type"), F.when(F.col("well_formed"), F.col("status")).alias("status"), "well_formed")
 
@@ -82,7 +82,7 @@ def p2_file_chunk_stats(s, d):
 def p3_dataset_rollup(s, d):
     """Chunk statistics of files against page counts of every second file."""
     stats = C.file_chunk_stats(chunks(s, d), "dataset", "file_name")
-    pages = docs(s, d).where("doc_id % 2 = 0").select("file_name", F.col("dataset").alias("page_dataset"), C.page_estimate(F.col("text")).alias("pages"))
+    pages = docs(s, d).select("file_name", F.col("dataset").alias("page_dataset"), C.page_estimate(F.col("text")).alias("pages"))
     both = stats.join(pages, "file_name", "full_outer").groupBy(F.coalesce("dataset", "page_dataset").alias("dataset"))
     a = both.agg(F.count("*").alias("files"), F.coalesce(F.sum("chunks"), F.lit(0)).alias("chunks"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("pages"), F.lit(0)).alias("pages"))
     return a.withColumn("chunks_per_file", F.round(F.col("chunks") / F.col("files"), 6)).withColumn("tokens_per_page", F.round(F.when(F.col("pages") > 0, F.col("tokens") / F.col("pages")).otherwise(0.0), 6))
@@ -118,7 +118,7 @@ def p10_artifact_counts(s, d):
 
 def p11_match_files(s, d):
     """A page matches the first document whose number its own ends with."""
-    p = read(s, d, "pages").select("page_id", F.concat(F.lit("DOC_"), F.lpad(F.col("page_id").cast("string"), 8, "0"), F.lit("_REF")).alias("source"))
+    p = read(s, d, "pages").select("page_id", F.concat(F.lit("DOC_"), F.lpad(F.col("page_id").cast("string"), 20, "0"), F.lit("_REF")).alias("source"))
     return match_files(p, docs(s, d).select("file_name"))
 
 
@@ -210,7 +210,7 @@ def s2_list_documents(s, d):
 
 SQLS = {
     "c1_char_windows": sql("SELECT file_name, w, length(content) AS n_chars, md5(content) AS content_md5 FROM windows", "windows"),
-    "c2_parse_chunk_records": sql("SELECT file_name, w, chunk_id, CASE WHEN w % 4 <> 3 THEN chunk_type END AS chunk_type, CASE WHEN w % 4 <> 3 THEN status END AS status, w % 4 <> 3 AS well_formed FROM chunks WHERE content NOT LIKE '%<%'", "chunks"),
+    "c2_parse_chunk_records": sql("SELECT file_name, w, chunk_id, CASE WHEN w % 4 <> 3 THEN chunk_type END AS chunk_type, CASE WHEN w % 4 <> 3 THEN status END AS status, w % 4 <> 3 AS well_formed FROM chunks", "chunks"),
     "c3_backfill_artifact": sql("SELECT file_name, w, CASE WHEN w % 3 = 2 AND artifact <> 'None' THEN artifact WHEN artifact <> 'None' THEN artifact || ' ' || artifact ELSE 'None' END AS artifact FROM chunks", "chunks"),
     "c6_block_type": sql("SELECT chunk_type, CASE WHEN chunk_type = 'index' THEN 'text' ELSE chunk_type END AS found_type, count(*) AS n FROM chunks GROUP BY 1, 2", "chunks"),
     "r7_ingest_stream": sql("SELECT dataset, count(*) AS windows, count(DISTINCT doc_id) AS documents FROM windows GROUP BY 1", "windows"),
@@ -221,14 +221,14 @@ SQLS = {
     "p2_file_chunk_stats": sql(f"SELECT file_name, {STAT_SQL} FROM {FLAGGED} GROUP BY 1", "chunks"),
     "p3_dataset_rollup": sql(f"""SELECT *, round(chunks / files, 6) AS chunks_per_file, round(CASE WHEN pages > 0 THEN tokens / pages ELSE 0 END, 6) AS tokens_per_page FROM (
         SELECT coalesce(a.dataset, b.dataset) AS dataset, count(*) AS files, CAST(coalesce(sum(chunks), 0) AS BIGINT) AS chunks, CAST(coalesce(sum(tokens), 0) AS BIGINT) AS tokens, CAST(coalesce(sum(pages), 0) AS BIGINT) AS pages
-        FROM (SELECT dataset, file_name, {STAT_SQL} FROM {FLAGGED} GROUP BY 1, 2) a FULL JOIN (SELECT file_name, dataset, greatest(1, len(regexp_extract_all(text, '{W}')) // 2500, length(text) // 13000) AS pages FROM docs WHERE doc_id % 2 = 0) b USING (file_name) GROUP BY 1)""", "chunks"),
+        FROM (SELECT dataset, file_name, {STAT_SQL} FROM {FLAGGED} GROUP BY 1, 2) a FULL JOIN (SELECT file_name, dataset, greatest(1, len(regexp_extract_all(text, '{W}')) // 2500, length(text) // 13000) AS pages FROM docs) b USING (file_name) GROUP BY 1)""", "chunks"),
     "p4_datasets_total": sql(f"SELECT coalesce(dataset, 'TOTAL') AS dataset, {STAT_SQL} FROM {FLAGGED} GROUP BY ROLLUP (dataset)", "chunks"),
     "p5_corpus_stats": sql(f"""SELECT count(*) AS total, count(*) FILTER (WHERE chunk_type = 'table') AS tables, count(*) FILTER (WHERE chunk_type = 'standalone image') AS standalone_images, count(*) FILTER (WHERE chunk_type NOT IN ('table', 'standalone image')) AS texts,
         count(*) FILTER (WHERE artifact <> 'None') AS multimodal, CAST(sum({TOK}) AS BIGINT) AS tokens, round(avg({TOK}), 6) AS mean_tokens, count(DISTINCT file_name) AS files FROM chunks""", "chunks"),
     "p6_page_estimate": rf"SELECT page_id, greatest(1, len(regexp_extract_all(t, '{W}')) // 2500, length(t) // 13000) AS pages, len(regexp_extract_all(t, '{W}')) AS words FROM (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '[ \t\n\r\f\x0b]+', ' ', 'g')) AS t FROM pages)",
     "s7_html_to_text": r"SELECT page_id, md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '[ \t\n\r\f\x0b]+', ' ', 'g'))) AS text_md5 FROM pages",
     "p10_artifact_counts": sql("SELECT file_name, count(DISTINCT artifact || file_name) AS images FROM chunks WHERE artifact <> 'None' GROUP BY ROLLUP (file_name)", "chunks"),
-    "p11_match_files": sql("SELECT page_id, min(file_name) AS file_name FROM pages JOIN docs ON contains('doc_' || lpad(CAST(page_id AS VARCHAR), 8, '0') || '_ref', file_name) GROUP BY 1", "docs"),
+    "p11_match_files": sql("SELECT page_id, min(file_name) AS file_name FROM pages JOIN docs ON contains('doc_' || lpad(CAST(page_id AS VARCHAR), 20, '0') || '_ref', file_name) GROUP BY 1", "docs"),
     "e11_image_refs": sql("SELECT file_name, chunk_id, 'base/' || file_name || '/' || regexp_extract(artifact, '\\(([^)]+)\\)', 1) AS image_path, CAST(1 AS BIGINT) AS n_images FROM chunks WHERE artifact <> 'None'", "chunks"),
     "e12_has_image": sql("SELECT artifact <> 'None' AS has_image, count(*) AS n FROM chunks GROUP BY 1", "chunks"),
     "q9_filter_chunks_by_type": sql("SELECT qa_type, chunk_type, count(*) AS n FROM (SELECT 'multihop' AS qa_type, chunk_type FROM chunks UNION ALL SELECT CASE WHEN artifact <> 'None' THEN 'multimodal' ELSE 'text' END, chunk_type FROM chunks) GROUP BY 1, 2", "chunks"),

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from ragset.operators import metrics as E
 from ragset.operators import replies as P
 from ragset.operators import seams
-from ragset.sources.tables import chunks, claims, docs, lineage, qa, read, sql, vectors
+from ragset.sources.tables import chunks, claims, lineage, qa, read, sql, vectors
 
 
 def v1_to_eval_rows(s, d):
     """Contexts in order, with the number of their characters."""
-    text = docs(s, d).select("file_name", F.substring("text", 1, 1000).alias("content"))
-    r = lineage(s, d).join(text, "file_name").groupBy("qa_id").agg(F.array_sort(F.collect_list(F.struct("i", "content"))).alias("x"))
+    r = lineage(s, d).join(chunks(s, d).select("file_name", "chunk_id", "content"), ["file_name", "chunk_id"]).groupBy("qa_id").agg(F.array_sort(F.collect_list(F.struct("i", "content"))).alias("x"))
     e = qa(s, d).join(r, "qa_id", "left")
     return e.select("qa_id", F.md5(F.col("answer").cast("binary")).alias("ground_truth_md5"), F.coalesce(F.size("x"), F.lit(0)).cast("long").alias("n_contexts"), F.md5(F.coalesce(F.array_join(F.transform("x", lambda c: c["content"]), "\n"), F.lit("")).cast("binary")).alias("contexts_md5"))
 
@@ -30,12 +29,12 @@ def v2_parse_claims(s, d):
 def v3_parse_verdicts(s, d):
     """Replies label the first two claims and leave the others to their lines."""
     n = claims(s, d).groupBy("qa_id").agg(F.count("*").alias("n"))
-    r = n.withColumn("reply", F.when(F.col("qa_id") % 2 == 0, "CLAIM_1: SUPPORTED\nCLAIM_2: NOT_SUPPORTED\nSUPPORTED").otherwise("NOT_SUPPORTED\nSUPPORTED"))
+    r = n.withColumn("reply", F.when(F.col("qa_id") % 2 == 0, "claim_1: Supported\nCLAIM_2: NOT_SUPPORTED\nsupported\nClaim_1: NOT_SUPPORTED").otherwise("NOT_SUPPORTED\nSUPPORTED"))
     return P.claim_verdicts(r, "qa_id", "reply", "n")
 
 
 def v4_faithfulness(s, d):
-    return E.supported_share(qa(s, d), claims(s, d).where("qa_id % 10 <> 4")).select("qa_id", F.round("score", 6).alias("score"))
+    return E.supported_share(qa(s, d), claims(s, d)).select("qa_id", F.round("score", 6).alias("score"))
 
 
 def _relevance(s, d):
@@ -74,7 +73,7 @@ def v8_multimodal_relevance(s, d):
 
 
 def _labels(s, d):
-    words = F.array(*map(F.lit, ["CANNOT_ANSWER", "MATCH: YES", "Match PARTIAL", "no idea", "ERROR: x"]))
+    words = F.array(*map(F.lit, ["CANNOT_ANSWER", "Match: Yes", "MATCH: PARTIAL - half", "MATCH: NO, though yes in part", "ERROR: x"]))
     return qa(s, d).select("qa_id", F.element_at(words, (F.pmod("qa_id", F.lit(5)) + 1).cast("int")).alias("label"))
 
 
@@ -87,17 +86,18 @@ def v9_context_necessity(s, d):
 
 
 def v10_multihop_reasoning(s, d):
+    """Questions by the hops that the judge counts, their mean score, and how many name a bridge."""
     r = lineage(s, d).groupBy("qa_id").agg(F.max("hop_count").alias("h"))
-    reply = F.when(F.col("qa_id") % 2 == 0, F.concat(F.lit("HOP_COUNT: "), F.col("h").cast("string"))).otherwise(F.concat(F.lit("Hop Count<|#|>"), F.col("h").cast("string")))
-    hops = F.coalesce(F.regexp_extract(reply, r"(?i)hop[_ ]count(?::|<\|#\|>)\s*([0-9]+)", 1).try_cast("long"), F.lit(1))
-    return r.groupBy(hops.alias("hops")).agg(F.count("*").alias("n"))
+    full = F.concat(F.lit("HOP_COUNT: "), F.col("h").cast("string"), F.lit("\nREASONING_SCORE: "), (F.col("qa_id") % 13 / 10).cast("string"), F.lit("\nBRIDGE_ENTITY: river \nend"))
+    reply = F.when(F.col("qa_id") % 3 == 0, full).when(F.col("qa_id") % 3 == 1, "no idea").otherwise("ERROR: late")
+    m = E.multihop_reasoning(r.withColumn("reply", reply))
+    return m.groupBy(F.col("hop_count").alias("hops")).agg(F.count("*").alias("n"), F.round(F.avg("reasoning_score"), 6).alias("score"), F.count_if(~F.col("bridge_entity").isin("None", "Error")).alias("bridges"))
 
 
 def v11_visual_dependency(s, d):
-    words = F.array(*map(F.lit, ["ESSENTIAL", "HELPFUL", "NONE", "MISSING_VISUAL"]))
+    words = F.array(*map(F.lit, ["Verdict: VISUAL_ESSENTIAL", "visual_helpful", "TEXT_SUFFICIENT", "MISSING_VISUAL"]))
     x = qa(s, d).select(F.element_at(words, (F.pmod("qa_id", F.lit(4)) + 1).cast("int")).alias("label"))
-    score = F.when(F.col("label").isin("ESSENTIAL", "MISSING_VISUAL"), 1.0).when(F.col("label") == "HELPFUL", 0.5).otherwise(0.0)
-    return x.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg(score), 6).alias("score"))
+    return x.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg(E.visual_dependency(F.col("label"))), 6).alias("score"))
 
 
 def v12_semantic_diversity(s, d):
@@ -186,7 +186,7 @@ def s8_html_to_markdown(s, d):
     return m.select("page_id", F.length("markdown").cast("long").alias("n_chars"), F.regexp_count("markdown", F.lit(r"(?m)^#+ ")).cast("long").alias("headings"))
 
 
-FAITH = "faith AS (SELECT qa_id, round(coalesce(avg(CASE WHEN supported THEN 1.0 WHEN NOT supported THEN 0.0 END), 1), 6) AS f FROM qa LEFT JOIN (SELECT * FROM claims WHERE qa_id % 10 <> 4) USING (qa_id) GROUP BY 1)"
+FAITH = "faith AS (SELECT qa_id, round(coalesce(avg(CASE WHEN supported THEN 1.0 WHEN NOT supported THEN 0.0 END), 1), 6) AS f FROM qa LEFT JOIN claims USING (qa_id) GROUP BY 1)"
 PREC = "prec AS (SELECT qa_id, round(coalesce(avg(CASE WHEN rel = 1 THEN run / k END), 0), 6) AS p FROM (SELECT *, sum(rel) OVER (PARTITION BY qa_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT qa_id, i + 1 AS k, CASE WHEN (qa_id + i + 1) % 2 = 0 THEN 1 ELSE 0 END AS rel FROM lineage)) GROUP BY 1)"
 RELV = "relv AS (SELECT qa_id, round(greatest(0, least(1, list_cosine_similarity(a.v, b.v))), 6) AS r FROM qa JOIN vectors a ON a.vec_id = qa_id % (SELECT count(*) FROM vectors) JOIN vectors b ON b.vec_id = (qa_id * 3 + 1) % (SELECT count(*) FROM vectors))"
 NEC = "nec AS (SELECT qa_id, ([1.0, 0.0, 0.5, 0.9, 0.5])[CAST(qa_id % 5 + 1 AS INTEGER)]::DOUBLE AS x FROM qa)"
@@ -199,7 +199,7 @@ def _with(extra: str, query: str, *tables: str) -> str:
 
 
 SQLS = {
-    "v1_to_eval_rows": sql("SELECT qa_id, md5(answer) AS ground_truth_md5, count(content) AS n_contexts, md5(coalesce(string_agg(content, chr(10) ORDER BY i), '')) AS contexts_md5 FROM qa LEFT JOIN (SELECT qa_id, i, substr(text, 1, 1000) AS content FROM lineage JOIN docs USING (file_name)) USING (qa_id) GROUP BY qa_id, answer", "docs", "lineage"),
+    "v1_to_eval_rows": sql("SELECT qa_id, md5(answer) AS ground_truth_md5, count(content) AS n_contexts, md5(coalesce(string_agg(content, chr(10) ORDER BY i), '')) AS contexts_md5 FROM qa LEFT JOIN (SELECT qa_id, i, content FROM lineage JOIN chunks USING (file_name, chunk_id)) USING (qa_id) GROUP BY qa_id, answer", "chunks", "lineage"),
     "v2_parse_claims": sql("SELECT qa_id, CASE WHEN turn = 0 THEN len(string_split(replace(answer, chr(10), ' '), '. ')) ELSE 1 END AS n_claims, len(string_split(answer, '. ')) AS n_sentences FROM qa", "qa"),
     "v3_parse_verdicts": sql("SELECT qa_id, CAST(i + 1 AS INTEGER) AS i, CASE WHEN qa_id % 2 = 0 THEN i IN (0, 2) ELSE i = 1 END AS supported FROM claims", "claims"),
     "v4_faithfulness": _with(FAITH, "SELECT qa_id, f AS score FROM faith", "claims"),
@@ -208,13 +208,13 @@ SQLS = {
     "v7_multimodal_faithfulness": sql("SELECT qa_id, round(avg(CASE WHEN supported THEN 1.0 ELSE 0.0 END), 6) AS score, count(*) FILTER (WHERE source IN ('TEXT','BOTH')) AS text_claims, count(*) FILTER (WHERE source IN ('IMAGE','BOTH')) AS image_claims, bool_or(supported AND source IN ('IMAGE','BOTH')) AS image_grounded FROM claims GROUP BY 1", "claims"),
     "v8_multimodal_relevance": _with(RELV.replace("round(", "(").replace(", 6) AS r", ") AS r"), "SELECT qa_id, round(CASE WHEN r > 0 THEN 0.5 * m + 0.5 * r ELSE m END, 6) AS score FROM (SELECT qa_id, r, CASE WHEN qa_id % 3 = 0 THEN 0.5 ELSE least(1.0, (qa_id % 13) / 10) END AS m FROM relv)", "qa", "vectors"),
     "v9_context_necessity": _with(NEC, "SELECT round(avg(x), 6) AS mean, count(*) FILTER (WHERE x = 0) AS answerable, round(count(*) FILTER (WHERE x = 0) / count(*), 6) AS leakage_rate, count(*) FILTER (WHERE x >= 0.8) AS high, count(*) FILTER (WHERE x >= 0.5 AND x < 0.8) AS medium, count(*) FILTER (WHERE x < 0.5) AS low FROM nec", "qa"),
-    "v10_multihop_reasoning": sql("SELECT h AS hops, count(*) AS n FROM (SELECT qa_id, max(hop_count) AS h FROM lineage GROUP BY 1) GROUP BY 1", "lineage"),
-    "v11_visual_dependency": sql("SELECT (['ESSENTIAL','HELPFUL','NONE','MISSING_VISUAL'])[CAST(qa_id % 4 + 1 AS INTEGER)] AS label, count(*) AS n, round(avg(([1.0, 0.5, 0.0, 1.0])[CAST(qa_id % 4 + 1 AS INTEGER)]::DOUBLE), 6) AS score FROM qa GROUP BY 1", "qa"),
+    "v10_multihop_reasoning": sql("SELECT CASE WHEN qa_id % 3 = 0 THEN h ELSE 1 END AS hops, count(*) AS n, round(avg(CASE WHEN qa_id % 3 = 0 THEN least(1.0, (qa_id % 13) / 10) WHEN qa_id % 3 = 1 THEN 0.5 ELSE 0.0 END), 6) AS score, count(*) FILTER (WHERE qa_id % 3 = 0) AS bridges FROM (SELECT qa_id, max(hop_count) AS h FROM lineage GROUP BY 1) GROUP BY 1", "lineage"),
+    "v11_visual_dependency": sql("SELECT (['Verdict: VISUAL_ESSENTIAL','visual_helpful','TEXT_SUFFICIENT','MISSING_VISUAL'])[CAST(qa_id % 4 + 1 AS INTEGER)] AS label, count(*) AS n, round(avg(([1.0, 0.5, 0.0, 1.0])[CAST(qa_id % 4 + 1 AS INTEGER)]::DOUBLE), 6) AS score FROM qa GROUP BY 1", "qa"),
     "v12_semantic_diversity": sql(f"SELECT diversity FROM {DIV}", "vectors"),
     "v16_aggregate_scores": _with(f"{FAITH}, {PREC}", f"SELECT * FROM {AGG}", "claims", "lineage"),
     "v17_flag_issues": _with(f"{FAITH}, {RELV}", "SELECT issue, count(*) AS n FROM (SELECT 'LOW_FAITHFULNESS' AS issue FROM faith JOIN relv USING (qa_id) WHERE f < 0.8 UNION ALL SELECT 'LOW_RELEVANCY' FROM faith JOIN relv USING (qa_id) WHERE r < 0.7) GROUP BY 1", "claims", "vectors"),
     "v18_qa_subsets": sql(r"SELECT (SELECT count(DISTINCT qa_id) FROM lineage WHERE hop_count > 0) AS multihop, (SELECT count(*) FROM vis) AS multimodal, (SELECT count(*) FROM vis WHERE qa_id IN (SELECT qa_id FROM lineage WHERE hop_count > 0)) AS both, (SELECT count(*) FROM qa) AS total", "lineage").replace("\nSELECT (SELECT count(DISTINCT", r""",
-        vis AS (SELECT qa_id FROM qa WHERE conv_id % 3 = 0 OR regexp_matches(question, '(?i)\b(figure|fig\.|image|diagram|chart|graph|plot|picture|photo(graph)?|illustration|drawing)\b'))
+        vis AS (SELECT qa_id FROM qa WHERE conv_id % 3 = 0 OR regexp_matches(question, '""" + P.VISUAL_QUESTION + r"""'))
         SELECT (SELECT count(DISTINCT"""),
     "v19_attach_metrics": _with(f"{PREC}, {NEC}", "SELECT qa_id, p AS score, x AS necessity FROM qa LEFT JOIN prec USING (qa_id) LEFT JOIN nec USING (qa_id)", "lineage"),
     "v20_data_completeness": sql("SELECT count(*) FILTER (WHERE conv_id % 3 > 0) AS with_images, CAST(sum(conv_id % 3) AS BIGINT) AS images, sum(conv_id % 3) > 0 AS multimodal_runs FROM qa", "qa"),

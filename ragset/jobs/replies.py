@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ def q1_parse_kv(s, d):
 
 def q2_parse_generated_qa(s, d):
     """Replies of one or two sections, with the decomposition cut."""
-    q = qa(s, d).where("question not like '%<%' and answer not like '%<%' and question not like '%:%' and answer not like '%:%'")
+    q = qa(s, d)
     one = F.concat(F.lit(f"{M}Question{M}"), F.col("question"), F.lit(f"{M}Answer{M}"), F.col("answer"), F.lit(f"{M}Relevance{M}"), F.col("relevance_score"))
     two = F.concat(F.lit(f"Chunks{M}2{M}QA_GENERATION{M}"), one, F.lit(f"{M}NEXT{M}Question{M}second{M}Answer{M}yes{M}DECOMPOSITION Question: no"))
     g = P.parse_generated_qa(q.select("qa_id", F.when(F.col("turn") == 0, two).otherwise(F.concat(F.lit(f"{M}QA_GENERATION{M}"), one)).alias("reply")))
@@ -41,8 +43,12 @@ def q4_parse_packs(s, d):
 
 
 def q5_relevance_gate(s, d):
-    r = replies(s, d).withColumn("status", F.when(F.col("quality") == 1, "RELEVANT").when(F.col("quality") == 0, "NOT_RELEVANT").otherwise("ERROR"))
-    return r.groupBy(P.relevant(F.col("status")).alias("relevant")).agg(F.count("*").alias("n"))
+    """Documents kept and set aside, and the characters of those set aside after the cut."""
+    status = F.when(F.col("quality") == 1, "RELEVANT").when(F.col("quality") == 0, "NOT_RELEVANT").otherwise("ERROR")
+    r = replies(s, d).select("doc_id", F.concat(F.lit(f"{M}START{M}Status{M}"), status, F.lit(f"{M}Explanation{M}RELEVANT to some{M}END{M}")).alias("reply")).join(docs(s, d).select("doc_id", "text"), "doc_id")
+    kept, aside = P.relevance_gate(r, content="text")
+    n = lambda t, name, chars: t.agg(F.count("*").alias("n"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")).select(F.lit(name).alias("relevant"), "n", "chars")
+    return n(kept, True, F.lit(0)).unionByName(n(aside, False, F.length("text")))
 
 
 def q6_select_gate(s, d):
@@ -53,8 +59,10 @@ def q6_select_gate(s, d):
 def _verification(s, d):
     r = replies(s, d)
     good = F.lit("QUESTION_CORRECT, ANSWER_CORRECT, REQUIRES_CONTENT")
-    text = F.when(F.col("toxic") == 1, F.lit("QUESTION_CORRECT, ANSWER_INCORRECT, REQUIRES_CONTENT")).when(F.col("quality") == 1, good).otherwise("QUESTION_CORRECT")
-    return r.select("doc_id", text.alias("reply"))
+    labels = F.when(F.col("toxic") == 1, F.lit("QUESTION_CORRECT, ANSWER_CORRECT, CAN_ANSWER_WITHOUT_CONTENT, REQUIRES_CONTENT")).when(F.col("quality") == 1, good).otherwise("Question_Correct, Answer_Incorrect")
+    # the explanation names labels that do not count
+    reply = F.when(F.col("quality").isNull(), "ERROR: none").otherwise(F.concat(F.lit(f"{M}START{M}Status{M}"), labels, F.lit(f"{M}Explanation{M}not ANSWER_INCORRECT, rather ANSWER_CORRECT and REQUIRES_CONTENT{M}END{M}")))
+    return r.select("doc_id", reply.alias("reply"))
 
 
 def q7_verify_gate(s, d):
@@ -62,7 +70,7 @@ def q7_verify_gate(s, d):
 
 
 def q8_misleading_visual(s, d):
-    q = qa(s, d).select("qa_id", F.concat(F.when(F.col("conv_id") % 2 == 0, F.lit("In the figure: ")).otherwise(""), F.col("question")).alias("q"), F.concat(F.col("answer"), F.when(F.col("conv_id") % 3 == 0, F.lit(" as shown.")).otherwise("")).alias("a"), (F.col("conv_id") % 4 == 0).alias("image"))
+    q = qa(s, d).select("qa_id", F.concat(F.when(F.col("conv_id") % 2 == 0, F.lit("As shown in the Figure, ")).otherwise("What is graph theory? "), F.col("question")).alias("q"), F.concat(F.col("answer"), F.when(F.col("conv_id") % 3 == 0, F.lit(" See the legend.")).otherwise("")).alias("a"), (F.col("conv_id") % 4 == 0).alias("image"))
     return q.select("qa_id", P.misleading_visual(F.col("q"), F.col("a"), F.col("image")).alias("misleading"))
 
 
@@ -104,20 +112,20 @@ def q15_build_prompts(s, d):
 def s6_write_outcomes(s, d):
     """Outcomes written by partition and read again."""
     g = P.select_gate(replies(s, d)).select("doc_id", F.when(F.col("status") == "SELECTED", "pass").when(F.col("status") == "ERROR", "malformed").otherwise("fail").alias("outcome"))
-    path = f"{shared_dir(s)}/ragset-outcomes-{id(g)}"
+    path = f"{shared_dir(s)}/ragset-outcomes-{uuid.uuid4().hex}"
     g.write.mode("overwrite").partitionBy("outcome").parquet(path)
     return s.read.parquet(path).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
 def s4_load_results(s, d):
     """Results saved as lines of JSON and loaded with a fixed schema."""
-    path = f"{shared_dir(s)}/ragset-results-{id(s)}"
+    path = f"{shared_dir(s)}/ragset-results-{uuid.uuid4().hex}"
     qa(s, d).select("qa_id", "question", "relevance_score").write.mode("overwrite").json(path)
     return s.read.schema("qa_id long, question string, relevance_score string").json(path).select("qa_id", F.md5(F.col("question").cast("binary")).alias("question_md5"), "relevance_score")
 
 
 def s5_save_csv(s, d):
-    path = f"{shared_dir(s)}/ragset-csv-{id(s)}"
+    path = f"{shared_dir(s)}/ragset-csv-{uuid.uuid4().hex}"
     qa(s, d).select("qa_id", "question", "difficulty_score").write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return s.read.schema("qa_id long, question string, difficulty_score string").option("header", True).option("multiLine", True).option("escape", '"').csv(path).select("qa_id", F.length("question").cast("long").alias("n"), "difficulty_score")
 
@@ -125,7 +133,7 @@ def s5_save_csv(s, d):
 def m2_search_strings(s, d):
     q = qa(s, d)
     said = F.when(F.col("conv_id") % 3 == 0, F.lit("'a' | \"b c\" | None | d|e|f|g")).when(F.col("conv_id") % 3 == 1, "None").otherwise("")
-    why = F.concat(F.lit("see Figure "), F.col("relevance_score"), F.lit(" and Table 2.1, not it"))
+    why = F.concat(F.lit("see figure "), F.col("relevance_score"), F.lit(", Table B.2.1 and Section 4, not Annex"))
     return q.select("qa_id", F.array_join(P.search_strings(said, why), "|").alias("queries"))
 
 
@@ -209,24 +217,23 @@ def u2_responder(s, d):
 
 
 GATE = "CASE WHEN quality IS NULL THEN 'ERROR' WHEN quality = 1 THEN 'SELECTED' ELSE 'REJECTED' END"
-VER = "CASE WHEN toxic = 1 THEN FALSE ELSE coalesce(quality = 1, FALSE) END"
+VER = "coalesce(quality = 1, FALSE) AND coalesce(toxic <> 1, TRUE)"
 CACHE = "cache AS (SELECT sha256(text) AS cache_key, 'R:' || text AS response, 1 AS version FROM conversations WHERE conv_id % 2 = 0 UNION ALL SELECT sha256(text), 'S:' || text, 2 FROM conversations WHERE conv_id % 4 = 0)"
 SPANS = r"""WITH k AS (SELECT unnest(['the','then','hen','of']) AS k), h AS (SELECT DISTINCT item_id, p - 1 AS s, p - 1 + length(k) AS e FROM benchmark, k, LATERAL (SELECT unnest(range(1, length(text) + 1)) AS p) WHERE substr(lower(text), p, length(k)) = k),
     m AS (SELECT *, max(e) OVER (PARTITION BY item_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM h),
     g AS (SELECT *, sum(CASE WHEN before IS NULL OR s >= before THEN 1 ELSE 0 END) OVER (PARTITION BY item_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM m)
     SELECT item_id, CAST(min(s) AS INTEGER) AS start, CAST(max(e) AS INTEGER) AS "end" FROM g GROUP BY item_id, island"""
-OKQ = "question NOT LIKE '%<%' AND answer NOT LIKE '%<%' AND question NOT LIKE '%:%' AND answer NOT LIKE '%:%'"
 TRIM = r"regexp_replace({}, '^[ \t\n\r\f\x0b]+|[ \t\n\r\f\x0b]+$', '', 'g')"
 
 SQLS = {
     "q1_parse_kv": sql("SELECT doc_id, CASE WHEN quality = 1 THEN 'SELECTED' WHEN quality = 0 THEN 'REJECTED' END AS status, CASE WHEN quality IS NOT NULL THEN CAST(doc_id % 7 AS VARCHAR) END AS difficulty, CAST(NULL AS VARCHAR) AS missing FROM replies", "replies"),
-    "q2_parse_generated_qa": sql(f"SELECT qa_id, md5({TRIM.format('question')}) AS question_md5, length({TRIM.format('answer')}) AS n_answer, relevance_score AS relevance, '0' AS difficulty FROM qa WHERE {OKQ} UNION ALL SELECT qa_id, md5('second'), 3, '0', '0' FROM qa WHERE turn = 0 AND {OKQ}", "qa"),
+    "q2_parse_generated_qa": sql(f"SELECT qa_id, md5({TRIM.format('question')}) AS question_md5, length({TRIM.format('answer')}) AS n_answer, relevance_score AS relevance, '0' AS difficulty FROM qa UNION ALL SELECT qa_id, md5('second'), 3, '0', '0' FROM qa WHERE turn = 0", "qa"),
     "q3_parse_keyword_map": sql("SELECT qa_id, 'chunk_1' AS chunk, 'a' || relevance_score || '|b' AS words FROM qa UNION ALL SELECT qa_id, 'chunk_2', 'c' || difficulty_score FROM qa", "qa"),
     "q4_parse_packs": sql("SELECT qa_id, CAST(0 AS BIGINT) AS pack, 'q' || relevance_score AS question, 'a' AS answer, TRUE AS reorganized FROM qa UNION ALL SELECT qa_id, 1, 'only', 'b', TRUE FROM qa WHERE turn = 0", "qa"),
-    "q5_relevance_gate": sql("SELECT coalesce(quality = 1, FALSE) AS relevant, count(*) AS n FROM replies GROUP BY 1", "replies"),
+    "q5_relevance_gate": sql("SELECT coalesce(quality = 1, FALSE) AS relevant, count(*) AS n, CAST(sum(CASE WHEN quality = 1 THEN 0 ELSE least(2000, length(text)) END) AS BIGINT) AS chars FROM replies JOIN docs USING (doc_id) GROUP BY 1", "docs", "replies"),
     "q6_select_gate": sql(f"SELECT doc_id, {GATE} AS status, CASE WHEN quality IS NULL THEN '0' ELSE CAST(doc_id % 11 AS VARCHAR) END AS relevance, CASE WHEN quality IS NULL THEN '0' ELSE CAST(doc_id % 7 AS VARCHAR) END AS difficulty, CASE WHEN quality IS NOT NULL THEN 'r' END AS reason FROM replies", "replies"),
     "q7_verify_gate": sql(f"SELECT {VER} AS verified, count(*) AS n FROM replies GROUP BY 1", "replies"),
-    "q8_misleading_visual": sql(r"SELECT qa_id, regexp_matches(q, '(?i)\b(figure|fig\.|image|diagram|chart|graph|plot|picture|photo(graph)?|illustration|drawing)\b') AND (conv_id % 4 <> 0 OR NOT regexp_matches(a, '(?i)\b(figure|image|diagram|chart|graph|picture|shows?|shown|depicts?|illustrate[sd]?)\b')) AS misleading FROM (SELECT qa_id, conv_id, CASE WHEN conv_id % 2 = 0 THEN 'In the figure: ' ELSE '' END || question AS q, answer || CASE WHEN conv_id % 3 = 0 THEN ' as shown.' ELSE '' END AS a FROM qa)", "qa"),
+    "q8_misleading_visual": sql(f"SELECT qa_id, regexp_matches(q, '{P.VISUAL_QUESTION}') AND (conv_id % 4 <> 0 OR NOT regexp_matches(a, '{P.VISUAL_ANSWER}')) AS misleading FROM (SELECT qa_id, conv_id, CASE WHEN conv_id % 2 = 0 THEN 'As shown in the Figure, ' ELSE 'What is graph theory? ' END || question AS q, answer || CASE WHEN conv_id % 3 = 0 THEN ' See the legend.' ELSE '' END AS a FROM qa)", "qa"),
     "q10_match_qa_type": sql("SELECT qa_type, count(*) AS n FROM (SELECT CASE WHEN qa_id % 3 = 0 THEN 'multimodal' ELSE 'text' END AS qa_type FROM (SELECT DISTINCT qa_id FROM lineage) UNION ALL SELECT 'multihop' FROM lineage GROUP BY qa_id HAVING count(*) > 1) GROUP BY 1", "lineage"),
     "q12_take_target": sql("SELECT count(*) AS kept, max(qa_id) AS last, count(*) >= 100 AS target_reached, CAST(110 AS BIGINT) AS chunk_budget FROM (SELECT qa_id FROM lineage GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 100)", "lineage"),
     "q13_correction_rounds": sql(f"SELECT doc_id, ok OR doc_id % 2 = 0 AS ok, CASE WHEN ok THEN 0 ELSE 1 END AS attempt FROM (SELECT doc_id, {VER} AS ok FROM replies)", "replies"),
@@ -235,7 +242,7 @@ SQLS = {
     "s6_write_outcomes": sql("SELECT CASE WHEN quality IS NULL THEN 'malformed' WHEN quality = 1 THEN 'pass' ELSE 'fail' END AS outcome, count(*) AS n FROM replies GROUP BY 1", "replies"),
     "s4_load_results": sql("SELECT qa_id, md5(question) AS question_md5, relevance_score FROM qa", "qa"),
     "s5_save_csv": sql("SELECT qa_id, length(question) AS n, difficulty_score FROM qa", "qa"),
-    "m2_search_strings": sql("SELECT qa_id, CASE WHEN conv_id % 3 = 0 THEN 'a|b c|d|e|f' ELSE 'Figure ' || relevance_score || '|Table 2.1' END AS queries FROM qa", "qa"),
+    "m2_search_strings": sql("SELECT qa_id, CASE WHEN conv_id % 3 = 0 THEN 'a|b c|d|e|f' ELSE 'figure|Table' END AS queries FROM qa", "qa"),
     "m3_drop_visited": sql("SELECT DISTINCT qa_id, file_name FROM lineage WHERE i > 0 AND (qa_id, file_name) NOT IN (SELECT qa_id, file_name FROM lineage WHERE i = 0)", "lineage"),
     "m4_accept_verdicts": sql("SELECT CASE WHEN source = 'IMAGE' THEN 'RELATED' ELSE 'EXPLANATORY' END AS verdict, count(*) AS n FROM claims WHERE source <> 'NONE' GROUP BY 1", "claims"),
     "m8_hop_edges": sql("SELECT a.qa_id, b.file_name AS source, a.file_name AS target, a.i AS depth FROM lineage a JOIN lineage b USING (qa_id) WHERE a.i > 0 AND b.i = 0", "lineage"),

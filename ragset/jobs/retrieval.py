@@ -11,7 +11,7 @@ from ragset.sources.shared import written
 from ragset.sources.tables import chunks, read, sql, vectors
 
 DOT = "list_dot_product(q.v, i.v)"
-KNN = f"SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, item_id) AS rank FROM (SELECT q.vec_id AS query_id, i.vec_id AS item_id, {DOT} AS score FROM vectors q, vectors i WHERE q.vec_id < 20)"
+KNN = f"SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, item_id) AS rank FROM (SELECT q.vec_id AS query_id, i.vec_id AS item_id, {DOT} AS score FROM vectors q, vectors i WHERE q.vec_id % 20 = 0)"
 
 
 def _items(s, d):
@@ -20,7 +20,7 @@ def _items(s, d):
 
 def _found(s, d, k):
     v = vectors(s, d)
-    return R.knn_topk(v.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), "v"), _items(s, d), k)
+    return R.knn_topk(v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "v"), _items(s, d), k)
 
 
 def e2_l2_normalize(s, d):
@@ -44,7 +44,7 @@ def e5_retrieve_rerank(s, d):
 
 
 def e6_cosine_rerank(s, d):
-    v = vectors(s, d).where("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    v = vectors(s, d).where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     c = _found(s, d, 10).drop("rank").join(v, "query_id").join(_items(s, d), "item_id").withColumn("cos", cosine("q", "v"))
     return R.ranked(c, "query_id", 5, F.desc(F.round("cos", 12)), "item_id").select("query_id", "item_id", F.col("rank").cast("long").alias("rank"), F.round("cos", 6).alias("score"))
 
@@ -116,7 +116,7 @@ def t5_topic_summary(s, d):
 
 
 def _walk(s, d):
-    seeds = vectors(s, d).where("vec_id < 20").select(F.col("vec_id").alias("seed"), F.col("vec_id").alias("item_id"))
+    seeds = vectors(s, d).where("vec_id % 20 = 0").select(F.col("vec_id").alias("seed"), F.col("vec_id").alias("item_id"))
     return seeds, R.expand_context(seeds, _items(s, d), 0.35, staged=written)
 
 
@@ -134,7 +134,7 @@ def m5_termination_status(s, d):
 
 def m6_context_rows(s, d):
     _, (_, visited) = _walk(s, d)
-    return visited.groupBy("seed").agg((F.count("*") - 1).alias("hop_count"), F.array_join(F.array_sort(F.collect_list(F.lpad(F.col("item_id").cast("string"), 8, "0"))), ",").alias("items"))
+    return visited.groupBy("seed").agg((F.count("*") - 1).alias("hop_count"), F.array_join(F.array_sort(F.collect_list(F.lpad(F.col("item_id").cast("string"), 20, "0"))), ",").alias("items"))
 
 
 def m7_iteration_logs(s, d):
@@ -143,8 +143,8 @@ def m7_iteration_logs(s, d):
 
 
 WALK = f"""near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, item_id) AS r FROM (SELECT q.vec_id AS query_id, i.vec_id AS item_id, {DOT} AS score FROM vectors q, vectors i WHERE q.vec_id <> i.vec_id)) WHERE r <= 2),
-    h1 AS (SELECT query_id AS seed, 1 AS depth, query_id AS query_item, item_id, score, score >= 0.35 AS accepted FROM near WHERE query_id < 20),
-    v1 AS (SELECT vec_id AS seed, vec_id AS item_id FROM vectors WHERE vec_id < 20 UNION ALL SELECT seed, item_id FROM h1 WHERE accepted),
+    h1 AS (SELECT query_id AS seed, 1 AS depth, query_id AS query_item, item_id, score, score >= 0.35 AS accepted FROM near WHERE query_id % 20 = 0),
+    v1 AS (SELECT vec_id AS seed, vec_id AS item_id FROM vectors WHERE vec_id % 20 = 0 UNION ALL SELECT seed, item_id FROM h1 WHERE accepted),
     h2 AS (SELECT seed, 2 AS depth, query_item, item_id, score, score >= 0.35 AS accepted FROM (SELECT *, row_number() OVER (PARTITION BY seed, item_id ORDER BY round(score, 12) DESC, query_item) AS r2
         FROM (SELECT h1.seed, h1.item_id AS query_item, near.item_id, near.score FROM h1 JOIN near ON near.query_id = h1.item_id WHERE h1.accepted AND (h1.seed, near.item_id) NOT IN (SELECT seed, item_id FROM v1))) WHERE r2 = 1),
     hops AS (SELECT * FROM h1 UNION ALL SELECT * FROM h2), visited AS (SELECT * FROM v1 UNION ALL SELECT seed, item_id FROM h2 WHERE accepted)
@@ -171,6 +171,6 @@ SQLS = {
     "t3_topic_keywords": f"WITH {KEYWORDS} SELECT topic, word, rank, round(weight, 6) AS weight FROM keywords WHERE rank <= 15",
     "t5_topic_summary": f"WITH {KEYWORDS} SELECT topic, count(*) AS n, round(count(*) / (SELECT count(*) FROM documents), 6) AS share, (SELECT string_agg(word, ', ' ORDER BY rank) FROM keywords k WHERE k.topic = d.lang AND rank <= 5) AS keywords FROM (SELECT lang AS topic, lang FROM documents) d GROUP BY topic, lang ORDER BY 2 DESC LIMIT 15",
     "m1_expand_context": sql(f", {WALK} SELECT seed, depth::BIGINT AS depth, query_item, item_id, round(score, 6) AS score, accepted FROM hops", "vectors").replace("\n, near", ",\nnear"),
-    "m5_termination_status": sql(f", {WALK} SELECT vec_id AS seed, CASE WHEN coalesce((SELECT max(depth) FROM hops WHERE accepted AND seed = vec_id), 0) < 2 THEN 'INCOMPLETE_NO_RELEVANT_CHUNKS' ELSE 'INCOMPLETE_MAX_DEPTH' END AS status FROM vectors WHERE vec_id < 20", "vectors").replace("\n, near", ",\nnear"),
-    "m6_context_rows": sql(f", {WALK} SELECT seed, count(*) - 1 AS hop_count, string_agg(lpad(CAST(item_id AS VARCHAR), 8, '0'), ',' ORDER BY item_id) AS items FROM visited GROUP BY 1", "vectors").replace("\n, near", ",\nnear"),
+    "m5_termination_status": sql(f", {WALK} SELECT vec_id AS seed, CASE WHEN coalesce((SELECT max(depth) FROM hops WHERE accepted AND seed = vec_id), 0) < 2 THEN 'INCOMPLETE_NO_RELEVANT_CHUNKS' ELSE 'INCOMPLETE_MAX_DEPTH' END AS status FROM vectors WHERE vec_id % 20 = 0", "vectors").replace("\n, near", ",\nnear"),
+    "m6_context_rows": sql(f", {WALK} SELECT seed, count(*) - 1 AS hop_count, string_agg(lpad(CAST(item_id AS VARCHAR), 20, '0'), ',' ORDER BY item_id) AS items FROM visited GROUP BY 1", "vectors").replace("\n, near", ",\nnear"),
 }

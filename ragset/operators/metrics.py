@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ragset.functions.text import cosine
+from ragset.functions.text import clean, cosine
 
 
 def supported_share(ids: DataFrame, claims: DataFrame, key: str = "qa_id") -> DataFrame:
@@ -40,9 +40,30 @@ def semantic_diversity(vectors: DataFrame) -> DataFrame:
 
 
 def necessity(label):
-    """How much an answer needs its context, by the judge's label."""
-    up = F.upper(label)
-    return F.when(up.contains("CANNOT_ANSWER"), 1.0).when(up.contains("PARTIAL"), 0.5).when(up.contains("YES"), 0.0).when(up.startswith("ERROR"), 0.5).otherwise(0.9)
+    """How much an answer needs its context, by the judge's reply: an error, CANNOT_ANSWER, MATCH: YES, MATCH: PARTIAL, anything else."""
+    up = F.upper(F.coalesce(label, F.lit("")))
+    return F.when(up.startswith("ERROR:"), 0.5).when(up.contains("CANNOT_ANSWER"), 1.0).when(up.contains("MATCH: YES"), 0.0).when(up.contains("MATCH: PARTIAL"), 0.5).otherwise(0.9)
+
+
+def visual_dependency(reply):
+    """1 where the visual is essential (or missing, in the older form), 0.5 where it helps, else 0."""
+    up = F.upper(F.coalesce(reply, F.lit("")))
+    return F.when(up.contains("VISUAL_ESSENTIAL") | up.contains("MISSING_VISUAL"), 1.0).when(up.contains("VISUAL_HELPFUL"), 0.5).otherwise(0.0)
+
+
+def multihop_reasoning(replies: DataFrame, reply: str = "reply") -> DataFrame:
+    """replies with hop_count (1 if absent), reasoning_score (0.5 if absent, within 0 and 1) and bridge_entity; an error gives 1, 0 and Error."""
+    said = lambda p: F.regexp_extract(reply, p, 1)
+    score = said(r"REASONING_SCORE:\s*([0-9.]+)").try_cast("double")
+    bridge = clean(said(r"BRIDGE_ENTITY:[ \t]*([^\n]+)"))
+    bad = F.col(reply).startswith("ERROR:")
+    return replies.withColumns(
+        {
+            "hop_count": F.when(bad, 1).otherwise(F.coalesce(said(r"HOP_COUNT:\s*([0-9]+)").try_cast("long"), F.lit(1))),
+            "reasoning_score": F.when(bad, 0.0).otherwise(F.when(score.isNull(), 0.5).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))),
+            "bridge_entity": F.when(bad, "Error").when(bridge == "", "None").otherwise(bridge),
+        }
+    )
 
 
 def flag_issues(scores: DataFrame) -> DataFrame:

@@ -5,12 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ragset.functions.text import clean, is_missing, keyed
-
-#: Wording that refers to a figure in a question, and in an answer. Fixed values.
-VISUAL_QUESTION = r"(?i)\b(figure|fig\.|image|diagram|chart|graph|plot|picture|photo(graph)?|illustration|drawing)\b"
-VISUAL_ANSWER = r"(?i)\b(figure|image|diagram|chart|graph|picture|shows?|shown|depicts?|illustrate[sd]?)\b"
-GOOD, BAD = ["QUESTION_CORRECT", "ANSWER_CORRECT", "REQUIRES_CONTENT"], ["QUESTION_INCORRECT", "ANSWER_INCORRECT", "CONTENT_NOT_REQUIRED"]
+from ragset.functions.text import MARK, clean, is_missing, keyed
+
+#: What a question and an answer say when they speak of a figure; the labels of a verification; words of references.
+_SHOWN = "(figure|diagram|schematic|image|chart|graph|picture)"
+VISUAL_QUESTION = "(?i)" + "|".join(
+    [
+        rf"\b(as\s+)?(depicted|shown|illustrated|displayed)\s+(in|by)\s+(the\s+)?{_SHOWN}",
+        rf"\b(the\s+)?{_SHOWN}\s+(shows|depicts|illustrates)",
+        rf"\bbased\s+on\s+(the\s+)?{_SHOWN}",
+        rf"\baccording\s+to\s+(the\s+)?{_SHOWN}",
+        rf"\b(in|from)\s+(the\s+)?{_SHOWN}",
+    ]
+)
+VISUAL_ANSWER = "(?i)" + "|".join(
+    [
+        r"\b(the\s+)?(figure|diagram|image|chart|graph)\s+(shows|indicates|displays)",
+        r"\bvisual(ly)?",
+        r"\b(top|bottom|left|right|center)\s+(of|portion|section)",
+        r"\b(axis|legend|label|arrow|line|curve|bar)",
+    ]
+)
+GOOD, BAD = ["QUESTION_CORRECT", "ANSWER_CORRECT", "REQUIRES_CONTENT"], ["QUESTION_INCORRECT", "ANSWER_INCORRECT", "CAN_ANSWER_WITHOUT_CONTENT"]
+REFERENCE = r"(?i)(Figure|Table|Annex|Formula)\s*[A-Z]?\.?[0-9]+(?:\.[0-9]+)?"
+
+
+def status_of(c: Column) -> Column:
+    """The reply's Status field; the whole reply where it has no marked fields or no such field."""
+    return F.coalesce(F.when(c.contains(MARK), keyed(c, "Status")), c)
 
 
 def parse_generated_qa(replies: DataFrame, reply: str = "reply") -> DataFrame:
@@ -26,10 +48,11 @@ def parse_generated_qa(replies: DataFrame, reply: str = "reply") -> DataFrame:
 
 
 def parse_keyword_map(c: Column) -> Column:
-    """'Chunk 1: [A, B]' becomes chunk_1 -> [A, B]."""
+    """'Chunk 1: [A, B]' becomes chunk_1 -> [A, B]; of a repeated chunk the last list counts."""
     keys = F.transform(F.regexp_extract_all(c, F.lit(r"Chunk ([0-9]+): \[([^\]]*)\]"), F.lit(1)), lambda k: F.concat(F.lit("chunk_"), k))
     values = F.transform(F.regexp_extract_all(c, F.lit(r"Chunk ([0-9]+): \[([^\]]*)\]"), F.lit(2)), lambda v: F.transform(F.split(v, ","), clean))
-    return F.map_from_arrays(keys, values)
+    last = lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys) + 1), e["k"])
+    return F.map_from_entries(F.filter(F.arrays_zip(keys.alias("k"), values.alias("v")), last))
 
 
 def parse_packs(replies: DataFrame, reply: str = "reply") -> DataFrame:
@@ -49,40 +72,51 @@ def select_gate(replies: DataFrame, reply: str = "reply") -> DataFrame:
 
 
 def relevant(c: Column) -> Column:
-    up = F.upper(c)
+    """Whether the reply's status says RELEVANT and not NOT_RELEVANT; a missing reply does not."""
+    up = F.upper(F.coalesce(status_of(c), F.lit("")))
     return up.contains("RELEVANT") & ~up.contains("NOT_RELEVANT")
 
 
+def relevance_gate(rows: DataFrame, reply: str = "reply", content: str = "content", most: int = 2000) -> tuple[DataFrame, DataFrame]:
+    """(relevant rows, the others with the content cut to most characters)."""
+    rated = rows.withColumn("relevant", relevant(F.col(reply)))
+    return rated.where("relevant").drop("relevant"), rated.where("not relevant").drop("relevant").withColumn(content, F.substring(content, 1, most))
+
+
 def misleading_visual(question: Column, answer: Column, has_image: Column) -> Column:
     """The question speaks of a figure, but there is no image or the answer has no visual wording."""
     return question.rlike(VISUAL_QUESTION) & (~has_image | ~answer.rlike(VISUAL_ANSWER))
 
 
-def verified(c: Column) -> Column:
-    up, ok = F.upper(c), F.lit(True)
+def verified(c: Column, question: Column | None = None, answer: Column | None = None, has_image: Column | None = None) -> Column:
+    """All good labels and no bad one in the reply's status; with question and answer, no misleading reference to a figure either."""
+    up, ok = F.upper(F.coalesce(status_of(c), F.lit(""))), F.lit(True)
     for word in GOOD:
         ok = ok & up.contains(word)
     for word in BAD:
         ok = ok & ~up.contains(word)
-    return ok
+    if question is None or answer is None:
+        return ok
+    said = (F.coalesce(question, F.lit("")) != "") & (F.coalesce(answer, F.lit("")) != "")
+    return ok & ~(said & misleading_visual(question, answer, F.lit(False) if has_image is None else has_image))
 
 
 def search_strings(reply: Column, explanation: Column, breadth: int = 5) -> Column:
-    """Queries split at '|', unquoted, without 'none'; else the explanation's references."""
+    """Queries split at '|', unquoted, without 'none'; else the words of the explanation's references (figure, table, annex, formula)."""
     said = F.transform(F.split(F.coalesce(reply, F.lit("")), r"\|"), lambda x: F.regexp_replace(clean(x), "^[\"']+|[\"']+$", ""))
     said = F.filter(said, lambda x: (x != "") & (F.lower(x) != "none"))
-    found = F.regexp_extract_all(F.coalesce(explanation, F.lit("")), F.lit(r"((?:Figure|Table|Section|Annex|Appendix|Chapter) [0-9A-Z][0-9A-Za-z.]*)"), F.lit(1))
+    found = F.regexp_extract_all(F.coalesce(explanation, F.lit("")), F.lit(REFERENCE), F.lit(1))
     return F.slice(F.when(F.size(said) > 0, said).otherwise(found), 1, breadth)
 
 
 def claim_verdicts(replies: DataFrame, key: str, reply: str, n: str, label: str = "CLAIM") -> DataFrame:
-    """(key, i, verdict) for i in 1..n: the label's own verdict, else the reply's i-th line, else false."""
-    g = lambda k: F.regexp_extract_all(F.col(reply), F.lit(rf"{label}_([0-9]+):? *([A-Z_]+)"), F.lit(k))
-    marks = replies.select(key, F.explode(F.arrays_zip(g(1).alias("i"), g(2).alias("v"))).alias("x")).select(key, F.col("x.i").cast("int").alias("i"), F.col("x.v").alias("v")).dropDuplicates([key, "i"])
-    every = replies.where(F.col(n) > 0).select(key, F.split(reply, "\n").alias("lines"), F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))).alias("i"))
+    """(key, i, supported) for i in 1..n: the label's own verdict (its first), else the reply's i-th line, else false. Case does not matter."""
+    g = lambda k: F.regexp_extract_all(F.col(reply), F.lit(rf"(?i){label}_([0-9]+):\s*(SUPPORTED|NOT_SUPPORTED)"), F.lit(k))
+    marks = replies.select(key, F.posexplode(F.arrays_zip(g(1).alias("i"), g(2).alias("v"))).alias("p", "x")).groupBy(key, F.col("x.i").cast("int").alias("i")).agg(F.upper(F.min_by("x.v", "p")).alias("v"))
+    every = replies.where(F.col(n) > 0).select(key, F.split(clean(F.col(reply)), "\n").alias("lines"), F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))).alias("i"))
     line = F.upper(F.coalesce(F.try_element_at("lines", F.col("i")), F.lit("")))
     verdict = F.coalesce(F.col("v"), line)
-    return every.join(marks, [key, "i"], "left").select(key, "i", (verdict.contains("SUPPORTED") & ~verdict.contains("NOT_SUPPORTED") & ~verdict.contains("UNSUPPORTED")).alias("supported"))
+    return every.join(marks, [key, "i"], "left").select(key, "i", (verdict.contains("SUPPORTED") & ~verdict.contains("NOT")).alias("supported"))
 
 
 def keyword_spans(texts: DataFrame, key: str, text: str, keywords: DataFrame) -> DataFrame:

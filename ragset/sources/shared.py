@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def shared_dir(spark) -> str:
-    """The folder of spark.checkpoint.dir; a new local one only where it is unset."""
+    """The folder of spark.checkpoint.dir, or where that is unset a new one on the one machine of a local session."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         if spark.sparkContext.getCheckpointDir() is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ragset-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")

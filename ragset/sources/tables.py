@@ -16,7 +16,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents")
-    return d.select("doc_id", F.col("source").alias("dataset"), F.concat(F.lit("doc_"), F.lpad(F.col("doc_id").cast("string"), 8, "0")).alias("file_name"), "text")
+    return d.select("doc_id", F.col("source").alias("dataset"), F.concat(F.lit("doc_"), F.lpad(F.col("doc_id").cast("string"), 20, "0")).alias("file_name"), "text")
 
 
 def chunks(spark: SparkSession, sf_dir: str, window: int = 1000, overlap: int = 100) -> DataFrame:
@@ -46,7 +46,7 @@ def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = qa(spark, sf_dir).withColumn("n", 1 + F.pmod(F.col("conv_id") + F.col("turn"), F.lit(3)))
     q = q.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     doc = F.pmod(F.col("conv_id") * 7 + F.col("turn") * 13 + F.col("i") * 17, F.lit(n_docs))
-    return q.select("qa_id", "i", F.concat(F.lit("doc_"), F.lpad(doc.cast("string"), 8, "0")).alias("file_name"), F.lit("1").alias("chunk_id"), (F.col("n") - 1).alias("hop_count"))
+    return q.select("qa_id", "i", F.concat(F.lit("doc_"), F.lpad(doc.cast("string"), 20, "0")).alias("file_name"), F.lit("1").alias("chunk_id"), (F.col("n") - 1).alias("hop_count"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same rules in SQL, to put in front of a query. Each needs those before it.
 SQL = {
-    "docs": "docs AS (SELECT doc_id, source AS dataset, 'doc_' || lpad(CAST(doc_id AS VARCHAR), 8, '0') AS file_name, text FROM documents)",
+    "docs": "docs AS (SELECT doc_id, source AS dataset, 'doc_' || lpad(CAST(doc_id AS VARCHAR), 20, '0') AS file_name, text FROM documents)",
     "windows": """counted AS (SELECT *, CASE WHEN length(text) = 0 THEN 0 WHEN length(text) <= 1000 THEN 1 ELSE 1 + CAST(ceil((length(text) - 1000) / 900.0) AS BIGINT) END AS n_windows FROM docs),
         windows AS (SELECT doc_id, dataset, file_name, w, n_windows, substr(text, CAST(w * 900 + 1 AS BIGINT), 1000) AS content FROM (SELECT *, unnest(range(CAST(n_windows AS BIGINT))) AS w FROM counted))""",
     "chunks": """typed AS (SELECT *, (['text','table','figure','standalone image','table with images','index'])[CAST((doc_id + w) % 6 + 1 AS INTEGER)] AS chunk_type FROM windows),
@@ -84,7 +84,7 @@ SQL = {
     "qa": """turns AS (SELECT *, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS answer FROM conversations),
         qa AS (SELECT conv_id * 100 + turn AS qa_id, conv_id, turn, text AS question, answer, CAST(conv_id % 11 AS VARCHAR) AS relevance_score, CAST((conv_id + turn) % 11 AS VARCHAR) AS difficulty_score
             FROM turns WHERE role = 'user' AND next_role = 'assistant')""",
-    "lineage": """lineage AS (SELECT qa_id, i, 'doc_' || lpad(CAST((conv_id * 7 + turn * 13 + i * 17) % (SELECT count(*) FROM documents) AS VARCHAR), 8, '0') AS file_name, '1' AS chunk_id, n - 1 AS hop_count
+    "lineage": """lineage AS (SELECT qa_id, i, 'doc_' || lpad(CAST((conv_id * 7 + turn * 13 + i * 17) % (SELECT count(*) FROM documents) AS VARCHAR), 20, '0') AS file_name, '1' AS chunk_id, n - 1 AS hop_count
         FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *, 1 + (conv_id + turn) % 3 AS n FROM qa)))""",
     "vectors": "vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)",
     "replies": """replies AS (SELECT doc_id, quality, toxic, CASE WHEN quality IS NULL THEN 'ERROR: none' ELSE '<|#|>START<|#|>Status<|#|>' || CASE WHEN quality = 1 THEN 'SELECTED' ELSE 'REJECTED' END || '<|#|>Relevance<|#|>' || CAST(doc_id % 11 AS VARCHAR)

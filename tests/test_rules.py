@@ -10,7 +10,8 @@ from ragset.functions.text import keyed
 from ragset.operators.chunking import backfill_artifact, char_windows
 from ragset.operators.dedup import communities, leader_clusters, similar_pairs
 from ragset.operators.html import markdown_of
-from ragset.operators.replies import keyword_spans, search_strings
+from ragset.operators.metrics import necessity, visual_dependency
+from ragset.operators.replies import claim_verdicts, keyword_spans, misleading_visual, parse_keyword_map, relevant, search_strings, verified
 from ragset.sources.shared import written
 
 
@@ -41,9 +42,9 @@ def test_artifacts(spark):
 
 
 def test_search_strings(spark):
-    rows = [("'a' | none | \"b\"|c|d|e|f", None), ("None", "see Figure 3 and Annex B."), (None, None)]
+    rows = [("'a' | none | \"b\"|c|d|e|f", None), ("None", "see figure 3, Formula B.2 and Section 4"), (None, None)]
     d = spark.createDataFrame(rows, "r string, e string").select(search_strings(F.col("r"), F.col("e")).alias("x")).collect()
-    assert [r.x for r in d] == [["a", "b", "c", "d", "e"], ["Figure 3", "Annex B."], []]
+    assert [r.x for r in d] == [["a", "b", "c", "d", "e"], ["figure", "Formula"], []]
 
 
 def test_keyword_spans(spark):
@@ -124,3 +125,33 @@ def test_every_chunk_is_embedded(spark):
     got = e1_embed_chunks(spark, data).collect()
     assert sorted((r.file_name, r.chunk_id) for r in got) == sorted(tuple(r) for r in chunks(spark, data).select("file_name", "chunk_id").collect())
     assert {r.norm for r in got} <= {0.0, 1.0} and len({r.dim for r in got}) == 1
+
+
+def test_gates_read_the_status(spark):
+    good = "QUESTION_CORRECT, ANSWER_CORRECT, REQUIRES_CONTENT"
+    rows = [(f"<|#|>START<|#|>Status<|#|>{good}<|#|>Explanation<|#|>not ANSWER_INCORRECT<|#|>END<|#|>", True), (f"<|#|>Status<|#|>{good}, CAN_ANSWER_WITHOUT_CONTENT<|#|>", False), (good.lower(), True), (None, False), ("", False), ("<|#|>Status<|#|>QUESTION_CORRECT<|#|>Explanation<|#|>" + good, False)]
+    d = spark.createDataFrame(rows, "r string, want boolean")
+    assert all(r.got == r.want for r in d.withColumn("got", verified(F.col("r"))).collect())
+    figure = verified(F.col("r"), F.lit("What is shown in the figure?"), F.lit("A tree."), F.lit(True))
+    assert not d.limit(1).select(figure.alias("x")).first().x
+    rows = [("<|#|>Status<|#|>RELEVANT<|#|>Explanation<|#|>NOT_RELEVANT to x", True), ("not_relevant", False), ("Relevant", True), (None, False)]
+    assert all(r.got == r.want for r in spark.createDataFrame(rows, "r string, want boolean").withColumn("got", relevant(F.col("r"))).collect())
+
+
+def test_misleading_visuals(spark):
+    rows = [("What is graph theory?", "Maths.", False, False), ("What does the figure show, based on the Diagram?", "The axis is time.", True, False), ("According to the chart, who?", "He.", True, True), ("As depicted in the image, who?", "At the top of it.", False, True)]
+    d = spark.createDataFrame(rows, "q string, a string, i boolean, want boolean").withColumn("got", misleading_visual(F.col("q"), F.col("a"), F.col("i")))
+    assert [(r.q, r.got) for r in d.collect()] == [(r[0], r[3]) for r in rows]
+
+
+def test_judges_replies(spark):
+    rows = [("MATCH: NO, yes only in part", 0.9, 0.0), ("match: yes", 0.0, 0.0), ("MATCH: PARTIAL", 0.5, 0.0), ("I CANNOT_ANSWER", 1.0, 0.0), ("ERROR: MATCH: YES", 0.5, 0.0), (None, 0.9, 0.0), ("VISUAL_ESSENTIAL.", 0.9, 1.0), ("visual_helpful", 0.9, 0.5)]
+    d = spark.createDataFrame([(r[0],) for r in rows], "r string").select("r", necessity(F.col("r")).alias("n"), visual_dependency(F.col("r")).alias("v")).collect()
+    assert [tuple(x) for x in d] == rows
+
+
+def test_repeated_labels(spark):
+    d = spark.createDataFrame([("Chunk 1: [A, B], Chunk 2: [C], Chunk 1: [D]",)], "r string").select(parse_keyword_map(F.col("r")).alias("m")).first().m
+    assert d == {"chunk_1": ["D"], "chunk_2": ["C"]}
+    r = spark.createDataFrame([(1, "claim_1: supported\nCLAIM_1: NOT_SUPPORTED\nsupported\nnot supported", 5)], "k int, r string, n int")
+    assert {x.i: x.supported for x in claim_verdicts(r, "k", "r", "n").collect()} == {1: True, 2: False, 3: True, 4: False, 5: False}
