@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 #: ASCII white space that separates words in the contracts: space and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of sf_dir. Rows hold whole texts, so that few of them go to a Python worker at once."""
+    if int(spark.conf.get(BATCH)) > ROWS:
+        spark.conf.set(BATCH, ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

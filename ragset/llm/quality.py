@@ -52,16 +52,16 @@ def statistics(text: bytes) -> np.ndarray:
     return out
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """docs, which has a text, with its statistics, stats array<double>, in place of the text; a null text counts as empty."""
-    others = [c for c in docs.columns if c != "text"]
+def with_statistics(docs: DataFrame, text: bool = False) -> DataFrame:
+    """docs, which has a text, with its statistics, stats array<double>, in place of the text or with it; a null text counts as empty."""
+    others = [c for c in docs.columns if c != "text" or text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stats = [statistics(t.as_py() or b"") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(stats, pa.list_(pa.float64()))], [*others, "stats"])
 
-    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, ", ".join(f"{n} {t}" for n, t in docs.dtypes if n != "text") + ", stats array<double>")
+    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, ", ".join(f"{n} {t}" for n, t in docs.dtypes if n != "text") + (", text binary" if text else "") + ", stats array<double>").select(*others, "stats")
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -112,9 +112,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192
         return run
 
     knots = isotonic(train.mapInArrow(scorer("raw"), "label int, weight double, raw double"), -0.5, 1.5) if moments[0] else ([], [])
-    rows = with_statistics(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).alias(f"kept_{c}") for c in keep), "text"))
+    rows = with_statistics(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).alias(f"kept_{c}") for c in keep if c != "text"), "text"), "text" in keep)
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "stats") + ", score double"
-    return rows.mapInArrow(scorer("score", knots), schema).select("doc_id", *(F.col(f"kept_{c}").alias(c) for c in keep), "score")
+    return rows.mapInArrow(scorer("score", knots), schema).select("doc_id", *(F.col("text").cast("string") if c == "text" else F.col(f"kept_{c}").alias(c) for c in keep), "score")
 
 
 def quality_query(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

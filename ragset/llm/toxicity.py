@@ -27,7 +27,7 @@ from ragset.llm.tokens import slices
 
 SPAN, DECAY, POWER, SYMBOLS = 5, 0.5, 3, 64
 #: Words of a sentence at most; longer ones are cut. Words whose values a worker remembers. Rows handled together.
-LONGEST_SENTENCE, MAX_WORDS, ROWS = 32, 400_000, 256
+LONGEST_SENTENCE, MAX_WORDS, ROWS = 32, 250_000, 256
 #: Values of the kernel with a landmark below NEGLIGIBLE count as none, and when scoring so do words worth less than LEAST
 #: or, where no word is worth much, a tenth of the most that a landmark is worth.
 NEGLIGIBLE, LEAST = 0.01, 0.3
@@ -364,10 +364,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 2
     their doc_id. An empty or null text has no words and scores as its sentence without words. Where the fold has no
     label 1 the score is default. Other columns play no part. An empty table gives no rows.
     """
-    kept = [F.col(c).alias(f"kept_{c}") for c in keep]
+    kept = [F.col(c).alias(f"kept_{c}") for c in keep if c != "text"]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *kept, "text")
     known, n = labelled_sample(labels, "toxic", learn, {1: sample, 0: 4 * sample})
-    back = ["doc_id", *(F.col(f"kept_{c}").alias(c) for c in keep)]
+    back = ["doc_id", *(F.col(c if c == "text" else f"kept_{c}").alias(c) for c in keep)]
     none = texts.select(*back, F.lit(float(default)).alias("score"))
     if not n.get(1):
         return none
@@ -384,14 +384,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 2
             for batch in batches:
                 for a, b in slices(batch.num_rows, ROWS):
                     part = batch.slice(a, b - a)
-                    others = [c for c in part.schema.names if c != "text"]
+                    others = [c for c in part.schema.names if c != "text" or (knots and "text" in keep)]
                     raw = np.array(score(part.column("text").to_pylist()), float)
                     yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(raw if knots is None else calibrated(raw, knots, default))], [*others, name])
 
         return run
 
     knots = isotonic(train.select("label", "weight", "text").mapInArrow(scorer("raw"), "label int, weight double, raw double"), -3.0, 3.0)
-    schema = ", ".join(f"{n} {t}" for n, t in texts.dtypes if n != "text") + ", score double"
+    schema = ", ".join(f"{n} {t}" for n, t in texts.dtypes if n != "text" or "text" in keep) + ", score double"
     return texts.mapInArrow(scorer("score", knots), schema).select(*back, "score")
 
 
