@@ -46,8 +46,10 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _judged(docs: DataFrame, classify, labels: DataFrame, bad: int) -> DataFrame:
     """docs without the rows that classify predicts as bad; columns keep their names, types and order."""
-    named = docs.select("doc_id", "text", F.struct(*docs.columns).alias("whole"))
-    return classify(named, labels, keep=("whole",)).where(F.col("predicted") != bad).select("whole.*")
+    rest = [c for c in docs.columns if c != "text"]
+    named = docs.select("doc_id", "text", F.struct(*rest).alias("rest"))  # the text goes through the classifier once
+    out = classify(named, labels, keep=("rest", "text")).where(F.col("predicted") != bad)
+    return out.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns))
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
