@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ragset.operators import evaluation as V
 from ragset.operators import metrics as E
 from ragset.operators import replies as P
 from ragset.operators import seams
@@ -18,12 +19,15 @@ def v1_to_eval_rows(s, d):
 
 
 def v2_parse_claims(s, d):
-    """Claims as lines of a reply, parsed back; a failed reply gives the answer."""
-    c = claims(s, d).groupBy("qa_id").agg(F.count("*").alias("n"))
-    lines = qa(s, d).select("qa_id", F.when(F.col("turn") == 0, F.concat(F.lit("ANSWER_CLAIMS:\n"), F.regexp_replace(F.regexp_replace("answer", "\n", " "), r"\. ", "\n"))).otherwise("ERROR").alias("reply"))
-    body = F.regexp_extract("reply", r"(?s)ANSWER_CLAIMS:\n(.*)", 1)
-    n = lines.select("qa_id", F.when(F.col("reply") == "ERROR", 1).otherwise(F.size(F.split(body, "\n"))).cast("long").alias("n_claims"))
-    return n.join(c.withColumnRenamed("n", "n_sentences"), "qa_id")
+    """Sections of preparation replies; of later turns the reply is an error and the texts themselves count."""
+    lines = F.regexp_replace(F.regexp_replace("answer", "\n", " "), r"\. ", "\n")
+    hops = F.repeat(F.lit("x --> "), F.pmod("conv_id", F.lit(4)).cast("int"))
+    more = F.concat(F.lit("\nREFERENCE_CLAIMS:\n- r"), F.col("relevance_score"), F.lit("\n-\n\n  - s\nCONCEPT_HOPS_QUESTION:\n"), hops, F.lit("y\nREVERSE_QUESTIONS:\n- w1?\nw2?\n- "), F.col("difficulty_score"), F.lit("?\nw4?"))
+    reply = F.when(F.col("turn") == 0, F.concat(F.lit("ANSWER_CLAIMS:\n"), lines, more)).otherwise("ERROR: late")
+    g = V.parse_claims(qa(s, d).withColumns({"reply": reply, "reference": F.lit("")}))
+    n = lambda c: F.size(c).cast("long")
+    joined = lambda c: F.md5(F.array_join(c, "|").cast("binary"))
+    return g.select("qa_id", n("answer_claims").alias("n_claims"), joined("answer_claims").alias("claims_md5"), n("reference_claims").alias("n_reference"), joined("reverse_questions").alias("reverse_md5"), F.regexp_count("concept_hops", F.lit("-->")).cast("long").alias("hops"))
 
 
 def v3_parse_verdicts(s, d):
@@ -58,18 +62,20 @@ def v6_answer_relevancy(s, d):
 
 
 def v7_multimodal_faithfulness(s, d):
-    c = claims(s, d)
-    return c.groupBy("qa_id").agg(
-        F.round(F.avg(F.col("supported").cast("double")), 6).alias("score"), F.count_if(F.col("source").isin("TEXT", "BOTH")).alias("text_claims"), F.count_if(F.col("source").isin("IMAGE", "BOTH")).alias("image_claims"),
-        F.max(F.col("supported") & F.col("source").isin("IMAGE", "BOTH")).alias("image_grounded"),
-    )
+    """Replies with a verdict and a source a claim; some leave the source out, some fail, some items have no image or no chunk."""
+    c = claims(s, d).withColumn("i", F.col("i") + 1)
+    verdict = F.concat(F.lit("CLAIM_"), F.col("i").cast("string"), F.lit(": "), F.when(F.col("supported"), "Supported").otherwise("NOT_SUPPORTED"), F.when(F.col("i") % 5 == 0, F.lit("")).otherwise(F.concat(F.lit(" | SOURCE: "), F.col("source"))))
+    r = c.groupBy("qa_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", verdict.alias("v")))), lambda x: x["v"]), "\n").alias("reply"), F.count("*").alias("n"))
+    r = r.withColumns({"reply": F.when(F.col("qa_id") % 11 == 0, "ERROR: late").otherwise(F.col("reply")), "has_image": F.col("qa_id") % 3 != 0, "text_score": F.lit(0.25), "n_chunks": F.col("qa_id") % 7})
+    m = V.multimodal_faithfulness(r, "reply", "n", "has_image", "text_score", "n_chunks")
+    return m.select("qa_id", F.round("score", 6).alias("score"), F.col("text_claims").cast("long").alias("text_claims"), F.col("image_claims").cast("long").alias("image_claims"), "text_grounded", "visual_grounded")
 
 
 def v8_multimodal_relevance(s, d):
     q, r = _question_vectors(s, d)
     r = E.answer_relevancy(q.select("qa_id", "v"), r.select("qa_id", "v"))
-    model = F.when(F.col("qa_id") % 3 == 0, 0.5).otherwise(F.least(F.lit(1.0), (F.col("qa_id") % 13) / 10))
-    return r.select("qa_id", F.round(F.when(F.col("score") > 0, 0.5 * model + 0.5 * F.col("score")).otherwise(model), 6).alias("score"))
+    reply = F.when(F.col("qa_id") % 3 == 0, "none").otherwise(F.concat(F.lit("RELEVANCE: "), (F.col("qa_id") % 13 / 10).cast("string")))
+    return r.select("qa_id", F.round(V.multimodal_relevance(V.labelled_score(reply, "RELEVANCE"), F.col("score"), F.col("qa_id") % 5 != 0), 6).alias("score"))
 
 
 def _labels(s, d):
@@ -78,11 +84,8 @@ def _labels(s, d):
 
 
 def v9_context_necessity(s, d):
-    n = _labels(s, d).select(E.necessity(F.col("label")).alias("x"))
-    return n.agg(
-        F.round(F.avg("x"), 6).alias("mean"), F.count_if(F.col("x") == 0).alias("answerable"), F.round(F.count_if(F.col("x") == 0) / F.count("*"), 6).alias("leakage_rate"),
-        F.count_if(F.col("x") >= 0.8).alias("high"), F.count_if((F.col("x") >= 0.5) & (F.col("x") < 0.8)).alias("medium"), F.count_if(F.col("x") < 0.5).alias("low"),
-    )
+    n = V.necessity_report(_labels(s, d), "label")
+    return n.select(F.round("mean", 6).alias("mean"), "answerable", F.round("leakage_rate", 6).alias("leakage_rate"), "high", "medium", "low")
 
 
 def v10_multihop_reasoning(s, d):
@@ -91,24 +94,39 @@ def v10_multihop_reasoning(s, d):
     full = F.concat(F.lit("HOP_COUNT: "), F.col("h").cast("string"), F.lit("\nREASONING_SCORE: "), (F.col("qa_id") % 13 / 10).cast("string"), F.lit("\nBRIDGE_ENTITY: river \nend"))
     reply = F.when(F.col("qa_id") % 3 == 0, full).when(F.col("qa_id") % 3 == 1, "no idea").otherwise("ERROR: late")
     m = E.multihop_reasoning(r.withColumn("reply", reply))
-    return m.groupBy(F.col("hop_count").alias("hops")).agg(F.count("*").alias("n"), F.round(F.avg("reasoning_score"), 6).alias("score"), F.count_if(~F.col("bridge_entity").isin("None", "Error")).alias("bridges"))
+    return V.multihop_report(m).withColumn("score", F.round("score", 6))
 
 
 def v11_visual_dependency(s, d):
+    """The report of judged questions; a judge's word is the reply's, in either form."""
     words = F.array(*map(F.lit, ["Verdict: VISUAL_ESSENTIAL", "visual_helpful", "TEXT_SUFFICIENT", "MISSING_VISUAL"]))
-    x = qa(s, d).select(F.element_at(words, (F.pmod("qa_id", F.lit(4)) + 1).cast("int")).alias("label"))
-    return x.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg(E.visual_dependency(F.col("label"))), 6).alias("score"))
+    x = qa(s, d).select(F.element_at(words, (F.pmod(F.length("question"), F.lit(4)) + 1).cast("int")).alias("label"))
+    return V.visual_report(x, "label").withColumns({"mean": F.round("mean", 6), "necessity_rate": F.round("necessity_rate", 6)})
 
 
 def v12_semantic_diversity(s, d):
     return E.semantic_diversity(vectors(s, d)).select(F.round("diversity", 6).alias("diversity"))
 
 
+def _scored(s, d):
+    """Questions with scores, an error for some, a text of concept hops and the flags of subsets."""
+    f = v4_faithfulness(s, d).withColumnRenamed("score", "faithfulness").join(v5_context_precision(s, d).withColumnRenamed("score", "context_precision"), "qa_id")
+    h = lineage(s, d).groupBy("qa_id").agg(F.max("hop_count").alias("hop_count"))
+    r = f.join(h, "qa_id", "left").join(qa(s, d).select("qa_id", "conv_id", "question"), "qa_id")
+    r = r.withColumns({"error": F.when(F.col("qa_id") % 7 == 0, "late"), "hops": F.repeat(F.lit("a --> "), (F.col("qa_id") % 4).cast("int")), "image": F.when(F.col("conv_id") % 3 == 0, "p.png")})
+    r = r.withColumn("multimodal_relevance", F.when(F.col("image").isNotNull(), F.col("context_precision")).otherwise(0.0))
+    return V.subset_flags(r, "hop_count", "question", "image")
+
+
+SCORES = ["faithfulness", "context_precision", "multimodal_relevance"]
+
+
+def _six(df):
+    return df.select(*[F.round(c, 6).alias(c) if kind == "double" else c for c, kind in df.dtypes])
+
+
 def v16_aggregate_scores(s, d):
-    f = v4_faithfulness(s, d).withColumnRenamed("score", "f").join(v5_context_precision(s, d).withColumnRenamed("score", "p"), "qa_id")
-    ok = F.col("qa_id") % 7 != 0
-    hops = F.regexp_count(F.repeat(F.lit("a --> "), (F.col("qa_id") % 4).cast("int")), F.lit("-->"))
-    return f.agg(F.round(F.avg(F.when(ok, F.col("f"))), 6).alias("faithfulness"), F.round(F.avg(F.when(ok, F.col("p"))), 6).alias("precision"), F.count_if(~ok).alias("errors"), F.round(F.avg(F.when(hops > 0, hops)), 6).alias("mean_hops"))
+    return _six(V.aggregate_scores(_scored(s, d), SCORES, ["multimodal_relevance"], "error", "hops"))
 
 
 def v17_flag_issues(s, d):
@@ -117,37 +135,37 @@ def v17_flag_issues(s, d):
 
 
 def v18_qa_subsets(s, d):
-    h = lineage(s, d).groupBy("qa_id").agg(F.max("hop_count").alias("h"))
-    multi = h.where("h > 0").select("qa_id")
-    visual = qa(s, d).where((F.col("conv_id") % 3 == 0) | F.col("question").rlike(P.VISUAL_QUESTION)).select("qa_id")
-    both = multi.intersect(visual)
-    n = lambda t, name: t.agg(F.count("*").alias(name))
-    return n(multi, "multihop").crossJoin(n(visual, "multimodal")).crossJoin(n(both, "both")).crossJoin(n(qa(s, d), "total"))  # one row each
+    return V.subset_counts(_scored(s, d))
 
 
 def v19_attach_metrics(s, d):
-    return qa(s, d).select("qa_id").join(v5_context_precision(s, d), "qa_id", "left").join(_labels(s, d), "qa_id", "left").select("qa_id", "score", E.necessity(F.col("label")).alias("necessity"))
+    labels = _labels(s, d).select("qa_id", E.necessity(F.col("label")).alias("necessity"))
+    return V.attach_metrics(qa(s, d).select("qa_id"), "qa_id", v5_context_precision(s, d), labels)
 
 
 def v20_data_completeness(s, d):
-    c = qa(s, d).withColumn("n_images", F.col("conv_id") % 3)
-    return c.agg(F.count_if(F.col("n_images") > 0).alias("with_images"), F.sum("n_images").alias("images"), (F.sum("n_images") > 0).alias("multimodal_runs"))
+    return V.data_completeness(qa(s, d).withColumn("n_images", F.col("conv_id") % 3), "n_images")
 
 
 def v21_basic_report(s, d):
-    return qa(s, d).groupBy((F.col("conv_id") % 4).alias("domain")).agg(F.count("*").alias("n"), F.round(F.avg(F.col("relevance_score").try_cast("double")), 6).alias("relevance"), F.round(F.avg(F.when(F.col("turn") == 0, F.lit("")).otherwise(F.col("difficulty_score")).try_cast("double")), 6).alias("difficulty"))
+    """Scores by domain; first turns have a blank difficulty."""
+    q = qa(s, d).withColumn("difficulty_score", F.when(F.col("turn") == 0, "").otherwise(F.col("difficulty_score")))
+    return _six(V.basic_report(q, (F.col("conv_id") % 4).alias("domain")))
 
 
 def v22_parse_vlm_scores(s, d):
-    reply = F.when(F.col("qa_id") % 3 == 0, F.concat(F.lit("FAITHFULNESS: "), (F.col("qa_id") % 17 / 10).cast("string"), F.lit("\nTEXT_SUPPORTED: YES"))).otherwise("Text Supported<|#|>NA")
+    reply = F.when(F.col("qa_id") % 3 == 0, F.concat(F.lit("FAITHFULNESS: "), (F.col("qa_id") % 17 / 10).cast("string"), F.lit("\nTEXT_SUPPORTED: YES\nImage supported: no\nANSWER_QUALITY: 0.5."))).otherwise("Text Supported<|#|>NA")
     q = qa(s, d).select("qa_id", reply.alias("r"))
-    score = F.regexp_extract("r", r"FAITHFULNESS: ([0-9.]+)", 1).try_cast("double")
-    flag = F.regexp_extract("r", r"(?i)text[_ ]supported(?::\s*|<\|#\|>)(YES|NO|NA)", 1)
-    return q.select("qa_id", F.round(F.when(score.isNull(), 0.5).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))), 6).alias("score"), flag.alias("text_supported"))
+    flag = lambda c: V.labelled_flag(F.col("r"), c)
+    return q.select("qa_id", F.round(V.labelled_score(F.col("r"), "FAITHFULNESS"), 6).alias("score"), V.labelled_score(F.col("r"), "ANSWER_QUALITY").alias("quality"), flag("TEXT_SUPPORTED").alias("text_supported"), flag("IMAGE_SUPPORTED").alias("image_supported"))
 
 
 def v23_evaluation_report(s, d):
-    return v16_aggregate_scores(s, d).crossJoin(v12_semantic_diversity(s, d)).crossJoin(v9_context_necessity(s, d).select(F.col("mean").alias("necessity")))  # one row each
+    """A row a subset (all, multihop, multimodal, both) with the dataset's diversity and necessity and the means of the groups."""
+    r = V.aggregate_scores(V.by_subset(_scored(s, d)), SCORES, ["multimodal_relevance"], "error", "hops", "subset")
+    whole = E.semantic_diversity(vectors(s, d)).crossJoin(V.necessity_report(_labels(s, d), "label").select(F.col("mean").alias("necessity")))  # one row each
+    g = V.group_means(r.crossJoin(whole), {"quality": ["faithfulness", "context_precision"], "multimodal": ["multimodal_relevance_valid"], "health": ["diversity", "necessity"]})
+    return _six(g)
 
 
 def p7_context_stats(s, d):
@@ -186,12 +204,19 @@ def s8_html_to_markdown(s, d):
     return m.select("page_id", F.length("markdown").cast("long").alias("n_chars"), F.regexp_count("markdown", F.lit(r"(?m)^#+ ")).cast("long").alias("headings"))
 
 
+TRIM = r"regexp_replace({}, '^[ \t\n\r\f\x0b]+|[ \t\n\r\f\x0b]+$', '', 'g')"
 FAITH = "faith AS (SELECT qa_id, round(coalesce(avg(CASE WHEN supported THEN 1.0 WHEN NOT supported THEN 0.0 END), 1), 6) AS f FROM qa LEFT JOIN claims USING (qa_id) GROUP BY 1)"
 PREC = "prec AS (SELECT qa_id, round(coalesce(avg(CASE WHEN rel = 1 THEN run / k END), 0), 6) AS p FROM (SELECT *, sum(rel) OVER (PARTITION BY qa_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT qa_id, i + 1 AS k, CASE WHEN (qa_id + i + 1) % 2 = 0 THEN 1 ELSE 0 END AS rel FROM lineage)) GROUP BY 1)"
 RELV = "relv AS (SELECT qa_id, round(greatest(0, least(1, list_cosine_similarity(a.v, b.v))), 6) AS r FROM qa JOIN vectors a ON a.vec_id = qa_id % (SELECT count(*) FROM vectors) JOIN vectors b ON b.vec_id = (qa_id * 3 + 1) % (SELECT count(*) FROM vectors))"
 NEC = "nec AS (SELECT qa_id, ([1.0, 0.0, 0.5, 0.9, 0.5])[CAST(qa_id % 5 + 1 AS INTEGER)]::DOUBLE AS x FROM qa)"
-DIV = "(SELECT round(greatest(0, least(1, 1 - (ss - qq) / (n * (n - 1)))), 6) AS diversity FROM (SELECT sum(s * s) AS ss, sum(q) AS qq FROM (SELECT sum(x) AS s, sum(x * x) AS q FROM (SELECT unnest(u) AS x, generate_subscripts(u, 1) AS pos FROM (SELECT list_transform(v, lambda e: e / sqrt(list_dot_product(v, v))) AS u FROM vectors)) GROUP BY pos)), (SELECT count(*) AS n FROM vectors))"
-AGG = "(SELECT round(avg(f) FILTER (WHERE qa_id % 7 <> 0), 6) AS faithfulness, round(avg(p) FILTER (WHERE qa_id % 7 <> 0), 6) AS precision, count(*) FILTER (WHERE qa_id % 7 = 0) AS errors, round(avg(qa_id % 4) FILTER (WHERE qa_id % 4 > 0), 6) AS mean_hops FROM faith JOIN prec USING (qa_id))"
+DIV = "(SELECT greatest(0, least(1, 1 - (ss - qq) / (n * (n - 1)))) AS diversity FROM (SELECT sum(s * s) AS ss, sum(q) AS qq FROM (SELECT sum(x) AS s, sum(x * x) AS q FROM (SELECT unnest(u) AS x, generate_subscripts(u, 1) AS pos FROM (SELECT list_transform(v, lambda e: e / sqrt(list_dot_product(v, v))) AS u FROM vectors)) GROUP BY pos)), (SELECT count(*) AS n FROM vectors))"
+SCORED = (
+    "scored AS (SELECT qa_id, f AS faithfulness, p AS context_precision, CASE WHEN conv_id % 3 = 0 THEN p ELSE 0.0 END AS multimodal_relevance, qa_id % 7 <> 0 AS ok, qa_id % 4 AS arrows, coalesce(h, 0) > 0 AS multihop,"
+    f" conv_id % 3 = 0 OR regexp_matches(question, '{P.VISUAL_QUESTION}') AS multimodal FROM faith JOIN prec USING (qa_id) JOIN qa USING (qa_id) LEFT JOIN (SELECT qa_id, max(hop_count) AS h FROM lineage GROUP BY 1) USING (qa_id))"
+)
+AGG = """round(avg(faithfulness) FILTER (WHERE ok), 6) AS faithfulness, round(avg(context_precision) FILTER (WHERE ok), 6) AS context_precision, round(avg(multimodal_relevance) FILTER (WHERE ok), 6) AS multimodal_relevance, count(*) FILTER (WHERE ok) AS evaluated, count(*) FILTER (WHERE NOT ok) AS errors,
+    round(avg(multimodal_relevance) FILTER (WHERE ok AND multimodal_relevance > 0), 6) AS multimodal_relevance_valid, round(coalesce(avg(arrows) FILTER (WHERE ok AND arrows > 0), 0), 6) AS mean_hops, count(*) FILTER (WHERE ok AND arrows > 0) AS hops_count"""
+SUBSETS = "(SELECT 'all' AS subset, * FROM scored UNION ALL SELECT 'multihop', * FROM scored WHERE multihop UNION ALL SELECT 'multimodal', * FROM scored WHERE multimodal UNION ALL SELECT 'both', * FROM scored WHERE multihop AND multimodal)"
 
 
 def _with(extra: str, query: str, *tables: str) -> str:
@@ -200,27 +225,30 @@ def _with(extra: str, query: str, *tables: str) -> str:
 
 SQLS = {
     "v1_to_eval_rows": sql("SELECT qa_id, md5(answer) AS ground_truth_md5, count(content) AS n_contexts, md5(coalesce(string_agg(content, chr(10) ORDER BY i), '')) AS contexts_md5 FROM qa LEFT JOIN (SELECT qa_id, i, content FROM lineage JOIN chunks USING (file_name, chunk_id)) USING (qa_id) GROUP BY qa_id, answer", "chunks", "lineage"),
-    "v2_parse_claims": sql("SELECT qa_id, CASE WHEN turn = 0 THEN len(string_split(replace(answer, chr(10), ' '), '. ')) ELSE 1 END AS n_claims, len(string_split(answer, '. ')) AS n_sentences FROM qa", "qa"),
+    "v2_parse_claims": sql(rf"""SELECT qa_id, len(c) AS n_claims, md5(array_to_string(c, '|')) AS claims_md5, CASE WHEN turn = 0 THEN 4 ELSE 0 END AS n_reference, md5(CASE WHEN turn = 0 THEN 'w1?|w2?|' || difficulty_score || '?' ELSE question END) AS reverse_md5, CASE WHEN turn = 0 THEN conv_id % 4 ELSE 0 END AS hops
+        FROM (SELECT *, CASE WHEN turn > 0 THEN CASE WHEN answer = '' THEN [] ELSE [answer] END ELSE list_transform(list_filter(list_transform(string_split(replace(answer, chr(10), ' '), '. '), lambda x: {TRIM.format('x')}), lambda x: x <> '' AND x <> '-'), lambda x: {TRIM.format("regexp_replace(x, '^[- ]+', '')")}) END AS c FROM qa)""", "qa"),
     "v3_parse_verdicts": sql("SELECT qa_id, CAST(i + 1 AS INTEGER) AS i, CASE WHEN qa_id % 2 = 0 THEN i IN (0, 2) ELSE i = 1 END AS supported FROM claims", "claims"),
     "v4_faithfulness": _with(FAITH, "SELECT qa_id, f AS score FROM faith", "claims"),
     "v5_context_precision": _with(PREC, "SELECT qa_id, p AS score FROM prec", "lineage"),
     "v6_answer_relevancy": _with(RELV, "SELECT qa_id, r AS score FROM relv", "qa", "vectors"),
-    "v7_multimodal_faithfulness": sql("SELECT qa_id, round(avg(CASE WHEN supported THEN 1.0 ELSE 0.0 END), 6) AS score, count(*) FILTER (WHERE source IN ('TEXT','BOTH')) AS text_claims, count(*) FILTER (WHERE source IN ('IMAGE','BOTH')) AS image_claims, bool_or(supported AND source IN ('IMAGE','BOTH')) AS image_grounded FROM claims GROUP BY 1", "claims"),
-    "v8_multimodal_relevance": _with(RELV.replace("round(", "(").replace(", 6) AS r", ") AS r"), "SELECT qa_id, round(CASE WHEN r > 0 THEN 0.5 * m + 0.5 * r ELSE m END, 6) AS score FROM (SELECT qa_id, r, CASE WHEN qa_id % 3 = 0 THEN 0.5 ELSE least(1.0, (qa_id % 13) / 10) END AS m FROM relv)", "qa", "vectors"),
+    "v7_multimodal_faithfulness": sql("""SELECT qa_id, round(CASE WHEN qa_id % 7 = 0 THEN 0 WHEN qa_id % 3 = 0 THEN 0.25 WHEN qa_id % 11 = 0 THEN 0 ELSE score END, 6) AS score, CASE WHEN seen THEN t ELSE 0 END AS text_claims, CASE WHEN seen THEN g ELSE 0 END AS image_claims, seen AND t > 0 AS text_grounded, seen AND g > 0 AS visual_grounded
+        FROM (SELECT qa_id, qa_id % 7 <> 0 AND qa_id % 3 <> 0 AND qa_id % 11 <> 0 AS seen, avg(CASE WHEN supported THEN 1.0 ELSE 0.0 END) AS score, count(*) FILTER (WHERE supported AND (i + 1) % 5 <> 0 AND source IN ('TEXT','BOTH')) AS t, count(*) FILTER (WHERE supported AND (i + 1) % 5 <> 0 AND source IN ('IMAGE','BOTH')) AS g FROM claims GROUP BY 1)""", "claims"),
+    "v8_multimodal_relevance": _with(RELV.replace("round(", "(").replace(", 6) AS r", ") AS r"), "SELECT qa_id, round(CASE WHEN qa_id % 5 = 0 THEN r WHEN r > 0 THEN 0.5 * m + 0.5 * r ELSE m END, 6) AS score FROM (SELECT qa_id, r, CASE WHEN qa_id % 3 = 0 THEN 0.5 ELSE least(1.0, (qa_id % 13) / 10) END AS m FROM relv)", "qa", "vectors"),
     "v9_context_necessity": _with(NEC, "SELECT round(avg(x), 6) AS mean, count(*) FILTER (WHERE x = 0) AS answerable, round(count(*) FILTER (WHERE x = 0) / count(*), 6) AS leakage_rate, count(*) FILTER (WHERE x >= 0.8) AS high, count(*) FILTER (WHERE x >= 0.5 AND x < 0.8) AS medium, count(*) FILTER (WHERE x < 0.5) AS low FROM nec", "qa"),
-    "v10_multihop_reasoning": sql("SELECT CASE WHEN qa_id % 3 = 0 THEN h ELSE 1 END AS hops, count(*) AS n, round(avg(CASE WHEN qa_id % 3 = 0 THEN least(1.0, (qa_id % 13) / 10) WHEN qa_id % 3 = 1 THEN 0.5 ELSE 0.0 END), 6) AS score, count(*) FILTER (WHERE qa_id % 3 = 0) AS bridges FROM (SELECT qa_id, max(hop_count) AS h FROM lineage GROUP BY 1) GROUP BY 1", "lineage"),
-    "v11_visual_dependency": sql("SELECT (['Verdict: VISUAL_ESSENTIAL','visual_helpful','TEXT_SUFFICIENT','MISSING_VISUAL'])[CAST(qa_id % 4 + 1 AS INTEGER)] AS label, count(*) AS n, round(avg(([1.0, 0.5, 0.0, 1.0])[CAST(qa_id % 4 + 1 AS INTEGER)]::DOUBLE), 6) AS score FROM qa GROUP BY 1", "qa"),
-    "v12_semantic_diversity": sql(f"SELECT diversity FROM {DIV}", "vectors"),
-    "v16_aggregate_scores": _with(f"{FAITH}, {PREC}", f"SELECT * FROM {AGG}", "claims", "lineage"),
+    "v10_multihop_reasoning": sql("SELECT CASE WHEN qa_id % 3 = 0 THEN h ELSE 1 END AS hops, count(*) AS n, round(avg(CASE WHEN qa_id % 3 = 0 THEN least(1.0, (qa_id % 13) / 10) WHEN qa_id % 3 = 1 THEN 0.5 ELSE 0.0 END), 6) AS score, count(*) FILTER (WHERE qa_id % 3 = 0) AS bridges FROM (SELECT qa_id, max(hop_count) AS h FROM lineage GROUP BY 1) GROUP BY ROLLUP (1)", "lineage"),
+    "v11_visual_dependency": sql("SELECT count(*) AS n, count(*) FILTER (WHERE x IN (0, 3)) AS essential, count(*) FILTER (WHERE x = 1) AS helpful, count(*) FILTER (WHERE x = 2) AS sufficient, round(avg(CASE WHEN x IN (0, 3) THEN 1.0 WHEN x = 1 THEN 0.5 ELSE 0 END), 6) AS mean, round(count(*) FILTER (WHERE x IN (0, 3)) / count(*), 6) AS necessity_rate FROM (SELECT length(question) % 4 AS x FROM qa)", "qa"),
+    "v12_semantic_diversity": sql(f"SELECT round(diversity, 6) AS diversity FROM {DIV}", "vectors"),
+    "v16_aggregate_scores": _with(f"{FAITH}, {PREC}, {SCORED}", f"SELECT {AGG} FROM scored", "claims", "lineage"),
     "v17_flag_issues": _with(f"{FAITH}, {RELV}", "SELECT issue, count(*) AS n FROM (SELECT 'LOW_FAITHFULNESS' AS issue FROM faith JOIN relv USING (qa_id) WHERE f < 0.8 UNION ALL SELECT 'LOW_RELEVANCY' FROM faith JOIN relv USING (qa_id) WHERE r < 0.7) GROUP BY 1", "claims", "vectors"),
-    "v18_qa_subsets": sql(r"SELECT (SELECT count(DISTINCT qa_id) FROM lineage WHERE hop_count > 0) AS multihop, (SELECT count(*) FROM vis) AS multimodal, (SELECT count(*) FROM vis WHERE qa_id IN (SELECT qa_id FROM lineage WHERE hop_count > 0)) AS both, (SELECT count(*) FROM qa) AS total", "lineage").replace("\nSELECT (SELECT count(DISTINCT", r""",
-        vis AS (SELECT qa_id FROM qa WHERE conv_id % 3 = 0 OR regexp_matches(question, '""" + P.VISUAL_QUESTION + r"""'))
-        SELECT (SELECT count(DISTINCT"""),
+    "v18_qa_subsets": _with(f"{FAITH}, {PREC}, {SCORED}", "SELECT count(*) AS total, count(*) FILTER (WHERE multihop) AS multihop, count(*) FILTER (WHERE multimodal) AS multimodal, count(*) FILTER (WHERE multihop AND multimodal) AS both, count(*) FILTER (WHERE NOT multihop) AS not_multihop, count(*) FILTER (WHERE NOT multimodal) AS not_multimodal, count(*) FILTER (WHERE NOT multihop AND NOT multimodal) AS neither FROM scored", "claims", "lineage"),
     "v19_attach_metrics": _with(f"{PREC}, {NEC}", "SELECT qa_id, p AS score, x AS necessity FROM qa LEFT JOIN prec USING (qa_id) LEFT JOIN nec USING (qa_id)", "lineage"),
-    "v20_data_completeness": sql("SELECT count(*) FILTER (WHERE conv_id % 3 > 0) AS with_images, CAST(sum(conv_id % 3) AS BIGINT) AS images, sum(conv_id % 3) > 0 AS multimodal_runs FROM qa", "qa"),
+    "v20_data_completeness": sql("""SELECT metric, NOT visual OR w > 0 AS can_evaluate, CASE WHEN NOT visual OR w > 0 THEN q ELSE 'NOT_APPLICABLE' END AS quality, items, w AS items_with_images, images FROM (SELECT count(*) AS items, count(*) FILTER (WHERE conv_id % 3 > 0) AS w, CAST(coalesce(sum(conv_id % 3), 0) AS BIGINT) AS images FROM qa),
+        (VALUES ('faithfulness', FALSE, 'FULL'), ('answer_relevance', FALSE, 'FULL'), ('context_precision', FALSE, 'APPROXIMATED'), ('context_recall', FALSE, 'APPROXIMATED'), ('multihop_reasoning', FALSE, 'FULL'), ('visual_dependency', TRUE, 'FULL'), ('multimodal_faithfulness_vlm', TRUE, 'FULL'),
+            ('multimodal_answer_quality_vlm', TRUE, 'FULL'), ('semantic_diversity', FALSE, 'FULL'), ('context_necessity', FALSE, 'FULL'), ('domain_coverage', FALSE, 'FULL')) m(metric, visual, q)""", "qa"),
     "v21_basic_report": sql("SELECT conv_id % 4 AS domain, count(*) AS n, round(avg(CAST(relevance_score AS DOUBLE)), 6) AS relevance, round(avg(CASE WHEN turn <> 0 THEN CAST(difficulty_score AS DOUBLE) END), 6) AS difficulty FROM qa GROUP BY 1", "qa"),
-    "v22_parse_vlm_scores": sql("SELECT qa_id, round(CASE WHEN qa_id % 3 = 0 THEN least(1.0, (qa_id % 17) / 10) ELSE 0.5 END, 6) AS score, CASE WHEN qa_id % 3 = 0 THEN 'YES' ELSE 'NA' END AS text_supported FROM qa", "qa"),
-    "v23_evaluation_report": _with(f"{FAITH}, {PREC}, {NEC}", f"SELECT * FROM {AGG}, {DIV}, (SELECT round(avg(x), 6) AS necessity FROM nec)", "claims", "lineage", "vectors"),
+    "v22_parse_vlm_scores": sql("SELECT qa_id, round(CASE WHEN qa_id % 3 = 0 THEN least(1.0, (qa_id % 17) / 10) ELSE 0.5 END, 6) AS score, CAST(0.5 AS DOUBLE) AS quality, CASE WHEN qa_id % 3 = 0 THEN 'YES' ELSE 'NA' END AS text_supported, CASE WHEN qa_id % 3 = 0 THEN 'NO' END AS image_supported FROM qa", "qa"),
+    "v23_evaluation_report": _with(f"{FAITH}, {PREC}, {NEC}, {SCORED}", f"""SELECT r.subset, faithfulness, context_precision, multimodal_relevance, evaluated, errors, multimodal_relevance_valid, mean_hops, hops_count, round(diversity, 6) AS diversity, round(necessity, 6) AS necessity, round((f0 + p0) / 2, 6) AS quality_mean, multimodal_relevance_valid AS multimodal_mean, round((diversity + necessity) / 2, 6) AS health_mean
+        FROM (SELECT subset, {AGG}, avg(faithfulness) FILTER (WHERE ok) AS f0, avg(context_precision) FILTER (WHERE ok) AS p0 FROM {SUBSETS} GROUP BY 1) r, {DIV}, (SELECT avg(x) AS necessity FROM nec)""", "claims", "lineage", "vectors"),
     "p7_context_stats": sql("SELECT hop_count, count(*) AS contexts, round(avg(n), 6) AS mean_chunks, max(n) AS max_chunks FROM (SELECT qa_id, max(hop_count) AS hop_count, count(*) AS n FROM lineage GROUP BY 1) GROUP BY 1", "lineage"),
     "p8_qa_category_by_hop": sql("SELECT CASE WHEN qa_id % 6 = 0 THEN 'table+image' WHEN qa_id % 2 = 0 THEN 'table' WHEN qa_id % 3 = 0 THEN 'image' ELSE 'text' END AS category, hop_count, count(*) AS n FROM (SELECT qa_id, max(hop_count) AS hop_count FROM lineage GROUP BY 1) GROUP BY CUBE (1, 2)", "lineage"),
     "p9_qa_category_stats": sql("SELECT count(*) FILTER (WHERE n > 1) AS multihop, count(*) FILTER (WHERE qa_id % 3 = 0) AS multimodal, count(*) FILTER (WHERE n > 1 AND qa_id % 3 = 0) AS both, count(*) FILTER (WHERE n = 1 AND qa_id % 3 <> 0) AS neither, round_even(100 * count(*) FILTER (WHERE n > 1) / count(*), 1) AS multihop_pct, round_even(avg(CAST(difficulty_score AS DOUBLE)), 2) AS difficulty FROM qa JOIN (SELECT qa_id, count(*) AS n FROM lineage GROUP BY 1) USING (qa_id)", "lineage"),
