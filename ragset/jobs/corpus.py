@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ragset.functions.text import token_estimate, word_count
 from ragset.operators import chunking as C
+from ragset.operators import datasets as DS
+from ragset.operators import evaluation as V
 from ragset.sources.shared import shared_dir
 from ragset.sources.tables import chunks, docs, lineage, read, sql
 from ragset.streaming.ingest import ingest_windows
@@ -80,12 +82,10 @@ def p2_file_chunk_stats(s, d):
 
 
 def p3_dataset_rollup(s, d):
-    """Chunk statistics of files against page counts of every second file."""
+    """Chunk statistics of files against their page counts."""
     stats = C.file_chunk_stats(chunks(s, d), "dataset", "file_name")
-    pages = docs(s, d).select("file_name", F.col("dataset").alias("page_dataset"), C.page_estimate(F.col("text")).alias("pages"))
-    both = stats.join(pages, "file_name", "full_outer").groupBy(F.coalesce("dataset", "page_dataset").alias("dataset"))
-    a = both.agg(F.count("*").alias("files"), F.coalesce(F.sum("chunks"), F.lit(0)).alias("chunks"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("pages"), F.lit(0)).alias("pages"))
-    return a.withColumn("chunks_per_file", F.round(F.col("chunks") / F.col("files"), 6)).withColumn("tokens_per_page", F.round(F.when(F.col("pages") > 0, F.col("tokens") / F.col("pages")).otherwise(0.0), 6))
+    pages = docs(s, d).select("file_name", "dataset", C.page_estimate(F.col("text")).alias("pages"))
+    return DS.dataset_rollup(stats, pages).withColumns({"chunks_per_file": F.round("chunks_per_file", 6), "tokens_per_page": F.round("tokens_per_page", 6)})
 
 
 def p4_datasets_total(s, d):
@@ -93,12 +93,7 @@ def p4_datasets_total(s, d):
 
 
 def p5_corpus_stats(s, d):
-    c = chunks(s, d)
-    return c.agg(
-        F.count("*").alias("total"), F.count_if(F.col("chunk_type") == "table").alias("tables"), F.count_if(F.col("chunk_type") == "standalone image").alias("standalone_images"),
-        F.count_if(~F.col("chunk_type").isin("table", "standalone image")).alias("texts"), F.count_if(F.col("artifact") != "None").alias("multimodal"),
-        F.sum(token_estimate(F.col("content"))).alias("tokens"), F.round(F.avg(token_estimate(F.col("content"))), 6).alias("mean_tokens"), F.countDistinct("file_name").alias("files"),
-    )
+    return DS.corpus_stats(chunks(s, d)).withColumn("mean_tokens", F.round("mean_tokens", 6))
 
 
 def p6_page_estimate(s, d):
@@ -111,9 +106,8 @@ def s7_html_to_text(s, d):
 
 
 def p10_artifact_counts(s, d):
-    """Images by file and overall; references are counted, not folders."""
-    r = chunks(s, d).select("file_name", F.explode(C.image_refs(F.col("artifact"), F.col("file_name"))).alias("path"))
-    return r.rollup("file_name").agg(F.countDistinct("path").alias("images"))
+    """Images and tables by file and overall; references are counted, not folders."""
+    return DS.artifact_counts(chunks(s, d))
 
 
 def p11_match_files(s, d):
@@ -155,51 +149,35 @@ def e12_has_image(s, d):
 
 def q9_filter_chunks_by_type(s, d):
     c = chunks(s, d)
-    kinds = F.array(F.lit("multihop"), F.when(F.col("artifact") != "None", "multimodal").otherwise("text"))
-    return c.select(F.explode(kinds).alias("qa_type"), "chunk_type").groupBy("qa_type", "chunk_type").agg(F.count("*").alias("n"))
+    of = lambda t: DS.filter_chunks_by_type(c, t).groupBy(F.lit(t).alias("qa_type"), "chunk_type").agg(F.count("*").alias("n"))
+    return of("multihop").unionByName(of("multimodal")).unionByName(of("text"))
 
 
 def q11_shuffle_seeded(s, d):
-    """The first 100 chunks in a seeded order."""
-    key = F.md5(F.concat(F.lit("42"), F.col("file_name"), F.lit("|"), F.col("chunk_id")).cast("binary"))
-    return chunks(s, d).select("file_name", "chunk_id", key.alias("k")).orderBy("k", "file_name", "chunk_id").limit(100)
+    """All chunks in a seeded order."""
+    return chunks(s, d).select("file_name", "chunk_id", DS.seeded_order("file_name", "chunk_id").alias("k")).orderBy("k", "file_name", "chunk_id")
 
 
 def v13_domain_coverage(s, d):
-    """Coverage of chunks and files by references, and the Jensen-Shannon divergence of references from the corpus."""
-    c = chunks(s, d).select("file_name", "chunk_id")
-    refs = lineage(s, d).select("file_name", "chunk_id")
-    covered = c.join(refs.distinct(), ["file_name", "chunk_id"], "left_semi").agg(F.count("*").alias("covered_chunks"), F.countDistinct("file_name").alias("covered_files"))
-    totals = c.agg(F.count("*").alias("chunks"), F.countDistinct("file_name").alias("files"))
-    per = c.groupBy("file_name").agg(F.count("*").alias("cn")).join(refs.groupBy("file_name").agg(F.count("*").alias("rn")), "file_name", "left").fillna(0)
-    sums = per.agg(F.sum("cn").alias("cs"), F.sum("rn").alias("rs"))
-    eps = 1e-10
-    p, q = F.col("rn") / F.col("rs") + eps, F.col("cn") / F.col("cs") + eps
-    m = (p + q) / 2
-    jsd = per.crossJoin(sums).agg(F.round(F.sum(0.5 * p * F.log(p / m) + 0.5 * q * F.log(q / m)), 6).alias("jsd"))
-    return totals.crossJoin(covered).crossJoin(jsd).withColumn("uncovered", F.col("chunks") - F.col("covered_chunks"))  # one row each
+    return V.domain_coverage(chunks(s, d), lineage(s, d)).withColumn("jsd", F.round("jsd", 6))
 
 
 def v14_coverage_by(s, d):
-    c = chunks(s, d).select("file_name", "chunk_id", "chunk_type", "dataset")
-    hit = lineage(s, d).select("file_name", "chunk_id").distinct().withColumn("hit", F.lit(1))
-    j = c.join(hit, ["file_name", "chunk_id"], "left")
-    return j.groupingSets([[F.col("dataset")], [F.col("chunk_type")]], F.col("dataset"), F.col("chunk_type")).agg(F.count("*").alias("n"), F.count("hit").alias("covered"), F.round(F.count("hit") / F.count("*"), 6).alias("rate"))
+    """By file, by kind of chunk and by dataset."""
+    return V.coverage_by(chunks(s, d), lineage(s, d), "file_name", "chunk_type", "dataset").withColumn("rate", F.round("rate", 6))
 
 
 def v15_uncovered_chunks(s, d):
-    return chunks(s, d).select("file_name", "chunk_id").join(lineage(s, d).select("file_name", "chunk_id").distinct(), ["file_name", "chunk_id"], "left_anti")
+    return V.uncovered_chunks(chunks(s, d), lineage(s, d))
 
 
 def r4_pending(s, d):
     """Files without a finished window."""
-    done = chunks(s, d).where("status = 'INCOMPLETE'").select("file_name").distinct()
-    return docs(s, d).select("file_name").join(done, "file_name", "left_anti")
+    return DS.pending(docs(s, d).select("file_name"), chunks(s, d).where("status = 'INCOMPLETE'").select("file_name").distinct(), "file_name")
 
 
 def r5_progress_summary(s, d):
-    c = chunks(s, d)
-    return c.groupBy(F.col("dataset").alias("stage")).agg(F.count_if(F.col("status") == "COMPLETE").alias("completed"), F.count_if(F.col("status") == "INCOMPLETE").alias("failed"), F.max("w").alias("last"))
+    return DS.progress_summary(chunks(s, d), "dataset", "status", "w").withColumnRenamed("dataset", "stage")
 
 
 def s2_list_documents(s, d):
@@ -227,17 +205,17 @@ SQLS = {
         count(*) FILTER (WHERE artifact <> 'None') AS multimodal, CAST(sum({TOK}) AS BIGINT) AS tokens, round(avg({TOK}), 6) AS mean_tokens, count(DISTINCT file_name) AS files FROM chunks""", "chunks"),
     "p6_page_estimate": rf"SELECT page_id, greatest(1, len(regexp_extract_all(t, '{W}')) // 2500, length(t) // 13000) AS pages, len(regexp_extract_all(t, '{W}')) AS words FROM (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '[ \t\n\r\f\x0b]+', ' ', 'g')) AS t FROM pages)",
     "s7_html_to_text": r"SELECT page_id, md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '[ \t\n\r\f\x0b]+', ' ', 'g'))) AS text_md5 FROM pages",
-    "p10_artifact_counts": sql("SELECT file_name, count(DISTINCT artifact || file_name) AS images FROM chunks WHERE artifact <> 'None' GROUP BY ROLLUP (file_name)", "chunks"),
+    "p10_artifact_counts": sql("SELECT file_name, count(DISTINCT CASE WHEN artifact <> 'None' THEN artifact || file_name END) AS images, count(DISTINCT CASE WHEN chunk_type LIKE 'table%' THEN file_name || chunk_id END) AS tables FROM chunks GROUP BY ROLLUP (file_name)", "chunks"),
     "p11_match_files": sql("SELECT page_id, min(file_name) AS file_name FROM pages JOIN docs ON contains('doc_' || lpad(CAST(page_id AS VARCHAR), 20, '0') || '_ref', file_name) GROUP BY 1", "docs"),
     "e11_image_refs": sql("SELECT file_name, chunk_id, 'base/' || file_name || '/' || regexp_extract(artifact, '\\(([^)]+)\\)', 1) AS image_path, CAST(1 AS BIGINT) AS n_images FROM chunks WHERE artifact <> 'None'", "chunks"),
     "e12_has_image": sql("SELECT artifact <> 'None' AS has_image, count(*) AS n FROM chunks GROUP BY 1", "chunks"),
     "q9_filter_chunks_by_type": sql("SELECT qa_type, chunk_type, count(*) AS n FROM (SELECT 'multihop' AS qa_type, chunk_type FROM chunks UNION ALL SELECT CASE WHEN artifact <> 'None' THEN 'multimodal' ELSE 'text' END, chunk_type FROM chunks) GROUP BY 1, 2", "chunks"),
-    "q11_shuffle_seeded": sql("SELECT file_name, chunk_id, md5('42' || file_name || '|' || chunk_id) AS k FROM chunks ORDER BY 3, 1, 2 LIMIT 100", "chunks"),
+    "q11_shuffle_seeded": sql("SELECT file_name, chunk_id, md5('42' || file_name || '|' || chunk_id) AS k FROM chunks ORDER BY 3, 1, 2", "chunks"),
     "v13_domain_coverage": sql("""SELECT chunks, files, covered_chunks, covered_files, jsd, chunks - covered_chunks AS uncovered FROM (SELECT count(*) AS chunks, count(DISTINCT file_name) AS files FROM chunks),
         (SELECT count(*) AS covered_chunks, count(DISTINCT file_name) AS covered_files FROM chunks WHERE (file_name, chunk_id) IN (SELECT file_name, chunk_id FROM lineage)),
         (SELECT round(sum(0.5 * p * ln(p / ((p + q) / 2)) + 0.5 * q * ln(q / ((p + q) / 2))), 6) AS jsd FROM (SELECT coalesce(rn, 0) / sum(rn) OVER () + CAST(1e-10 AS DOUBLE) AS p, cn / sum(cn) OVER () + CAST(1e-10 AS DOUBLE) AS q
             FROM (SELECT file_name, CAST(count(*) AS DOUBLE) AS cn FROM chunks GROUP BY 1) LEFT JOIN (SELECT file_name, CAST(count(*) AS DOUBLE) AS rn FROM lineage GROUP BY 1) USING (file_name)))""", "chunks", "lineage"),
-    "v14_coverage_by": sql("SELECT dataset, chunk_type, count(*) AS n, count(hit) AS covered, round(count(hit) / count(*), 6) AS rate FROM chunks LEFT JOIN (SELECT DISTINCT file_name, chunk_id, 1 AS hit FROM lineage) USING (file_name, chunk_id) GROUP BY GROUPING SETS ((dataset), (chunk_type))", "chunks", "lineage"),
+    "v14_coverage_by": sql("SELECT file_name, chunk_type, dataset, count(*) AS n, count(hit) AS covered, round(count(hit) / count(*), 6) AS rate FROM chunks LEFT JOIN (SELECT DISTINCT file_name, chunk_id, 1 AS hit FROM lineage) USING (file_name, chunk_id) GROUP BY GROUPING SETS ((file_name), (chunk_type), (dataset))", "chunks", "lineage"),
     "v15_uncovered_chunks": sql("SELECT file_name, chunk_id FROM chunks WHERE (file_name, chunk_id) NOT IN (SELECT file_name, chunk_id FROM lineage)", "chunks", "lineage"),
     "r4_pending": sql("SELECT file_name FROM docs WHERE file_name NOT IN (SELECT file_name FROM chunks WHERE status = 'INCOMPLETE')", "chunks"),
     "r5_progress_summary": sql("SELECT dataset AS stage, count(*) FILTER (WHERE status = 'COMPLETE') AS completed, count(*) FILTER (WHERE status = 'INCOMPLETE') AS failed, max(w) AS last FROM chunks GROUP BY 1", "chunks"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ragset.operators import datasets as DS
 from ragset.operators import evaluation as V
 from ragset.operators import metrics as E
 from ragset.operators import replies as P
@@ -169,8 +170,7 @@ def v23_evaluation_report(s, d):
 
 
 def p7_context_stats(s, d):
-    h = lineage(s, d).groupBy("qa_id").agg(F.max("hop_count").alias("hop_count"), F.count("*").alias("n"))
-    return h.groupBy("hop_count").agg(F.count("*").alias("contexts"), F.round(F.avg("n"), 6).alias("mean_chunks"), F.max("n").alias("max_chunks"))
+    return _six(DS.context_stats(lineage(s, d), "qa_id", "hop_count"))
 
 
 def p8_qa_category_by_hop(s, d):
@@ -180,10 +180,7 @@ def p8_qa_category_by_hop(s, d):
 
 def p9_qa_category_stats(s, d):
     n = lineage(s, d).groupBy("qa_id").agg(F.count("*").alias("n"))
-    q = qa(s, d).join(n, "qa_id").withColumns({"hop": F.col("n") > 1, "mm": F.col("qa_id") % 3 == 0})
-    pct = lambda c: F.bround(100 * F.count_if(c) / F.count("*"), 1)
-    hop, mm = F.col("hop"), F.col("mm")
-    return q.agg(F.count_if(hop).alias("multihop"), F.count_if(mm).alias("multimodal"), F.count_if(hop & mm).alias("both"), F.count_if(~hop & ~mm).alias("neither"), pct(hop).alias("multihop_pct"), F.bround(F.avg(F.col("difficulty_score").try_cast("double")), 2).alias("difficulty"))
+    return DS.qa_category_stats(qa(s, d).join(n, "qa_id"), F.col("n") > 1, F.col("qa_id") % 3 == 0)
 
 
 def e1_embed_chunks(s, d):
@@ -251,5 +248,7 @@ SQLS = {
         FROM (SELECT subset, {AGG}, avg(faithfulness) FILTER (WHERE ok) AS f0, avg(context_precision) FILTER (WHERE ok) AS p0 FROM {SUBSETS} GROUP BY 1) r, {DIV}, (SELECT avg(x) AS necessity FROM nec)""", "claims", "lineage", "vectors"),
     "p7_context_stats": sql("SELECT hop_count, count(*) AS contexts, round(avg(n), 6) AS mean_chunks, max(n) AS max_chunks FROM (SELECT qa_id, max(hop_count) AS hop_count, count(*) AS n FROM lineage GROUP BY 1) GROUP BY 1", "lineage"),
     "p8_qa_category_by_hop": sql("SELECT CASE WHEN qa_id % 6 = 0 THEN 'table+image' WHEN qa_id % 2 = 0 THEN 'table' WHEN qa_id % 3 = 0 THEN 'image' ELSE 'text' END AS category, hop_count, count(*) AS n FROM (SELECT qa_id, max(hop_count) AS hop_count FROM lineage GROUP BY 1) GROUP BY CUBE (1, 2)", "lineage"),
-    "p9_qa_category_stats": sql("SELECT count(*) FILTER (WHERE n > 1) AS multihop, count(*) FILTER (WHERE qa_id % 3 = 0) AS multimodal, count(*) FILTER (WHERE n > 1 AND qa_id % 3 = 0) AS both, count(*) FILTER (WHERE n = 1 AND qa_id % 3 <> 0) AS neither, round_even(100 * count(*) FILTER (WHERE n > 1) / count(*), 1) AS multihop_pct, round_even(avg(CAST(difficulty_score AS DOUBLE)), 2) AS difficulty FROM qa JOIN (SELECT qa_id, count(*) AS n FROM lineage GROUP BY 1) USING (qa_id)", "lineage"),
+    "p9_qa_category_stats": sql(
+        "SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {n}, round_even(100 * count(*) FILTER (WHERE {c}) / count(*), 1) AS {n}_pct" for n, c in {"multihop": "n > 1", "multimodal": "qa_id % 3 = 0", "both": "n > 1 AND qa_id % 3 = 0", "only_multihop": "n > 1 AND qa_id % 3 <> 0", "only_multimodal": "n = 1 AND qa_id % 3 = 0", "neither": "n = 1 AND qa_id % 3 <> 0"}.items())
+        + ", round_even(avg(CAST(difficulty_score AS DOUBLE)), 2) AS difficulty, round_even(avg(CAST(relevance_score AS DOUBLE)), 2) AS relevance FROM qa JOIN (SELECT qa_id, count(*) AS n FROM lineage GROUP BY 1) USING (qa_id)", "lineage"),
 }

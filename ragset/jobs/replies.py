@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ragset.functions.text import keyed
+from ragset.jobs.corpus import TOK
+from ragset.operators import datasets as DS
 from ragset.operators import replies as P
+from ragset.sources.files import load_results, save_results
 from ragset.sources.shared import shared_dir, written
-from ragset.sources.tables import claims, docs, lineage, qa, read, replies, sql
+from ragset.sources.tables import chunks, claims, docs, lineage, qa, read, replies, sql
 
 M = "<|#|>"
 
@@ -82,51 +84,59 @@ def q10_match_qa_type(s, d):
 
 def q12_take_target(s, d, target: int = 100):
     """Up to target multi-chunk rows in key order, and how the target was met; target is the operator's feature."""
-    n = lineage(s, d).groupBy("qa_id").agg(F.count("*").alias("n")).where("n > 1")
-    taken = n.orderBy("qa_id").limit(target).agg(F.count("*").alias("kept"), F.max("qa_id").alias("last"))
-    return taken.select("kept", "last", (F.col("kept") >= target).alias("target_reached"), F.lit(-(-11 * target // 10)).cast("long").alias("chunk_budget"))
+    n = lineage(s, d).groupBy("qa_id").agg(F.count("*").alias("n")).withColumn("kinds", P.type_match(F.col("n"), F.lit("None")))
+    taken, aside, stats = DS.take_target(n, "kinds", "multihop", target, "qa_id")
+    kept = taken.agg(F.count("*").alias("kept"), F.max("qa_id").alias("last"))
+    return kept.crossJoin(aside.agg(F.count("failure_reason").alias("set_aside"))).crossJoin(stats)  # one row each
 
 
 def q13_correction_rounds(s, d):
-    """Failed rows get one more round, in which even ids pass; every row ends passed or failed."""
-    v = _verification(s, d).withColumn("ok", P.verified(F.col("reply")))
-    again = v.where("not ok").withColumn("reply", F.when(F.col("doc_id") % 2 == 0, "QUESTION_CORRECT ANSWER_CORRECT REQUIRES_CONTENT").otherwise(F.col("reply"))).withColumn("ok", P.verified(F.col("reply")))
-    return v.where("ok").withColumn("attempt", F.lit(0)).unionByName(again.withColumn("attempt", F.lit(1))).select("doc_id", "ok", "attempt")
+    """All pairs failed once. The corrector answers with the request's length, or with nothing; the verifier passes even ones."""
+    failed = qa(s, d).select(F.col("qa_id").alias("id"), "question", "answer", F.lit("bad").alias("verification"))
+
+    def correct(text):
+        return "none" if len(text) % 5 == 0 else f"{M}Question{M}q{M}Answer{M}a{len(text)}"
+
+    def verify(text):
+        return f"Status: {', '.join(P.GOOD) if int(text[-1]) % 2 == 0 else 'QUESTION_INCORRECT'}"
+
+    passed, lost = DS.correction_rounds(failed, correct, verify, written)
+    one = passed.select("id", "answer", "selection_status", F.col("correction_attempt").cast("long").alias("attempt"), F.lit(None).cast("string").alias("failure_reason"))
+    two = lost.select("id", "answer", F.lit(None).cast("string").alias("selection_status"), F.lit(None).cast("long").alias("attempt"), "failure_reason")
+    return one.unionByName(two).withColumn("answer", F.md5(F.col("answer").cast("binary")))
 
 
 def q14_outcome_stats(s, d):
-    g = P.select_gate(replies(s, d))
-    return g.agg(
-        F.count_if(F.col("status") == "ERROR").alias("malformed"), F.count_if(F.col("status") == "REJECTED").alias("failed"), F.count_if(F.col("status") == "SELECTED").alias("passed"),
-        F.round(F.count_if(F.col("status") == "SELECTED") / F.count("*"), 6).alias("success_rate"),
-    )
+    g = P.select_gate(replies(s, d)).select("doc_id", DS.outcome_of(F.col("status")).alias("outcome"), (F.col("doc_id") % 3).alias("n_chunks"))
+    return DS.outcome_stats(g, "outcome", "n_chunks").withColumn("success_rate", F.round("success_rate", 6))
 
 
 def q15_build_prompts(s, d):
-    """Numbered references of a question, in order, joined by a rule."""
-    r = lineage(s, d).groupBy("qa_id").agg(F.array_sort(F.collect_list(F.struct("i", "file_name"))).alias("x"))
-    text = F.array_join(F.transform("x", lambda e, i: F.concat(F.lit("Chunk "), (i + 1).cast("string"), F.lit(": "), e["file_name"])), "\n---\n")
+    """A question and its numbered references in order, in a template."""
+    r = lineage(s, d).groupBy("qa_id").agg(F.array_sort(F.collect_list(F.struct("i", "file_name"))).alias("x")).join(qa(s, d).select("qa_id", "question"), "qa_id")
+    text = DS.build_prompt("Q: {question}\n{chunks}\nEnd", question=F.col("question"), chunks=DS.numbered(F.transform("x", lambda e: e["file_name"])))
     return r.select("qa_id", F.md5(text.cast("binary")).alias("prompt_md5"))
 
 
 def s6_write_outcomes(s, d):
     """Outcomes written by partition and read again."""
-    g = P.select_gate(replies(s, d)).select("doc_id", F.when(F.col("status") == "SELECTED", "pass").when(F.col("status") == "ERROR", "malformed").otherwise("fail").alias("outcome"))
+    g = P.select_gate(replies(s, d)).select("doc_id", DS.outcome_of(F.col("status")).alias("outcome"))
     path = f"{shared_dir(s)}/ragset-outcomes-{uuid.uuid4().hex}"
-    g.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    DS.write_outcomes(g, "outcome", path)
     return s.read.parquet(path).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
 def s4_load_results(s, d):
     """Results saved as lines of JSON and loaded with a fixed schema."""
     path = f"{shared_dir(s)}/ragset-results-{uuid.uuid4().hex}"
-    qa(s, d).select("qa_id", "question", "relevance_score").write.mode("overwrite").json(path)
-    return s.read.schema("qa_id long, question string, relevance_score string").json(path).select("qa_id", F.md5(F.col("question").cast("binary")).alias("question_md5"), "relevance_score")
+    save_results(qa(s, d).select("qa_id", "question", "relevance_score"), path, "jsonl")
+    got = load_results(s, path, "lines", "qa_id long, question string, relevance_score string")
+    return got.select("qa_id", F.md5(F.col("question").cast("binary")).alias("question_md5"), "relevance_score")
 
 
 def s5_save_csv(s, d):
     path = f"{shared_dir(s)}/ragset-csv-{uuid.uuid4().hex}"
-    qa(s, d).select("qa_id", "question", "difficulty_score").write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    save_results(qa(s, d).select("qa_id", "question", "difficulty_score"), path, "csv")
     return s.read.schema("qa_id long, question string, difficulty_score string").option("header", True).option("multiLine", True).option("escape", '"').csv(path).select("qa_id", F.length("question").cast("long").alias("n"), "difficulty_score")
 
 
@@ -161,51 +171,50 @@ def m9_keyword_spans(s, d):
 
 
 def r1_cache_key(s, d):
-    q = qa(s, d)
-    return q.select("qa_id", F.concat(F.lit("select_m_"), F.substring(F.sha2("question", 256), 1, 32), F.lit("_none")).alias("cache_key"))
+    """Keys of questions; those of even conversations have the chunks they rest on."""
+    r = lineage(s, d).groupBy("qa_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "file_name"))), lambda e: e["file_name"]).alias("x"))
+    q = qa(s, d).join(r, "qa_id")
+    return q.select("qa_id", DS.cache_key("select", "m", F.col("question"), F.when(F.col("conv_id") % 2 == 0, F.col("x"))).alias("cache_key"))
 
 
 def _cache(s, d):
-    c = read(s, d, "conversations").where("conv_id % 2 = 0").select(F.sha2("text", 256).alias("cache_key"), F.concat(F.lit("R:"), "text").alias("response"), F.lit(1).alias("version"))
-    newer = read(s, d, "conversations").where("conv_id % 4 = 0").select(F.sha2("text", 256).alias("cache_key"), F.concat(F.lit("S:"), "text").alias("response"), F.lit(2).alias("version"))
-    return c.unionByName(newer)
+    """Stored replies to every second conversation, and newer ones to every fourth."""
+    of = lambda n, mark, version: read(s, d, "conversations").where(F.col("conv_id") % n == 0).select(F.sha2("text", 256).alias("cache_key"), F.concat(F.lit(mark), "text").alias("response"), F.lit(version).alias("version"))
+    return DS.cache_upsert(of(2, "R:", 1), of(4, "S:", 2))
 
 
 def r2_cache_lookup(s, d):
-    keys = _cache(s, d).select("cache_key").distinct().withColumn("hit", F.lit(1))
-    r = read(s, d, "conversations").select("text", F.sha2("text", 256).alias("cache_key")).join(keys, "cache_key", "left")
-    return r.agg(F.count("hit").alias("hits"), F.count_if(F.col("hit").isNull()).alias("misses"), F.countDistinct(F.when(F.col("hit").isNull(), F.col("cache_key"))).alias("distinct_misses"), F.sum(F.when(F.col("hit") == 1, F.floor(F.length("text") / 4)).otherwise(0)).alias("tokens_saved"))
+    looked, missing = DS.cache_lookup(read(s, d, "conversations").select("text", F.sha2("text", 256).alias("cache_key")), _cache(s, d))
+    n = DS.cache_stats(looked, "text").crossJoin(missing.agg(F.count("*").alias("distinct_misses")))  # one row each
+    return n.withColumn("hit_rate", F.round("hit_rate", 6))
 
 
 def r3_cache_upsert(s, d):
-    w = F.row_number().over(Window.partitionBy("cache_key").orderBy(F.desc("version"), "response"))
-    return _cache(s, d).where("response <> ''").withColumn("r", w).where("r = 1").select("cache_key", "version", F.md5(F.col("response").cast("binary")).alias("response_md5"))
+    return _cache(s, d).select("cache_key", "version", F.md5(F.col("response").cast("binary")).alias("response_md5"))
 
 
 def r6_token_usage(s, d):
-    q = qa(s, d)
-    return q.groupBy(F.col("difficulty_score").alias("model")).agg(F.sum(F.floor(F.length("question") / 4)).alias("input_tokens"), F.sum(F.floor(F.length("answer") / 4)).alias("output_tokens"), F.count("*").alias("calls"))
+    return DS.token_usage(qa(s, d).withColumnRenamed("difficulty_score", "model"), "model", "question", "answer")
 
 
 def g1_filter_results(s, d):
     q = qa(s, d).withColumn("domain", F.when(F.col("conv_id") % 3 == 0, F.lit("x")))
-    return q.where(F.col("domain").eqNullSafe(F.lit(None)) & F.col("relevance_score").eqNullSafe("1")).select("qa_id")
+    return DS.filter_results(q, domain=None, relevance_score="1", absent=None).select("qa_id")
 
 
 def g2_sample_results(s, d):
     """50 rows in a seeded order; the sample is the feature."""
-    key = F.md5(F.concat(F.lit("42"), F.col("qa_id").cast("string")).cast("binary"))
-    return qa(s, d).select("qa_id", key.alias("k")).orderBy("k", "qa_id").limit(50)
+    return DS.sample_results(qa(s, d), 50, "qa_id").select("qa_id", DS.seeded_order("qa_id").alias("k"))
 
 
 def g3_flatten_results(s, d):
     n = lineage(s, d).groupBy("qa_id").agg(F.max("hop_count").alias("num_hops"))
-    return qa(s, d).join(n, "qa_id", "left").select("qa_id", F.coalesce(F.when(F.col("qa_id") % 2 == 0, F.lit("text")), F.lit("unknown")).alias("question_type"), F.coalesce("difficulty_score", F.lit("0")).alias("difficulty"), F.coalesce("num_hops", F.lit(0)).alias("num_hops"))
+    rows = qa(s, d).join(n, "qa_id", "left").select("qa_id", F.when(F.col("qa_id") % 2 == 0, F.lit("text")).alias("question_type"), F.col("difficulty_score").alias("difficulty"), "num_hops")
+    return DS.flatten_results(rows, {"question_type": "unknown", "difficulty": "0", "num_hops": 0, "domain": "none"})
 
 
 def g4_results_summary(s, d):
-    a = qa(s, d).agg(F.count("*").alias("qa_pairs"))
-    return a.crossJoin(docs(s, d).agg(F.count("*").alias("documents"))).withColumn("requested", F.lit(100).cast("long"))  # one row each
+    return DS.results_summary(qa(s, d), chunks(s, d), "content", 100).withColumn("mean_tokens", F.round("mean_tokens", 6))
 
 
 def u2_responder(s, d):
@@ -235,10 +244,10 @@ SQLS = {
     "q7_verify_gate": sql(f"SELECT {VER} AS verified, count(*) AS n FROM replies GROUP BY 1", "replies"),
     "q8_misleading_visual": sql(f"SELECT qa_id, regexp_matches(q, '{P.VISUAL_QUESTION}') AND (conv_id % 4 <> 0 OR NOT regexp_matches(a, '{P.VISUAL_ANSWER}')) AS misleading FROM (SELECT qa_id, conv_id, CASE WHEN conv_id % 2 = 0 THEN 'As shown in the Figure, ' ELSE 'What is graph theory? ' END || question AS q, answer || CASE WHEN conv_id % 3 = 0 THEN ' See the legend.' ELSE '' END AS a FROM qa)", "qa"),
     "q10_match_qa_type": sql("SELECT qa_type, count(*) AS n FROM (SELECT CASE WHEN qa_id % 3 = 0 THEN 'multimodal' ELSE 'text' END AS qa_type FROM (SELECT DISTINCT qa_id FROM lineage) UNION ALL SELECT 'multihop' FROM lineage GROUP BY qa_id HAVING count(*) > 1) GROUP BY 1", "lineage"),
-    "q12_take_target": sql("SELECT count(*) AS kept, max(qa_id) AS last, count(*) >= 100 AS target_reached, CAST(110 AS BIGINT) AS chunk_budget FROM (SELECT qa_id FROM lineage GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 100)", "lineage"),
-    "q13_correction_rounds": sql(f"SELECT doc_id, ok OR doc_id % 2 = 0 AS ok, CASE WHEN ok THEN 0 ELSE 1 END AS attempt FROM (SELECT doc_id, {VER} AS ok FROM replies)", "replies"),
-    "q14_outcome_stats": sql("SELECT count(*) FILTER (WHERE quality IS NULL) AS malformed, count(*) FILTER (WHERE quality = 0) AS failed, count(*) FILTER (WHERE quality = 1) AS passed, round(count(*) FILTER (WHERE quality = 1) / count(*), 6) AS success_rate FROM replies", "replies"),
-    "q15_build_prompts": sql("SELECT qa_id, md5(string_agg('Chunk ' || CAST(i + 1 AS VARCHAR) || ': ' || file_name, chr(10) || '---' || chr(10) ORDER BY i)) AS prompt_md5 FROM lineage GROUP BY 1", "lineage"),
+    "q12_take_target": sql("SELECT least(m, 100) AS kept, (SELECT max(qa_id) FROM (SELECT qa_id FROM lineage GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 100)) AS last, o AS set_aside, least(m, 100) AS generated, m >= 100 AS target_reached, m < 100 AS corpus_exhausted, o AS mismatched, CAST(110 AS BIGINT) AS chunk_budget FROM (SELECT count(*) FILTER (WHERE n > 1) AS m, count(*) FILTER (WHERE n = 1) AS o FROM (SELECT count(*) AS n FROM lineage GROUP BY qa_id))", "lineage"),
+    "q13_correction_rounds": sql("SELECT qa_id AS id, md5(CASE WHEN n % 5 = 0 THEN answer ELSE 'a' || CAST(n AS VARCHAR) END) AS answer, CASE WHEN n % 5 > 0 AND n % 2 = 0 THEN 'CORRECTED' END AS selection_status, CASE WHEN n % 5 > 0 AND n % 2 = 0 THEN CAST(1 AS BIGINT) END AS attempt, CASE WHEN n % 5 = 0 THEN 'Correction produced no valid pairs' WHEN n % 2 = 1 THEN 'Failed verification after 1 correction attempt(s)' END AS failure_reason FROM (SELECT *, 33 + length(question) + length(answer) AS n FROM qa)", "qa"),
+    "q14_outcome_stats": sql("SELECT count(*) FILTER (WHERE quality IS NULL) AS malformed, count(*) FILTER (WHERE quality = 0) AS failed, count(*) FILTER (WHERE quality = 1) AS passed, count(*) FILTER (WHERE quality = 1 AND doc_id % 3 > 1) AS multi_chunk, count(*) FILTER (WHERE quality = 1 AND doc_id % 3 <= 1) AS single_chunk, round(count(*) FILTER (WHERE quality = 1) / count(*), 6) AS success_rate FROM replies", "replies"),
+    "q15_build_prompts": sql("SELECT qa_id, md5('Q: ' || question || chr(10) || string_agg('Chunk ' || CAST(i + 1 AS VARCHAR) || ': ' || file_name, chr(10) || '---' || chr(10) ORDER BY i) || chr(10) || 'End') AS prompt_md5 FROM lineage JOIN qa USING (qa_id) GROUP BY qa_id, question", "lineage"),
     "s6_write_outcomes": sql("SELECT CASE WHEN quality IS NULL THEN 'malformed' WHEN quality = 1 THEN 'pass' ELSE 'fail' END AS outcome, count(*) AS n FROM replies GROUP BY 1", "replies"),
     "s4_load_results": sql("SELECT qa_id, md5(question) AS question_md5, relevance_score FROM qa", "qa"),
     "s5_save_csv": sql("SELECT qa_id, length(question) AS n, difficulty_score FROM qa", "qa"),
@@ -247,13 +256,13 @@ SQLS = {
     "m4_accept_verdicts": sql("SELECT CASE WHEN source = 'IMAGE' THEN 'RELATED' ELSE 'EXPLANATORY' END AS verdict, count(*) AS n FROM claims WHERE source <> 'NONE' GROUP BY 1", "claims"),
     "m8_hop_edges": sql("SELECT a.qa_id, b.file_name AS source, a.file_name AS target, a.i AS depth FROM lineage a JOIN lineage b USING (qa_id) WHERE a.i > 0 AND b.i = 0", "lineage"),
     "m9_keyword_spans": SPANS,
-    "r1_cache_key": sql("SELECT qa_id, 'select_m_' || substr(sha256(question), 1, 32) || '_none' AS cache_key FROM qa", "qa"),
-    "r2_cache_lookup": f"WITH {CACHE} SELECT count(*) FILTER (WHERE hit) AS hits, count(*) FILTER (WHERE NOT hit) AS misses, count(DISTINCT CASE WHEN NOT hit THEN text END) AS distinct_misses, CAST(coalesce(sum(CASE WHEN hit THEN length(text) // 4 ELSE 0 END), 0) AS BIGINT) AS tokens_saved FROM (SELECT text, sha256(text) IN (SELECT cache_key FROM cache) AS hit FROM conversations)",
+    "r1_cache_key": sql("""SELECT qa_id, 'select_m_' || substr(sha256(question), 1, 32) || '_' || CASE WHEN conv_id % 2 = 0 THEN substr(sha256('["' || string_agg(file_name, '","' ORDER BY i) || '"]'), 1, 32) ELSE 'none' END AS cache_key FROM qa JOIN lineage USING (qa_id) GROUP BY qa_id, question, conv_id""", "lineage"),
+    "r2_cache_lookup": f"WITH {CACHE} SELECT count(*) FILTER (WHERE hit) AS hits, count(*) FILTER (WHERE NOT hit) AS misses, round(100.0 * count(*) FILTER (WHERE hit) / count(*), 6) AS hit_rate, count(DISTINCT CASE WHEN NOT hit THEN text END) AS distinct_misses, CAST(coalesce(sum(CASE WHEN hit THEN length(text) // 4 ELSE 0 END), 0) AS BIGINT) AS tokens_saved FROM (SELECT text, sha256(text) IN (SELECT cache_key FROM cache) AS hit FROM conversations)",
     "r3_cache_upsert": f"WITH {CACHE} SELECT cache_key, version, md5(response) AS response_md5 FROM (SELECT *, row_number() OVER (PARTITION BY cache_key ORDER BY version DESC, response) AS r FROM cache WHERE response <> '') WHERE r = 1",
-    "r6_token_usage": sql("SELECT difficulty_score AS model, CAST(sum(length(question) // 4) AS BIGINT) AS input_tokens, CAST(sum(length(answer) // 4) AS BIGINT) AS output_tokens, count(*) AS calls FROM qa GROUP BY 1", "qa"),
+    "r6_token_usage": sql("SELECT model, i AS input_tokens, o AS output_tokens, i + o AS total_tokens, calls FROM (SELECT difficulty_score AS model, CAST(sum(length(question) // 4) AS BIGINT) AS i, CAST(sum(length(answer) // 4) AS BIGINT) AS o, count(*) AS calls FROM qa GROUP BY ROLLUP (difficulty_score))", "qa"),
     "g1_filter_results": sql("SELECT qa_id FROM qa WHERE conv_id % 3 <> 0 AND relevance_score = '1'", "qa"),
     "g2_sample_results": sql("SELECT qa_id, md5('42' || CAST(qa_id AS VARCHAR)) AS k FROM qa ORDER BY 2, 1 LIMIT 50", "qa"),
-    "g3_flatten_results": sql("SELECT qa_id, CASE WHEN qa_id % 2 = 0 THEN 'text' ELSE 'unknown' END AS question_type, difficulty_score AS difficulty, max(hop_count) AS num_hops FROM qa JOIN lineage USING (qa_id) GROUP BY ALL", "lineage"),
-    "g4_results_summary": sql("SELECT (SELECT count(*) FROM qa) AS qa_pairs, (SELECT count(*) FROM documents) AS documents, CAST(100 AS BIGINT) AS requested", "qa"),
+    "g3_flatten_results": sql("SELECT qa_id, CASE WHEN qa_id % 2 = 0 THEN 'text' ELSE 'unknown' END AS question_type, difficulty_score AS difficulty, max(hop_count) AS num_hops, 'none' AS domain FROM qa JOIN lineage USING (qa_id) GROUP BY ALL", "lineage"),
+    "g4_results_summary": sql(f"SELECT (SELECT count(*) FROM qa) AS qa_pairs, count(*) AS chunks, CAST(sum({TOK}) AS BIGINT) AS tokens, round(avg({TOK}), 6) AS mean_tokens, CAST(100 AS BIGINT) AS requested FROM chunks", "chunks", "qa"),
     "u2_responder": sql(rf"SELECT DISTINCT md5(question) AS request_md5, CASE WHEN len(regexp_extract_all(question, '[^ \t\n\r\f\x0b]+')) = 0 THEN 'ERROR: list index out of range' ELSE upper(regexp_extract(question, '[^ \t\n\r\f\x0b]+')) END AS reply FROM qa", "qa"),
 }
