@@ -124,9 +124,13 @@ def keyword_spans(texts: DataFrame, key: str, text: str, keywords: DataFrame) ->
     # keywords of one first letter meet the positions of that letter, so that no position meets them all
     k = keywords.select(F.lower("keyword").alias("k")).where("k <> ''").distinct().withColumn("head", F.substring("k", 1, 3))
     low = texts.select(key, F.lower(text).alias("t"))
-    heads = low.select(key, "t", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("t")))).alias("p")).withColumn("head", F.substring(F.col("t"), F.col("p"), F.lit(3)))
+    most = k.agg(F.coalesce(F.max(F.length("k")), F.lit(1)).alias("n")).first().n
+    # a position carries the longest keyword's length of the text, not the text; the characters are bound once, so that the work is linear
+    at = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(c))), lambda p: F.struct(p.alias("p"), F.array_join(F.slice(c, p, F.lit(most)), "").alias("t")))
+    chars = F.array(F.split(F.coalesce("t", F.lit("")), ""))
+    heads = low.select(key, F.inline(F.flatten(F.transform(chars, at)))).withColumn("head", F.substring("t", 1, 3))
     short = k.where(F.length("k") < 3)
-    hits = heads.join(k.where(F.length("k") >= 3), "head").where(F.substring(F.col("t"), F.col("p"), F.length("k")) == F.col("k")).select(key, "p", F.length("k").alias("n"))
+    hits = heads.join(k.where(F.length("k") >= 3), "head").where(F.col("t").startswith(F.col("k"))).select(key, "p", F.length("k").alias("n"))
     for n in (1, 2):
         own = heads.withColumn("k", F.substring("head", 1, n)).join(short.where(F.length("k") == n).select("k"), "k")
         hits = hits.unionByName(own.select(key, "p", F.lit(n).alias("n")))
