@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ragset.functions.text import keyed
 from ragset.jobs.corpus import TOK
+from ragset.operators import contexts as X
 from ragset.operators import datasets as DS
 from ragset.operators import replies as P
 from ragset.sources.files import load_results, save_results
@@ -149,20 +150,23 @@ def m2_search_strings(s, d):
 
 def m3_drop_visited(s, d):
     r = lineage(s, d)
-    return r.where("i > 0").select("qa_id", "file_name").distinct().join(r.where("i = 0").select("qa_id", "file_name"), ["qa_id", "file_name"], "left_anti")
+    return X.drop_visited(r.where("i > 0").select("qa_id", "file_name").distinct(), r.where("i = 0").distinct(), "qa_id", "file_name")
 
 
 def m4_accept_verdicts(s, d):
-    c = claims(s, d)
-    v = F.when(F.col("source").isin("TEXT", "BOTH"), "EXPLANATORY").when(F.col("source") == "IMAGE", "RELATED").otherwise("UNRELATED")
-    return c.select(v.alias("verdict")).where(F.col("verdict").isin("EXPLANATORY", "RELATED")).groupBy("verdict").agg(F.count("*").alias("n"))
+    """Replies in the marked form, in both older forms and without a status, by verdict."""
+    word = F.when(F.col("source").isin("TEXT", "BOTH"), "explanatory").when(F.col("source") == "IMAGE", "RELATED").otherwise("Unrelated")
+    reply = F.when(F.col("i") % 5 == 0, F.concat(F.lit(f"{M}START{M}Status{M}"), word, F.lit(f"{M}Explanation{M}not RELATED{M}END{M}"))).when(F.col("i") % 5 == 1, F.concat(F.lit("Status: "), word)).when(F.col("i") % 5 == 2, "Status: helpful").when(F.col("i") % 5 == 3, f"{M}Status{M}NOT_HELPFUL").otherwise("unclear")
+    v = claims(s, d).select(X.addition_verdict(reply).alias("verdict"))
+    return v.groupBy("verdict").agg(F.count("*").alias("n"), F.count_if(X.accepted(F.col("verdict"))).alias("strict"), F.count_if(X.accepted(F.col("verdict"), "RELATED")).alias("wide"))
 
 
 def m8_hop_edges(s, d):
-    """Edges from each question's first reference to the later ones, and the links of a keyword line."""
-    r = lineage(s, d)
-    first = r.where("i = 0").select("qa_id", F.col("file_name").alias("source"))
-    return r.where("i > 0").join(first, "qa_id").select("qa_id", "source", F.col("file_name").alias("target"), F.col("i").alias("depth"))
+    """Edges from each question's first reference to the later ones, and the links of a keyword line (depth 0)."""
+    said = F.concat(F.lit("[a"), F.col("relevance_score"), F.lit("] leads to [b] via road ; nothing; ["), F.col("difficulty_score"), F.lit("] - [c] via sea"))
+    links = X.keyword_links(qa(s, d).select("qa_id", said.alias("t")), "qa_id", "t")
+    edges = X.hop_edges(lineage(s, d), "qa_id", "i", "file_name").withColumn("via", F.lit(None).cast("string"))
+    return edges.unionByName(links.select("qa_id", "source", "target", F.lit(0).cast("long").alias("depth"), "via"))
 
 
 def m9_keyword_spans(s, d):
@@ -253,8 +257,8 @@ SQLS = {
     "s5_save_csv": sql("SELECT qa_id, length(question) AS n, difficulty_score FROM qa", "qa"),
     "m2_search_strings": sql("SELECT qa_id, CASE WHEN conv_id % 3 = 0 THEN 'a|b c|d|e|f' ELSE 'figure|Table' END AS queries FROM qa", "qa"),
     "m3_drop_visited": sql("SELECT DISTINCT qa_id, file_name FROM lineage WHERE i > 0 AND (qa_id, file_name) NOT IN (SELECT qa_id, file_name FROM lineage WHERE i = 0)", "lineage"),
-    "m4_accept_verdicts": sql("SELECT CASE WHEN source = 'IMAGE' THEN 'RELATED' ELSE 'EXPLANATORY' END AS verdict, count(*) AS n FROM claims WHERE source <> 'NONE' GROUP BY 1", "claims"),
-    "m8_hop_edges": sql("SELECT a.qa_id, b.file_name AS source, a.file_name AS target, a.i AS depth FROM lineage a JOIN lineage b USING (qa_id) WHERE a.i > 0 AND b.i = 0", "lineage"),
+    "m4_accept_verdicts": sql("""SELECT verdict, count(*) AS n, count(*) FILTER (WHERE verdict = 'EXPLANATORY') AS strict, count(*) FILTER (WHERE verdict <> 'UNRELATED') AS wide FROM (SELECT CASE WHEN i % 5 = 2 THEN 'EXPLANATORY' WHEN i % 5 > 2 THEN 'UNRELATED' WHEN source IN ('TEXT', 'BOTH') THEN 'EXPLANATORY' WHEN source = 'IMAGE' THEN 'RELATED' ELSE 'UNRELATED' END AS verdict FROM claims) GROUP BY 1""", "claims"),
+    "m8_hop_edges": sql("SELECT a.qa_id, b.file_name AS source, a.file_name AS target, a.i AS depth, NULL AS via FROM lineage a JOIN lineage b USING (qa_id) WHERE a.i > 0 AND b.i = 0 UNION ALL SELECT qa_id, 'a' || relevance_score, 'b', 0, 'road' FROM qa UNION ALL SELECT qa_id, difficulty_score, 'c', 0, 'sea' FROM qa", "lineage"),
     "m9_keyword_spans": SPANS,
     "r1_cache_key": sql("""SELECT qa_id, 'select_m_' || substr(sha256(question), 1, 32) || '_' || CASE WHEN conv_id % 2 = 0 THEN substr(sha256('["' || string_agg(file_name, '","' ORDER BY i) || '"]'), 1, 32) ELSE 'none' END AS cache_key FROM qa JOIN lineage USING (qa_id) GROUP BY qa_id, question, conv_id""", "lineage"),
     "r2_cache_lookup": f"WITH {CACHE} SELECT count(*) FILTER (WHERE hit) AS hits, count(*) FILTER (WHERE NOT hit) AS misses, round(100.0 * count(*) FILTER (WHERE hit) / count(*), 6) AS hit_rate, count(DISTINCT CASE WHEN NOT hit THEN text END) AS distinct_misses, CAST(coalesce(sum(CASE WHEN hit THEN length(text) // 4 ELSE 0 END), 0) AS BIGINT) AS tokens_saved FROM (SELECT text, sha256(text) IN (SELECT cache_key FROM cache) AS hit FROM conversations)",

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ragset.functions.text import cosine, dot, l2_normalize
+from ragset.operators import contexts as X
 from ragset.operators import retrieval as R
+from ragset.operators import seams
 from ragset.operators import topics as T
 from ragset.sources.shared import written
 from ragset.sources.tables import chunks, read, sql, vectors
@@ -142,6 +144,38 @@ def m7_iteration_logs(s, d):
     return hops.groupBy("seed", "depth").agg(F.array_sort(F.collect_list(F.struct("query_item", "item_id", F.when(F.col("accepted"), "EXPLANATORY").otherwise("UNRELATED").alias("verdict")))).alias("retrieved"))
 
 
+def _grown(s, d):
+    """Contexts from the first chunk of every document whose id is divisible by 20, over all chunks, by plain lexical judges."""
+    c = seams.embed(chunks(s, d).select((F.col("doc_id") * 1000000 + F.col("w")).alias("item_id"), "doc_id", "w", "content"), "content")
+    items = written(c)
+    seeds = items.where("w = 0 and doc_id % 20 = 0").select(F.col("doc_id").alias("seed"), "item_id")
+
+    def judge(text):
+        words = text.rsplit("\n---\n", 1)[-1].split()
+        if text.rstrip().endswith("."):
+            return "<|#|>Status<|#|>COMPLETE<|#|>Explanation<|#|>ends with a sentence"
+        return f"<|#|>Status<|#|>INCOMPLETE<|#|>Query<|#|>{' '.join(words[-6:])}|{' '.join(words[:6])}<|#|>Explanation<|#|>cut"
+
+    def verify(text):
+        query, candidate = text[len("Query: ") :].split("\nCandidate: ", 1)
+        shared = set(query.lower().split()) & set(candidate.split("\nContext:\n")[0].lower().split())
+        return f"Status: {'EXPLANATORY' if len(shared) > 3 else 'RELATED' if shared else 'UNRELATED'}\nExplanation: {len(shared)} words"
+
+    return X.grow_contexts(seeds, items, judge, verify, written)
+
+
+def m1_grow_contexts(s, d):
+    return _grown(s, d)[1].select("seed", "n", "item_id")
+
+
+def m5_context_statuses(s, d):
+    return _grown(s, d)[0]
+
+
+def m7_context_logs(s, d):
+    return _grown(s, d)[2]
+
+
 WALK = f"""near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, item_id) AS r FROM (SELECT q.vec_id AS query_id, i.vec_id AS item_id, {DOT} AS score FROM vectors q, vectors i WHERE q.vec_id <> i.vec_id)) WHERE r <= 2),
     h1 AS (SELECT query_id AS seed, 1 AS depth, query_id AS query_item, item_id, score, score >= 0.35 AS accepted FROM near WHERE query_id % 20 = 0),
     v1 AS (SELECT vec_id AS seed, vec_id AS item_id FROM vectors WHERE vec_id % 20 = 0 UNION ALL SELECT seed, item_id FROM h1 WHERE accepted),
