@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ragset.llm import divergence, periods
 from ragset.llm.chat import format_chats
 from ragset.llm.common import fold, table
 from ragset.llm.media import media_columns
@@ -60,9 +61,17 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_source_divergence": divergence.SQL, "op12_periodic_runs": periods.SQL}
