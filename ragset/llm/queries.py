@@ -15,6 +15,7 @@ from ragset.llm.nearest import nearest
 from ragset.llm.ngram_join import ngram_join
 from ragset.llm.packing import pack_documents
 from ragset.llm.pieces import piece_digests
+from ragset.llm.private import private_query
 from ragset.llm.quality import quality_query
 from ragset.llm.records import token_records
 from ragset.llm.toxicity import toxicity_query
@@ -69,6 +70,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.run_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
