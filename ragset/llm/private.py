@@ -51,7 +51,7 @@ HINT = {"email": r"@|[\[({<]\x20?(?:at|AT)|\x20(?:dot|DOT)\x20", "ip": r"[0-9A-F
 DOMAINS = r"(?i)(?:\.|dot\x20?|[\])}>]\x20?)(?:com|org|net|edu|gov|int|mil|info|biz|io|co|ai|app|dev|me|eu|de|at|ch|fr|es|it|nl|be|lu|pt|pl|cz|se|no|dk|fi|ie|uk|us|ca|mx|ar|br|cl|au|nz|jp|cn|in|kr|ru|ua|gr|tr|za)$"
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|3[068]|6011|64|65|62)"
 CALLING = r"^(?:\+|00)\D*(?:1|7|20|27|30|31|32|33|34|36|39|4[013456789]|5[1-8]|6[0-6]|8[1246]|9[0-58]|35[0-9]|37[0-9]|38[0-9]|42[0-9]|97[0-9])"
-AREA = r"^\([0-9]{2,5}\)"
+CODED, AREA = r"^(?:\+|00|\()", r"^(?:\([0-9]{2,5}\)|[2-9][0-9]{2}[\x20.-][2-9])"
 RESERVED = r"^0*(?:0|127|22[4-9]|2[34][0-9]|25[0-5])\D"
 CUES = {
     "email": r"(?i)(?:e-?mail|mail|contact|write|reach|correo|courriel|kontakt)\W*(?:\w+\W+)?$",
@@ -148,7 +148,7 @@ def votes(spans: DataFrame) -> DataFrame:
     local = F.regexp_extract(word, r"^([^@\[({<\x20]+)", 1)
     sums = by_kind(
         email=sign((F.length(local) <= 64) & local.rlike(r"^[A-Za-z0-9]") & ~local.rlike(r"\.\.|\.$")), ip=sign(F.when(v6, word.rlike(r"[A-Fa-f]")).otherwise(octets_fit(word))),
-        card=sign(F.call_function("luhn_check", digits(word)) & ~digits(word).rlike(r"^(.)\1+$")), phone=F.when(n.between(10, 13), 1).when(n.between(8, 15), 0).otherwise(-1),
+        card=sign(F.call_function("luhn_check", digits(word)) & ~digits(word).rlike(r"^(.)\1+$")), phone=F.when(~n.between(8, 15), -1).when(word.rlike(CODED), F.when(n.between(10, 13), 1).otherwise(0)).otherwise(F.when(n.between(10, 11), 0).otherwise(-1)),
     )
     gazetteer = by_kind(
         email=sign(word.rlike(DOMAINS)), ip=F.when(v6, 0).when(word.rlike(RESERVED), -1).otherwise(1), card=sign(digits(word).rlike(ISSUERS)),
