@@ -62,3 +62,11 @@ def cosine(a: str | Column, b: str | Column) -> Column:
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
     norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when(norm > 0, dot(a, b) / norm).otherwise(0.0)
+
+
+def hashed_words(text: Column, dims: int = 64) -> Column:
+    """A plain encoder of built-in functions: counts of words `[a-z]+` in dims buckets by length, first and last letter, of unit length; zero without words."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z]+"), F.lit(0))
+    bucket = lambda w: F.pmod(F.length(w) * 31 + F.ascii(w) * 7 + F.ascii(F.right(w, F.lit(1))) * 13, F.lit(dims))
+    counted = F.transform(F.array(F.transform(words, bucket)), lambda b: F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.size(F.filter(b, lambda x: x == i)).cast("double")))
+    return l2_normalize(F.element_at(counted, 1))

@@ -20,7 +20,17 @@ def shared_dir(spark) -> str:
     return found.rstrip("/")
 
 
+def new_path(spark) -> str:
+    return f"{shared_dir(spark)}/ragset-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/ragset-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def appended(df: DataFrame, path: str) -> DataFrame:
+    """All rows written to path so far, with those of df."""
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ragset.functions.text import hashed_words
 from ragset.operators.chunking import char_windows
 
 TYPES = ["text", "table", "figure", "standalone image", "table with images", "index"]
@@ -49,6 +50,14 @@ def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("qa_id", "i", F.concat(F.lit("doc_"), F.lpad(doc.cast("string"), 20, "0")).alias("file_name"), F.lit("1").alias("chunk_id"), (F.col("n") - 1).alias("hop_count"))
 
 
+def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, question, answer, q, a, refs, relevance_score, difficulty_score): questions with the vectors of both texts and what the answer rests on, its own chunk and those added."""
+    refs = lineage(spark, sf_dir).groupBy("qa_id").agg(F.collect_set(F.concat("file_name", F.lit("|"), "chunk_id")).alias("refs"))
+    own = F.array(F.concat(F.lit("#"), F.pmod("qa_id", F.lit(5)).cast("string")))
+    q = qa(spark, sf_dir).join(refs, "qa_id", "left").withColumn("refs", F.concat(F.coalesce("refs", F.array().cast("array<string>")), own))
+    return q.select(F.col("qa_id").alias("id"), "question", "answer", hashed_words(F.col("question")).alias("q"), hashed_words(F.col("answer")).alias("a"), "refs", "relevance_score", "difficulty_score")
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"), "label")
 
@@ -86,13 +95,17 @@ SQL = {
             FROM turns WHERE role = 'user' AND next_role = 'assistant')""",
     "lineage": """lineage AS (SELECT qa_id, i, 'doc_' || lpad(CAST((conv_id * 7 + turn * 13 + i * 17) % (SELECT count(*) FROM documents) AS VARCHAR), 20, '0') AS file_name, '1' AS chunk_id, n - 1 AS hop_count
         FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *, 1 + (conv_id + turn) % 3 AS n FROM qa)))""",
+    "questions": """counts AS (SELECT *, list_transform(range(64), lambda i: CAST(len(list_filter(bq, lambda x: x = i)) AS DOUBLE)) AS cq, list_transform(range(64), lambda i: CAST(len(list_filter(ba, lambda x: x = i)) AS DOUBLE)) AS ca FROM (SELECT *,
+            list_transform(regexp_extract_all(lower(question), '[a-z]+'), lambda w: (length(w) * 31 + ascii(w) * 7 + ascii(right(w, 1)) * 13) % 64) AS bq, list_transform(regexp_extract_all(lower(answer), '[a-z]+'), lambda w: (length(w) * 31 + ascii(w) * 7 + ascii(right(w, 1)) * 13) % 64) AS ba FROM qa)),
+        questions AS (SELECT qa_id AS id, question, answer, list_transform(cq, lambda x: x / sqrt(list_dot_product(cq, cq))) AS q, list_transform(ca, lambda x: x / sqrt(list_dot_product(ca, ca))) AS a, r || ['#' || CAST(qa_id % 5 AS VARCHAR)] AS refs, relevance_score, difficulty_score
+            FROM counts JOIN (SELECT qa_id, list(DISTINCT file_name || '|' || chunk_id) AS r FROM lineage GROUP BY 1) USING (qa_id))""",
     "vectors": "vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)",
     "replies": """replies AS (SELECT doc_id, quality, toxic, CASE WHEN quality IS NULL THEN 'ERROR: none' ELSE '<|#|>START<|#|>Status<|#|>' || CASE WHEN quality = 1 THEN 'SELECTED' ELSE 'REJECTED' END || '<|#|>Relevance<|#|>' || CAST(doc_id % 11 AS VARCHAR)
         || '<|#|>Difficulty<|#|>' || CAST(doc_id % 7 AS VARCHAR) || '<|#|>Reason<|#|>r<|#|>END<|#|>' END AS reply FROM documents LEFT JOIN labels USING (doc_id))""",
     "claims": """claims AS (SELECT qa_id, i - 1 AS i, claim, length(claim) % 3 <> 0 AS supported, (['NONE','TEXT','IMAGE','BOTH'])[CAST(length(claim) % 4 + 1 AS INTEGER)] AS source
         FROM (SELECT qa_id, unnest(s) AS claim, generate_subscripts(s, 1) AS i FROM (SELECT qa_id, string_split(answer, '. ') AS s FROM qa)))""",
 }
-NEEDS = {"windows": ["docs"], "chunks": ["windows"], "lineage": ["qa"], "claims": ["qa"]}
+NEEDS = {"questions": ["qa", "lineage"], "windows": ["docs"], "chunks": ["windows"], "lineage": ["qa"], "claims": ["qa"]}
 
 
 def sql(query: str, *tables: str) -> str:
