@@ -54,12 +54,27 @@ def r7_ingest_stream(s, d):
 
 
 def c6_block_type(s, d):
+    """Whole chunks, made to look like their type: a table's row, an image, a figure's caption, an entry of a table of contents."""
     c = chunks(s, d)
     row = F.when(F.col("chunk_type").contains("table"), F.lit("\n| a | b |\n")).otherwise("")
-    body = F.when(F.col("chunk_type") == "standalone image", F.col("artifact")).otherwise(F.concat(F.translate(F.substring("content", 1, 100), "|", " "), row, F.when(F.col("artifact") != "None", F.col("artifact")).otherwise("")))
+    image = F.when(F.col("artifact") != "None", F.concat(F.lit("\n"), F.col("artifact"), F.lit("\n"))).otherwise("")
+    end = F.when(F.col("chunk_type") == "figure", F.lit("\nFigure 7 - x")).when(F.col("chunk_type") == "index", F.lit("\nOverview ..... 3\n")).otherwise("")
+    body = F.concat(F.translate("content", "|", " "), row, image, end)
     return c.withColumn("t", C.block_type(body)).groupBy("chunk_type", F.col("t").alias("found_type")).agg(F.count("*").alias("n"))
 
 
+def c6_segment_markdown(s, d):
+    """Every document as markdown: headings, contents, its whole text, tables with and without images, figures, a heading at the end."""
+    kind, n = F.pmod("doc_id", F.lit(6)), F.col("doc_id").cast("string")
+    when = lambda k, *parts: F.when(kind == k, F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))).otherwise("")
+    text = F.concat(
+        F.lit("# Document "), n, F.lit("\n\n"), when(0, "Contents ...... 1\n\nBody ........ 2\n"), when(1, "## Part\n### Section\n\n"), F.coalesce("text", F.lit("")), F.lit("\n"),
+        when(2, "\nTable 2 - sums\n\n| a | b |\n|---|---|\n| 1 | 2 |\nNote: all\n"), when(3, "\n| a | ![x](i/", n, ".png) |\n"), when(4, "\n![x](i/", n, ".png)\n\nFigure 3.1 - seen\n\nand more text"), when(5, "\n![](l.png)\n\n## Last"),
+    )
+    m = C.segment_markdown(docs(s, d).withColumn("text", text))
+    return m.select("doc_id", "chunk_id", "chunk_type", F.md5(F.col("content").cast("binary")).alias("content_md5"), "artifact", "status")
+
+
 def c7_fixed_chunks(s, d):
     c = C.fixed_chunks(docs(s, d), 256)
     return c.select("file_name", F.col("k").cast("long").alias("k"), F.md5(F.col("content").cast("binary")).alias("content_md5"))
@@ -190,7 +205,22 @@ SQLS = {
     "c1_char_windows": sql("SELECT file_name, w, length(content) AS n_chars, md5(content) AS content_md5 FROM windows", "windows"),
     "c2_parse_chunk_records": sql("SELECT file_name, w, chunk_id, CASE WHEN w % 4 <> 3 THEN chunk_type END AS chunk_type, CASE WHEN w % 4 <> 3 THEN status END AS status, w % 4 <> 3 AS well_formed FROM chunks", "chunks"),
     "c3_backfill_artifact": sql("SELECT file_name, w, CASE WHEN w % 3 = 2 AND artifact <> 'None' THEN artifact WHEN artifact <> 'None' THEN artifact || ' ' || artifact ELSE 'None' END AS artifact FROM chunks", "chunks"),
-    "c6_block_type": sql("SELECT chunk_type, CASE WHEN chunk_type = 'index' THEN 'text' ELSE chunk_type END AS found_type, count(*) AS n FROM chunks GROUP BY 1, 2", "chunks"),
+    "c6_block_type": sql("SELECT chunk_type, chunk_type AS found_type, count(*) AS n FROM chunks GROUP BY 1, 2", "chunks"),
+    # lines as rows: a block opens where a line differs from the last one that is not blank
+    "c6_segment_markdown": r"""WITH made AS (SELECT doc_id, string_split('# Document ' || doc_id || chr(10) || chr(10) || CASE doc_id % 6 WHEN 0 THEN 'Contents ...... 1' || chr(10) || chr(10) || 'Body ........ 2' || chr(10) WHEN 1 THEN '## Part' || chr(10) || '### Section' || chr(10) || chr(10) ELSE '' END
+            || coalesce(text, '') || chr(10) || CASE doc_id % 6 WHEN 2 THEN chr(10) || 'Table 2 - sums' || chr(10) || chr(10) || '| a | b |' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 |' || chr(10) || 'Note: all' || chr(10)
+            WHEN 3 THEN chr(10) || '| a | ![x](i/' || doc_id || '.png) |' || chr(10) WHEN 4 THEN chr(10) || '![x](i/' || doc_id || '.png)' || chr(10) || chr(10) || 'Figure 3.1 - seen' || chr(10) || chr(10) || 'and more text' WHEN 5 THEN chr(10) || '![](l.png)' || chr(10) || chr(10) || '## Last' ELSE '' END, chr(10)) AS x FROM documents),
+        lines AS (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i FROM made),
+        kinds AS (SELECT *, CASE WHEN regexp_full_match(line, '[ \t\r\f\x0b]*') THEN NULL WHEN regexp_matches(line, '^ {0,3}#{1,6}[ \t]') THEN 'heading' WHEN regexp_matches(line, '^.{1,80}\.{4,} *[0-9]+ *$') THEN 'index' WHEN regexp_matches(line, '^[ \t]*\|.*\|[ \t]*$') THEN 'row'
+            WHEN regexp_matches(line, '^[ \t*_]*(?i:figure|fig\.)[ \t]+[A-Z0-9]') THEN 'figcap' WHEN regexp_matches(line, '^[ \t*_]*(?i:table|tab\.)[ \t]+[A-Z0-9]') THEN 'tabcap' WHEN regexp_matches(line, '!\[[^\]]*\]\([^)]+\)') THEN 'image' ELSE 'text' END AS k FROM lines),
+        seen AS (SELECT doc_id, i, k, lag(k) OVER w AS p, i - lag(i) OVER w > 1 AS gap, max(CASE WHEN k <> 'heading' THEN i END) OVER (PARTITION BY doc_id) AS last FROM kinds WHERE k IS NOT NULL WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        starts AS (SELECT doc_id, i FROM seen WHERE p IS NULL OR (i <= last AND p <> 'heading' AND (k = 'heading' OR (k = 'index') <> (p = 'index') OR (gap AND NOT ((k = 'row' AND p = 'tabcap') OR (k = 'figcap' AND p = 'image') OR (k = 'index' AND p = 'index')))))),
+        numbered AS (SELECT l.doc_id, l.i, line, count(s.i) OVER (PARTITION BY l.doc_id ORDER BY l.i) AS b FROM lines l LEFT JOIN starts s ON s.doc_id = l.doc_id AND s.i = l.i),
+        blocks AS (SELECT doc_id, b, regexp_replace(string_agg(line, chr(10) ORDER BY i), '(?:\n[ \t\r\f\x0b]*)+$', '') AS content, b = max(b) OVER (PARTITION BY doc_id) AS final FROM numbered WHERE b > 0 GROUP BY doc_id, b),
+        typed AS (SELECT *, CASE WHEN regexp_matches(content, '(?m)^.{1,80}\.{4,} *[0-9]+ *$') THEN 'index' WHEN regexp_matches(content, '(?m)^[ \t]*\|.*\|[ \t]*$') THEN CASE WHEN contains(content, '![') THEN 'table with images' ELSE 'table' END
+            WHEN contains(content, '![') THEN CASE WHEN regexp_matches(content, '(?m)^Figure ') THEN 'figure' ELSE 'standalone image' END ELSE 'text' END AS chunk_type FROM blocks)
+        SELECT doc_id, CAST(b AS VARCHAR) AS chunk_id, chunk_type, md5(CASE WHEN chunk_type = 'index' THEN 'None' ELSE content END) AS content_md5, CASE WHEN contains(chunk_type, 'image') OR chunk_type = 'figure' THEN regexp_extract(content, '!\[[^\]]*\]\([^)]+\)') ELSE 'None' END AS artifact,
+            CASE WHEN chunk_type = 'index' OR NOT final OR regexp_matches(content, '[.!?:;…)\]}\"''»”*`|>]$') THEN 'COMPLETE' ELSE 'INCOMPLETE' END AS status FROM typed""",
     "r7_ingest_stream": sql("SELECT dataset, count(*) AS windows, count(DISTINCT doc_id) AS documents FROM windows GROUP BY 1", "windows"),
     "c7_fixed_chunks": sql(f"SELECT file_name, k, md5(array_to_string(list_slice(w, k * 256 + 1, k * 256 + 256), ' ')) AS content_md5 FROM (SELECT *, unnest(range(CAST((len(w) + 255) // 256 AS BIGINT))) AS k FROM (SELECT file_name, regexp_extract_all(text, '{W}') AS w FROM docs))", "docs"),
     "c8_renumber_chunks": sql("SELECT file_name, w, row_number() OVER (PARTITION BY file_name ORDER BY w) AS number, 'chunk_' || CAST(row_number() OVER (ORDER BY file_name, w) AS VARCHAR) AS global_chunk_id FROM chunks", "chunks"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ragset.functions.text import cosine, dot, l2_normalize
+from ragset.functions.text import cosine, dot, l2_normalize, letter_words
 from ragset.operators import contexts as X
 from ragset.operators import retrieval as R
 from ragset.operators import seams
@@ -98,7 +98,7 @@ def t1_assign_topics(s, d):
 
 
 def _words(s, d):
-    return read(s, d, "documents").select("doc_id", F.col("lang").alias("topic"), F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("words"))
+    return read(s, d, "documents").select("doc_id", F.col("lang").alias("topic"), letter_words(F.col("text")).alias("words"))
 
 
 def t2_ngram_vocabulary(s, d):

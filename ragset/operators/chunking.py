@@ -9,12 +9,25 @@ from pyspark.sql import functions as F
 from ragset.functions.text import IMAGE, clean, is_missing, token_estimate, word_count
 
 
+#: Windows that are cut from one slice of a text.
+PER_SLICE = 64
+
+
 def char_windows(docs: DataFrame, window: int = 20000, overlap: int = 2000) -> DataFrame:
-    """A row a window: slices of window characters that overlap; the last ends with the text; an empty text has none."""
+    """A row a window: slices of window characters that overlap; the last ends with the text; an empty or null text has none.
+
+    Windows are cut from slices of the text, so that none is sought from the start of a long text, nor carries it.
+    """
     n, step = F.length("text"), window - overlap
     count = F.when(n == 0, 0).when(n <= window, 1).otherwise(1 + F.ceil((n - window) / step)).cast("long")
-    w = docs.withColumn("n_windows", count).where("n_windows > 0").withColumn("w", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_windows") - 1)))
-    return w.withColumn("content", F.substring(F.col("text"), (F.col("w") * step + 1).cast("int"), F.lit(window))).drop("text")
+    cut = docs.withColumn("n_windows", count).where("n_windows > 0")
+    every = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_windows") - 1) / PER_SLICE))
+    slices = F.transform(every, lambda b: F.substring(F.col("text"), (b * (PER_SLICE * step) + 1).cast("int"), F.lit((PER_SLICE - 1) * step + window)))
+    rest = [c for c in docs.columns if c != "text"]
+    cut = cut.select(*rest, "n_windows", F.posexplode(slices).alias("_b", "_slice"))
+    own = F.sequence(F.lit(0).cast("long"), F.least(F.lit(PER_SLICE), F.col("n_windows") - F.col("_b") * PER_SLICE) - 1)
+    w = cut.withColumn("_w", F.explode(own))
+    return w.select(*rest, "n_windows", (F.col("_b") * PER_SLICE + F.col("_w")).cast("long").alias("w"), F.substring(F.col("_slice"), (F.col("_w") * step + 1).cast("int"), F.lit(window)).alias("content"))
 
 
 def parse_chunk_records(replies: DataFrame, reply: str = "reply") -> DataFrame:
@@ -33,15 +46,75 @@ def backfill_artifact(content: Column, artifact: Column) -> Column:
     return F.when(is_missing(artifact), F.when(marks != "", marks).otherwise("None")).otherwise(artifact)
 
 
+#: What lines of markdown look like: a table's row, an entry of a table of contents, a heading, the captions of figures and tables.
+ROW, ENTRY, HEADING = r"^[ \t]*\|.*\|[ \t]*$", r"^.{1,80}\.{4,} *[0-9]+ *$", r"^ {0,3}#{1,6}[ \t]"
+FIGURE_CAPTION, TABLE_CAPTION = r"^[ \t*_]*(?i:figure|fig\.)[ \t]+[A-Z0-9]", r"^[ \t*_]*(?i:table|tab\.)[ \t]+[A-Z0-9]"
+#: How a text ends that is not cut in a sentence.
+ENDED = r"[.!?:;…)\]}\"'»”*`|>][ \t\n\r\f\x0b]*$"
+
+
 def block_type(c: Column) -> Column:
-    """A block's type by its text."""
-    table, image = c.rlike(r"(?m)^\|.*\|[ \t]*$"), c.rlike(IMAGE)
-    only = clean(F.regexp_replace(c, IMAGE, "")) == ""
+    """A block's type by its text: index entries, tables without and with images, images with and without a figure's caption, else text."""
+    table, image = c.rlike(f"(?m){ROW}"), c.rlike(IMAGE)
     return (
-        F.when(c.rlike(r"(?m)^.{1,80}\.{4,} *[0-9]+ *$"), "index").when(table & image, "table with images").when(table, "table").when(image & only, "standalone image").when(image, "figure").otherwise("text")
+        F.when(c.rlike(f"(?m){ENTRY}"), "index").when(table & image, "table with images").when(table, "table").when(image & c.rlike(f"(?m){FIGURE_CAPTION}"), "figure").when(image, "standalone image").otherwise("text")
     )
 
 
+def segment_markdown(docs: DataFrame, text: str = "text", least: int = 0) -> DataFrame:
+    """docs without text, a row a block: chunk_id ('1', …), chunk_type, content (verbatim), artifact and status. Blank and null texts have no block.
+
+    A pass over a document's lines, each judged by its kind and the one before that is not blank: a block ends at a blank
+    line or before a heading; but a heading stays with what follows it (a last one with what comes before), a caption with
+    its table or image over a blank line, index entries with each other and apart from the rest. With least, a text shorter than
+    that many characters stays with the text after it. Of an index, content and artifact are 'None'. The last block is
+    INCOMPLETE where it is cut in a sentence or a table's row. Lines are kept in one array a document; nothing is shuffled.
+    """
+    blank = lambda x: x.rlike(r"^[ \t\r\f\x0b]*$")
+    kind = lambda x: (
+        F.when(x.rlike(HEADING), "heading").when(x.rlike(ENTRY), "index").when(x.rlike(ROW), "row").when(x.rlike(FIGURE_CAPTION), "figure caption").when(x.rlike(TABLE_CAPTION), "table caption").when(x.rlike(IMAGE), "image").otherwise("text")
+    )
+    once = lambda value, use: F.transform(F.array(value), use)[0]  # noqa: E731  value is evaluated once
+
+    def judged(lines: Column) -> Column:
+        """(at, kind, gap) of the lines that are not blank."""
+        every = F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.when(~blank(x), kind(x)).alias("kind"), ((i > 0) & blank(F.get(lines, i - 1))).alias("gap")))
+        return F.filter(every, lambda x: x["kind"].isNotNull())
+
+    def begins(x: Column, before: Column) -> Column:
+        k, p = x["kind"], before["kind"]
+        linked = ((k == "row") & (p == "table caption")) | ((k == "figure caption") & (p == "image")) | ((k == "index") & (p == "index"))
+        return before.isNull() | ((p != "heading") & ((k == "heading") | ((k == "index") != (p == "index")) | (x["gap"] & ~linked)))
+
+    def starts(seen: Column) -> Column:
+        found = F.filter(F.transform(seen, lambda x, i: F.when(begins(x, F.get(seen, i - 1)), x["at"])), lambda x: x.isNotNull())
+        content = F.array_max(F.transform(F.filter(seen, lambda x: x["kind"] != "heading"), lambda x: x["at"]))
+        return F.filter(found, lambda s: (s <= content) | (s == found[0]) | content.isNull())
+
+    def blocks(lines: Column) -> Column:
+        # headings alone are one block: they have no later start than their first
+        cut = lambda s: F.transform(s, lambda a, i: F.array_join(F.slice(lines, a + 1, F.coalesce(F.get(s, i + 1), F.size(lines)) - a), "\n"))
+        return F.transform(once(once(judged(lines), starts), cut), lambda b: F.regexp_replace(b, r"(?:\n[ \t\r\f\x0b]*)+$", ""))
+
+    def merged(parts: Column) -> Column:
+        """Parts with the short texts before them."""
+        plain = lambda x: (block_type(x) == "text") & ~x.rlike(HEADING)
+        opens = F.filter(F.transform(parts, lambda x, i: F.when((i == 0) | ~(plain(x) & (block_type(F.get(parts, i - 1)) == "text") & (F.length(F.get(parts, i - 1)) < least)), i)), lambda x: x.isNotNull())
+        return once(opens, lambda s: F.transform(s, lambda a, i: F.array_join(F.slice(parts, a + 1, F.coalesce(F.get(s, i + 1), F.size(parts)) - a), "\n\n")))
+
+    rest = [c for c in docs.columns if c != text]
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    found = F.when(~F.coalesce(F.col(text), F.lit("")).rlike(r"^[ \t\n\r\f\x0b]*$"), once(lines, lambda x: once(blocks(x), merged) if least else blocks(x)))
+    rows = docs.select(*rest, F.size(found).alias("_n"), F.posexplode(found).alias("_i", "content"))
+    typed = rows.withColumn("chunk_type", block_type(F.col("content")))
+    index = F.col("chunk_type") == "index"
+    whole = index | (F.col("_i") < F.col("_n") - 1) | F.col("content").rlike(ENDED)
+    return typed.select(
+        *rest, (F.col("_i") + 1).cast("string").alias("chunk_id"), "chunk_type", F.when(index, "None").otherwise(F.col("content")).alias("content"),
+        F.when(index, "None").otherwise(backfill_artifact(F.col("content"), F.lit("None"))).alias("artifact"), F.when(whole, "COMPLETE").otherwise("INCOMPLETE").alias("status"),
+    )
+
+
 def fixed_chunks(docs: DataFrame, size: int = 2048) -> DataFrame:
     """A row a run of size words."""
     words = F.regexp_extract_all("text", F.lit(r"[^ \t\n\r\f\x0b]+"), F.lit(0))

@@ -22,11 +22,10 @@ def ngram_vocabulary(docs: DataFrame, written, min_df: int = 2) -> DataFrame:
 def topic_keywords(docs: DataFrame, k: int) -> DataFrame:
     """(topic, word, weight, rank): share of the topic's words times ln(1 + mean words a topic / the word's count)."""
     tf = docs.select("topic", F.explode("words").alias("word")).groupBy("topic", "word").agg(F.count("*").alias("tf"))
-    per_topic = tf.groupBy("topic").agg(F.sum("tf").alias("n"))
-    mean = per_topic.agg((F.sum("n") / F.count("*")).alias("mean"))
-    per_word = tf.groupBy("word").agg(F.sum("tf").alias("f"))
-    w = tf.join(per_topic, "topic").join(per_word, "word").crossJoin(mean)  # mean is one row
-    w = w.select("topic", "word", (F.col("tf") / F.col("n") * F.log(1 + F.col("mean") / F.col("f"))).alias("weight"))
+    # one row a topic; the sums over words come from the same shuffled counts
+    topics = tf.groupBy("topic").agg(F.sum("tf").alias("n")).withColumn("mean", F.sum("n").over(Window.partitionBy()) / F.count("*").over(Window.partitionBy()))
+    f = F.sum("tf").over(Window.partitionBy("word"))
+    w = tf.withColumn("f", f).join(topics, "topic").select("topic", "word", (F.col("tf") / F.col("n") * F.log(1 + F.col("mean") / F.col("f"))).alias("weight"))
     return w.withColumn("rank", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc(F.round("weight", 12)), "word"))).where(F.col("rank") <= k)
 
 
