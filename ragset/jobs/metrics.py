@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ragset.jobs.replies import VISUAL
 from ragset.operators import datasets as DS
 from ragset.operators import evaluation as V
 from ragset.operators import metrics as E
@@ -12,11 +13,25 @@ from ragset.operators import seams
 from ragset.sources.tables import chunks, claims, lineage, qa, read, sql, vectors
 
 
-def v1_to_eval_rows(s, d):
-    """Contexts in order, with the number of their characters."""
-    r = lineage(s, d).join(chunks(s, d).select("file_name", "chunk_id", "content"), ["file_name", "chunk_id"]).groupBy("qa_id").agg(F.array_sort(F.collect_list(F.struct("i", "content"))).alias("x"))
+def _with_chunks(s, d):
+    """Questions with the chunks they rest on, in order. Some have no chunk but a final context, some the original chunk alone; paths of images may be 'null' or missing."""
+    path = F.when(F.col("artifact") == "None", F.when(F.col("w") % 2 == 0, "null")).otherwise(F.col("artifact"))
+    c = chunks(s, d).select("file_name", "chunk_id", "content", path.alias("image_path"))
+    r = lineage(s, d).join(c, ["file_name", "chunk_id"]).groupBy("qa_id").agg(F.array_sort(F.collect_list(F.struct("i", "content", "image_path"))).alias("x"), F.max("hop_count").alias("hop_count"))
     e = qa(s, d).join(r, "qa_id", "left")
-    return e.select("qa_id", F.md5(F.col("answer").cast("binary")).alias("ground_truth_md5"), F.coalesce(F.size("x"), F.lit(0)).cast("long").alias("n_contexts"), F.md5(F.coalesce(F.array_join(F.transform("x", lambda c: c["content"]), "\n"), F.lit("")).cast("binary")).alias("contexts_md5"))
+    own = F.when(F.col("qa_id") % 5 > 0, F.transform("x", lambda c: F.struct(F.when(c["i"] == 2, "").otherwise(c["content"]).alias("content"), c["image_path"].alias("image_path"))))
+    final = F.when(F.col("qa_id") % 2 == 0, F.concat(F.lit("final "), F.col("qa_id").cast("string")))
+    return e.withColumns({"context_chunks": own, "final_context": final, "original_chunk": F.lit("original"), "context_status": F.when(F.col("turn") > 0, "COMPLETE"), "domain": (F.col("conv_id") % 4).cast("string")})
+
+
+def v1_to_eval_rows(s, d):
+    """Contexts, images, type and metadata of every question."""
+    e = V.to_eval_rows(_with_chunks(s, d))
+    digest = lambda c: F.md5(c.cast("binary"))
+    return e.select(
+        "qa_id", digest(F.col("ground_truth")).alias("ground_truth_md5"), F.size("contexts").cast("long").alias("n_contexts"), digest(F.array_join("contexts", "\n")).alias("contexts_md5"),
+        F.array_join("image_contexts", " ").alias("images"), "type", F.col("metadata.hop_count").alias("hop_count"), F.col("metadata.context_status").alias("context_status"), F.col("metadata.domain").alias("domain"),
+    )
 
 
 def v2_parse_claims(s, d):
@@ -131,8 +146,10 @@ def v16_aggregate_scores(s, d):
 
 
 def v17_flag_issues(s, d):
-    f = v4_faithfulness(s, d).withColumnRenamed("score", "faithfulness").join(v6_answer_relevancy(s, d).withColumnRenamed("score", "relevancy"), "qa_id")
-    return E.flag_issues(f).groupBy("issue").agg(F.count("*").alias("n"))
+    """Flagged questions with what is unsupported in their answers."""
+    f = v4_faithfulness(s, d).withColumnRenamed("score", "faithfulness").join(v6_answer_relevancy(s, d).withColumnRenamed("score", "relevancy"), "qa_id").join(qa(s, d).select("qa_id", "question"), "qa_id")
+    i = E.flag_issues(f, claims(s, d))
+    return i.select("qa_id", "issue", "score", F.md5(F.col("question").cast("binary")).alias("question_md5"), F.size("unsupported_claims").cast("long").alias("n_unsupported"), F.md5(F.array_join("unsupported_claims", "|").cast("binary")).alias("unsupported_md5"))
 
 
 def v18_qa_subsets(s, d):
@@ -149,9 +166,9 @@ def v20_data_completeness(s, d):
 
 
 def v21_basic_report(s, d):
-    """Scores by domain; first turns have a blank difficulty."""
-    q = qa(s, d).withColumn("difficulty_score", F.when(F.col("turn") == 0, "").otherwise(F.col("difficulty_score")))
-    return _six(V.basic_report(q, (F.col("conv_id") % 4).alias("domain")))
+    """Scores by status, by domain and in all; first turns have no status and a blank difficulty."""
+    q = qa(s, d).withColumns({"difficulty_score": F.when(F.col("turn") == 0, "").otherwise(F.col("difficulty_score")), "context_status": F.when(F.col("turn") > 0, F.when(F.col("conv_id") % 2 == 0, "COMPLETE").otherwise("INCOMPLETE_MAX_DEPTH")), "domain": F.col("conv_id") % 4})
+    return _six(V.basic_report(q))
 
 
 def v22_parse_vlm_scores(s, d):
@@ -174,8 +191,10 @@ def p7_context_stats(s, d):
 
 
 def p8_qa_category_by_hop(s, d):
-    h = lineage(s, d).groupBy("qa_id").agg(F.max("hop_count").alias("hop_count"))
-    return E.qa_category_by_hop(h.withColumns({"has_table": F.col("qa_id") % 2 == 0, "has_image": F.col("qa_id") % 3 == 0}))
+    """Questions by the tables and images in their contexts; every fourth context has a table, every third an image's mark."""
+    table, image = F.when(F.col("qa_id") % 4 == 0, "| a |\n|---|").otherwise("a | b"), F.when(F.col("qa_id") % 3 == 0, "![x](y)").otherwise("none")
+    h = lineage(s, d).groupBy("qa_id").agg(F.max("hop_count").alias("hop_count")).withColumn("chunks", F.array(F.struct(image.alias("content"), F.lit("null").alias("image_path")), F.struct(F.lit(None).cast("string").alias("content"), F.when(F.col("qa_id") % 5 == 0, "p.png").alias("image_path"))))
+    return E.qa_category_by_hop(h.withColumns({"has_table": E.context_has_table(F.col("chunks"), table), "has_image": E.context_has_image(F.col("chunks"))}))
 
 
 def p9_qa_category_stats(s, d):
@@ -190,8 +209,10 @@ def e1_embed_chunks(s, d):
 
 
 def u3_scorer(s, d):
+    """For each question the best three answers of its conversation, by the default score."""
     q = qa(s, d)
-    return seams.score(q, "question", "answer").select("qa_id", F.round("score", 6).alias("score"))
+    pairs = q.select(F.col("qa_id").alias("query_id"), "conv_id", "question").join(q.select(F.col("qa_id").alias("item_id"), "conv_id", "answer"), "conv_id")
+    return seams.score(pairs, "question", "answer", top=3).select("query_id", "item_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 def s8_html_to_markdown(s, d):
@@ -209,7 +230,7 @@ NEC = "nec AS (SELECT qa_id, ([1.0, 0.0, 0.5, 0.9, 0.5])[CAST(qa_id % 5 + 1 AS I
 DIV = "(SELECT greatest(0, least(1, 1 - (ss - qq) / (n * (n - 1)))) AS diversity FROM (SELECT sum(s * s) AS ss, sum(q) AS qq FROM (SELECT sum(x) AS s, sum(x * x) AS q FROM (SELECT unnest(u) AS x, generate_subscripts(u, 1) AS pos FROM (SELECT list_transform(v, lambda e: e / sqrt(list_dot_product(v, v))) AS u FROM vectors)) GROUP BY pos)), (SELECT count(*) AS n FROM vectors))"
 SCORED = (
     "scored AS (SELECT qa_id, f AS faithfulness, p AS context_precision, CASE WHEN conv_id % 3 = 0 THEN p ELSE 0.0 END AS multimodal_relevance, qa_id % 7 <> 0 AS ok, qa_id % 4 AS arrows, coalesce(h, 0) > 0 AS multihop,"
-    f" conv_id % 3 = 0 OR regexp_matches(question, '{P.VISUAL_QUESTION}') AS multimodal FROM faith JOIN prec USING (qa_id) JOIN qa USING (qa_id) LEFT JOIN (SELECT qa_id, max(hop_count) AS h FROM lineage GROUP BY 1) USING (qa_id))"
+    f" conv_id % 3 = 0 OR regexp_matches(question, '{VISUAL}') AS multimodal FROM faith JOIN prec USING (qa_id) JOIN qa USING (qa_id) LEFT JOIN (SELECT qa_id, max(hop_count) AS h FROM lineage GROUP BY 1) USING (qa_id))"
 )
 AGG = """round(avg(faithfulness) FILTER (WHERE ok), 6) AS faithfulness, round(avg(context_precision) FILTER (WHERE ok), 6) AS context_precision, round(avg(multimodal_relevance) FILTER (WHERE ok), 6) AS multimodal_relevance, count(*) FILTER (WHERE ok) AS evaluated, count(*) FILTER (WHERE NOT ok) AS errors,
     round(avg(multimodal_relevance) FILTER (WHERE ok AND multimodal_relevance > 0), 6) AS multimodal_relevance_valid, round(coalesce(avg(arrows) FILTER (WHERE ok AND arrows > 0), 0), 6) AS mean_hops, count(*) FILTER (WHERE ok AND arrows > 0) AS hops_count"""
@@ -221,7 +242,10 @@ def _with(extra: str, query: str, *tables: str) -> str:
 
 
 SQLS = {
-    "v1_to_eval_rows": sql("SELECT qa_id, md5(answer) AS ground_truth_md5, count(content) AS n_contexts, md5(coalesce(string_agg(content, chr(10) ORDER BY i), '')) AS contexts_md5 FROM qa LEFT JOIN (SELECT qa_id, i, content FROM lineage JOIN chunks USING (file_name, chunk_id)) USING (qa_id) GROUP BY qa_id, answer", "chunks", "lineage"),
+    "v1_to_eval_rows": sql("""SELECT qa_id, md5(answer) AS ground_truth_md5, CASE WHEN qa_id % 5 > 0 AND m > 0 THEN n ELSE 1 END AS n_contexts, md5(CASE WHEN qa_id % 5 > 0 AND m > 0 THEN coalesce(texts, '') WHEN qa_id % 2 = 0 THEN 'final ' || qa_id ELSE 'original' END) AS contexts_md5,
+        CASE WHEN qa_id % 5 > 0 THEN coalesce(images, '') ELSE '' END AS images, CASE WHEN qa_id % 5 > 0 AND images <> '' THEN 'visual' ELSE 'text' END AS type, hop_count, CASE WHEN turn > 0 THEN 'COMPLETE' END AS context_status, CAST(conv_id % 4 AS VARCHAR) AS domain
+        FROM qa LEFT JOIN (SELECT qa_id, count(*) AS m, count(*) FILTER (WHERE i <> 2 AND content <> '') AS n, string_agg(content, chr(10) ORDER BY i) FILTER (WHERE i <> 2 AND content <> '') AS texts, string_agg(artifact, ' ' ORDER BY i) FILTER (WHERE artifact <> 'None') AS images, max(hop_count) AS hop_count
+            FROM lineage JOIN chunks USING (file_name, chunk_id) GROUP BY 1) USING (qa_id)""", "chunks", "lineage"),
     "v2_parse_claims": sql(rf"""SELECT qa_id, len(c) AS n_claims, md5(array_to_string(c, '|')) AS claims_md5, CASE WHEN turn = 0 THEN 4 ELSE 0 END AS n_reference, md5(CASE WHEN turn = 0 THEN 'w1?|w2?|' || difficulty_score || '?' ELSE question END) AS reverse_md5, CASE WHEN turn = 0 THEN conv_id % 4 ELSE 0 END AS hops
         FROM (SELECT *, CASE WHEN turn > 0 THEN CASE WHEN answer = '' THEN [] ELSE [answer] END ELSE list_transform(list_filter(list_transform(string_split(replace(answer, chr(10), ' '), '. '), lambda x: {TRIM.format('x')}), lambda x: x <> '' AND x <> '-'), lambda x: {TRIM.format("regexp_replace(x, '^[- ]+', '')")}) END AS c FROM qa)""", "qa"),
     "v3_parse_verdicts": sql("SELECT qa_id, CAST(i + 1 AS INTEGER) AS i, CASE WHEN qa_id % 2 = 0 THEN i IN (0, 2) ELSE i = 1 END AS supported FROM claims", "claims"),
@@ -236,18 +260,24 @@ SQLS = {
     "v11_visual_dependency": sql("SELECT count(*) AS n, count(*) FILTER (WHERE x IN (0, 3)) AS essential, count(*) FILTER (WHERE x = 1) AS helpful, count(*) FILTER (WHERE x = 2) AS sufficient, round(avg(CASE WHEN x IN (0, 3) THEN 1.0 WHEN x = 1 THEN 0.5 ELSE 0 END), 6) AS mean, round(count(*) FILTER (WHERE x IN (0, 3)) / count(*), 6) AS necessity_rate FROM (SELECT length(question) % 4 AS x FROM qa)", "qa"),
     "v12_semantic_diversity": sql(f"SELECT round(diversity, 6) AS diversity FROM {DIV}", "vectors"),
     "v16_aggregate_scores": _with(f"{FAITH}, {PREC}, {SCORED}", f"SELECT {AGG} FROM scored", "claims", "lineage"),
-    "v17_flag_issues": _with(f"{FAITH}, {RELV}", "SELECT issue, count(*) AS n FROM (SELECT 'LOW_FAITHFULNESS' AS issue FROM faith JOIN relv USING (qa_id) WHERE f < 0.8 UNION ALL SELECT 'LOW_RELEVANCY' FROM faith JOIN relv USING (qa_id) WHERE r < 0.7) GROUP BY 1", "claims", "vectors"),
+    "v17_flag_issues": _with(f"{FAITH}, {RELV}", """SELECT qa_id, 'LOW_FAITHFULNESS' AS issue, f AS score, md5(left(question, 100)) AS question_md5, n AS n_unsupported, md5(coalesce(t, '')) AS unsupported_md5 FROM faith JOIN qa USING (qa_id) JOIN (SELECT qa_id, count(*) FILTER (WHERE NOT supported) AS n, string_agg(claim, '|' ORDER BY i) FILTER (WHERE NOT supported) AS t FROM claims GROUP BY 1) USING (qa_id) WHERE f < 0.8
+        UNION ALL SELECT qa_id, 'LOW_RELEVANCY', r, md5(left(question, 100)), NULL, NULL FROM relv JOIN qa USING (qa_id) WHERE r < 0.7""", "claims", "vectors"),
     "v18_qa_subsets": _with(f"{FAITH}, {PREC}, {SCORED}", "SELECT count(*) AS total, count(*) FILTER (WHERE multihop) AS multihop, count(*) FILTER (WHERE multimodal) AS multimodal, count(*) FILTER (WHERE multihop AND multimodal) AS both, count(*) FILTER (WHERE NOT multihop) AS not_multihop, count(*) FILTER (WHERE NOT multimodal) AS not_multimodal, count(*) FILTER (WHERE NOT multihop AND NOT multimodal) AS neither FROM scored", "claims", "lineage"),
     "v19_attach_metrics": _with(f"{PREC}, {NEC}", "SELECT qa_id, p AS score, x AS necessity FROM qa LEFT JOIN prec USING (qa_id) LEFT JOIN nec USING (qa_id)", "lineage"),
     "v20_data_completeness": sql("""SELECT metric, NOT visual OR w > 0 AS can_evaluate, CASE WHEN NOT visual OR w > 0 THEN q ELSE 'NOT_APPLICABLE' END AS quality, items, w AS items_with_images, images FROM (SELECT count(*) AS items, count(*) FILTER (WHERE conv_id % 3 > 0) AS w, CAST(coalesce(sum(conv_id % 3), 0) AS BIGINT) AS images FROM qa),
         (VALUES ('faithfulness', FALSE, 'FULL'), ('answer_relevance', FALSE, 'FULL'), ('context_precision', FALSE, 'APPROXIMATED'), ('context_recall', FALSE, 'APPROXIMATED'), ('multihop_reasoning', FALSE, 'FULL'), ('visual_dependency', TRUE, 'FULL'), ('multimodal_faithfulness_vlm', TRUE, 'FULL'),
             ('multimodal_answer_quality_vlm', TRUE, 'FULL'), ('semantic_diversity', FALSE, 'FULL'), ('context_necessity', FALSE, 'FULL'), ('domain_coverage', FALSE, 'FULL')) m(metric, visual, q)""", "qa"),
-    "v21_basic_report": sql("SELECT conv_id % 4 AS domain, count(*) AS n, round(avg(CAST(relevance_score AS DOUBLE)), 6) AS relevance, round(avg(CASE WHEN turn <> 0 THEN CAST(difficulty_score AS DOUBLE) END), 6) AS difficulty FROM qa GROUP BY 1", "qa"),
+    "v21_basic_report": sql("""SELECT kind, value, count(*) AS n, round(avg(CAST(relevance_score AS DOUBLE)), 6) AS relevance, round(avg(CASE WHEN turn <> 0 THEN CAST(difficulty_score AS DOUBLE) END), 6) AS difficulty
+        FROM (SELECT 'domain' AS kind, CAST(conv_id % 4 AS VARCHAR) AS value, * FROM qa UNION ALL SELECT 'status', CASE WHEN turn = 0 THEN 'UNKNOWN' WHEN conv_id % 2 = 0 THEN 'COMPLETE' ELSE 'INCOMPLETE_MAX_DEPTH' END, * FROM qa UNION ALL SELECT 'all', NULL, * FROM qa) GROUP BY 1, 2""", "qa"),
     "v22_parse_vlm_scores": sql("SELECT qa_id, round(CASE WHEN qa_id % 3 = 0 THEN least(1.0, (qa_id % 17) / 10) ELSE 0.5 END, 6) AS score, CAST(0.5 AS DOUBLE) AS quality, CASE WHEN qa_id % 3 = 0 THEN 'YES' ELSE 'NA' END AS text_supported, CASE WHEN qa_id % 3 = 0 THEN 'NO' END AS image_supported FROM qa", "qa"),
     "v23_evaluation_report": _with(f"{FAITH}, {PREC}, {NEC}, {SCORED}", f"""SELECT r.subset, faithfulness, context_precision, multimodal_relevance, evaluated, errors, multimodal_relevance_valid, mean_hops, hops_count, round(diversity, 6) AS diversity, round(necessity, 6) AS necessity, round((f0 + p0) / 2, 6) AS quality_mean, multimodal_relevance_valid AS multimodal_mean, round((diversity + necessity) / 2, 6) AS health_mean
         FROM (SELECT subset, {AGG}, avg(faithfulness) FILTER (WHERE ok) AS f0, avg(context_precision) FILTER (WHERE ok) AS p0 FROM {SUBSETS} GROUP BY 1) r, {DIV}, (SELECT avg(x) AS necessity FROM nec)""", "claims", "lineage", "vectors"),
     "p7_context_stats": sql("SELECT hop_count, count(*) AS contexts, round(avg(n), 6) AS mean_chunks, max(n) AS max_chunks FROM (SELECT qa_id, max(hop_count) AS hop_count, count(*) AS n FROM lineage GROUP BY 1) GROUP BY 1", "lineage"),
-    "p8_qa_category_by_hop": sql("SELECT CASE WHEN qa_id % 6 = 0 THEN 'table+image' WHEN qa_id % 2 = 0 THEN 'table' WHEN qa_id % 3 = 0 THEN 'image' ELSE 'text' END AS category, hop_count, count(*) AS n FROM (SELECT qa_id, max(hop_count) AS hop_count FROM lineage GROUP BY 1) GROUP BY CUBE (1, 2)", "lineage"),
+    "p8_qa_category_by_hop": sql("""SELECT category, hop_count, count(*) AS n FROM (SELECT CASE WHEN t AND i THEN 'table+image' WHEN t THEN 'table' WHEN i THEN 'image' ELSE 'text' END AS category, hop_count FROM (SELECT qa_id % 4 = 0 AS t, qa_id % 3 = 0 OR qa_id % 5 = 0 AS i, max(hop_count) AS hop_count FROM lineage GROUP BY qa_id)) GROUP BY CUBE (1, 2)
+        UNION ALL SELECT 'any table', hop_count, count(*) FROM (SELECT max(hop_count) AS hop_count FROM lineage WHERE qa_id % 4 = 0 GROUP BY qa_id) GROUP BY ROLLUP (hop_count) HAVING count(*) > 0
+        UNION ALL SELECT 'any image', hop_count, count(*) FROM (SELECT max(hop_count) AS hop_count FROM lineage WHERE qa_id % 3 = 0 OR qa_id % 5 = 0 GROUP BY qa_id) GROUP BY ROLLUP (hop_count) HAVING count(*) > 0""", "lineage"),
+    "u3_scorer": sql("""SELECT query_id, item_id, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, item_id) AS rank FROM (SELECT q.qa_id AS query_id, a.qa_id AS item_id, CASE WHEN len(q.w) = 0 THEN 0 ELSE len(list_intersect(q.w, a.v)) / len(q.w) END AS score
+        FROM (SELECT qa_id, conv_id, list_distinct(regexp_extract_all(lower(question), '[^ \t\n\r\f\x0b]+')) AS w FROM qa) q JOIN (SELECT qa_id, conv_id, list_distinct(regexp_extract_all(lower(answer), '[^ \t\n\r\f\x0b]+')) AS v FROM qa) a USING (conv_id))) WHERE rank <= 3""", "qa"),
     "p9_qa_category_stats": sql(
         "SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {n}, round_even(100 * count(*) FILTER (WHERE {c}) / count(*), 1) AS {n}_pct" for n, c in {"multihop": "n > 1", "multimodal": "qa_id % 3 = 0", "both": "n > 1 AND qa_id % 3 = 0", "only_multihop": "n > 1 AND qa_id % 3 <> 0", "only_multimodal": "n = 1 AND qa_id % 3 = 0", "neither": "n = 1 AND qa_id % 3 <> 0"}.items())
         + ", round_even(avg(CAST(difficulty_score AS DOUBLE)), 2) AS difficulty, round_even(avg(CAST(relevance_score AS DOUBLE)), 2) AS relevance FROM qa JOIN (SELECT qa_id, count(*) AS n FROM lineage GROUP BY 1) USING (qa_id)", "lineage"),

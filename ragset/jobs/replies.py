@@ -91,12 +91,26 @@ def q12_take_target(s, d, target: int = 100):
     return kept.crossJoin(aside.agg(F.count("failure_reason").alias("set_aside"))).crossJoin(stats)  # one row each
 
 
+def q12_generate_to_target(s, d, target: int = 100):
+    """Pairs from chunks in a seeded order until there are 100 of chunks with images, or 110 chunks have been asked; target is the operator's feature."""
+    c = chunks(s, d).select("file_name", "chunk_id", "artifact", "content")
+
+    def generate(text):
+        return f"Question{M}{text[:40]}{M}Answer{M}a{len(text)}"
+
+    taken, aside, stats = DS.generate_to_target(c, F.translate(F.col("content"), "\n", " "), generate, lambda t: P.type_match(F.lit(1), t["artifact"]), "multimodal", target, "file_name", "chunk_id")
+    rows = taken.withColumn("failure_reason", F.lit(None).cast("string")).unionByName(aside)
+    return rows.select("file_name", "chunk_id", "answer", F.md5(F.col("question").cast("binary")).alias("question_md5"), "failure_reason").crossJoin(stats.select("requests", "generated", "target_reached", "chunk_budget"))  # stats is one row
+
+
 def q13_correction_rounds(s, d):
-    """All pairs failed once. The corrector answers with the request's length, or with nothing; the verifier passes even ones."""
-    failed = qa(s, d).select(F.col("qa_id").alias("id"), "question", "answer", F.lit("bad").alias("verification"))
+    """All pairs failed once. The corrector answers with the request's length, at times citing a figure, or with nothing; the verifier passes even ones; half of the pairs rest on an image."""
+    failed = qa(s, d).select(F.col("qa_id").alias("id"), "question", "answer", F.lit("bad").alias("verification"), (F.floor(F.col("qa_id") / 100) % 2 == 0).alias("has_image"))
 
     def correct(text):
-        return "none" if len(text) % 5 == 0 else f"{M}Question{M}q{M}Answer{M}a{len(text)}"
+        n = len(text)
+        q, a = ("As shown in the figure, q", "The figure shows a") if n % 3 == 0 else ("q", "a")
+        return "none" if n % 5 == 0 else f"{M}Question{M}{q}{M}Answer{M}{a}{n}"
 
     def verify(text):
         return f"Status: {', '.join(P.GOOD) if int(text[-1]) % 2 == 0 else 'QUESTION_INCORRECT'}"
@@ -120,11 +134,12 @@ def q15_build_prompts(s, d):
 
 
 def s6_write_outcomes(s, d):
-    """Outcomes written by partition and read again."""
+    """Outcomes written by partition, with the chunks of all documents as contexts, and read again."""
     g = P.select_gate(replies(s, d)).select("doc_id", DS.outcome_of(F.col("status")).alias("outcome"))
     path = f"{shared_dir(s)}/ragset-outcomes-{uuid.uuid4().hex}"
-    DS.write_outcomes(g, "outcome", path)
-    return s.read.parquet(path).groupBy("outcome").agg(F.count("*").alias("n"))
+    DS.write_outcomes(g, "outcome", path, chunks(s, d).select("doc_id", "chunk_id", "content"))
+    rows, contexts = s.read.parquet(f"{path}/rows"), s.read.parquet(f"{path}/contexts")
+    return rows.join(contexts.groupBy("doc_id").agg(F.count("*").alias("c")), "doc_id", "left").groupBy("outcome").agg(F.count("*").alias("n"), F.coalesce(F.sum("c"), F.lit(0)).alias("contexts"))
 
 
 def s4_load_results(s, d):
@@ -229,6 +244,9 @@ def u2_responder(s, d):
     return respond(asked, lambda t: t.split()[0].upper(), written).select(F.md5(F.col("request").cast("binary")).alias("request_md5"), "reply")
 
 
+#: What questions and answers say of a figure, written out for SQL.
+VISUAL = r"(?i)\b(depicted|shown|illustrated|displayed)\s+(in|by)\s+(the\s+)?(figure|diagram|schematic|image|chart|graph|picture)|\b(figure|diagram|schematic|image|chart|graph|picture)\s+(shows|depicts|illustrates)|\b(based\s+on|according\s+to|in|from)\s+(the\s+)?(figure|diagram|schematic|image|chart|graph|picture)"
+ANSWERED = r"(?i)\b(figure|diagram|image|chart|graph)\s+(shows|indicates|displays)|\bvisual|\b(top|bottom|left|right|center)\s+(of|portion|section)|\b(axis|legend|label|arrow|line|curve|bar)"
 GATE = "CASE WHEN quality IS NULL THEN 'ERROR' WHEN quality = 1 THEN 'SELECTED' ELSE 'REJECTED' END"
 VER = "coalesce(quality = 1, FALSE) AND coalesce(toxic <> 1, TRUE)"
 CACHE = "cache AS (SELECT sha256(text) AS cache_key, 'R:' || text AS response, 1 AS version FROM conversations WHERE conv_id % 2 = 0 UNION ALL SELECT sha256(text), 'S:' || text, 2 FROM conversations WHERE conv_id % 4 = 0)"
@@ -246,13 +264,16 @@ SQLS = {
     "q5_relevance_gate": sql("SELECT coalesce(quality = 1, FALSE) AS relevant, count(*) AS n, CAST(sum(CASE WHEN quality = 1 THEN 0 ELSE least(2000, length(text)) END) AS BIGINT) AS chars FROM replies JOIN docs USING (doc_id) GROUP BY 1", "docs", "replies"),
     "q6_select_gate": sql(f"SELECT doc_id, {GATE} AS status, CASE WHEN quality IS NULL THEN '0' ELSE CAST(doc_id % 11 AS VARCHAR) END AS relevance, CASE WHEN quality IS NULL THEN '0' ELSE CAST(doc_id % 7 AS VARCHAR) END AS difficulty, CASE WHEN quality IS NOT NULL THEN 'r' END AS reason FROM replies", "replies"),
     "q7_verify_gate": sql(f"SELECT {VER} AS verified, count(*) AS n FROM replies GROUP BY 1", "replies"),
-    "q8_misleading_visual": sql(f"SELECT qa_id, regexp_matches(q, '{P.VISUAL_QUESTION}') AND (conv_id % 4 <> 0 OR NOT regexp_matches(a, '{P.VISUAL_ANSWER}')) AS misleading FROM (SELECT qa_id, conv_id, CASE WHEN conv_id % 2 = 0 THEN 'As shown in the Figure, ' ELSE 'What is graph theory? ' END || question AS q, answer || CASE WHEN conv_id % 3 = 0 THEN ' See the legend.' ELSE '' END AS a FROM qa)", "qa"),
+    "q8_misleading_visual": sql(f"SELECT qa_id, regexp_matches(q, '{VISUAL}') AND (conv_id % 4 <> 0 OR NOT regexp_matches(a, '{ANSWERED}')) AS misleading FROM (SELECT qa_id, conv_id, CASE WHEN conv_id % 2 = 0 THEN 'As shown in the Figure, ' ELSE 'What is graph theory? ' END || question AS q, answer || CASE WHEN conv_id % 3 = 0 THEN ' See the legend.' ELSE '' END AS a FROM qa)", "qa"),
     "q10_match_qa_type": sql("SELECT qa_type, count(*) AS n FROM (SELECT CASE WHEN qa_id % 3 = 0 THEN 'multimodal' ELSE 'text' END AS qa_type FROM (SELECT DISTINCT qa_id FROM lineage) UNION ALL SELECT 'multihop' FROM lineage GROUP BY qa_id HAVING count(*) > 1) GROUP BY 1", "lineage"),
     "q12_take_target": sql("SELECT least(m, 100) AS kept, (SELECT max(qa_id) FROM (SELECT qa_id FROM lineage GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 100)) AS last, o AS set_aside, least(m, 100) AS generated, m >= 100 AS target_reached, m < 100 AS corpus_exhausted, o AS mismatched, CAST(110 AS BIGINT) AS chunk_budget FROM (SELECT count(*) FILTER (WHERE n > 1) AS m, count(*) FILTER (WHERE n = 1) AS o FROM (SELECT count(*) AS n FROM lineage GROUP BY qa_id))", "lineage"),
-    "q13_correction_rounds": sql("SELECT qa_id AS id, md5(CASE WHEN n % 5 = 0 THEN answer ELSE 'a' || CAST(n AS VARCHAR) END) AS answer, CASE WHEN n % 5 > 0 AND n % 2 = 0 THEN 'CORRECTED' END AS selection_status, CASE WHEN n % 5 > 0 AND n % 2 = 0 THEN CAST(1 AS BIGINT) END AS attempt, CASE WHEN n % 5 = 0 THEN 'Correction produced no valid pairs' WHEN n % 2 = 1 THEN 'Failed verification after 1 correction attempt(s)' END AS failure_reason FROM (SELECT *, 33 + length(question) + length(answer) AS n FROM qa)", "qa"),
+    "q12_generate_to_target": sql("""SELECT file_name, chunk_id, answer, question_md5, failure_reason, 110 AS requests, CAST(sum(CASE WHEN failure_reason IS NULL THEN 1 ELSE 0 END) OVER () AS BIGINT) AS generated, FALSE AS target_reached, 110 AS chunk_budget
+        FROM (SELECT file_name, chunk_id, 'a' || length(content) AS answer, md5(trim(left(translate(content, chr(10), ' '), 40), ' ' || chr(9) || chr(13))) AS question_md5, CASE WHEN artifact = 'None' THEN 'Does not match target type ' || chr(39) || 'multimodal' || chr(39) END AS failure_reason FROM chunks ORDER BY md5('42' || file_name || '|' || chunk_id) LIMIT 110)""", "chunks"),
+    "q13_correction_rounds": sql("""SELECT qa_id AS id, md5(CASE WHEN n % 5 = 0 THEN answer WHEN n % 3 = 0 THEN 'The figure shows a' || n ELSE 'a' || n END) AS answer, CASE WHEN ok THEN 'CORRECTED' END AS selection_status, CASE WHEN ok THEN CAST(1 AS BIGINT) END AS attempt,
+        CASE WHEN n % 5 = 0 THEN 'Correction produced no valid pairs' WHEN NOT ok THEN 'Failed verification after 1 correction attempt(s)' END AS failure_reason FROM (SELECT *, n % 5 > 0 AND n % 2 = 0 AND (n % 3 > 0 OR conv_id % 2 = 0) AS ok FROM (SELECT *, 33 + length(question) + length(answer) AS n FROM qa))""", "qa"),
     "q14_outcome_stats": sql("SELECT count(*) FILTER (WHERE quality IS NULL) AS malformed, count(*) FILTER (WHERE quality = 0) AS failed, count(*) FILTER (WHERE quality = 1) AS passed, count(*) FILTER (WHERE quality = 1 AND doc_id % 3 > 1) AS multi_chunk, count(*) FILTER (WHERE quality = 1 AND doc_id % 3 <= 1) AS single_chunk, round(count(*) FILTER (WHERE quality = 1) / count(*), 6) AS success_rate FROM replies", "replies"),
     "q15_build_prompts": sql("SELECT qa_id, md5('Q: ' || question || chr(10) || string_agg('Chunk ' || CAST(i + 1 AS VARCHAR) || ': ' || file_name, chr(10) || '---' || chr(10) ORDER BY i) || chr(10) || 'End') AS prompt_md5 FROM lineage JOIN qa USING (qa_id) GROUP BY qa_id, question", "lineage"),
-    "s6_write_outcomes": sql("SELECT CASE WHEN quality IS NULL THEN 'malformed' WHEN quality = 1 THEN 'pass' ELSE 'fail' END AS outcome, count(*) AS n FROM replies GROUP BY 1", "replies"),
+    "s6_write_outcomes": sql("SELECT CASE WHEN quality IS NULL THEN 'malformed' WHEN quality = 1 THEN 'pass' ELSE 'fail' END AS outcome, count(*) AS n, CAST(sum((SELECT count(*) FROM chunks c WHERE c.doc_id = r.doc_id)) AS BIGINT) AS contexts FROM replies r GROUP BY 1", "chunks", "replies"),
     "s4_load_results": sql("SELECT qa_id, md5(question) AS question_md5, relevance_score FROM qa", "qa"),
     "s5_save_csv": sql("SELECT qa_id, length(question) AS n, difficulty_score FROM qa", "qa"),
     "m2_search_strings": sql("SELECT qa_id, CASE WHEN conv_id % 3 = 0 THEN 'a|b c|d|e|f' ELSE 'figure|Table' END AS queries FROM qa", "qa"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ragset.functions.text import cosine, dot, l2_normalize, letter_words
+from ragset.functions.text import dot, l2_normalize, letter_words
 from ragset.operators import contexts as X
 from ragset.operators import retrieval as R
 from ragset.operators import seams
@@ -38,17 +38,19 @@ def e4_nucleus_topp(s, d):
     return R.nucleus_topp(_found(s, d, 100)).select("query_id", "item_id", F.round("mass", 6).alias("mass"))
 
 
+def _queries(s, d):
+    return vectors(s, d).where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "v")
+
+
 def e5_retrieve_rerank(s, d):
     """Ten by inner product, five by the distance of ids, two by rank."""
-    ten = _found(s, d, 10).drop("rank").withColumn("rescored", 1.0 / (1 + F.abs(F.col("query_id") - F.col("item_id"))))
-    five = R.ranked(ten, "query_id", 5, F.desc("rescored"), "item_id")
-    return five.where("rank <= 2").select("query_id", "item_id", F.col("rank").cast("long").alias("rank"), F.round("rescored", 6).alias("score"))
+    best = R.retrieve_rerank(_queries(s, d), _items(s, d), 1.0 / (1 + F.abs(F.col("query_id") - F.col("item_id"))))
+    return best.select("query_id", "item_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
 def e6_cosine_rerank(s, d):
-    v = vectors(s, d).where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    c = _found(s, d, 10).drop("rank").join(v, "query_id").join(_items(s, d), "item_id").withColumn("cos", cosine("q", "v"))
-    return R.ranked(c, "query_id", 5, F.desc(F.round("cos", 12)), "item_id").select("query_id", "item_id", F.col("rank").cast("long").alias("rank"), F.round("cos", 6).alias("score"))
+    best = R.cosine_rerank(_found(s, d, 10), _queries(s, d), _items(s, d))
+    return best.select("query_id", "item_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
 def e7_parse_rankings(s, d):
@@ -76,25 +78,24 @@ def e9_fuse_vectors(s, d):
 def e10_align_chunks(s, d):
     """Chunks of every third window have a vector; those of every fourth one no chunk."""
     c = chunks(s, d).select("file_name", "chunk_id", "w")
-    e = c.where("w % 3 = 0").select("file_name", "chunk_id")
-    kept = c.where("w % 4 <> 3").select("file_name", "chunk_id")
-    both = e.join(kept, ["file_name", "chunk_id"]).withColumn("found", F.lit(True))
-    return both.unionByName(e.join(kept, ["file_name", "chunk_id"], "left_anti").withColumn("found", F.lit(False)))
+    both, lost = R.align_chunks(c.where("w % 3 = 0").select("file_name", "chunk_id"), c.where("w % 4 <> 3"))
+    return both.select("file_name", "chunk_id", F.lit(True).alias("found")).unionByName(lost.withColumn("found", F.lit(False)))
 
 
 def j1_pictures_in_tables(s, d):
-    """Pictures whose box lies in a table box of their page."""
+    """Pictures whose box lies in a table box of their page of their document."""
+    place = lambda key: [F.pmod(key, F.lit(3)).alias("doc"), F.pmod(key, F.lit(1000)).alias("page_no")]
     p = read(s, d, "lineitem").select(
-        F.pmod("l_orderkey", F.lit(1000)).alias("page_no"), "l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l"), (F.col("l_quantity") + 2).cast("double").alias("r"),
+        *place("l_orderkey"), "l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l"), (F.col("l_quantity") + 2).cast("double").alias("r"),
         F.round(F.col("l_discount") * 100).cast("double").alias("b"), (F.round(F.col("l_discount") * 100) + 2).cast("double").alias("t"),
     )
     left = F.pmod("o_orderkey", F.lit(30)).cast("double")
-    o = read(s, d, "orders").select(F.pmod("o_orderkey", F.lit(1000)).alias("page_no"), left.alias("l"), (left + 25).alias("r"), F.lit(0.0).alias("b"), F.lit(10.0).alias("t")).distinct()
-    return T.pictures_in_tables(p, o).groupBy("page_no").agg(F.count("*").alias("n"))
+    o = read(s, d, "orders").select(*place("o_orderkey"), left.alias("l"), (left + 25).alias("r"), F.lit(0.0).alias("b"), F.lit(10.0).alias("t")).distinct()
+    return T.pictures_in_tables(p, o, 20.0).groupBy("doc", "page_no").agg(F.count("*").alias("n"))
 
 
 def t1_assign_topics(s, d):
-    return T.assign_topics(vectors(s, d), 8, written).select("vec_id", "topic")
+    return T.assign_topics(vectors(s, d), 8, written, outliers=0.95).select("vec_id", "topic")
 
 
 def _words(s, d):
@@ -114,7 +115,9 @@ def t4_diversify_keywords(s, d):
 
 
 def t5_topic_summary(s, d):
-    return T.topic_summary(read(s, d, "documents").select(F.col("lang").alias("topic")), T.topic_keywords(_words(s, d), 5))
+    """Documents by language; those of every tenth id are outliers, which count in the total alone."""
+    topic = F.when(F.col("doc_id") % 10 == 0, "-1").otherwise(F.col("lang"))
+    return T.topic_summary(read(s, d, "documents").select(topic.alias("topic")), T.topic_keywords(_words(s, d), 5))
 
 
 def _walk(s, d):
@@ -168,6 +171,11 @@ def m1_grow_contexts(s, d):
     return _grown(s, d)[1].select("seed", "n", "item_id")
 
 
+def m6_grown_context_rows(s, d):
+    rows = X.context_rows(*_grown(s, d))
+    return rows.select("seed", "status", "hop_count", "termination_reason", F.md5(F.col("context").cast("binary")).alias("context_md5"), "chunks_added", "search_history")
+
+
 def m5_context_statuses(s, d):
     return _grown(s, d)[0]
 
@@ -183,6 +191,8 @@ WALK = f"""near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY que
         FROM (SELECT h1.seed, h1.item_id AS query_item, near.item_id, near.score FROM h1 JOIN near ON near.query_id = h1.item_id WHERE h1.accepted AND (h1.seed, near.item_id) NOT IN (SELECT seed, item_id FROM v1))) WHERE r2 = 1),
     hops AS (SELECT * FROM h1 UNION ALL SELECT * FROM h2), visited AS (SELECT * FROM v1 UNION ALL SELECT seed, item_id FROM h2 WHERE accepted)
 """
+#: The words that are left out, written out for SQL.
+STOPPED = ", ".join(f"'{w}'" for w in "a about after all also an and any are as at be been but by can could for from had has have he her his if in into is it its more no not of on or our she so some than that the their them then there these they this to was we were what when which who will with would you your".split())
 KEYWORDS = """words AS (SELECT topic, word, count(*) AS tf FROM (SELECT lang AS topic, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents) GROUP BY 1, 2),
     weights AS (SELECT topic, word, tf / sum(tf) OVER (PARTITION BY topic) * ln(1 + (SELECT sum(tf) / count(DISTINCT topic) FROM words) / sum(tf) OVER (PARTITION BY word)) AS weight FROM words),
     keywords AS (SELECT topic, word, weight, row_number() OVER (PARTITION BY topic ORDER BY round(weight, 12) DESC, word) AS rank FROM weights)"""
@@ -198,12 +208,12 @@ SQLS = {
     "e9_fuse_vectors": sql("""SELECT vec_id, round(u[1] / sqrt(list_dot_product(u, u)), 6) AS first, CAST(1.0 AS DOUBLE) AS norm FROM (SELECT a.vec_id, CASE WHEN b.v IS NULL THEN a.v ELSE list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] / sqrt(list_dot_product(a.v, a.v)) + b.v[i] / sqrt(list_dot_product(b.v, b.v))) / 2) END AS u
         FROM vectors a LEFT JOIN vectors b ON b.vec_id = a.vec_id - 1 AND b.vec_id % 2 = 0)""", "vectors"),
     "e10_align_chunks": sql("SELECT file_name, chunk_id, w % 4 <> 3 AS found FROM chunks WHERE w % 3 = 0", "chunks"),
-    "j1_pictures_in_tables": """SELECT page_no, count(*) AS n FROM (SELECT l_orderkey % 1000 AS page_no, l_quantity AS l, round(l_discount * 100) AS b FROM lineitem) p
-        WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey % 1000 = page_no AND o_orderkey % 30 <= l AND l + 2 <= o_orderkey % 30 + 25 AND b >= 0 AND b + 2 <= 10) GROUP BY 1""",
-    "t2_ngram_vocabulary": f"""WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda x: x NOT IN ({', '.join(repr(x) for x in T.STOP)})) AS w FROM documents)
+    "j1_pictures_in_tables": """SELECT doc, page_no, count(*) AS n FROM (SELECT l_orderkey % 3 AS doc, l_orderkey % 1000 AS page_no, l_quantity AS l, round(l_discount * 100) AS b FROM lineitem) p
+        WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey % 1000 = page_no AND o_orderkey % 3 = doc AND o_orderkey % 30 <= l AND l + 2 <= o_orderkey % 30 + 25 AND b >= 0 AND b + 2 <= 10) GROUP BY 1, 2""",
+    "t2_ngram_vocabulary": f"""WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda x: x NOT IN ({STOPPED})) AS w FROM documents)
         SELECT gram, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(w) AS gram FROM w UNION ALL SELECT doc_id, a || ' ' || b FROM (SELECT doc_id, unnest(w[:-2]) AS a, unnest(w[2:]) AS b FROM w WHERE len(w) > 1)) GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2""",
     "t3_topic_keywords": f"WITH {KEYWORDS} SELECT topic, word, rank, round(weight, 6) AS weight FROM keywords WHERE rank <= 15",
-    "t5_topic_summary": f"WITH {KEYWORDS} SELECT topic, count(*) AS n, round(count(*) / (SELECT count(*) FROM documents), 6) AS share, (SELECT string_agg(word, ', ' ORDER BY rank) FROM keywords k WHERE k.topic = d.lang AND rank <= 5) AS keywords FROM (SELECT lang AS topic, lang FROM documents) d GROUP BY topic, lang ORDER BY 2 DESC LIMIT 15",
+    "t5_topic_summary": f"WITH {KEYWORDS} SELECT topic, count(*) AS n, round(count(*) / (SELECT count(*) FROM documents), 6) AS share, (SELECT string_agg(word, ', ' ORDER BY rank) FROM keywords k WHERE k.topic = d.lang AND rank <= 5) AS keywords FROM (SELECT lang AS topic, lang FROM documents WHERE doc_id % 10 <> 0) d GROUP BY topic, lang ORDER BY 2 DESC LIMIT 15",
     "m1_expand_context": sql(f", {WALK} SELECT seed, depth::BIGINT AS depth, query_item, item_id, round(score, 6) AS score, accepted FROM hops", "vectors").replace("\n, near", ",\nnear"),
     "m5_termination_status": sql(f", {WALK} SELECT vec_id AS seed, CASE WHEN coalesce((SELECT max(depth) FROM hops WHERE accepted AND seed = vec_id), 0) < 2 THEN 'INCOMPLETE_NO_RELEVANT_CHUNKS' ELSE 'INCOMPLETE_MAX_DEPTH' END AS status FROM vectors WHERE vec_id % 20 = 0", "vectors").replace("\n, near", ",\nnear"),
     "m6_context_rows": sql(f", {WALK} SELECT seed, count(*) - 1 AS hop_count, string_agg(lpad(CAST(item_id AS VARCHAR), 20, '0'), ',' ORDER BY item_id) AS items FROM visited GROUP BY 1", "vectors").replace("\n, near", ",\nnear"),

@@ -14,6 +14,7 @@ from ragset.functions.text import is_missing, token_estimate
 from ragset.operators.chunking import image_refs
 from ragset.operators.replies import parse_packs, verified
 from ragset.operators.seams import respond
+from ragset.sources.shared import written
 
 
 def numbered(items: Column, what: str = "Chunk", rule: str = "\n---\n") -> Column:
@@ -45,27 +46,68 @@ def take_target(rows: DataFrame, kinds: str, wanted: str, target: int, *order: s
     return taken, aside, stats.withColumn("chunk_budget", F.lit(math.ceil(11 * target / 10)).cast("long"))
 
 
+def generate_to_target(
+    chunks: DataFrame, request: Column, generate: Callable[[str], str], kinds: Callable[[DataFrame], Column], wanted: str, target: int, *keys: str, seed: int = 42, surplus: float = 1.1, written=written
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(taken, set aside, stats): pairs generated from chunks in the seed's order until `target` of them have the wanted kind,
+    or ceil(surplus * target) chunks have been asked.
+
+    Chunks are asked by ranges of the seed's hash, each about as large as the rows still missing ask for at the yield so
+    far; what lies beyond the last range is never asked. keys name a chunk; request is a column of chunks, kinds gives
+    the column of a pair's kinds. taken and set aside (with a failure_reason) have the chunk's columns, pack, question,
+    answer. stats: chunks, requests (chunks asked), generated, target_reached, corpus_exhausted, mismatched, chunk_budget.
+    """
+    budget = -(-round(surplus * 1000) * target // 1000)
+    placed = written(chunks.withColumns({"_order": seeded_order(*keys, seed=seed), "_request": request}))
+    total = placed.count()
+    share = F.conv(F.substring("_order", 1, 8), 16, 10).cast("double") / 2.0**32
+    low, asked, found, pairs = 0.0, 0, 0, None
+    while low < 1.0 and found < target and asked < budget and total:
+        rate = max(found / asked, 0.05) if asked else 1.0
+        want = min(budget - asked, max(1, math.ceil((target - found) / rate)))
+        high = min(1.0, low + 1.05 * want / total + 1e-9)
+        some = placed.where((share >= low) & (share < high) if high < 1.0 else share >= low)
+        # a range holds some more or fewer chunks than asked for; those over the budget go
+        some = written(some.orderBy("_order", *keys).limit(budget - asked))
+        replies = some.join(respond(some.select(F.col("_request").alias("request")), generate, written).withColumnRenamed("request", "_request"), "_request")
+        got = parse_packs(replies).drop("reorganized", "_request")
+        got = written(got.withColumn("_fits", F.coalesce(F.array_contains(kinds(got), wanted), F.lit(False))))
+        pairs = got if pairs is None else pairs.unionByName(got)
+        asked, found, low = asked + some.count(), found + got.where("_fits").count(), high
+    if pairs is None:
+        pairs = chunks.limit(0).select("*", F.lit("").alias("_order"), F.lit(0).alias("pack"), F.lit("").alias("question"), F.lit("").alias("answer"), F.lit(False).alias("_fits"))
+    taken = pairs.where("_fits").orderBy("_order", *keys, "pack").limit(target).drop("_fits", "_order")
+    aside = pairs.where("not _fits").drop("_fits", "_order").withColumn("failure_reason", F.lit(f"Does not match target type '{wanted}'"))
+    n = min(found, target)
+    stats = chunks.sparkSession.range(1).select(*(F.lit(v).cast(t).alias(k) for k, v, t in (("chunks", total, "long"), ("requests", asked, "long"), ("generated", n, "long"), ("target_reached", n >= target, "boolean"), ("corpus_exhausted", n < target and asked >= min(budget, total), "boolean"), ("chunk_budget", budget, "long"))))
+    return taken, aside, stats.crossJoin(aside.agg(F.count("*").alias("mismatched")))  # one row each
+
+
 #: The texts asked for a correction and a verification, where no other is given.
 CORRECT = "Question: {question}\nAnswer: {answer}\nFeedback: {verification}"
 VERIFY = "Question: {question}\nAnswer: {answer}"
 
 
 def correction_rounds(failed: DataFrame, correct: Callable[[str], str], verify: Callable[[str], str], written, attempts: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(passed, failed): failed pairs (id, question, answer, verification) are asked for again with their verification as feedback, parsed and verified, up to `attempts` times.
+    """(passed, failed): failed pairs (id, question, answer, verification and, where known, has_image) are asked for again with their verification as feedback, parsed and verified, up to `attempts` times.
 
+    has_image says whether the pair's chunks hold an image (false where it is absent): a pair that cites a figure passes only with one.
     Passed pairs are CORRECTED and carry their attempt. Pairs that still fail, and those whose correction gave no pair, carry
     a failure_reason. A correction may give several pairs for one id. Each round's replies are written before use.
     """
     texts = {c: F.col(c) for c in ("question", "answer", "verification")}
     verdict = build_prompt(VERIFY, question=texts["question"], answer=texts["answer"])
+    image = F.coalesce(F.col("has_image"), F.lit(False)) if "has_image" in failed.columns else F.lit(False)
+    seen = failed.select("id", image.alias("has_image")).groupBy("id").agg(F.max("has_image").alias("has_image"))
     now, passed, lost = failed.select("id", "question", "answer", "verification"), None, None
     for turn in range(1, attempts + 1):
         asked = written(now.withColumn("request", build_prompt(CORRECT, **texts)))
         replies = asked.join(respond(asked, correct, written), "request", "left").select("id", "reply")
         pairs = written(parse_packs(replies).select("id", "pack", "question", "answer").withColumn("request", verdict))
-        judged = written(pairs.join(respond(pairs, verify, written), "request", "left").select("id", "pack", "question", "answer", F.col("reply").alias("verification")))
-        ok = verified(F.col("verification"), F.col("question"), F.col("answer"))
-        good = judged.where(ok).withColumns({"selection_status": F.lit("CORRECTED"), "correction_attempt": F.lit(turn)})
+        judged = written(pairs.join(respond(pairs, verify, written), "request", "left").join(seen, "id").select("id", "pack", "question", "answer", F.col("reply").alias("verification"), "has_image"))
+        ok = verified(F.col("verification"), F.col("question"), F.col("answer"), F.col("has_image"))
+        good = judged.where(ok).drop("has_image").withColumns({"selection_status": F.lit("CORRECTED"), "correction_attempt": F.lit(turn)})
+        # fixed values: the reasons of a failure
         none = asked.join(judged.select("id").distinct(), "id", "left_anti").select("id", "question", "answer", "verification", F.lit("Correction produced no valid pairs").alias("failure_reason"))
         passed = good if passed is None else passed.unionByName(good)
         lost = none if lost is None else lost.unionByName(none)
@@ -79,9 +121,11 @@ def outcome_of(status: Column) -> Column:
     return F.when(status == "SELECTED", "pass").when(status == "ERROR", "malformed").otherwise("fail")
 
 
-def write_outcomes(rows: DataFrame, outcome: str, path: str) -> None:
-    """Rows as Parquet by outcome; a folder an outcome, written whole or not at all by Spark's committer."""
-    rows.write.partitionBy(outcome).parquet(path)
+def write_outcomes(rows: DataFrame, outcome: str, path: str, contexts: DataFrame | None = None) -> None:
+    """Rows as Parquet by outcome, a folder an outcome, and contexts (the chunks that rows rest on) in a folder of its own, each written whole or not at all by Spark's committer."""
+    rows.write.partitionBy(outcome).parquet(f"{path}/rows")
+    if contexts is not None:
+        contexts.write.parquet(f"{path}/contexts")
 
 
 def outcome_stats(rows: DataFrame, outcome: str, n_chunks: str) -> DataFrame:
@@ -153,8 +197,9 @@ def sample_results(rows: DataFrame, n: int, *keys: str, seed: int = 42) -> DataF
 
 
 def flatten_results(rows: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """rows with each column of defaults, filled where it is null or absent."""
-    return rows.withColumns({c: F.coalesce(F.col(c), F.lit(v)) if c in rows.columns else F.lit(v) for c, v in defaults.items()})
+    """rows' columns of plain values, without nested ones and bytes, and each column of defaults, filled where it is null or absent."""
+    plain = [f.name for f in rows.schema if f.dataType.typeName() not in ("array", "map", "struct", "binary", "variant")]
+    return rows.select(*plain).withColumns({c: F.coalesce(F.col(c), F.lit(v)) if c in plain else F.lit(v) for c, v in defaults.items()})
 
 
 def results_summary(qa: DataFrame, chunks: DataFrame, content: str, requested: int) -> DataFrame:

@@ -208,9 +208,35 @@ def data_completeness(rows: DataFrame, n_images: str, has_lineage: bool = True)
     return n.withColumn("m", F.explode(metrics)).select("m.metric", can.alias("can_evaluate"), F.when(can, F.col("m.q")).otherwise("NOT_APPLICABLE").alias("quality"), "items", "items_with_images", "images")
 
 
-def basic_report(rows: DataFrame, by: Column | str, relevance: str = "relevance_score", difficulty: str = "difficulty_score") -> DataFrame:
-    """By one column: rows and the mean scores of those that have a number."""
-    return rows.groupBy(by).agg(F.count("*").alias("n"), F.avg(F.col(relevance).try_cast("double")).alias("relevance"), F.avg(F.col(difficulty).try_cast("double")).alias("difficulty"))
+def basic_report(rows: DataFrame, status: str = "context_status", domain: str = "domain", relevance: str = "relevance_score", difficulty: str = "difficulty_score") -> DataFrame:
+    """(kind, value, n, relevance, difficulty): rows by status, by domain and in all, and the mean scores of those that have a number; a missing status or domain is UNKNOWN."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("UNKNOWN"))
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in (("status", known(status)), ("domain", known(domain)), ("all", F.lit(None).cast("string")))))
+    scores = [F.col(c).try_cast("double").alias(n) for c, n in ((relevance, "relevance"), (difficulty, "difficulty"))]
+    return rows.select(*scores, F.explode(kinds).alias("k")).groupBy("k.kind", "k.value").agg(F.count("*").alias("n"), F.avg("relevance").alias("relevance"), F.avg("difficulty").alias("difficulty"))
+
+
+#: What a question carries along into evaluation.
+METADATA = ["chunk_id", "hop_count", "context_status", "depth_reached", "expert_persona", "domain", "relevance_score", "difficulty_score", "selection_status"]
+
+
+def to_eval_rows(rows: DataFrame, chunks: str = "context_chunks") -> DataFrame:
+    """rows' question and answer with ground_truth, contexts, image_contexts, type, metadata and the chunks themselves.
+
+    rows have question, answer, chunks (an array of structs with content and image_path), final_context and original_chunk. Contexts
+    are the chunks' contents that are not empty; without chunks, the final context, or where that is null the original chunk. The ground
+    truth is the answer. Images are the chunks' paths but for 'null'; a row with one is of type visual. metadata holds those of METADATA that rows have.
+    """
+    own = F.coalesce(F.col(chunks), F.array().cast(dict(rows.dtypes)[chunks]))
+    texts = F.filter(F.transform(own, lambda c: c["content"]), lambda x: x.isNotNull() & (x != ""))
+    contexts = F.when(F.size(own) > 0, texts).otherwise(F.array(F.coalesce("final_context", "original_chunk", F.lit(""))))
+    images = F.filter(F.transform(own, lambda c: c["image_path"]), lambda x: x.isNotNull() & (x != "") & (x != "null"))
+    kept = [c for c in rows.columns if c not in ("question", "answer", chunks, "final_context", "original_chunk", *METADATA)]
+    meta = F.struct(*[F.col(c) for c in METADATA if c in rows.columns] or [F.lit(None).cast("string").alias("chunk_id")])
+    return rows.select(
+        *kept, F.coalesce("question", F.lit("")).alias("question"), F.coalesce("answer", F.lit("")).alias("answer"), F.coalesce("answer", F.lit("")).alias("ground_truth"),
+        contexts.alias("contexts"), images.alias("image_contexts"), F.when(F.size(images) > 0, "visual").otherwise("text").alias("type"), meta.alias("metadata"), own.alias(chunks),
+    )
 
 
 def group_means(report: DataFrame, groups: dict[str, list[str]]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragset.functions.text import clean, cosine
@@ -66,13 +66,39 @@ def multihop_reasoning(replies: DataFrame, reply: str = "reply") -> DataFrame:
     )
 
 
-def flag_issues(scores: DataFrame) -> DataFrame:
-    """(qa_id, issue) of rows of low faithfulness and of low relevancy; a row may have both."""
-    low = scores.where("faithfulness < 0.8").select("qa_id", F.lit("LOW_FAITHFULNESS").alias("issue"))
-    return low.unionByName(scores.where("relevancy < 0.7").select("qa_id", F.lit("LOW_RELEVANCY").alias("issue")))
+def flag_issues(scores: DataFrame, claims: DataFrame | None = None, faithful: float = 0.8, relevant: float = 0.7, most: int = 100) -> DataFrame:
+    """(qa_id, issue, score, question, unsupported_claims) of rows (qa_id, faithfulness, relevancy, question) of low faithfulness and of low relevancy; a row may have both.
+
+    question is cut to `most` characters. The claims (qa_id, i, claim, supported) that are not supported go, in order, with a row of low
+    faithfulness; it has an empty array without any, and a row of low relevancy a null.
+    """
+    question = F.substring("question", 1, most).alias("question") if "question" in scores.columns else F.lit(None).cast("string").alias("question")
+    none = F.lit(None).cast("array<string>")
+    low = scores.where(F.col("faithfulness") < faithful)
+    if claims is not None:
+        bad = claims.where("not supported").groupBy("qa_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "claim"))), lambda c: c["claim"]).alias("bad"))
+        low = low.join(bad, "qa_id", "left")
+    bad = F.coalesce(F.col("bad"), F.array().cast("array<string>")) if claims is not None else none
+    out = low.select("qa_id", F.lit("LOW_FAITHFULNESS").alias("issue"), F.col("faithfulness").alias("score"), question, bad.alias("unsupported_claims"))
+    return out.unionByName(scores.where(F.col("relevancy") < relevant).select("qa_id", F.lit("LOW_RELEVANCY").alias("issue"), F.col("relevancy").alias("score"), question, none.alias("unsupported_claims")))
 
 
 def qa_category_by_hop(rows: DataFrame) -> DataFrame:
-    """Counts over category and hop count and their totals, from has_table and has_image."""
+    """(category, hop_count, n) of rows (has_table, has_image, hop_count): the four exclusive categories, and any table and any image,
+    by hop count and in all (hop_count null); category null is all rows."""
     kind = F.when(F.col("has_table") & F.col("has_image"), "table+image").when(F.col("has_table"), "table").when(F.col("has_image"), "image").otherwise("text")
-    return rows.withColumn("category", kind).cube("category", "hop_count").agg(F.count("*").alias("n"))
+    some = F.array_compact(F.array(F.when(F.col("has_table"), F.lit("any table")), F.when(F.col("has_image"), F.lit("any image"))))
+    exclusive = rows.select(kind.alias("category"), "hop_count").cube("category", "hop_count").agg(F.count("*").alias("n"))
+    any_ = rows.select(F.explode(some).alias("category"), "hop_count")
+    return exclusive.unionByName(any_.groupBy("category", "hop_count").agg(F.count("*").alias("n"))).unionByName(any_.groupBy("category").agg(F.count("*").alias("n")).withColumn("hop_count", F.lit(None).cast(dict(rows.dtypes)["hop_count"])))
+
+
+def context_has_table(chunks: Column, context: Column) -> Column:
+    """Whether a chunk's content or the context holds a table of markdown."""
+    table = lambda c: F.coalesce(c.contains("|") & c.contains("-|"), F.lit(False))
+    return F.coalesce(F.exists(chunks, lambda c: table(c["content"])), F.lit(False)) | table(context)
+
+
+def context_has_image(chunks: Column) -> Column:
+    """Whether a chunk has an image's path, or an image's mark in its content."""
+    return F.coalesce(F.exists(chunks, lambda c: F.coalesce((c["image_path"] != "") & (c["image_path"] != "null"), F.lit(False)) | F.coalesce(c["content"].contains("!["), F.lit(False))), F.lit(False))

@@ -12,9 +12,9 @@ from ragset.functions.text import l2_normalize
 STOP = "a about after all also an and any are as at be been but by can could for from had has have he her his if in into is it its more no not of on or our she so some than that the their them then there these they this to was we were what when which who will with would you your".split()
 
 
-def ngram_vocabulary(docs: DataFrame, written, min_df: int = 2) -> DataFrame:
-    """(gram, df): words and pairs of neighbouring words, stop words removed, of at least min_df documents."""
-    kept = docs.select("doc_id", F.filter("words", lambda w: ~w.isin(STOP)).alias("w"))
+def ngram_vocabulary(docs: DataFrame, written, min_df: int = 2, stop: list[str] = STOP) -> DataFrame:
+    """(gram, df): words and pairs of neighbouring words, those of stop removed, of at least min_df documents."""
+    kept = docs.select("doc_id", F.filter("words", lambda w: ~w.isin(list(stop))).alias("w"))
     pairs = F.when(F.size("w") > 1, F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
     return kept.select(F.explode(F.array_distinct(F.concat("w", pairs))).alias("gram")).groupBy("gram").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
 
@@ -53,15 +53,26 @@ def topic_summary(docs: DataFrame, keywords: DataFrame, most: int = 15) -> DataF
     return n.crossJoin(total).join(words, "topic", "left").select("topic", "n", F.round(F.col("n") / F.col("total"), 6).alias("share"), "keywords").orderBy(F.desc("n"), "topic").limit(most)
 
 
-def assign_topics(vectors: DataFrame, k: int, written, dims: int = 5, seed: int = 42) -> DataFrame:
-    """Principal components, then seeded k-means."""
+def assign_topics(vectors: DataFrame, k: int, written, dims: int = 5, seed: int = 42, outliers: float | None = None) -> DataFrame:
+    """Principal components, then seeded k-means; rows with topic and far, the distance to their topic's centre.
+
+    With outliers, rows further from their centre than that share of its topic's rows (by a mergeable quantile sketch) have topic -1.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
     v = written(vectors).withColumn("features", array_to_vector("v"))
     low = PCA(k=dims, inputCol="features", outputCol="low").fit(v).transform(v)
-    return KMeans(k=k, seed=seed, featuresCol="low", predictionCol="topic").fit(low).transform(low)
+    model = KMeans(k=k, seed=seed, featuresCol="low", predictionCol="topic").fit(low)
+    centres = F.array(*[F.array(*map(F.lit, map(float, c))) for c in model.clusterCenters()])
+    gap = F.zip_with(vector_to_array("low"), F.get(centres, F.col("topic")), lambda a, b: (a - b) * (a - b))
+    out = model.transform(low).withColumn("far", F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)))
+    if outliers is None:
+        return out
+    out = written(out.drop("features", "low"))
+    edge = out.groupBy("topic").agg(F.percentile_approx("far", outliers, 10_000).alias("edge"))
+    return out.join(edge, "topic").withColumn("topic", F.when(F.col("far") > F.col("edge"), -1).otherwise(F.col("topic"))).drop("edge")
 
 
 def parse_rankings(replies: DataFrame, key: str, reply: str, candidates: Column) -> DataFrame:
@@ -87,10 +98,15 @@ def fuse_vectors(text: str, image: str) -> Column:
     return l2_normalize(F.when(F.col(image).isNull(), a).otherwise(F.zip_with(a, b, lambda x, y: (x + y) / 2)))
 
 
-def pictures_in_tables(pictures: DataFrame, tables: DataFrame) -> DataFrame:
-    """Pictures inside a table box of the same page (page_no, l, r, b, t)."""
-    p, o = pictures.alias("p"), tables.alias("o")
-    inside = (F.col("p.page_no") == F.col("o.page_no")) & (F.col("p.l") >= F.col("o.l")) & (F.col("p.r") <= F.col("o.r")) & (F.col("p.b") >= F.col("o.b")) & (F.col("p.t") <= F.col("o.t"))
-    return p.join(o, inside, "left_semi")
-
+def pictures_in_tables(pictures: DataFrame, tables: DataFrame, cell: float = 100.0, page: tuple[str, ...] = ("doc", "page_no")) -> DataFrame:
+    """Pictures inside a table box of their page (l, r, b, t, and the columns page).
 
+    A table stands in every cell of a grid that it covers, a picture in the one of its lower left corner, so that the boxes
+    of a crowded page meet cell by cell. A box with a null side lies in none.
+    """
+    at = lambda c: F.floor(F.col(c) / cell).cast("long")
+    whole = tables.where("l <= r and b <= t")
+    over = whole.withColumn("x", F.explode(F.sequence(at("l"), at("r")))).withColumn("y", F.explode(F.sequence(at("b"), at("t")))).select(*page, "x", "y", *(F.col(c).alias(f"o{c}") for c in "lrbt"))
+    placed = pictures.withColumns({"x": at("l"), "y": at("b")})
+    inside = [placed[c] == over[c] for c in (*page, "x", "y")] + [placed["l"] >= over["ol"], placed["r"] <= over["or"], placed["b"] >= over["ob"], placed["t"] <= over["ot"]]
+    return placed.join(over, inside, "left_semi").drop("x", "y")
