@@ -128,26 +128,7 @@ def p10_artifact_counts(s, d):
 def p11_match_files(s, d):
     """A page matches the first document whose number its own ends with."""
     p = read(s, d, "pages").select("page_id", F.concat(F.lit("DOC_"), F.lpad(F.col("page_id").cast("string"), 20, "0"), F.lit("_REF")).alias("source"))
-    return match_files(p, docs(s, d).select("file_name"))
-
-
-def match_files(sources, names):
-    """The first name (by order) that holds the source's lowered name, or is held by it: equal spans of the shorter are keys, so it is an equi-join."""
-    a = sources.withColumn("low", F.lower("source"))
-    b = names.withColumn("low_name", F.lower("file_name"))
-    lengths = lambda t, c: [r[0] for r in t.select(F.length(c)).distinct().collect()]  # noqa: E731  of names: few
-    held = a.withColumn("low_name", F.explode(_spans("low", lengths(b, "low_name")))).join(b, "low_name").select("page_id", "file_name")
-    holds = b.withColumn("low", F.explode(_spans("low_name", lengths(a, "low")))).join(a, "low").select("page_id", "file_name")
-    return held.union(holds).groupBy("page_id").agg(F.min("file_name").alias("file_name"))
-
-
-def _spans(column: str, lengths: list[int]):
-    """All spans of these lengths in the column."""
-
-    def of(n: int):
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(column) - n + 1)), lambda i: F.substring(F.col(column), i, F.lit(n)))
-
-    return F.array_distinct(F.flatten(F.array(*[of(n) for n in lengths or [0]])))
+    return C.match_files(p, docs(s, d).select("file_name"), "page_id")
 
 
 def e11_image_refs(s, d):

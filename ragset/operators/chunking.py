@@ -221,3 +221,31 @@ def stitch_windows(chunks: DataFrame, overlap: int = 100) -> DataFrame:
     chained = runs.join(alone.where("n_windows > 1").select("file_name", "run"), ["file_name", "run"])
     single = alone.where("n_windows = 1").select("file_name", F.col("first_w").alias("w"), "n_windows", F.col("only").alias("content"))
     return single.unionByName(chained.groupBy("file_name", "run").applyInPandas(join, "file_name string, w long, n_windows long, content string"))
+
+
+def match_files(sources: DataFrame, names: DataFrame, key: str, source: str = "source", name: str = "file_name", q: int = 8) -> DataFrame:
+    """(key, name): for each source file the first name, by order, that holds the source's lowered name or is held by it.
+
+    A text that holds another holds each of its spans of q characters. So the held side goes by one span alone, the one that
+    the fewest holding texts have, and meets only the texts with that span; a hit is verified. Texts shorter than q go by
+    themselves as a whole. Empty and null names match nothing.
+    """
+    a = sources.select(F.col(key).alias("_a"), F.lower(source).alias("t")).where("t <> ''")
+    b = names.select(F.col(name).alias("_b"), F.lower(name).alias("t")).where("t <> ''").distinct()
+    held = _holding(b, "_b", a, "_a", q).unionByName(_holding(a, "_a", b, "_b", q))
+    return held.groupBy(F.col("_a").alias(key)).agg(F.min("_b").alias(name))
+
+
+def _holding(parts: DataFrame, part: str, texts: DataFrame, text: str, q: int) -> DataFrame:
+    """(part, text) of the parts (part, t) that lie in texts (text, t)."""
+    short = [r.n for r in parts.select(F.length("t").alias("n")).where(F.col("n") < q).distinct().collect()]  # less than q of them
+    spans = lambda c, n: F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, F.lit(n)))
+    some = [F.when(F.length("t") >= n, spans(F.col("t"), n)) for n in (*short, q)]
+    every = F.array_distinct(F.flatten(F.array_compact(F.array(*some))))
+    index = texts.select(text, F.col("t").alias("whole"), F.explode(every).alias("span"))
+    often = index.groupBy("span").agg(F.count("*").alias("n"))
+    own = F.when(F.length("t") >= q, F.array_distinct(spans(F.col("t"), q))).otherwise(F.array("t"))
+    keyed = parts.select(part, "t", F.explode(own).alias("span")).join(often, "span")  # a span that no text has ends its part
+    full = keyed.groupBy(part, "t").agg(F.count("*").alias("seen"), F.min_by("span", F.struct("n", "span")).alias("span"))
+    rarest = full.where(F.col("seen") == F.when(F.length("t") >= q, F.size(F.array_distinct(spans(F.col("t"), q)))).otherwise(1))
+    return rarest.join(index, "span").where(F.contains("whole", F.col("t"))).select(part, text)

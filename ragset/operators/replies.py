@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,26 +122,61 @@ def claim_verdicts(replies: DataFrame, key: str, reply: str, n: str, label: str
     return every.join(marks, [key, "i"], "left").select(key, "i", (verdict.contains("SUPPORTED") & ~verdict.contains("NOT")).alias("supported"))
 
 
-def keyword_spans(texts: DataFrame, key: str, text: str, keywords: DataFrame) -> DataFrame:
-    """(key, start, end) of the merged case-blind hits of keywords (keyword); 0-based, end exclusive."""
-    # keywords of one first letter meet the positions of that letter, so that no position meets them all
-    k = keywords.select(F.lower("keyword").alias("k")).where("k <> ''").distinct().withColumn("head", F.substring("k", 1, 3))
-    low = texts.select(key, F.lower(text).alias("t"))
-    most = k.agg(F.coalesce(F.max(F.length("k")), F.lit(1)).alias("n")).first().n
-    # a position carries the longest keyword's length of the text, not the text; the characters are bound once, so that the work is linear
-    at = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(c))), lambda p: F.struct(p.alias("p"), F.array_join(F.slice(c, p, F.lit(most)), "").alias("t")))
-    chars = F.array(F.split(F.coalesce("t", F.lit("")), ""))
-    heads = low.select(key, F.inline(F.flatten(F.transform(chars, at)))).withColumn("head", F.substring("t", 1, 3))
-    short = k.where(F.length("k") < 3)
-    hits = heads.join(k.where(F.length("k") >= 3), "head").where(F.col("t").startswith(F.col("k"))).select(key, "p", F.length("k").alias("n"))
-    for n in (1, 2):
-        own = heads.withColumn("k", F.substring("head", 1, n)).join(short.where(F.length("k") == n).select("k"), "k")
-        hits = hits.unionByName(own.select(key, "p", F.lit(n).alias("n")))
-    hits = hits.select(key, (F.col("p") - 1).alias("start"), (F.col("p") - 1 + F.col("n")).alias("end"))
-    w = Window.partitionBy(key).orderBy("start", "end")
+#: Characters of the keywords that one automaton holds; more are searched by several automata, one after another.
+AUTOMATON = 4_000_000
+
+
+def keyword_spans(texts: DataFrame, key: str, text: str, keywords: DataFrame, most: int = AUTOMATON) -> DataFrame:
+    """(key, start, end) of the merged case-blind hits of keywords (keyword); 0-based, end exclusive. Null texts and empty keywords have none.
+
+    An Aho-Corasick automaton of the keywords reads every text once, whatever their number. Keywords of more than `most`
+    characters in all are dealt to several automata by a hash, each of which reads the texts.
+    """
+    low = texts.select(F.monotonically_increasing_id().alias("_row"), key, F.lower(text).alias("t"))
+    k = keywords.select(F.lower("keyword").alias("k")).where("k <> ''").distinct()
+    parts = max(1, -(-(k.agg(F.sum(F.length("k")).alias("n")).first().n or 0) // most))
+    dealt = k.withColumn("part", F.pmod(F.xxhash64("k"), F.lit(parts))) if parts > 1 else k.withColumn("part", F.lit(0))
+    found = low.where("t is not null and t <> ''")
+    hits = None
+    for part in range(parts):
+        words = [r.k for r in dealt.where(F.col("part") == part).collect()]  # about `most` characters
+
+        def search(batches: Iterator[pa.RecordBatch], words=words) -> Iterator[pa.RecordBatch]:
+            import ahocorasick
+
+            tree = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+            for w in words:
+                tree.add_word(w)
+            tree.make_automaton()
+            for batch in batches:
+                at, starts, ends = [], [], []
+                for i, t in enumerate(batch.column("t").to_pylist()):
+                    for a, b in _merged((end + 1 - n, end + 1) for end, n in tree.iter(t)) if words else ():
+                        at.append(i)
+                        starts.append(a)
+                        ends.append(b)
+                yield pa.RecordBatch.from_arrays([batch.column("_row").take(pa.array(at, pa.int64())), batch.column(key).take(pa.array(at, pa.int64())), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["_row", key, "start", "end"])
+
+        own = found.mapInArrow(search, f"_row long, `{key}` {dict(texts.dtypes)[key]}, start int, end int")
+        hits = own if hits is None else hits.unionByName(own)
+    if parts == 1:
+        return hits.drop("_row")
+    # spans of several automata overlap: merged once more
+    w = Window.partitionBy("_row").orderBy("start", "end")
     new = F.coalesce(F.col("start") >= F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
     island = F.sum(F.when(new, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return hits.withColumn("island", island).groupBy(key, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
+    return hits.withColumn("island", island).groupBy("_row", key, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island", "_row")
+
+
+def _merged(hits: Iterator[tuple[int, int]]) -> list[list[int]]:
+    """Spans that overlap, as one; those that only touch stay apart."""
+    out: list[list[int]] = []
+    for a, b in sorted(hits):
+        if out and a < out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
 
 
 def type_match(n_chunks: Column, artifact: Column) -> Column:

@@ -102,3 +102,19 @@ def test_words(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", word_count(F.col("t")).alias("n"), letter_words(F.col("t")).alias("w")).collect()
     for r in rows:
         assert r.n == len(re.findall(r"[^ \t\n\r\f\x0b]+", r.t or "")) and (r.w or []) == re.findall("[a-z]+", (r.t or "").lower())
+
+
+def test_files_match_by_spans(spark):
+    names = [None, "", "a", "ab", "Doc_1", "report_2024_final", "final", "x" * 30] + ["".join(RNG.choice("abc_") for _ in range(RNG.randrange(1, 20))) for _ in range(120)]
+    sources = ["DOC_1_ref", "my report_2024_FINAL copy", "xxx", "zzz", "", None] + ["".join(RNG.choice("abcC_") for _ in range(RNG.randrange(1, 24))) for _ in range(120)]
+    a = spark.createDataFrame(list(enumerate(sources)), "k int, source string")
+    b = spark.createDataFrame([(n,) for n in names], "file_name string")
+    want = {}
+    for i, s in enumerate(sources):
+        hits = sorted(n for n in names if n and s and (n.lower() in s.lower() or s.lower() in n.lower()))
+        if hits:
+            want[i] = hits[0]
+    for q in (3, 8):
+        got = C.match_files(a, b, "k", q=q).collect()
+        assert len(got) == len(want) and {r.k: r.file_name for r in got} == want
+    assert C.match_files(a, b.limit(0), "k").count() == 0

@@ -48,9 +48,14 @@ def test_search_strings(spark):
 
 
 def test_keyword_spans(spark):
-    texts = [(0, "aaa The then"), (1, "no hits"), (2, ""), (3, "thethe")]
-    words = ["aa", "the", "then", "hen"]
-    got = keyword_spans(spark.createDataFrame(texts, "id int, t string"), "id", "t", spark.createDataFrame([(w,) for w in words], "keyword string")).collect()
+    texts = [(0, "aaa The then"), (1, "no hits"), (2, ""), (3, "thethe"), (4, "😀 THE été é then" * 50)]
+    words = ["aa", "the", "then", "hen", "É", "é then"]
+    df, k = spark.createDataFrame([*texts, (5, None), (None, "the")], "id int, t string").repartition(2), spark.createDataFrame([(w,) for w in [*words, "", None, "THE"]], "keyword string")
+    got = keyword_spans(df, "id", "t", k).collect()
+    parts = keyword_spans(df, "id", "t", k, most=4).collect()  # several automata
+    assert sorted(map(repr, got)) == sorted(map(repr, parts)) and len([r for r in got if r.id is None]) == 1
+    assert keyword_spans(df, "id", "t", k.limit(0)).count() == 0
+    got, words = [r for r in got if r.id is not None], [w.lower() for w in words]
     want = set()
     for i, t in texts:
         hits = sorted((p, p + len(w)) for w in words for p in range(len(t)) if t.lower().startswith(w, p))
