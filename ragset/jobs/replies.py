@@ -196,20 +196,27 @@ def r1_cache_key(s, d):
     return q.select("qa_id", DS.cache_key("select", "m", F.col("question"), F.when(F.col("conv_id") % 2 == 0, F.col("x"))).alias("cache_key"))
 
 
-def _cache(s, d):
-    """Stored replies to every second conversation, and newer ones to every fourth."""
+def _cache_table(s, d):
+    """The same cache as a table in buckets, stored in two runs: replies to all its conversations, then the newer ones."""
+    path = f"{shared_dir(s)}/ragset-cache-{uuid.uuid4().hex}"
     of = lambda n, mark, version: read(s, d, "conversations").where(F.col("conv_id") % n == 0).select(F.sha2("text", 256).alias("cache_key"), F.concat(F.lit(mark), "text").alias("response"), F.lit(version).alias("version"))
-    return DS.cache_upsert(of(2, "R:", 1), of(4, "S:", 2))
+    for new in (of(4, "S:", 2), of(2, "R:", 1)):
+        DS.cache_store(new, path, buckets=32)
+    return path
+
+
+STORED = "cache_key string, response string, version int"
 
 
 def r2_cache_lookup(s, d):
-    looked, missing = DS.cache_lookup(read(s, d, "conversations").select("text", F.sha2("text", 256).alias("cache_key")), _cache(s, d))
+    asked = read(s, d, "conversations").select("text", F.sha2("text", 256).alias("cache_key"))
+    looked, missing = DS.cache_find(asked, _cache_table(s, d), STORED, buckets=32)
     n = DS.cache_stats(looked, "text").crossJoin(missing.agg(F.count("*").alias("distinct_misses")))  # one row each
     return n.withColumn("hit_rate", F.round("hit_rate", 6))
 
 
 def r3_cache_upsert(s, d):
-    return _cache(s, d).select("cache_key", "version", F.md5(F.col("response").cast("binary")).alias("response_md5"))
+    return s.read.schema(STORED).parquet(_cache_table(s, d)).select("cache_key", "version", F.md5(F.col("response").cast("binary")).alias("response_md5"))
 
 
 def r6_token_usage(s, d):

@@ -111,7 +111,7 @@ def t3_topic_keywords(s, d):
 
 
 def t4_diversify_keywords(s, d):
-    return T.diversify_keywords(T.topic_keywords(_words(s, d), 30), 10)
+    return T.diversify_keywords(T.topic_keywords(_words(s, d), 30).withColumn("v", T.letter_pairs(F.col("word"))), 10)
 
 
 def t5_topic_summary(s, d):
@@ -213,6 +213,11 @@ SQLS = {
     "t2_ngram_vocabulary": f"""WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda x: x NOT IN ({STOPPED})) AS w FROM documents)
         SELECT gram, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(w) AS gram FROM w UNION ALL SELECT doc_id, a || ' ' || b FROM (SELECT doc_id, unnest(w[:-2]) AS a, unnest(w[2:]) AS b FROM w WHERE len(w) > 1)) GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2""",
     "t3_topic_keywords": f"WITH {KEYWORDS} SELECT topic, word, rank, round(weight, 6) AS weight FROM keywords WHERE rank <= 15",
+    "t4_diversify_keywords": f"""WITH RECURSIVE {KEYWORDS}, counted AS (SELECT topic, word, weight, rank, list_transform(range(64), lambda i: CAST(len(list_filter(list_transform(range(1, greatest(2, length(word))), lambda p: (ascii(substr(word, CAST(p AS BIGINT), 1)) * 31 + ascii(substr(word, CAST(p + 1 AS BIGINT), 1))) % 64), lambda x: x = i)) AS DOUBLE)) AS n FROM keywords WHERE rank <= 30),
+        c AS (SELECT topic, word, rank, weight / max(weight) OVER (PARTITION BY topic) AS share, list_transform(n, lambda x: x / sqrt(list_dot_product(n, n))) AS v FROM counted), vs AS (SELECT topic, list(v ORDER BY rank) AS vs, count(*) AS n FROM c GROUP BY 1),
+        walk AS (SELECT topic, 0 AS i, CAST([] AS BIGINT[]) AS chosen FROM vs UNION ALL SELECT w.topic, w.i + 1, list_append(w.chosen, arg_max(c.rank, {{'s': round(0.5 * c.share - 0.5 * coalesce(list_max(list_transform(w.chosen, lambda j: list_dot_product(c.v, vs.vs[j]))), 0), 9), 'r': -c.rank}}))
+            FROM walk w JOIN c USING (topic) JOIN vs USING (topic) WHERE w.i < least(10, vs.n) AND NOT list_contains(w.chosen, c.rank) GROUP BY w.topic, w.i, w.chosen)
+        SELECT w.topic, c.word, CAST(w.i AS BIGINT) AS rank FROM walk w JOIN c ON c.topic = w.topic AND c.rank = w.chosen[w.i] WHERE w.i > 0""",
     "t5_topic_summary": f"WITH {KEYWORDS} SELECT topic, count(*) AS n, round(count(*) / (SELECT count(*) FROM documents), 6) AS share, (SELECT string_agg(word, ', ' ORDER BY rank) FROM keywords k WHERE k.topic = d.lang AND rank <= 5) AS keywords FROM (SELECT lang AS topic, lang FROM documents WHERE doc_id % 10 <> 0) d GROUP BY topic, lang ORDER BY 2 DESC LIMIT 15",
     "m1_expand_context": sql(f", {WALK} SELECT seed, depth::BIGINT AS depth, query_item, item_id, round(score, 6) AS score, accepted FROM hops", "vectors").replace("\n, near", ",\nnear"),
     "m5_termination_status": sql(f", {WALK} SELECT vec_id AS seed, CASE WHEN coalesce((SELECT max(depth) FROM hops WHERE accepted AND seed = vec_id), 0) < 2 THEN 'INCOMPLETE_NO_RELEVANT_CHUNKS' ELSE 'INCOMPLETE_MAX_DEPTH' END AS status FROM vectors WHERE vec_id % 20 = 0", "vectors").replace("\n, near", ",\nnear"),

@@ -7,6 +7,7 @@ import re
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,6 +171,55 @@ def cache_upsert(cache: DataFrame, new: DataFrame, key: str = "cache_key", versi
     return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
+#: Keys that are sent to all tasks at once, in a look-up; more are joined by a shuffle.
+SENT = 200_000
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _stored(spark, path: str, schema) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
+def cache_store(new: DataFrame, path: str, key: str = "cache_key", version: str = "version", buckets: int = 256) -> int:
+    """cache_upsert() of new into the table at path, which lies in buckets of its keys' hash; the number of buckets that were touched.
+
+    Only the touched buckets are read and written; the others keep their files. What they will hold is written aside first, so
+    that a repeated write finds it. The number of buckets must stay the same for a path; one writer at a time.
+    """
+    added = written(cache_upsert(new.limit(0), new, key, version).withColumn("bucket", _bucket(key, buckets)))
+    touched = [r.bucket for r in added.select("bucket").distinct().collect()]  # at most buckets numbers
+    if touched:
+        old = _stored(new.sparkSession, path, added.schema)
+        old = added.limit(0) if old is None else old.where(F.col("bucket").isin(touched)).select(added.columns)
+        after = written(cache_upsert(old, added, key, version))
+        after.repartition(len(touched), "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return len(touched)
+
+
+def cache_find(requests: DataFrame, path: str, schema: str, key: str = "cache_key", buckets: int = 256, sent: int = SENT) -> tuple[DataFrame, DataFrame]:
+    """cache_lookup() in the table of cache_store() at path, whose columns are schema: only the buckets of the requests' keys are read.
+
+    Up to `sent` distinct keys go to the tasks that scan the cache, so that only what they find is shuffled.
+    """
+    keys = written(requests.select(key).distinct().withColumn("bucket", _bucket(key, buckets)))
+    touched = [r.bucket for r in keys.select("bucket").distinct().collect()]
+    cache = _stored(requests.sparkSession, path, f"{schema}, bucket int")
+    if cache is None:
+        return requests.withColumn("response", F.lit(None).cast("string")), keys.select(key)
+    cache = cache.where(F.col("bucket").isin(touched)).drop("bucket")
+    if keys.count() <= sent:
+        cache = cache.join(F.broadcast(keys.select(key)), key, "left_semi")
+    return cache_lookup(requests, cache, key)
+
+
 def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return items.join(done.select(key), key, "left_anti")
 

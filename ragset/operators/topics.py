@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,20 +28,35 @@ def topic_keywords(docs: DataFrame, k: int) -> DataFrame:
     return w.withColumn("rank", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc(F.round("weight", 12)), "word"))).where(F.col("rank") <= k)
 
 
+def letter_pairs(word: Column, dims: int = 64) -> Column:
+    """A plain vector of a word: counts of its pairs of neighbouring letters in dims buckets, of unit length."""
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(word) - 1)), lambda i: F.pmod(F.ascii(F.substring(word, i, F.lit(1))) * 31 + F.ascii(F.substring(word, i + 1, F.lit(1))), F.lit(dims)))
+    counted = F.transform(F.array(pairs), lambda b: F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.size(F.filter(b, lambda x: x == i)).cast("double")))
+    return l2_normalize(F.element_at(counted, 1))
+
+
 def diversify_keywords(keywords: DataFrame, k: int, diversity: float = 0.5) -> DataFrame:
-    """Maximal marginal relevance over each topic's few candidates; words compare by their letter pairs."""
-
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values("rank")
-        sets = {w: {w[i : i + 2] for i in range(max(1, len(w) - 1))} for w in rows["word"]}
-        weight = dict(zip(rows["word"], rows["weight"] / max(rows["weight"].max(), 1e-12)))
-        chosen: list[str] = []
-        while len(chosen) < min(k, len(rows)):
-            near = {w: max((len(sets[w] & sets[c]) / len(sets[w] | sets[c]) for c in chosen), default=0.0) for w in weight if w not in chosen}
-            chosen.append(max(near, key=lambda w: ((1 - diversity) * weight[w] - diversity * near[w], w)))
-        return pd.DataFrame({"topic": group["topic"].iloc[0], "word": chosen, "rank": range(1, len(chosen) + 1)})
-
-    return keywords.groupBy("topic").applyInPandas(pick, "topic string, word string, rank long")
+    """(topic, word, rank): maximal marginal relevance over each topic's few candidates (topic, word, weight, rank, v).
+
+    Again and again the candidate of the highest (1 - diversity) * weight, as a share of the topic's largest, less diversity times
+    its largest cosine with a chosen one (v of unit length); the better rank on ties. A fold over the topic's array.
+    """
+    near = lambda v, w: F.aggregate(F.zip_with(v, w, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+    def fold(c: Column) -> Column:
+        def best(chosen: Column) -> Column:
+            most = lambda e: F.coalesce(F.array_max(F.transform(chosen, lambda j: near(e["v"], F.get(c, j)["v"]))), F.lit(0.0))
+            score = lambda e: F.round((1 - diversity) * e["share"] - diversity * most(e), 9)
+            return F.array_max(F.transform(c, lambda e, p: F.when(~F.array_contains(chosen, p), F.struct(score(e).alias("score"), (-p).alias("p")))))["p"]
+
+        none = F.array().cast("array<int>")
+        chosen = F.aggregate(F.sequence(F.lit(1), F.least(F.lit(k), F.size(c))), none, lambda done, _: F.concat(done, F.array(-best(done))))
+        return F.transform(chosen, lambda j: F.get(c, j)["word"])
+
+    share = F.col("weight") / F.greatest(F.max("weight").over(Window.partitionBy("topic")), F.lit(1e-12))
+    own = keywords.withColumn("share", share).groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("rank", "word", "share", "v"))).alias("c"))
+    picked = own.select("topic", F.posexplode(F.transform(F.array("c"), fold)[0]).alias("rank", "word"))
+    return picked.select("topic", "word", (F.col("rank") + 1).cast("long").alias("rank"))
 
 
 def topic_summary(docs: DataFrame, keywords: DataFrame, most: int = 15) -> DataFrame:

@@ -183,3 +183,67 @@ def test_rerank_chain(spark):
     assert [(r.item_id, r["rank"]) for r in cos] == [(0, 1), (7, 2)] and abs(cos[1].score - 0.3 / (0.09 + 0.49) ** 0.5) < 1e-12
     both, lost = R.align_chunks(spark.createDataFrame([("f", "1"), ("f", "2")], "file_name string, chunk_id string"), spark.createDataFrame([("f", "2", "x"), ("g", "1", "y")], "file_name string, chunk_id string, content string"))
     assert [tuple(r) for r in both.collect()] == [("f", "2", "x")] and [tuple(r) for r in lost.collect()] == [("f", "1")]
+
+
+def test_cache_table_touches_its_buckets_alone(spark, tmp_path):
+    path, files = str(tmp_path / "cache"), lambda: {p: os.stat(p).st_mtime_ns for p in (str(x) for x in (tmp_path / "cache").rglob("*.parquet"))}
+    row = lambda k, r, v: (f"k{k}", r, v)
+    table = lambda rows: spark.createDataFrame(rows, "cache_key string, response string, version int")
+    assert DS.cache_store(table([]), path) == 0
+    asked = spark.createDataFrame([("k1",), ("k1",), ("k99",), (None,)], "cache_key string")
+    looked, missing = DS.cache_find(asked, path, "cache_key string, response string, version int")
+    assert {r.response for r in looked.collect()} == {None} and missing.count() == 3
+    DS.cache_store(table([row(i, f"r{i}", 1) for i in range(40)] + [row(1, "", 9), row(2, "z", 1), row(2, "a", 2)]), path, buckets=16)
+    before = files()
+    assert DS.cache_store(table([row(3, "new", 2), row(4, "old", 0), row(5, "", 5)]), path, buckets=16) <= 2
+    after = files()
+    buckets = lambda t: {p.split("bucket=")[1].split("/")[0] for p in t}
+    changed = buckets(set(before.items()) ^ set(after.items()) and {p for p, _ in set(before.items()) ^ set(after.items())})
+    assert 0 < len(changed) <= 2 and len(buckets(after)) > 8
+    want = {f"k{i}": f"r{i}" for i in range(40)} | {"k2": "a", "k3": "new"}
+    stored = spark.read.parquet(path)
+    assert sorted((r.cache_key, r.response) for r in stored.collect()) == sorted(want.items())
+    for sent in (200_000, 1):
+        looked, missing = DS.cache_find(asked, path, "cache_key string, response string, version int", buckets=16, sent=sent)
+        assert sorted((r.cache_key or "", r.response) for r in looked.collect()) == [("", None), ("k1", "r1"), ("k1", "r1"), ("k99", None)] and sorted(r.cache_key or "" for r in missing.collect()) == ["", "k99"]
+
+
+def test_keywords_are_diverse(spark):
+    words = ["river", "rivers", "riven", "stone", "a", "tone", "mill", "mills"]
+    rows = [(t, w, 1.0 / (i + 1), i + 1) for t in ("x", "y") for i, w in enumerate(words[: 8 if t == "x" else 3])] + [("z", "only", 0.0, 1)]
+    df = spark.createDataFrame(rows, "topic string, word string, weight double, rank int").withColumn("v", T.letter_pairs(F.col("word")))
+    vec = {(r.topic, r.word): r.v for r in df.collect()}
+    want = set()
+    for topic in "xyz":
+        own, chosen = [r for r in rows if r[0] == topic], []
+        top = max(max(r[2] for r in own), 1e-12)
+        cos = lambda a, b: sum(x * y for x, y in zip(vec[topic, a], vec[topic, b]))  # noqa: B023, E731
+        while len(chosen) < min(5, len(own)):
+            left = [r for r in own if r[1] not in chosen]
+            best = max(left, key=lambda r: (round(0.5 * r[2] / top - 0.5 * max((cos(r[1], c) for c in chosen), default=0.0), 9), -r[3]))
+            chosen.append(best[1])
+        want |= {(topic, w, i) for i, w in enumerate(chosen, 1)}
+    assert {tuple(r) for r in T.diversify_keywords(df, 5).collect()} == want
+    assert T.diversify_keywords(df.limit(0), 5).count() == 0
+
+
+def test_stitched_windows_are_the_chain_s(spark):
+    from ragset.operators.chunking import find_overlap, stitch_windows
+
+    rows, want = [], []
+    for f in range(30):
+        text = "".join(RNG.choice("abc d\n") for _ in range(RNG.randrange(150, 900)))
+        cuts = [text[a : a + 250] for a in range(0, max(1, len(text) - 100), 150)]
+        status = ["INCOMPLETE" if RNG.random() < 0.6 else "COMPLETE" for _ in cuts]
+        open_ = False
+        for w, (part, st) in enumerate(zip(cuts, status)):
+            rows.append((f"f{f}", w, part, st))
+            if open_:
+                name, first, n, so_far = want[-1]
+                end = find_overlap(so_far, part, 200)
+                want[-1] = (name, first, n + 1, so_far + part[end:] if end else so_far + "\n\n" + part)
+            else:
+                want.append((f"f{f}", w, 1, part))
+            open_ = st == "INCOMPLETE"
+    df = spark.createDataFrame(rows, "file_name string, w long, content string, status string").repartition(3)
+    assert sorted(tuple(r) for r in stitch_windows(df).select("file_name", "w", "n_windows", "content").collect()) == sorted(want)
