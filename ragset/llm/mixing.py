@@ -318,7 +318,8 @@ def score_texts(docs: DataFrame, train: Column, coded: int = 1 << 17, table_bits
     vocab = staged(vocabulary(texts.where(train)), "vocabulary")
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = frequent(vocab, coded)
-    top.setdefault(b"", 0)
+    ends = vocab.where(F.length("token") == 0).select("c").first()
+    top[b""] = ends[0] if ends else 0  # the end is coded however seldom it is
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(256)

@@ -181,7 +181,7 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
     Documents link when 100 * intersection >= percent * union of their shingle sets (64-bit hashes). component_id is
     the smallest doc_id that links lead to, the document's own included. A null or empty text has an empty set and no
     links. A row with a null doc_id has a null component_id and no links. Rows of one doc_id are one document for the
-    links. Other columns are ignored; an empty table gives no rows.
+    links: its texts are linked, and a row of it without shingles has its component. Other columns are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     all_sets = staged(prefixes(docs, words, percent, frequency_sketch(docs, words)), "prefixes")
@@ -197,6 +197,13 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
     tokens = staged(own.join(often, "token"), "tokens")
 
     links = verified(members.where("gid <> rep").select(F.col("gid").alias("a"), F.col("rep").alias("b")), docs, words, percent)
+    # documents of several rows: their texts are linked
+    several = staged(all_sets.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "several")
+    repeated = not several.isEmpty()
+    if repeated:
+        texts = named.join(several, "doc_id").select("doc_id", "digest").distinct().join(first.select("digest", "rep"), "digest").groupBy("doc_id").agg(F.collect_set("rep").alias("reps"))
+        same = texts.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b")).where("a < b").distinct()
+        links = links.union(staged(same, "same"))
     label, tested = staged(components(links), "label"), None
     for turn in range(stars):
         # a hub of each shingle: in turn the smallest group, then others by a hash; rows in the hub's component are done
@@ -227,4 +234,9 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
         links = links.union(verified(pairs, docs, words, percent))
         label = staged(components(links), "label")
     classes = first.join(label, first["rep"] == label["node"], "left").select("digest", F.coalesce("component", "rep").alias("c"))
-    return all_sets.select("doc_id", "n", "digest").join(classes, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
+    out = all_sets.select("doc_id", "n", "digest").join(classes, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
+    if not repeated:
+        return out
+    # a row without shingles is where its document's other rows are
+    low = staged(out.join(several, "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("low")), "low")
+    return out.join(low, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("low", "component_id").alias("component_id"))

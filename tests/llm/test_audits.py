@@ -235,3 +235,35 @@ def test_classifier_minimises_its_loss():
     s = lambda w: 1 / (1 + np.exp(-x @ w))
     loss = lambda w: -(n * (p * np.log(s(w)) + (1 - p) * np.log(1 - s(w)))).sum() + (w @ w) / 2
     assert all(loss(w) <= loss(w + d) for d in rng.normal(0, 0.05, (200, 6)))
+
+
+# -- rows of one id, small folds ----------------------------------------------------------------------------------
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    from ragset.llm.ngram_join import ngram_join
+
+    a, b, c = (" ".join(f"{k}{i}" for i in range(12)) for k in "abc")
+    rows = [(3, a), (7, a), (7, b), (9, b), (7, ""), (20, c), (20, None), (21, c), (30, "x y"), (30, ""), (40, None), (40, ""), (None, a), (None, b)]
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    want = [(3, 9, 3), (7, 9, 3), (7, 9, 3), (9, 9, 3), (7, 0, 3), (20, 9, 20), (20, 0, 20), (21, 9, 20), (30, 1, 30), (30, 0, 30), (40, 0, 40), (40, 0, 40)]
+    assert got == sorted([(False, *w) for w in want] + [(True, 0, 9, None)] * 2)
+
+
+def test_the_end_counts_in_small_folds(spark):
+    """One and two training texts: their ends are known tokens, seldom as they are."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from ragset.llm.mixing import score_texts
+
+    for learn in (["beta gamma"], ["beta gamma", None], []):
+        rows = [(i, t) for i, t in enumerate(learn)] + [(10, "beta gamma"), (11, "")]
+        counts = Counter(w for t in learn for w in [*(t or "").split(), ""])
+        n, v = sum(counts.values()), len(counts)
+        got = {r.doc_id: r for r in score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 10).collect()}
+        for i, text in rows:
+            tokens = [*(text or "").split(), ""]
+            assert got[i].n_tokens == len(tokens) and got[i].n_known == sum(counts[w] > 0 for w in tokens) and got[i].train_tokens == n
+            assert abs(got[i].base_score - sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens)) < 1e-9
