@@ -14,7 +14,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,16 +104,21 @@ def met(lists: DataFrame, total: int, least: int, spare: int = 2) -> np.ndarray:
     return out
 
 
+def _marked(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the bitmap of met() holds these hashes."""
+    bits = (len(bitmap) * 8).bit_length() - 1
+    slot = (h.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    return (bitmap[slot >> 3] >> (7 - (slot & 7)) & 1).astype(bool)
+
+
 def possible(keys: DataFrame, by: list[str]) -> Column:
     """A condition on the columns by: holds for all rows that are in keys, and for few others. What it sends has a fixed bound at any size."""
     bitmap = met(keys.select(F.array(F.xxhash64(*by)).alias("v")), keys.count(), 1, 4)
     sent = keys.sparkSession.sparkContext.broadcast(bitmap)
 
-    @F.pandas_udf("boolean")
-    def hit(h: pd.Series) -> pd.Series:
-        bits = (len(sent.value) * 8).bit_length() - 1
-        slot = (h.to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
-        return pd.Series((sent.value[slot >> 3] >> (7 - (slot & 7)) & 1).astype(bool))
+    @F.arrow_udf("boolean")
+    def hit(h: pa.Array) -> pa.Array:
+        return pa.array(_marked(sent.value, np.asarray(h)))
 
     return hit(F.xxhash64(*by))
 
@@ -124,14 +128,12 @@ def prefix_tokens(sets: DataFrame, twice: np.ndarray) -> DataFrame:
     sent = sets.sparkSession.sparkContext.broadcast(twice)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = (len(sent.value) * 8).bit_length() - 1
         for batch in batches:
             lists = batch.column("prefix")
             token = np.array(lists.flatten())
             size = np.diff(np.array(lists.offsets))
             pos = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
-            slot = (token.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
-            keep = np.flatnonzero(sent.value[slot >> 3] >> (7 - (slot & 7)) & 1)
+            keep = np.flatnonzero(_marked(sent.value, token))
             row = np.repeat(np.arange(batch.num_rows), size)[keep]
             cols = [token[keep], np.array(batch.column("g"))[row], np.array(batch.column("n"))[row].astype(np.int32), pos[keep].astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["token", "g", "n", "pos"])
@@ -143,8 +145,12 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     """Those pairs (a, b) of documents whose sets are similar enough."""
     ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
 
+    bitmap = met(ids.select(F.array(F.xxhash64("doc_id")).alias("v")), ids.count(), 1, 4)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(_marked(sent.value, np.asarray(batch.column("h")))))
             got = [h.tobytes() for h in shingle_sets(batch.column("text").to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got, pa.binary())], ["doc_id", "s"])
 
@@ -157,7 +163,8 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    known = staged(docs.where(possible(ids, ["doc_id"])).mapInArrow(sets, "doc_id long, s binary"), "sets")
+    # the bitmap is tested where the sets are made: two Python workers a task would hold twice the memory
+    known = staged(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(sets, "doc_id long, s binary"), "sets")
     of = lambda c: known.select(F.col("doc_id").alias(c), F.col("s").alias(f"s{c}"))
     return staged(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(test, "a long, b long"), "links")
 
