@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ragset.jobs.replies import VISUAL
@@ -10,6 +12,7 @@ from ragset.operators import evaluation as V
 from ragset.operators import metrics as E
 from ragset.operators import replies as P
 from ragset.operators import seams
+from ragset.operators.html import html_to_markdown
 from ragset.sources.tables import chunks, claims, lineage, qa, read, sql, vectors
 
 
@@ -216,12 +219,18 @@ def u3_scorer(s, d):
 
 
 def s8_html_to_markdown(s, d):
-    from ragset.operators.html import html_to_markdown
-
-    m = html_to_markdown(read(s, d, "pages"), "page_id", "html")
-    return m.select("page_id", F.length("markdown").cast("long").alias("n_chars"), F.regexp_count("markdown", F.lit(r"(?m)^#+ ")).cast("long").alias("headings"))
-
-
+    """Every page, with a link, a table and an image put behind it."""
+    more = F.concat(F.lit("<p>see <a href='p/"), F.col("page_id").cast("string"), F.lit("'>page</a></p><table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>"), F.col("page_id").cast("string"), F.lit("</td></tr></table><img src='i.png' alt='x'>"))
+    m = html_to_markdown(read(s, d, "pages").withColumn("html", F.concat("html", more)), "page_id", "html")
+    return m.select("page_id", F.md5(F.col("markdown").cast("binary")).alias("markdown_md5"))
+
+
+#: The steps to markdown as SQL has them: what goes, headings and items, links, rows and blocks; pages hold no other tags.
+MARKDOWN = [
+    (r"(?is)<head\b.*?</head>|<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", ""), (r"<img src=''([^'']*)'' alt=''([^'']*)''>", r"![\2](\1)"), (r"(?is)<a\b[^>]*?href=[\"'']([^\"'']*)[\"''][^>]*>(.*?)</a>", r"[\2](\1)"),
+    ("(?i)<h1[^>]*>", "\x01# "), ("(?i)<h2[^>]*>", "\x01## "), ("(?i)<h3[^>]*>", "\x01### "), ("(?i)<h4[^>]*>", "\x01#### "), ("(?i)</h[1-6]>", "\x01"), (r"(?i)<li\b[^>]*>", "\x01- "), ("(?i)<t[dh]>", " | "), ("(?i)</tr>", " |\x01"),
+    (r"(?i)</?(p|div|section|article|ul|ol|li|table|tr|br|blockquote|body|html)\b[^>]*>", "\x01"), ("<[a-zA-Z/!?][^>]*>", ""), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&"),
+]
 TRIM = r"regexp_replace({}, '^[ \t\n\r\f\x0b]+|[ \t\n\r\f\x0b]+$', '', 'g')"
 FAITH = "faith AS (SELECT qa_id, round(coalesce(avg(CASE WHEN supported THEN 1.0 WHEN NOT supported THEN 0.0 END), 1), 6) AS f FROM qa LEFT JOIN claims USING (qa_id) GROUP BY 1)"
 PREC = "prec AS (SELECT qa_id, round(coalesce(avg(CASE WHEN rel = 1 THEN run / k END), 0), 6) AS p FROM (SELECT *, sum(rel) OVER (PARTITION BY qa_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT qa_id, i + 1 AS k, CASE WHEN (qa_id + i + 1) % 2 = 0 THEN 1 ELSE 0 END AS rel FROM lineage)) GROUP BY 1)"
@@ -272,6 +281,10 @@ SQLS = {
     "v22_parse_vlm_scores": sql("SELECT qa_id, round(CASE WHEN qa_id % 3 = 0 THEN least(1.0, (qa_id % 17) / 10) ELSE 0.5 END, 6) AS score, CAST(0.5 AS DOUBLE) AS quality, CASE WHEN qa_id % 3 = 0 THEN 'YES' ELSE 'NA' END AS text_supported, CASE WHEN qa_id % 3 = 0 THEN 'NO' END AS image_supported FROM qa", "qa"),
     "v23_evaluation_report": _with(f"{FAITH}, {PREC}, {NEC}, {SCORED}", f"""SELECT r.subset, faithfulness, context_precision, multimodal_relevance, evaluated, errors, multimodal_relevance_valid, mean_hops, hops_count, round(diversity, 6) AS diversity, round(necessity, 6) AS necessity, round((f0 + p0) / 2, 6) AS quality_mean, multimodal_relevance_valid AS multimodal_mean, round((diversity + necessity) / 2, 6) AS health_mean
         FROM (SELECT subset, {AGG}, avg(faithfulness) FILTER (WHERE ok) AS f0, avg(context_precision) FILTER (WHERE ok) AS p0 FROM {SUBSETS} GROUP BY 1) r, {DIV}, (SELECT avg(x) AS necessity FROM nec)""", "claims", "lineage", "vectors"),
+    "s8_html_to_markdown": "WITH steps AS (SELECT page_id, " + reduce(lambda c, x: f"regexp_replace({c}, '{x[0]}', '{x[1]}', 'g')", MARKDOWN, "html || '<p>see <a href=''p/' || page_id || chr(39) || '>page</a></p><table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>' || page_id || '</td></tr></table><img src=''i.png'' alt=''x''>'") + r""" AS t FROM pages),
+        b AS (SELECT page_id, unnest(x) AS b, generate_subscripts(x, 1) AS i FROM (SELECT page_id, list_filter(list_transform(string_split(t, chr(1)), lambda b: trim(regexp_replace(b, '[ \t\n\r\f\x0b]+', ' ', 'g'))), lambda b: b NOT IN ('', '#', '##', '###', '####', '-', '|')) AS x FROM steps)),
+        g AS (SELECT *, starts_with(b, '|') AS r, coalesce(starts_with(lag(b) OVER (PARTITION BY page_id ORDER BY i), '|'), FALSE) AS p FROM b)
+        SELECT page_id, md5(string_agg(CASE WHEN i = 1 THEN '' WHEN r AND p THEN chr(10) ELSE chr(10) || chr(10) END || b || CASE WHEN r AND NOT p THEN chr(10) || '|' || repeat('---|', length(regexp_replace(b, '[^|]', '', 'g')) - 1) ELSE '' END, '' ORDER BY i)) AS markdown_md5 FROM g GROUP BY page_id""",
     "p7_context_stats": sql("SELECT hop_count, count(*) AS contexts, round(avg(n), 6) AS mean_chunks, max(n) AS max_chunks FROM (SELECT qa_id, max(hop_count) AS hop_count, count(*) AS n FROM lineage GROUP BY 1) GROUP BY 1", "lineage"),
     "p8_qa_category_by_hop": sql("""SELECT category, hop_count, count(*) AS n FROM (SELECT CASE WHEN t AND i THEN 'table+image' WHEN t THEN 'table' WHEN i THEN 'image' ELSE 'text' END AS category, hop_count FROM (SELECT qa_id % 4 = 0 AS t, qa_id % 3 = 0 OR qa_id % 5 = 0 AS i, max(hop_count) AS hop_count FROM lineage GROUP BY qa_id)) GROUP BY CUBE (1, 2)
         UNION ALL SELECT 'any table', hop_count, count(*) FROM (SELECT max(hop_count) AS hop_count FROM lineage WHERE qa_id % 4 = 0 GROUP BY qa_id) GROUP BY ROLLUP (hop_count) HAVING count(*) > 0

@@ -2,14 +2,12 @@
 
 import random
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ragset.functions.text import keyed
 from ragset.operators.chunking import backfill_artifact, char_windows
 from ragset.operators.dedup import communities, leader_clusters, similar_pairs
-from ragset.operators.html import markdown_of
+from ragset.operators.html import html_to_markdown
 from ragset.operators.metrics import necessity, visual_dependency
 from ragset.operators.replies import claim_verdicts, keyword_spans, misleading_visual, parse_keyword_map, relevant, search_strings, verified
 from ragset.sources.shared import written
@@ -98,16 +96,23 @@ def test_similar_pairs(spark):
     assert similar_pairs(spark.createDataFrame([], "id long, v array<double>"), 0.6).collect() == []
 
 
-@settings(max_examples=50, deadline=None)
-@given(st.text(max_size=80))
-def test_any_page_parses(text):
-    assert isinstance(markdown_of(text), str)
+def test_markdown(spark):
+    pages = [
+        "<head><title>t</title></head><h2>A  b</h2><p>x <b>y</b></p><ul><li>one<li>two</ul><table><tr><th>1</th><th>2</th></tr><tr><td>3</td><td>4</td></tr></table><img src='i.png' alt='a'>", None, "", "plain &amp; <i>simple</i> 1 < 2",
+        "<p>see <a class=x href=\"u/v?a=1\">the <b>page</b></a></p><script>if (a<b) {}</script><!-- no --><img alt='' src='k.png'><img src='only.png'><h1></h1><li></li><tr></tr>", "<DIV>Up<BR>per</DIV><style>p{}</style>&lt;tag&gt; &eacute;&nbsp;x",
+    ]
+    got = html_to_markdown(spark.createDataFrame(list(enumerate(pages)), "k int, h string"), "k", "h").orderBy("k").collect()
+    assert [r.markdown for r in got] == [
+        "## A b\n\nx y\n\n- one\n\n- two\n\n| 1 | 2 |\n|---|---|\n| 3 | 4 |\n\n![a](i.png)", "", "", "plain & simple 1 < 2", "see [the page](u/v?a=1)\n\n![](k.png) ![](only.png)", "Up\n\nper\n\n<tag> &eacute; x",
+    ]
 
 
-def test_markdown():
-    page = "<head><title>t</title></head><h2>A  b</h2><p>x <b>y</b></p><ul><li>one<li>two</ul><table><tr><td>1</td><td>2</td></tr></table><img src='i.png' alt='a'>"
-    assert markdown_of(page) == "## A b\n\nx y\n\n- one\n\n- two\n\n| 1 | 2 |\n\n![a](i.png)"
-    assert markdown_of(None) == ""
+def test_any_page_gives_text(spark):
+    rng = random.Random(9)
+    parts = ["<", ">", "</", "<p>", "<a href='", "'>", "</a>", "<img ", "src='x'", "alt=\"", "\"", "&amp;", "&", "|", "\n", "<table><tr><td>", "é😀", "<!--", "-->", "word ", "<h3>", "$1", "\\"]
+    pages = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(40)))) for i in range(300)]
+    got = html_to_markdown(spark.createDataFrame(pages, "k int, h string"), "k", "h").collect()
+    assert len(got) == 300 and all(isinstance(r.markdown, str) and "\x01" not in r.markdown for r in got)
 
 
 def test_overlaps():
