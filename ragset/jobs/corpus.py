@@ -10,6 +10,7 @@ from ragset.functions.text import token_estimate, word_count
 from ragset.operators import chunking as C
 from ragset.operators import datasets as DS
 from ragset.operators import evaluation as V
+from ragset.sources.files import format_counts, pick_documents
 from ragset.sources.shared import shared_dir
 from ragset.sources.tables import chunks, docs, lineage, read, sql
 from ragset.streaming.ingest import ingest_windows
@@ -18,6 +19,7 @@ W = r"[^ \t\n\r\f\x0b]+"
 TOK = rf"CAST(floor(len(regexp_extract_all(content, '{W}')) * CAST(1.3 AS DOUBLE)) AS BIGINT)"
 STAT_SQL = f"""count(*) AS chunks, CAST(sum(length(content)) AS BIGINT) AS chars, CAST(sum({TOK}) AS BIGINT) AS tokens,
     count(*) FILTER (WHERE img) AS image_chunks, count(*) FILTER (WHERE NOT img AND chunk_type LIKE '%table%') AS table_chunks, count(*) FILTER (WHERE NOT img AND chunk_type NOT LIKE '%table%') AS text_chunks"""
+FILES = "SELECT *, 'store/' || dataset || '/' || file_name || '.' || kind AS path FROM (SELECT file_name, dataset, length(text) AS length, (['pdf', 'HTML', 'htm', 'docx', 'xhtml'])[CAST(doc_id % 5 + 1 AS INTEGER)] AS kind FROM docs)"
 FLAGGED = "(SELECT *, (chunk_type LIKE '%image%' OR artifact <> 'None') AS img FROM chunks)"
 
 
@@ -176,10 +178,20 @@ def r5_progress_summary(s, d):
     return DS.progress_summary(chunks(s, d), "dataset", "status", "w").withColumnRenamed("dataset", "stage")
 
 
+def _files(s, d):
+    """Documents as files of several formats: their paths and lengths."""
+    end = F.element_at(F.array(*map(F.lit, ["pdf", "HTML", "htm", "docx", "xhtml"])), (F.pmod("doc_id", F.lit(5)) + 1).cast("int"))
+    return docs(s, d).select(F.concat(F.lit("store/"), "dataset", F.lit("/"), "file_name", F.lit("."), end).alias("path"), F.length("text").cast("long").alias("length"))
+
+
 def s2_list_documents(s, d):
-    """The smallest 50 of the pending files, counted by kind of name."""
-    t = docs(s, d).select("file_name", F.length("text").cast("long").alias("length"))
-    return t.join(r4_pending(s, d), "file_name", "left_semi").orderBy("length", "file_name").limit(50)
+    """The smallest 50 of the pending files; the limit is the operator's feature."""
+    done = chunks(s, d).where("status = 'INCOMPLETE'").select("file_name")
+    return pick_documents(_files(s, d), done, 50)
+
+
+def s2_format_counts(s, d):
+    return format_counts(_files(s, d))
 
 
 SQLS = {
@@ -230,5 +242,6 @@ SQLS = {
     "v15_uncovered_chunks": sql("SELECT file_name, chunk_id FROM chunks WHERE (file_name, chunk_id) NOT IN (SELECT file_name, chunk_id FROM lineage)", "chunks", "lineage"),
     "r4_pending": sql("SELECT file_name FROM docs WHERE file_name NOT IN (SELECT file_name FROM chunks WHERE status = 'INCOMPLETE')", "chunks"),
     "r5_progress_summary": sql("SELECT dataset AS stage, count(*) FILTER (WHERE status = 'COMPLETE') AS completed, count(*) FILTER (WHERE status = 'INCOMPLETE') AS failed, max(w) AS last FROM chunks GROUP BY 1", "chunks"),
-    "s2_list_documents": sql("SELECT file_name, length(text) AS length FROM docs WHERE file_name NOT IN (SELECT file_name FROM chunks WHERE status = 'INCOMPLETE') ORDER BY 2, 1 LIMIT 50", "chunks"),
+    "s2_list_documents": sql(f"SELECT file_name, path, length FROM ({FILES}) WHERE kind <> 'docx' AND file_name NOT IN (SELECT file_name FROM chunks WHERE status = 'INCOMPLETE') ORDER BY length, path LIMIT 50", "chunks"),
+    "s2_format_counts": sql(f"SELECT CASE WHEN kind = 'docx' THEN 'other' ELSE lower(kind) END AS format, count(*) AS files, CAST(sum(length) AS BIGINT) AS bytes FROM ({FILES}) GROUP BY 1", "docs"),
 }

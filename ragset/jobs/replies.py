@@ -24,12 +24,14 @@ def q1_parse_kv(s, d):
 
 
 def q2_parse_generated_qa(s, d):
-    """Replies of one or two sections, with the decomposition cut."""
+    """Replies of one or two sections, with the decomposition cut; those of first turns have a header."""
     q = qa(s, d)
     one = F.concat(F.lit(f"{M}Question{M}"), F.col("question"), F.lit(f"{M}Answer{M}"), F.col("answer"), F.lit(f"{M}Relevance{M}"), F.col("relevance_score"))
-    two = F.concat(F.lit(f"Chunks{M}2{M}QA_GENERATION{M}"), one, F.lit(f"{M}NEXT{M}Question{M}second{M}Answer{M}yes{M}DECOMPOSITION Question: no"))
+    head = F.concat(F.lit("Chunk Count: 2\nKeywords per Chunk: <Chunk 1: [a"), F.col("relevance_score"), F.lit(", b], Chunk 2: [c question]>\nRelated Keywords: <[a] relates to [c] via d>\n"))
+    two = F.concat(head, F.lit(f"{M}QA_GENERATION{M}"), one, F.lit(f"{M}NEXT{M}Question{M}second{M}Answer{M}yes{M}DECOMPOSITION Question: no"))
     g = P.parse_generated_qa(q.select("qa_id", F.when(F.col("turn") == 0, two).otherwise(F.concat(F.lit(f"{M}QA_GENERATION{M}"), one)).alias("reply")))
-    return g.select("qa_id", F.md5(F.col("question").cast("binary")).alias("question_md5"), F.length("answer").cast("long").alias("n_answer"), "relevance", "difficulty")
+    words = F.array_join(F.transform(F.array_sort(F.map_keys("keywords_per_chunk")), lambda k: F.concat(k, F.lit("="), F.array_join(F.col("keywords_per_chunk")[k], "+"))), ";")
+    return g.select("qa_id", F.md5(F.col("question").cast("binary")).alias("question_md5"), F.length("answer").cast("long").alias("n_answer"), "relevance", "difficulty", F.col("chunk_count").cast("long").alias("chunk_count"), words.alias("keywords"), "related_keywords")
 
 
 def q3_parse_keyword_map(s, d):
@@ -265,7 +267,8 @@ TRIM = r"regexp_replace({}, '^[ \t\n\r\f\x0b]+|[ \t\n\r\f\x0b]+$', '', 'g')"
 
 SQLS = {
     "q1_parse_kv": sql("SELECT doc_id, CASE WHEN quality = 1 THEN 'SELECTED' WHEN quality = 0 THEN 'REJECTED' END AS status, CASE WHEN quality IS NOT NULL THEN CAST(doc_id % 7 AS VARCHAR) END AS difficulty, CAST(NULL AS VARCHAR) AS missing FROM replies", "replies"),
-    "q2_parse_generated_qa": sql(f"SELECT qa_id, md5({TRIM.format('question')}) AS question_md5, length({TRIM.format('answer')}) AS n_answer, relevance_score AS relevance, '0' AS difficulty FROM qa UNION ALL SELECT qa_id, md5('second'), 3, '0', '0' FROM qa WHERE turn = 0", "qa"),
+    "q2_parse_generated_qa": sql(f"""SELECT qa_id, question_md5, n_answer, relevance, difficulty, CASE WHEN turn = 0 THEN 2 END AS chunk_count, CASE WHEN turn = 0 THEN 'chunk_1=a' || relevance_score || '+b;chunk_2=c question' END AS keywords, CASE WHEN turn = 0 THEN '[a] relates to [c] via d' END AS related_keywords
+        FROM (SELECT qa_id, turn, relevance_score, md5({TRIM.format('question')}) AS question_md5, length({TRIM.format('answer')}) AS n_answer, relevance_score AS relevance, '0' AS difficulty FROM qa UNION ALL SELECT qa_id, turn, relevance_score, md5('second'), 3, '0', '0' FROM qa WHERE turn = 0)""", "qa"),
     "q3_parse_keyword_map": sql("SELECT qa_id, 'chunk_1' AS chunk, 'a' || relevance_score || '|b' AS words FROM qa UNION ALL SELECT qa_id, 'chunk_2', 'c' || difficulty_score FROM qa", "qa"),
     "q4_parse_packs": sql("SELECT qa_id, CAST(0 AS BIGINT) AS pack, 'q' || relevance_score AS question, 'a' AS answer, TRUE AS reorganized FROM qa UNION ALL SELECT qa_id, 1, 'only', 'b', TRUE FROM qa WHERE turn = 0", "qa"),
     "q5_relevance_gate": sql("SELECT coalesce(quality = 1, FALSE) AS relevant, count(*) AS n, CAST(sum(CASE WHEN quality = 1 THEN 0 ELSE least(2000, length(text)) END) AS BIGINT) AS chars FROM replies JOIN docs USING (doc_id) GROUP BY 1", "docs", "replies"),

@@ -38,15 +38,27 @@ def status_of(c: Column) -> Column:
     return F.coalesce(F.when(c.contains(MARK), keyed(c, "Status")), c)
 
 
+def reply_header(reply: Column) -> Column:
+    """(chunk_count, keywords_per_chunk, related_keywords) before a reply's QA_GENERATION mark; nulls where a field is absent."""
+    head = F.when(reply.contains(f"{MARK}QA_GENERATION{MARK}"), F.split(reply, r"<\|#\|>QA_GENERATION<\|#\|>")[0])
+    part = lambda p: F.regexp_extract(head, p, 1)
+    some = lambda x: F.when(x != "", x)
+    words = some(part(r"(?is)Keywords per Chunk:\s*<?(.+?)>?\s*(?:Related Keywords:|$)"))
+    return F.named_struct(
+        F.lit("chunk_count"), some(part(r"(?i)Chunk Count:\s*([0-9]+)")).cast("int"), F.lit("keywords_per_chunk"), parse_keyword_map(words),
+        F.lit("related_keywords"), some(clean(part(r"(?is)Related Keywords:\s*<?(.+?)>?\s*(?:<\|#\||$)"))),
+    )
+
+
 def parse_generated_qa(replies: DataFrame, reply: str = "reply") -> DataFrame:
-    """A row a question: section parts of marked fields, else inline 'Question: … Answer: …' lines, else the whole reply as a question."""
+    """A row a question: section parts of marked fields, else inline 'Question: … Answer: …' lines, else the whole reply as a question; each with the reply's header."""
     body = F.regexp_replace(reply, r"(?s)DECOMPOSITION.*$", "")
-    sections = F.filter(F.split(body, r"<\|#\|>(?:QA_GENERATION|NEXT)<\|#\|>"), lambda x: x.rlike(r"(?i)question"))
-    rows = replies.select("*", F.posexplode(F.when(F.size(sections) > 0, sections).otherwise(F.array(F.col(reply)))).alias("section", "part"))
+    sections = F.filter(F.split(body, r"<\|#\|>(?:QA_GENERATION|NEXT)<\|#\|>"), lambda x: x.rlike(r"(?i)question") & ~x.contains("Chunk Count:") & ~x.contains("Keywords per Chunk:"))
+    rows = replies.select("*", reply_header(F.col(reply)).alias("header"), F.posexplode(F.when(F.size(sections) > 0, sections).otherwise(F.array(F.col(reply)))).alias("section", "part"))
     q = F.coalesce(keyed(F.col("part"), "Question"), clean(F.col(reply)))
     return rows.select(
         *[c for c in replies.columns if c != reply], "section", q.alias("question"), F.coalesce(keyed(F.col("part"), "Answer"), F.lit("")).alias("answer"),
-        F.coalesce(keyed(F.col("part"), "Relevance"), F.lit("0")).alias("relevance"), F.coalesce(keyed(F.col("part"), "Difficulty"), F.lit("0")).alias("difficulty"),
+        F.coalesce(keyed(F.col("part"), "Relevance"), F.lit("0")).alias("relevance"), F.coalesce(keyed(F.col("part"), "Difficulty"), F.lit("0")).alias("difficulty"), "header.chunk_count", "header.keywords_per_chunk", "header.related_keywords",
     )
 
 
@@ -55,7 +67,7 @@ def parse_keyword_map(c: Column) -> Column:
     keys = F.transform(F.regexp_extract_all(c, F.lit(r"Chunk ([0-9]+): \[([^\]]*)\]"), F.lit(1)), lambda k: F.concat(F.lit("chunk_"), k))
     values = F.transform(F.regexp_extract_all(c, F.lit(r"Chunk ([0-9]+): \[([^\]]*)\]"), F.lit(2)), lambda v: F.transform(F.split(v, ","), clean))
     last = lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys) + 1), e["k"])
-    return F.map_from_entries(F.filter(F.arrays_zip(keys.alias("k"), values.alias("v")), last))
+    return F.map_from_entries(F.filter(F.zip_with(keys, values, lambda k, v: F.named_struct(F.lit("k"), k, F.lit("v"), v)), last))
 
 
 def parse_packs(replies: DataFrame, reply: str = "reply") -> DataFrame:

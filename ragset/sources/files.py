@@ -15,15 +15,28 @@ def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     return t.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.md$", "").alias("file_name"), F.col("value").alias("text"))
 
 
-def list_documents(spark: SparkSession, path: str, done: DataFrame | None = None, most: int | None = None) -> DataFrame:
-    """(file_name, path, length) of PDF and HTML files below path, smallest first, without those whose file_name is in done; at most `most` of them."""
-    f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
-    f = f.where(F.col("path").rlike(r"(?i)\.(pdf|html?|xhtml)$")).withColumn("file_name", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
-    f = f if done is None else f.join(done.select("file_name"), "file_name", "left_anti")
+FORMATS = r"(?i)\.(pdf|html?|xhtml)$"
+
+
+def pick_documents(files: DataFrame, done: DataFrame | None = None, most: int | None = None) -> DataFrame:
+    """(file_name, path, length) of the PDF and HTML files among files (path, length), smallest first, without those whose file_name is in done; at most `most` of them."""
+    f = files.select("path", "length").where(F.col("path").rlike(FORMATS)).withColumn("file_name", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
+    f = f if done is None else f.join(done.select("file_name").distinct(), "file_name", "left_anti")
     f = f.orderBy("length", "path")
     return (f if most is None else f.limit(most)).select("file_name", "path", "length")
 
 
+def format_counts(files: DataFrame) -> DataFrame:
+    """(format, files, bytes): the files (path, length) of each format that pick_documents takes, by their endings in lower case, and `other`."""
+    kind = F.when(F.col("path").rlike(FORMATS), F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))).otherwise("other")
+    return files.groupBy(kind.alias("format")).agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+def list_documents(spark: SparkSession, path: str, done: DataFrame | None = None, most: int | None = None) -> DataFrame:
+    """pick_documents() of all files below path."""
+    return pick_documents(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path), done, most)
+
+
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of chunks; fields that are not in the schema are ignored."""
     return spark.read.schema(CHUNK).option("multiLine", True).json(path)
