@@ -13,6 +13,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1024
 
 
+def small_batches(spark: SparkSession, size: str = "2m") -> None:
+    """From now on in this session, Python workers get batches of about so many bytes at most, however long the rows are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of sf_dir. Rows hold whole texts, so that few of them go to a Python worker at once."""
     if int(spark.conf.get(BATCH)) > ROWS:
