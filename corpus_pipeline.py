@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ragset.llm.common import staged, table
+from ragset.llm.common import small_batches, staged, table
 from ragset.llm.ngram_join import ngram_join, possible
 from ragset.llm.packing import pack_documents
 from ragset.llm.quality import quality_query
@@ -46,6 +46,7 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _judged(docs: DataFrame, classify, labels: DataFrame, bad: int) -> DataFrame:
     """docs without the rows that classify predicts as bad; columns keep their names, types and order."""
+    small_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c != "text"]
     named = docs.select("doc_id", "text", F.struct(*rest).alias("rest"))  # the text goes through the classifier once
     out = classify(named, labels, keep=("rest", "text")).where(F.col("predicted") != bad)
@@ -57,6 +58,7 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Rows of one doc_id are documents of their own: one goes only as a near copy, or if it is another's equal in text.
     """
+    small_batches(spark)
     if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         return without(docs, ngram_join(docs, words=5, percent=80).where("component_id <> doc_id"), "doc_id")
     rows = staged(docs.withColumn("row_id", F.monotonically_increasing_id()), "rows")
@@ -70,6 +72,8 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed pieces of every row, as pack_documents() has them for null texts, repeated rows and empty tables."""
+    small_batches(spark)
     return pack_documents(docs)
 
 
