@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ragset.sources.shared import written
 
 #: Rows of a tile, about; pivots at most, which every task holds; slack for rounding in distances.
-SIZE, PIVOTS, SLACK = 2048, 1024, 1e-9
+SIZE, PIVOTS, SLACK = 4096, 1024, 1e-9
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:

@@ -165,3 +165,23 @@ def test_repeated_labels(spark):
     assert d == {"chunk_1": ["D"], "chunk_2": ["C"]}
     r = spark.createDataFrame([(1, "claim_1: supported\nCLAIM_1: NOT_SUPPORTED\nsupported\nnot supported", 5)], "k int, r string, n int")
     assert {x.i: x.supported for x in claim_verdicts(r, "k", "r", "n").collect()} == {1: True, 2: False, 3: True, 4: False, 5: False}
+
+
+def test_headers_of_generated_questions(spark):
+    from ragset.operators.replies import parse_generated_qa
+
+    m = "<|#|>"
+    head = f"Chunk Count: 3\nKeywords per Chunk: <Chunk 1: [a, b c], Chunk 2: [d]>\nRelated Keywords: <[a] to [d] via x question>\n{m}QA_GENERATION{m}{m}Question{m}q?{m}Answer{m}a"
+    rows = [(0, head), (1, f"{m}QA_GENERATION{m}{m}Question{m}p{m}Answer{m}b"), (2, "free text"), (3, None)]
+    got = {r.i: (r.question, r.answer, r.chunk_count, r.keywords_per_chunk, r.related_keywords) for r in parse_generated_qa(spark.createDataFrame(rows, "i int, reply string")).collect()}
+    assert got[0] == ("q?", "a", 3, {"chunk_1": ["a", "b c"], "chunk_2": ["d"]}, "[a] to [d] via x question")
+    assert got[1][:3] == ("p", "b", None) and got[1][4] is None and got[2][:3] == ("free text", "", None)
+
+
+def test_listed_documents(spark):
+    from ragset.sources.files import format_counts, pick_documents
+
+    files = spark.createDataFrame([("d/b.PDF", 5), ("d/a.html", 5), ("x.docx", 1), ("y/c.htm", None), ("done.pdf", 2), (None, 3)], "path string, length long")
+    done = spark.createDataFrame([("done",), ("done",)], "file_name string")
+    assert [r.file_name for r in pick_documents(files, done).collect()] == ["c", "a", "b"] and [r.file_name for r in pick_documents(files, most=2).collect()] == ["c", "done"]
+    assert {(r.format, r.files, r.bytes) for r in format_counts(files).collect()} == {("pdf", 2, 7), ("html", 1, 5), ("htm", 1, 0), ("other", 2, 4)}
