@@ -202,7 +202,8 @@ def test_added_spans(letters):
     rows = {r["doc_id"]: r["spans"] for r in private.private_query(df).collect()}
     assert rows[400] == "card:23:39,phone:5:22" and rows[401] == rows[402] == rows[404] == "" and rows[403].startswith("email:4:")
     order = list(PATTERNS)
-    for i, line in rows.items():
+    once = {i for i, n in Counter(i for i, _ in docs).items() if n == 1}
+    for i, line in ((i, line) for i, line in rows.items() if i in once):
         spans = [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in line.split(",") if s)]
         base = base_spans(texts[i])
         assert set(base) <= set(spans) and spans == sorted(spans, key=lambda s: (order.index(s[0]), s[1]))
