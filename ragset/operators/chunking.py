@@ -23,6 +23,7 @@ def char_windows(docs: DataFrame, window: int = 20000, overlap: int = 2000) -> D
     cut = docs.withColumn("n_windows", count).where("n_windows > 0")
     every = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_windows") - 1) / PER_SLICE))
     slices = F.transform(every, lambda b: F.substring(F.col("text"), (b * (PER_SLICE * step) + 1).cast("int"), F.lit((PER_SLICE - 1) * step + window)))
+    slices = F.when(F.col("n_windows") <= PER_SLICE, F.array("text")).otherwise(slices)
     rest = [c for c in docs.columns if c != "text"]
     cut = cut.select(*rest, "n_windows", F.posexplode(slices).alias("_b", "_slice"))
     own = F.sequence(F.lit(0).cast("long"), F.least(F.lit(PER_SLICE), F.col("n_windows") - F.col("_b") * PER_SLICE) - 1)
