@@ -52,16 +52,19 @@ def statistics(text: bytes) -> np.ndarray:
     return out
 
 
-def with_statistics(docs: DataFrame, text: bool = False) -> DataFrame:
-    """docs, which has a text, with its statistics, stats array<double>, in place of the text or with it; a null text counts as empty."""
-    others = [c for c in docs.columns if c != "text" or text]
+def _statistics(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [statistics(t.as_py() or b"") for t in batch.column("text")]
+
+
+def with_statistics(docs: DataFrame) -> DataFrame:
+    """docs, which has a text, with its statistics, stats array<double>, in place of the text; a null text counts as empty."""
+    others = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stats = [statistics(t.as_py() or b"") for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(stats, pa.list_(pa.float64()))], [*others, "stats"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(_statistics(batch), pa.list_(pa.float64()))], [*others, "stats"])
 
-    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, ", ".join(f"{n} {t}" for n, t in docs.dtypes if n != "text") + (", text binary" if text else "") + ", stats array<double>").select(*others, "stats")
+    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, ", ".join(f"{n} {t}" for n, t in docs.dtypes if n != "text") + ", stats array<double>").select(*others, "stats")
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -86,14 +89,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192
     rng = np.random.default_rng(seed)
     w, shift = rng.normal(size=(STATS, features)) / width, rng.uniform(0, 2 * np.pi, features)
 
-    def phi(batch: pa.RecordBatch) -> np.ndarray:
-        z = np.clip((_matrix(batch) - mean) / scale, -6, 6)
+    def phi(stats: np.ndarray) -> np.ndarray:
+        z = np.clip((stats - mean) / scale, -6, 6)
         return np.concatenate([np.sqrt(2 / features) * np.cos(z @ w + shift), np.ones((len(z), 1))], axis=1)
 
     size = features + 1
 
     def normal(batch: pa.RecordBatch) -> np.ndarray:
-        f, y = phi(batch), np.array(batch.column("label"), float)
+        f, y = phi(_matrix(batch)), np.array(batch.column("label"), float)
         return np.concatenate([((f * weight(batch)[:, None]).T @ f).ravel(), f.T @ (weight(batch) * y)])
 
     sums = partition_sum(train, normal, size * size + size)
@@ -102,19 +105,22 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192
     penalty[-1, -1] = 1e-6
     beta = np.linalg.solve(gram + penalty, rhs)
 
-    def scorer(name: str, knots=None):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                others = [c for c in batch.schema.names if c != "stats"]
-                raw = phi(batch) @ beta if batch.num_rows else np.zeros(0)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(raw if knots is None else calibrated(raw, knots, default))], [*others, name])
+    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("weight"), pa.array(phi(_matrix(batch)) @ beta)], ["label", "weight", "raw"])
+
+    knots = isotonic(train.mapInArrow(raw, "label int, weight double, raw double"), -0.5, 1.5) if moments[0] else ([], [])
 
-        return run
+    # statistics and score in one worker: two Python workers a task would hold twice the memory, and keep it for later stages
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            others = [c for c in batch.schema.names if c != "text" or "text" in keep]
+            score = calibrated(phi(np.array(_statistics(batch)).reshape(-1, STATS)) @ beta, knots, default)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(score)], [*others, "score"])
 
-    knots = isotonic(train.mapInArrow(scorer("raw"), "label int, weight double, raw double"), -0.5, 1.5) if moments[0] else ([], [])
-    rows = with_statistics(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).alias(f"kept_{c}") for c in keep if c != "text"), "text"), "text" in keep)
-    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "stats") + ", score double"
-    return rows.mapInArrow(scorer("score", knots), schema).select("doc_id", *(F.col("text").cast("string") if c == "text" else F.col(f"kept_{c}").alias(c) for c in keep), "score")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).alias(f"kept_{c}") for c in keep if c != "text"), F.col("text").cast("binary").alias("text"))
+    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "text" or "text" in keep) + ", score double"
+    return rows.mapInArrow(run, schema).select("doc_id", *(F.col("text").cast("string") if c == "text" else F.col(f"kept_{c}").alias(c) for c in keep), "score")
 
 
 def quality_query(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -349,6 +349,15 @@ def test_isotonic_against_every_step(spark):
         assert math.isclose(np.interp(-0.5 + b * step, x, y), want, abs_tol=1e-9)
 
 
+def test_quality_takes_one_python_worker_a_task(spark):
+    docs = spark.createDataFrame([(i, prose(9), "en") for i in range(20)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    for keep in ((), ("lang", "text")):
+        out = quality.score_quality(docs, labels, F.lit(True), features=8, keep=keep)
+        assert out._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 1
+        assert out.count() == 20 and out.columns == ["doc_id", *keep, "score"]
+
+
 def test_quality_against_one_matrix(spark):
     rows = [(i, prose(RNG.randrange(3, 40)) + ("!!!" if i % 3 == 0 else ""), i % 3 > 0) for i in range(120)]
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
