@@ -76,13 +76,14 @@ def prefixes(docs: DataFrame, words: int, percent: int, sketch: np.ndarray) -> D
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, g long, prefix array<long>")
 
 
-def met(lists: DataFrame, total: int, least: int, spare: int = 2) -> np.ndarray:
-    """A bit a slot of the hashes in the array column v: whether least of them (1 or 2) or more fall there; 2^MOST_BITS bits at most."""
+def met(lists: DataFrame, total: int, least: int, spare: int = 2, among=None) -> np.ndarray:
+    """A bit a slot of the hashes in the array column v: whether least of them (1 or 2) or more fall there; 2^MOST_BITS bits at most. With a broadcast bitmap among, of rows whose column h it holds."""
     bits = min(MOST_BITS, max(20, int(total).bit_length() + spare))
     part = 1 << 18
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = _held(batch, among)
             slot = np.sort((np.array(batch.column("v").flatten()).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64))
             ranges = np.unique(slot // part)
             cuts = np.searchsorted(slot, [*(ranges * part), 1 << bits])
@@ -98,7 +99,7 @@ def met(lists: DataFrame, total: int, least: int, spare: int = 2) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array([np.packbits(c >= least).tobytes() for c in seen.values()], pa.binary())], ["range", "v"])
 
     out = np.zeros((1 << bits) // 8, np.uint8)
-    counted = lists.select("v").mapInArrow(own, "range int, v binary").repartition(max(64, (1 << bits) // part // 16), "range")
+    counted = lists.select("v", *(["h"] if among else [])).mapInArrow(own, "range int, v binary").repartition(max(64, (1 << bits) // part // 16), "range")
     for r in counted.mapInArrow(add, "range int, v binary").collect():
         out[r["range"] * part // 8 : (r["range"] + 1) * part // 8] = np.frombuffer(r["v"], np.uint8)
     return out
@@ -111,10 +112,19 @@ def _marked(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[slot >> 3] >> (7 - (slot & 7)) & 1).astype(bool)
 
 
+def _held(batch: pa.RecordBatch, among) -> pa.RecordBatch:
+    """The rows whose column h the broadcast bitmap holds; all without one."""
+    return batch.filter(pa.array(_marked(among.value, np.asarray(batch.column("h"))))) if among else batch
+
+
+def sent_bitmap(keys: DataFrame, by: list[str]):
+    """A broadcast bitmap of xxhash64 of the columns by: holds all rows of keys, and few others. What it sends has a fixed bound at any size."""
+    return keys.sparkSession.sparkContext.broadcast(met(keys.select(F.array(F.xxhash64(*by)).alias("v")), keys.count(), 1, 4))
+
+
 def possible(keys: DataFrame, by: list[str]) -> Column:
-    """A condition on the columns by: holds for all rows that are in keys, and for few others. What it sends has a fixed bound at any size."""
-    bitmap = met(keys.select(F.array(F.xxhash64(*by)).alias("v")), keys.count(), 1, 4)
-    sent = keys.sparkSession.sparkContext.broadcast(bitmap)
+    """A condition on the columns by: holds for all rows that are in keys, and for few others."""
+    sent = sent_bitmap(keys, by)
 
     @F.arrow_udf("boolean")
     def hit(h: pa.Array) -> pa.Array:
@@ -123,12 +133,13 @@ def possible(keys: DataFrame, by: list[str]) -> Column:
     return hit(F.xxhash64(*by))
 
 
-def prefix_tokens(sets: DataFrame, twice: np.ndarray) -> DataFrame:
-    """(token, g, n, pos) of the prefixes' shingles that another document may hold."""
+def prefix_tokens(sets: DataFrame, twice: np.ndarray, among=None) -> DataFrame:
+    """(token, g, n, pos) of the prefixes' shingles that another document may hold; with a broadcast bitmap among, of rows whose column h it holds."""
     sent = sets.sparkSession.sparkContext.broadcast(twice)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = _held(batch, among)
             lists = batch.column("prefix")
             token = np.array(lists.flatten())
             size = np.diff(np.array(lists.offsets))
@@ -138,19 +149,18 @@ def prefix_tokens(sets: DataFrame, twice: np.ndarray) -> DataFrame:
             cols = [token[keep], np.array(batch.column("g"))[row], np.array(batch.column("n"))[row].astype(np.int32), pos[keep].astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["token", "g", "n", "pos"])
 
-    return sets.select("g", "n", "prefix").mapInArrow(run, "token long, g long, n int, pos int")
+    return sets.select("g", "n", "prefix", *(["h"] if among else [])).mapInArrow(run, "token long, g long, n int, pos int")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of documents whose sets are similar enough."""
     ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
 
-    bitmap = met(ids.select(F.array(F.xxhash64("doc_id")).alias("v")), ids.count(), 1, 4)
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+    sent = sent_bitmap(ids, ["doc_id"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(_marked(sent.value, np.asarray(batch.column("h")))))
+            batch = _held(batch, sent)
             got = [h.tobytes() for h in shingle_sets(batch.column("text").to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got, pa.binary())], ["doc_id", "s"])
 
@@ -194,14 +204,16 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
     all_sets = staged(prefixes(docs, words, percent, frequency_sketch(docs, words)), "prefixes")
     named = all_sets.where("digest is not null and doc_id is not null")
     first = staged(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("g").alias("g"), F.max("n").cast("int").alias("n")), "first")
-    groups = first.groupBy("g").agg(F.min("rep").alias("gid"))
+    groups = staged(first.groupBy("g").agg(F.min("rep").alias("gid")), "groups")
     members = staged(first.join(groups, "g").select("g", "gid", "rep", "n"), "members")
     # members beside the hub, which is tested first; two sets of one size differ in a shingle each and link only if large enough
     inner = members.where("gid <> rep").where((100 + percent) * (F.col("n") - 1) >= 2 * percent * F.col("n")).select(F.col("g").alias("token"), "rep", "n", F.lit(0).alias("pos"))
+    # a group's prefix counts once, by the row of its smallest document: copies alone make no shingle met
+    lead, hashed = sent_bitmap(groups.select(F.col("gid").alias("doc_id"), "g"), ["doc_id", "g"]), named.withColumn("h", F.xxhash64("doc_id", "g"))
     total = named.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
-    own = prefix_tokens(named, met(named.select(F.col("prefix").alias("v")), total, 2)).distinct()
+    own = prefix_tokens(hashed, met(hashed.select(F.col("prefix").alias("v"), "h"), total, 2, among=lead), lead)
     often = own.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("token")
-    tokens = staged(own.join(often, "token"), "tokens")
+    tokens = staged(own.join(often, "token").distinct(), "tokens")
 
     links = verified(members.where("gid <> rep").select(F.col("gid").alias("a"), F.col("rep").alias("b")), docs, words, percent)
     # documents of several rows: their texts are linked
@@ -216,7 +228,7 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
         # a hub of each shingle: in turn the smallest group, then others by a hash; rows in the hub's component are done
         named_groups = members.select("g", "gid").distinct().join(label, F.col("gid") == F.col("node"), "left").select("g", "gid", F.coalesce("component", "gid").alias("component"))
         named_inner = inner.join(label, F.col("rep") == F.col("node"), "left").select("token", F.col("rep").alias("gid"), "n", "pos", F.coalesce("component", "rep").alias("component"))
-        rows = _mixed(tokens.join(named_groups, "g").select("token", "gid", "n", "pos", "component").union(named_inner))
+        rows = tokens.join(named_groups, "g").select("token", "gid", "n", "pos", "component").union(named_inner)
         rank = F.struct((F.xxhash64("gid", F.lit(turn)) if turn else F.col("gid")).alias("r"), "gid", "n", "pos", "component")
         hubs = rows.groupBy("token").agg(F.min(rank).alias("h")).select("token", F.col("h.gid").alias("a"), F.col("h.n").alias("na"), F.col("h.pos").alias("pa"), F.col("h.component").alias("ca"))
         pairs = rows.join(hubs, "token").where(F.col("component") != F.col("ca")).where(_possible(percent, "n", "na", "pos", "pa"))

@@ -204,6 +204,18 @@ def test_ngram_join_within_a_group(spark, monkeypatch):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_copies_alone_put_no_shingle_into_the_join(spark, monkeypatch):
+    met = []
+    monkeypatch.setattr(ngram_join, "prefix_tokens", lambda *a, real=ngram_join.prefix_tokens: met.append(real(*a)) or met[-1])
+    alone = [(i, BASE) for i in range(40)] + [(100 + i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(10)]
+    near = [(200, "n " * 3 + prose(50)), (201, prose(50))]
+    near += [(202, near[0][1] + " end"), (203, near[0][1] + " end")]
+    for table, some in ((alone, False), (alone + near, True)):
+        got = ngram_join.ngram_join(spark.createDataFrame(table, "doc_id long, text string").repartition(4)).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(table, 4, 85)
+        assert (met[-1].count() > 0) == some
+
+
 def test_runs_of_few_words():
     for words in (4, 5):
         for n in range(6):
