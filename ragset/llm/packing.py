@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ragset.llm.common import attempt, staged
+from ragset.llm.common import attempt, staged, tidy
 from ragset.llm.tokens import encoder, public_path, slices
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker int, size int, nth long"
@@ -67,7 +67,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
                 names = [f.split()[0] for f in schema.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)][: len(names)], names)
 
-    laid = staged(docs.select("doc_id", "text").mapInArrow(pieces, schema), "pieces", "zstd")
+    laid = staged(docs.select("doc_id", "text").mapInArrow(tidy(pieces), schema), "pieces", "zstd")
     return assign_sequences(laid, capacity)
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ragset.llm.common import fold, staged
+from ragset.llm.common import fold, staged, tidy
 from ragset.llm.fitting import calibrated, isotonic, labelled_sample, partition_sum
 
 STATS = 24
@@ -64,7 +64,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(_statistics(batch), pa.list_(pa.float64()))], [*others, "stats"])
 
-    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, ", ".join(f"{n} {t}" for n, t in docs.dtypes if n != "text") + ", stats array<double>").select(*others, "stats")
+    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(tidy(run), ", ".join(f"{n} {t}" for n, t in docs.dtypes if n != "text") + ", stats array<double>").select(*others, "stats")
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -120,7 +120,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, features: int = 192
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).alias(f"kept_{c}") for c in keep if c != "text"), F.col("text").cast("binary").alias("text"))
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "text" or "text" in keep) + ", score double"
-    return rows.mapInArrow(run, schema).select("doc_id", *(F.col("text").cast("string") if c == "text" else F.col(f"kept_{c}").alias(c) for c in keep), "score")
+    return rows.mapInArrow(tidy(run), schema).select("doc_id", *(F.col("text").cast("string") if c == "text" else F.col(f"kept_{c}").alias(c) for c in keep), "score")
 
 
 def quality_query(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ragset.llm.common import fold, staged
+from ragset.llm.common import fold, staged, tidy
 from ragset.llm.fitting import calibrated, isotonic, labelled_sample
 from ragset.llm.tokens import slices
 
@@ -390,9 +390,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn, landmarks: int = 2
 
         return run
 
-    knots = isotonic(train.select("label", "weight", "text").mapInArrow(scorer("raw"), "label int, weight double, raw double"), -3.0, 3.0)
+    knots = isotonic(train.select("label", "weight", "text").mapInArrow(tidy(scorer("raw")), "label int, weight double, raw double"), -3.0, 3.0)
     schema = ", ".join(f"{n} {t}" for n, t in texts.dtypes if n != "text" or "text" in keep) + ", score double"
-    return texts.mapInArrow(scorer("score", knots), schema).select(*back, "score")
+    return texts.mapInArrow(tidy(scorer("score", knots)), schema).select(*back, "score")
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
