@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ragset.llm.common import staged
+from ragset.llm.common import staged, tidy
 from ragset.llm.graph import components
 from ragset.llm.shingles import shingle_sets
 
 SLOTS, BLOCK, MOST_BITS = 1 << 20, 1 << 14, 30
+#: Sets of up to so many shingles are compared by 48 bits of their hashes.
+SHORT = 1 << 12
 #: Rows of one shingle that meet in one task of the last round.
 TILE = 1024
 
@@ -47,7 +49,7 @@ def frequency_sketch(docs: DataFrame, words: int) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "v": pa.array(logs, pa.binary())})
 
     out = np.zeros(SLOTS, np.uint8)
-    for r in docs.select("text").mapInArrow(own, "block int, v binary").repartition(SLOTS // BLOCK, "block").mapInArrow(add, "block int, v binary").collect():
+    for r in docs.select("text").mapInArrow(tidy(own), "block int, v binary").repartition(SLOTS // BLOCK, "block").mapInArrow(tidy(add), "block int, v binary").collect():
         out[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["v"], np.uint8)
     return out
 
@@ -73,7 +75,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, sketch: np.ndarray) -> D
             cols = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(g, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "digest", "g", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, g long, prefix array<long>")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, digest binary, g long, prefix array<long>")
 
 
 def met(lists: DataFrame, total: int, least: int, spare: int = 2, among=None) -> np.ndarray:
@@ -99,8 +101,8 @@ def met(lists: DataFrame, total: int, least: int, spare: int = 2, among=None) ->
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array([np.packbits(c >= least).tobytes() for c in seen.values()], pa.binary())], ["range", "v"])
 
     out = np.zeros((1 << bits) // 8, np.uint8)
-    counted = lists.select("v", *(["h"] if among else [])).mapInArrow(own, "range int, v binary").repartition(max(64, (1 << bits) // part // 16), "range")
-    for r in counted.mapInArrow(add, "range int, v binary").collect():
+    counted = lists.select("v", *(["h"] if among else [])).mapInArrow(tidy(own), "range int, v binary").repartition(max(64, (1 << bits) // part // 16), "range")
+    for r in counted.mapInArrow(tidy(add), "range int, v binary").collect():
         out[r["range"] * part // 8 : (r["range"] + 1) * part // 8] = np.frombuffer(r["v"], np.uint8)
     return out
 
@@ -152,6 +154,25 @@ def prefix_tokens(sets: DataFrame, twice: np.ndarray, among=None) -> DataFrame:
     return sets.select("g", "n", "prefix", *(["h"] if among else [])).mapInArrow(run, "token long, g long, n int, pos int")
 
 
+def sent_set(h: np.ndarray) -> bytes:
+    """A sorted set for read_sets: six upper bytes of a hash where there are few, all eight where there are many; after them a byte that says how many."""
+    left_out = 2 if len(h) <= SHORT else 0
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, left_out:].tobytes() + bytes([8 - left_out])
+
+
+def read_sets(*sent) -> list[np.ndarray]:
+    """Sets of sent_set, by as many bytes of a hash as each of them has. Two of SHORT shingles or fewer share one by chance in 1 of 16 million pairs, of 500 in 1 of 10^9."""
+    out, shortest = [], 8
+    for s in sent:
+        raw = np.frombuffer(s, np.uint8)
+        size = int(raw[-1])
+        whole = np.zeros(((len(raw) - 1) // size, 8), np.uint8)
+        whole[:, 8 - size :] = raw[:-1].reshape(-1, size)
+        out.append(whole.view("<u8").ravel())
+        shortest = min(shortest, size)
+    return [h & np.uint64((1 << 64) - (1 << 8 * (8 - shortest))) for h in out]
+
+
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of documents whose sets are similar enough."""
     ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
@@ -161,22 +182,22 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = _held(batch, sent)
-            got = [h.tobytes() for h in shingle_sets(batch.column("text").to_pylist(), words)]
+            got = [sent_set(h) for h in shingle_sets(batch.column("text").to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got, pa.binary())], ["doc_id", "s"])
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for sa, sb in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(sa.as_buffer(), np.uint64), np.frombuffer(sb.as_buffer(), np.uint64)
+                x, y = read_sets(sa.as_buffer(), sb.as_buffer())
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # the bitmap is tested where the sets are made: two Python workers a task would hold twice the memory
-    known = staged(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(sets, "doc_id long, s binary"), "sets")
+    known = full(staged(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(tidy(sets), "doc_id long, s binary"), "sets"))
     of = lambda c: known.select(F.col("doc_id").alias(c), F.col("s").alias(f"s{c}"))
-    return staged(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(test, "a long, b long"), "links")
+    return staged(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(tidy(test), "a long, b long"), "links")
 
 
 def _possible(percent: int, n1: str, n2: str, p1: str, p2: str) -> Column:
@@ -186,6 +207,11 @@ def _possible(percent: int, n1: str, n2: str, p1: str, p2: str) -> Column:
     return (100 * least >= percent * most) & ((100 + percent) * rest >= percent * (F.col(n1) + F.col(n2)))
 
 
+def full(rows: DataFrame) -> DataFrame:
+    """rows, of which no column is null. Else a join adds that test to one of its sides alone, and equal sides are made and shuffled twice."""
+    return rows.where(" and ".join(f"{c} is not null" for c in rows.columns))
+
+
 def _mixed(rows: DataFrame) -> DataFrame:
     """The rows of those shingles that more than one component holds, with the number of the shingle's rows."""
     mixed = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("held")).where("lo < hi").select("token", "held")
@@ -205,7 +231,7 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
     named = all_sets.where("digest is not null and doc_id is not null")
     first = staged(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("g").alias("g"), F.max("n").cast("int").alias("n")), "first")
     groups = staged(first.groupBy("g").agg(F.min("rep").alias("gid")), "groups")
-    members = staged(first.join(groups, "g").select("g", "gid", "rep", "n"), "members")
+    members = full(staged(first.join(groups, "g").select("g", "gid", "rep", "n"), "members"))
     # members beside the hub, which is tested first; two sets of one size differ in a shingle each and link only if large enough
     inner = members.where("gid <> rep").where((100 + percent) * (F.col("n") - 1) >= 2 * percent * F.col("n")).select(F.col("g").alias("token"), "rep", "n", F.lit(0).alias("pos"))
     # a group's prefix counts once, by the row of its smallest document: copies alone make no shingle met
@@ -213,7 +239,8 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
     total = named.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
     own = prefix_tokens(hashed, met(hashed.select(F.col("prefix").alias("v"), "h"), total, 2, among=lead), lead)
     often = own.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("token")
-    tokens = staged(own.join(often, "token").distinct(), "tokens")
+    # written files say nothing about nulls; said here, all uses of the rows read and shuffle the same ones, once
+    tokens = full(staged(own.join(often, "token").distinct(), "tokens"))
 
     links = verified(members.where("gid <> rep").select(F.col("gid").alias("a"), F.col("rep").alias("b")), docs, words, percent)
     # documents of several rows: their texts are linked
@@ -229,7 +256,7 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
         named_groups = members.select("g", "gid").distinct().join(label, F.col("gid") == F.col("node"), "left").select("g", "gid", F.coalesce("component", "gid").alias("component"))
         named_inner = inner.join(label, F.col("rep") == F.col("node"), "left").select("token", F.col("rep").alias("gid"), "n", "pos", F.coalesce("component", "rep").alias("component"))
         rows = tokens.join(named_groups, "g").select("token", "gid", "n", "pos", "component").union(named_inner)
-        rank = F.struct((F.xxhash64("gid", F.lit(turn)) if turn else F.col("gid")).alias("r"), "gid", "n", "pos", "component")
+        rank = F.struct(*([F.xxhash64("gid", F.lit(turn)).alias("r")] if turn else []), "gid", "n", "pos", "component")
         hubs = rows.groupBy("token").agg(F.min(rank).alias("h")).select("token", F.col("h.gid").alias("a"), F.col("h.n").alias("na"), F.col("h.pos").alias("pa"), F.col("h.component").alias("ca"))
         pairs = rows.join(hubs, "token").where(F.col("component") != F.col("ca")).where(_possible(percent, "n", "na", "pos", "pa"))
         pairs = pairs.select(F.least("a", "gid").alias("a"), F.greatest("a", "gid").alias("b")).distinct()
@@ -243,9 +270,9 @@ def ngram_join(docs: DataFrame, words: int = 4, percent: int = 85, stars: int =
     named_members = members.select("g", "rep").join(label, F.col("rep") == F.col("node"), "left").select("g", "rep", F.coalesce("component", "rep").alias("component"))
     all_rows = tokens.join(named_members, "g").select("token", "rep", "n", "pos", "component").union(inner.join(named_members.drop("g"), "rep").select("token", "rep", "n", "pos", "component"))
     tiles = F.ceil(F.col("held") / TILE)
-    full = staged(_mixed(all_rows).withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles")), "mixed")
-    one = full.select("token", F.col("tile").alias("x"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("y"), F.col("rep").alias("a"), "n", "pos", "component")
-    other = full.select("token", F.explode(F.sequence(F.lit(0).cast("long"), "tile")).alias("x"), F.col("tile").alias("y"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
+    both = staged(_mixed(all_rows).withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles")), "mixed")
+    one = both.select("token", F.col("tile").alias("x"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("y"), F.col("rep").alias("a"), "n", "pos", "component")
+    other = both.select("token", F.explode(F.sequence(F.lit(0).cast("long"), "tile")).alias("x"), F.col("tile").alias("y"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
     pairs = one.join(other, ["token", "x", "y"]).where(F.col("component") != F.col("cb")).where("x < y or a < b").where(_possible(percent, "n", "nb", "pos", "pb"))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
