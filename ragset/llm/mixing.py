@@ -31,7 +31,7 @@ CONTEXTS, COMMON, GATES, CUT = 4, 16, 32, 1 << 14
 SPELL_BELOW = 3
 #: Weights that a text starts with, a row for each context, by the gate's confidence of the longest context.
 START = np.array([[0.10, 0.60, 0.30, 0.10], [0.10, 0.60, 0.30, 0.20], [0.10, 0.50, 0.30, 0.35], [0.10, 0.40, 0.25, 0.50]], np.float32)
-MAX_WORDS, ROWS = 400_000, 512
+MAX_WORDS, ROWS, ONE = 400_000, 512, np.int32(1)
 
 
 class Numbers(dict):
@@ -208,6 +208,15 @@ def score_bits(b: Bits, tables: list[np.ndarray], n_texts: int) -> np.ndarray:
     return out
 
 
+def add_bits(total: np.ndarray, b: Bits) -> None:
+    """Counts the bits in total, a row for each context; only the counts that they touch are visited."""
+    for k in range(CONTEXTS):
+        at = b.slots[k].astype(np.intp)
+        at *= 2
+        at += b.bits
+        np.add.at(total[k], at, ONE)
+
+
 def vocabulary(docs: DataFrame) -> DataFrame:
     """(token, c) over all words and ends of docs; the end is the empty token."""
 
@@ -253,10 +262,7 @@ def context_tables(docs: DataFrame, code: Code) -> list[np.ndarray]:
             for lo, hi in slices(batch.num_rows, ROWS):
                 texts = [words_of(t) for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
                 for a, b in _batches(texts, 60_000):
-                    got = bits_of(sent.value, texts[a:b])
-                    for k in range(CONTEXTS):
-                        at = got.slots[k].astype(np.intp) * 2 + got.bits
-                        total[k] += np.bincount(at, minlength=2 * slots)
+                    add_bits(total, bits_of(sent.value, texts[a:b]))
         for k in range(CONTEXTS):
             rows = []
             for at in range(0, 2 * slots, CUT):
