@@ -23,6 +23,8 @@ from ragset.llm.tokens import public_path, slices
 SPACE, MAX_WORDS, MAX_PATHS, MAX_PAIRS = "▁", 400_000, 150_000, 600_000
 #: Words up to this length share the paths of their beginnings and are remembered.
 SHARED = 32
+#: Characters by which the arcs that end at a place are looked up, and how many such ends are remembered.
+END, MAX_ENDS = 4, 100_000
 _loaded: dict[str, "Transducer"] = {}
 
 
@@ -76,11 +78,12 @@ class Transducer:
         for b, i in self.bytes.items():
             self.byte_values[i] = b
         self.coded = [i.to_bytes(4, "little") for i in range(n)]
-        ends: dict[str, set[int]] = {}
+        longer: dict[str, set[int]] = {}
         for p in self.id_of:
-            if len(p) > 1:
-                ends.setdefault(p[-2:], set()).add(len(p))
-        self.lengths = {e: (1, *sorted(x)) for e, x in ends.items()}  # of the pieces that end so
+            if len(p) > END:
+                longer.setdefault(p[-END:], set()).add(len(p))
+        self.longer = {e: tuple((k, None, 0.0) for k in sorted(x)) for e, x in longer.items()}  # of the pieces of more than END characters that end so
+        self.ends: dict[str, tuple] = {}
         self.known: dict[str, tuple[bytes, float]] = {"": (b"", 0.0)}
         self.paths: dict[str, tuple] = {"": (None, None, 0.0, b"")}  # last id, path before it, weight, what the last arc emits
         self.pairs: dict[int, bool] = {}
@@ -133,12 +136,22 @@ class Transducer:
                     return False
         return True
 
+    def arcs(self, end: str) -> tuple[tuple[int, int | None, float], ...]:
+        """(length, id, weight) of the arcs that may end with these END characters (fewer where the word begins), by length; those of more than END characters without id, and id -1 where a character has no piece."""
+        out = [(k, self.id_of[end[-k:]], self.weight[self.id_of[end[-k:]]]) for k in range(1, len(end) + 1) if end[-k:] in self.id_of]
+        if end[-1] not in self.id_of:
+            out.insert(0, (1, -1, 0.0))
+        if len(self.ends) > MAX_ENDS:
+            self.ends.clear()
+        got = self.ends[end] = (*out, *self.longer.get(end, ()))
+        return got
+
     def shortest(self, word: str) -> tuple[bytes, float]:
         """Ids (little-endian uint32) and weight of the shortest path through the word's lattice, in time and memory linear in its length.
 
         Of the paths to a place, those that the pair acceptor admits, the lightest stays.
         """
-        paths, id_of, lengths, pairs, weight, n = self.paths, self.id_of, self.lengths, self.pairs, self.weight, len(word)
+        paths, id_of, ends, pairs, weight, coded, n = self.paths, self.id_of, self.ends, self.pairs, self.weight, self.coded, len(word)
         done, share = 0, n <= SHARED
         if share:
             done = n
@@ -147,32 +160,32 @@ class Transducer:
         own = [paths[word[:k]] for k in range(done + 1)] if share else [paths[""]]
         for end in range(done + 1, n + 1):
             best = None
-            for size in lengths.get(word[max(0, end - 2) : end], (1,)):
-                if size > end:
-                    break
-                arc = word[end - size : end]
-                i = id_of.get(arc)
-                before = own[end - size]
+            arc = word[end - END if end > END else 0 : end]
+            for size, i, w in ends.get(arc) or self.arcs(arc):
                 if i is None:
-                    if size > 1:
+                    if size > end:
+                        break
+                    i = id_of.get(word[end - size : end])
+                    if i is None:
                         continue
-                    path = (None, before, before[2], b"".join([self.coded[self.bytes[b]] for b in arc.encode()]))
-                else:
-                    total = before[2] + weight[i]
-                    if best is not None and best[2] <= total:
+                    w = weight[i]
+                before = own[end - size]
+                if i < 0:
+                    best = (None, before, before[2], b"".join([coded[self.bytes[b]] for b in arc[-1].encode()]))
+                    continue
+                total = before[2] + w
+                if best is not None and best[2] <= total:
+                    continue
+                last = before[0]
+                if last is not None:
+                    ok = pairs.get(last << 20 | i)
+                    if ok is None:
+                        if len(pairs) > MAX_PAIRS:
+                            pairs.clear()
+                        ok = pairs[last << 20 | i] = self.follows(last, i)
+                    if not ok:
                         continue
-                    last = before[0]
-                    if last is not None:
-                        ok = pairs.get(last << 20 | i)
-                        if ok is None:
-                            if len(pairs) > MAX_PAIRS:
-                                pairs.clear()
-                            ok = pairs[last << 20 | i] = self.follows(last, i)
-                        if not ok:
-                            continue
-                    path = (i, before, total, self.coded[i])
-                if best is None or path[2] < best[2]:
-                    best = path
+                best = (i, before, total, coded[i])
             own.append(best)
             if share and len(paths) < MAX_PATHS:
                 paths[word[:end]] = best
