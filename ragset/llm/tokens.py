@@ -21,6 +21,23 @@ MAX_PIECES, JOINED = 400_000, 200
 _loaded: dict[str, "TextEncoder"] = {}
 
 
+class Known(dict):
+    """Ids of pieces. A piece that is asked for and not known gets an empty place, to be filled in, and stands in new."""
+
+    def __init__(self):
+        super().__init__({"": b""})
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> bytearray:
+        self.new.append(piece)
+        place = self[piece] = bytearray()
+        return place
+
+    def take_new(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
 class TextEncoder:
     """encode(texts): for each text its ids as little-endian uint32 bytes, as the library gives them without special tokens added.
 
@@ -44,7 +61,7 @@ class TextEncoder:
         self.width = np.zeros(len(self.last), np.int64)  # bytes of an id
         for token, i in vocab.items():
             self.last[i], self.width[i] = token.endswith("</w>"), len(token)
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = Known()
 
     @staticmethod
     def _words(text: str) -> list[str]:
@@ -96,18 +113,30 @@ class TextEncoder:
             return self._encode(whole)
         marked = [i for i, t in enumerate(whole) if any(m in t for m in self.marks)]
         apart = dict(zip(marked, self._encode([whole[i] for i in marked])))
-        known, rows, new = self.known, [[] if i in apart else self.split(t) for i, t in enumerate(whole)], set()
-        for pieces in rows:
-            new |= set(pieces).difference(known)
-        signed = [p for p in new if p[-1] in ",." and len(p) > 1 and p[-2] in _PLAIN]
-        fresh = self._encode_new(list(new.difference(signed).union([p[:-1] for p in signed], [",", "."] if signed else ()).difference(known)))
-        known.update(fresh)
-        for p in signed:
-            fresh[p] = known[p] = known[p[:-1]] + known[p[-1]]
-        out = [apart[i] if i in apart else b"".join(map(known.__getitem__, pieces)) for i, pieces in enumerate(rows)]
+        known = self.known
+        try:
+            # one look for each piece: rows hold the places, those of new pieces are filled below
+            rows = [[] if i in apart else list(map(known.__getitem__, self.split(t))) for i, t in enumerate(whole)]
+            new = known.take_new()
+            signed = [p for p in new if p[-1] in ",." and len(p) > 1 and p[-2] in _PLAIN]
+            stems = [(known[p[:-1]], known[p[-1]]) for p in signed]
+            apart_signs = set(signed)
+            plain = [p for p in new if p not in apart_signs] + known.take_new()
+            fresh = self._encode_new(plain)
+            for p, ids in fresh.items():
+                known[p] += ids
+            for p, (stem, sign) in zip(signed, stems):
+                known[p] += stem + sign
+                fresh[p] = bytes(known[p])
+            out = [apart[i] if i in apart else b"".join(row) for i, row in enumerate(rows)]
+        except BaseException:
+            self.known = Known()  # places may be empty
+            raise
         if len(known) > MAX_PIECES:  # the early, frequent pieces stay
             for piece in fresh:
                 del known[piece]
+        else:
+            known.update(fresh)
         return out
 
 
