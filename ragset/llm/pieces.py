@@ -58,6 +58,24 @@ def check_normaliser(model: bytes) -> None:
         raise ValueError("the model's normaliser is not one that this transducer compiles")
 
 
+class Known(dict):
+    """(ids, weight) of words; a word that is asked for and not known is encoded, and stands in new."""
+
+    def __init__(self, owner: "Transducer"):
+        super().__init__({"": (b"", 0.0)})
+        self.owner, self.new = owner, []
+
+    def __missing__(self, word: str) -> tuple[bytes, float]:
+        if word[-1] in self.owner.tails and word[-2:-1].isalpha():
+            a, b = self[word[:-1]], self[word[-1]]
+            got = (a[0] + b[0], a[1] + b[1])
+        else:
+            got = self.owner.shortest(word)
+        self.new.append(word)
+        self[word] = got
+        return got
+
+
 class Transducer:
     def __init__(self, path: str):
         import sentencepiece
@@ -84,9 +102,10 @@ class Transducer:
                 longer.setdefault(p[-END:], set()).add(len(p))
         self.longer = {e: tuple((k, None, 0.0) for k in sorted(x)) for e, x in longer.items()}  # of the pieces of more than END characters that end so
         self.ends: dict[str, tuple] = {}
-        self.known: dict[str, tuple[bytes, float]] = {"": (b"", 0.0)}
+        self.known = Known(self)
         self.paths: dict[str, tuple] = {"": (None, None, 0.0, b"")}  # last id, path before it, weight, what the last arc emits
-        self.pairs: dict[int, bool] = {}
+        self.allowed: list[dict[int, bool]] = [{} for _ in range(n)]  # of a piece, by the id before it
+        self.n_pairs = 0
         self.spines: dict[tuple[int, bool], list | None] = {}
 
     def merged(self, text: str) -> list[tuple[str, str, str]]:
@@ -136,9 +155,19 @@ class Transducer:
                     return False
         return True
 
+    def admitted(self, i: int, k: int) -> bool:
+        """follows(), remembered."""
+        if self.n_pairs > MAX_PAIRS:
+            for own in self.allowed:
+                own.clear()
+            self.n_pairs = 0
+        self.n_pairs += 1
+        got = self.allowed[k][i] = self.follows(i, k)
+        return got
+
     def arcs(self, end: str) -> tuple[tuple[int, int | None, float], ...]:
         """(length, id, weight) of the arcs that may end with these END characters (fewer where the word begins), by length; those of more than END characters without id, and id -1 where a character has no piece."""
-        out = [(k, self.id_of[end[-k:]], self.weight[self.id_of[end[-k:]]]) for k in range(1, len(end) + 1) if end[-k:] in self.id_of]
+        out = [(k, i, self.weight[i]) for k in range(1, len(end) + 1) if (i := self.id_of.get(end[-k:])) is not None]
         if end[-1] not in self.id_of:
             out.insert(0, (1, -1, 0.0))
         if len(self.ends) > MAX_ENDS:
@@ -151,15 +180,16 @@ class Transducer:
 
         Of the paths to a place, those that the pair acceptor admits, the lightest stays.
         """
-        paths, id_of, ends, pairs, weight, coded, n = self.paths, self.id_of, self.ends, self.pairs, self.weight, self.coded, len(word)
-        done, share = 0, n <= SHARED
-        if share:
-            done = n
-            while word[:done] not in paths:
-                done -= 1
-        own = [paths[word[:k]] for k in range(done + 1)] if share else [paths[""]]
-        for end in range(done + 1, n + 1):
-            best = None
+        paths, id_of, ends, allowed, weight, coded, n = self.paths, self.id_of, self.ends, self.allowed, self.weight, self.coded, len(word)
+        own, share = [paths[""]], n <= SHARED
+        if share:  # the beginnings of a remembered one are remembered
+            for k in range(1, n + 1):
+                path = paths.get(word[:k])
+                if path is None:
+                    break
+                own.append(path)
+        for end in range(len(own), n + 1):
+            least, at, arrived = np.inf, None, None
             arc = word[end - END if end > END else 0 : end]
             for size, i, w in ends.get(arc) or self.arcs(arc):
                 if i is None:
@@ -170,22 +200,21 @@ class Transducer:
                         continue
                     w = weight[i]
                 before = own[end - size]
-                if i < 0:
-                    best = (None, before, before[2], b"".join([coded[self.bytes[b]] for b in arc[-1].encode()]))
-                    continue
                 total = before[2] + w
-                if best is not None and best[2] <= total:
+                if total >= least:
                     continue
                 last = before[0]
-                if last is not None:
-                    ok = pairs.get(last << 20 | i)
+                if last is not None and i >= 0:
+                    ok = allowed[i].get(last)
                     if ok is None:
-                        if len(pairs) > MAX_PAIRS:
-                            pairs.clear()
-                        ok = pairs[last << 20 | i] = self.follows(last, i)
+                        ok = self.admitted(last, i)
                     if not ok:
                         continue
-                best = (i, before, total, coded[i])
+                least, at, arrived = total, before, i
+            if arrived < 0:
+                best = (None, at, least, b"".join([coded[self.bytes[b]] for b in arc[-1].encode()]))
+            else:
+                best = (arrived, at, least, coded[arrived])
             own.append(best)
             if share and len(paths) < MAX_PATHS:
                 paths[word[:end]] = best
@@ -193,7 +222,8 @@ class Transducer:
         while at[1] is not None:
             ids.append(at[3])
             at = at[1]
-        return b"".join(reversed(ids)), own[n][2]
+        ids.reverse()
+        return b"".join(ids), own[n][2]
 
     def words(self, text: str) -> list[str]:
         """The normalised text, cut before the spaces that follow another character."""
@@ -211,26 +241,15 @@ class Transducer:
         return out + [SPACE * run] if run else out
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, float]]:
-        rows = [self.words(t or "") for t in texts]
-        fresh = set()
-        for row in rows:
-            fresh |= set(row).difference(self.known)
-        new = {}
-        for w in fresh:
-            if w[-1] in self.tails and w[-2:-1].isalpha():
-                a, b = (self.known.get(x) or new.get(x) or new.setdefault(x, self.shortest(x)) for x in (w[:-1], w[-1]))
-                new[w] = (a[0] + b[0], a[1] + b[1])
-            elif w not in new:
-                new[w] = self.shortest(w)
-        self.known.update(new)
-        out = []
-        for row in rows:
-            got = list(map(self.known.__getitem__, row))
+        known, out = self.known, []
+        for t in texts:
+            got = list(map(known.__getitem__, self.words(t or "")))
             out.append((b"".join([g[0] for g in got]), float(sum([g[1] for g in got]))))
-        full = len(self.known) > MAX_WORDS
-        for w in new:
+        full = len(known) > MAX_WORDS
+        for w in known.new:
             if full or len(w) > SHARED:  # the early, frequent words stay
-                del self.known[w]
+                del known[w]
+        known.new = []
         return out
 
     def decode(self, ids: np.ndarray) -> str:
