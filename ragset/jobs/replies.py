@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
 
-from ragset.functions.text import keyed
+from ragset.functions.text import WORD, keyed, upper
 from ragset.jobs.corpus import TOK
 from ragset.operators import contexts as X
 from ragset.operators import datasets as DS
@@ -246,11 +247,14 @@ def g4_results_summary(s, d):
 
 
 def u2_responder(s, d):
-    """Distinct missing requests go to the responder once; a failure gives an error reply."""
+    """Distinct missing requests go to the responder once; a failure gives an error reply. Words and capitals are those of SQL."""
     from ragset.operators.seams import respond
 
+    def first(text):
+        return None if text is None else upper(re.findall(WORD, text)[0])
+
     asked = qa(s, d).select(F.col("question").alias("request")).distinct()
-    return respond(asked, lambda t: t.split()[0].upper(), written).select(F.md5(F.col("request").cast("binary")).alias("request_md5"), "reply")
+    return respond(asked, first, written).select(F.md5(F.col("request").cast("binary")).alias("request_md5"), "reply")
 
 
 #: What questions and answers say of a figure, written out for SQL.
